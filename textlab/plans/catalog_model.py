@@ -1,3 +1,46 @@
-"""Registered queries (continued)."""
+"""Registered queries: splits and folds."""
 
-from textlab.plans.catalog import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textlab.operators import profile
+from textlab.operators.split import with_folds, with_hash_split, with_stratified_split
+from textlab.plans.catalog import register
+from textlab.sources import views
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.labelled_documents(spark, sf_dir).select("review_id", "label")
+
+
+@register("hash_split")
+def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test when md5-derived key % 10000 < 2000; layout independent."""
+    return with_hash_split(_labelled(spark, sf_dir))
+
+
+@register("hash_split_sizes")
+def q_hash_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split sizes by split and label in one job."""
+    return profile.group_sizes(with_hash_split(_labelled(spark, sf_dir)), "split", "label")
+
+
+@register("stratified_split")
+def q_stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 exact: per label, the round(0.2 * n) smallest keys are test."""
+    return with_stratified_split(_labelled(spark, sf_dir))
+
+
+@register("stratified_split_sizes")
+def q_stratified_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B8 on the exact stratified split."""
+    return profile.group_sizes(with_stratified_split(_labelled(spark, sf_dir)), "split", "label")
+
+
+@register("fold_sizes")
+def q_fold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3 hash folds of the training part, sizes by fold and label."""
+    train = with_hash_split(_labelled(spark, sf_dir)).filter(F.col("split") == F.lit("train"))
+    return profile.group_sizes(with_folds(train), "fold", "label")

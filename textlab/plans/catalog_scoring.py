@@ -1,3 +1,51 @@
-"""Registered queries (continued)."""
+"""Registered queries: evaluation on deterministic scores."""
 
-from textlab.plans.catalog import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from textlab.operators import evaluate
+from textlab.plans.catalog import register
+from textlab.sources import views
+
+
+@register("binary_metrics")
+def q_binary_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: accuracy, precision, recall, F1 of class 1, zero-division 0, plus counts."""
+    return evaluate.binary_metrics(views.scores(spark, sf_dir))
+
+
+@register("confusion")
+def q_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2x2 confusion matrix with zero cells."""
+    return evaluate.confusion_matrix(views.scores(spark, sf_dir))
+
+
+@register("auc_exact")
+def q_auc_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact AUC via per-score counts and bucketed prefix sums."""
+    return evaluate.auc_exact(views.scores(spark, sf_dir))
+
+
+@register("roc_points")
+def q_roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ROC point per distinct score plus the origin."""
+    return evaluate.roc_points(views.scores(spark, sf_dir))
+
+
+@register("prob_histogram")
+def q_prob_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """50-bin histogram per actual class over that class's own range."""
+    return evaluate.probability_histogram(views.scores(spark, sf_dir))
+
+
+@register("threshold_sweep")
+def q_threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics at thresholds 0.1 .. 0.9 from one pass."""
+    return evaluate.threshold_sweep(views.scores(spark, sf_dir))
+
+
+@register("evaluation_summary")
+def q_evaluation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 + G2 + G7: the metrics record with AUC and verdict from one reduction."""
+    return evaluate.evaluation_summary(views.scores(spark, sf_dir))

@@ -1,3 +1,128 @@
-"""SQL oracles (continued)."""
+"""SQL oracles (continued): splits, evaluation."""
 
-from textlab.plans.oracles import ORACLES  # noqa: F401
+from __future__ import annotations
+
+from textlab.plans.oracles import ORACLES, SCORES_CTE
+
+LABELLED_DOCS_CTE = """labelled_docs AS (
+  SELECT d.doc_id AS review_id, d.text, d.lang, CAST(l.quality AS DOUBLE) AS label
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+keyed AS (
+  SELECT review_id, label,
+    ('0x' || substr(md5('42:' || CAST(review_id AS VARCHAR)), 1, 8))::BIGINT AS k0,
+    ('0x' || substr(md5('42:' || CAST(review_id AS VARCHAR)), 9, 8))::BIGINT AS k1
+  FROM labelled_docs),
+split AS (
+  SELECT review_id, label, k1, CASE WHEN k0 % 10000 < 2000 THEN 'test' ELSE 'train' END AS split FROM keyed)"""
+
+STRATIFIED_CTE = (
+    LABELLED_DOCS_CTE
+    + """,
+strat AS (
+  SELECT review_id, label,
+    CASE WHEN row_number() OVER (PARTITION BY label ORDER BY k0, review_id)
+              <= CAST(round(0.2 * count(*) OVER (PARTITION BY label)) AS BIGINT)
+         THEN 'test' ELSE 'train' END AS split
+  FROM keyed)"""
+)
+
+ORACLES["hash_split"] = f"WITH {LABELLED_DOCS_CTE} SELECT review_id, label, split FROM split"
+ORACLES["hash_split_sizes"] = f"""WITH {LABELLED_DOCS_CTE}
+SELECT split, label, CAST(count(*) AS BIGINT) AS n FROM split GROUP BY split, label"""
+ORACLES["stratified_split"] = f"WITH {STRATIFIED_CTE} SELECT review_id, label, split FROM strat"
+ORACLES["stratified_split_sizes"] = f"""WITH {STRATIFIED_CTE}
+SELECT split, label, CAST(count(*) AS BIGINT) AS n FROM strat GROUP BY split, label"""
+ORACLES["fold_sizes"] = f"""WITH {LABELLED_DOCS_CTE}
+SELECT CAST(k1 % 3 AS INTEGER) AS fold, label, CAST(count(*) AS BIGINT) AS n
+FROM split WHERE split = 'train' GROUP BY ALL"""
+
+
+def _metrics_sql(tp: str, fp: str, fn: str, tn: str) -> str:
+    def ratio(a: str, b: str) -> str:
+        return f"coalesce(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0), 0.0)"
+
+    return f"""round({ratio(f"{tp} + {tn}", f"{tp} + {fp} + {fn} + {tn}")}, 4) AS accuracy,
+  round({ratio(tp, f"{tp} + {fp}")}, 4) AS precision,
+  round({ratio(tp, f"{tp} + {fn}")}, 4) AS recall,
+  round({ratio(f"2 * {tp}", f"2 * {tp} + {fp} + {fn}")}, 4) AS f1_score"""
+
+
+CELLS_BODY = """cells AS (SELECT count_if(label = 1 AND prediction = 1) AS tp, count_if(label = 0 AND prediction = 1) AS fp,
+  count_if(label = 1 AND prediction = 0) AS fn, count_if(label = 0 AND prediction = 0) AS tn FROM scores)"""
+CELLS_CTE = f"{SCORES_CTE},\n{CELLS_BODY}"
+
+ORACLES["binary_metrics"] = f"""WITH {CELLS_CTE}
+SELECT {_metrics_sql("tp", "fp", "fn", "tn")},
+  CAST(tp + fp + fn + tn AS BIGINT) AS test_samples, CAST(tp + fn AS BIGINT) AS positive_samples,
+  CAST(fp + tn AS BIGINT) AS negative_samples, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+  CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn FROM cells"""
+
+ORACLES["confusion"] = f"""WITH {SCORES_CTE},
+frame AS (SELECT a AS actual, p AS predicted FROM (SELECT unnest([0, 1]) AS a), (SELECT unnest([0, 1]) AS p))
+SELECT f.actual, f.predicted, CAST(count(s.review_id) AS BIGINT) AS n
+FROM frame f LEFT JOIN scores s ON s.label = f.actual AND s.prediction = f.predicted
+GROUP BY f.actual, f.predicted"""
+
+PREFIX_CTE = f"""{SCORES_CTE},
+c AS (SELECT score, count_if(label = 1) AS pos, count_if(label = 0) AS neg FROM scores
+      WHERE score IS NOT NULL GROUP BY score),
+p AS (SELECT *,
+  coalesce(sum(pos) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_before,
+  coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before,
+  sum(pos) OVER () AS pos_total, sum(neg) OVER () AS neg_total FROM c)"""
+
+ORACLES["auc_exact"] = f"""WITH {PREFIX_CTE}
+SELECT round(sum(pos * (neg_before + neg / 2.0)) / NULLIF(sum(pos) * sum(neg), 0), 6) AS auc_roc,
+  CAST(sum(pos) AS BIGINT) AS positive_samples, CAST(sum(neg) AS BIGINT) AS negative_samples,
+  CAST(count(*) AS BIGINT) AS n_scores FROM p"""
+
+ORACLES["roc_points"] = f"""WITH {PREFIX_CTE}
+SELECT 'inf'::DOUBLE AS threshold, CAST(0 AS BIGINT) AS tp, CAST(0 AS BIGINT) AS fp, 0.0 AS tpr, 0.0 AS fpr
+UNION ALL
+SELECT score, CAST(pos_total - pos_before AS BIGINT), CAST(neg_total - neg_before AS BIGINT),
+  round((pos_total - pos_before) / NULLIF(CAST(pos_total AS DOUBLE), 0), 6),
+  round((neg_total - neg_before) / NULLIF(CAST(neg_total AS DOUBLE), 0), 6) FROM p"""
+
+ORACLES["prob_histogram"] = f"""WITH {SCORES_CTE},
+s AS (SELECT label, score FROM scores WHERE score IS NOT NULL),
+r0 AS (SELECT label, min(score) AS lo0, max(score) AS hi0 FROM s GROUP BY label),
+r AS (SELECT label,
+  CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
+  CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM r0),
+j0 AS (SELECT s.label, s.score, r.lo, r.hi, (r.hi - r.lo) / 50.0 AS step,
+  least(CAST(floor((s.score - r.lo) / (r.hi - r.lo) * 50.0) AS INTEGER), 49) AS i0
+  FROM s JOIN r ON s.label = r.label),
+j1 AS (SELECT *, CASE WHEN score < (CASE WHEN i0 >= 50 THEN hi ELSE CAST(i0 AS DOUBLE) * step + lo END)
+                      THEN i0 - 1 ELSE i0 END AS i1 FROM j0),
+j2 AS (SELECT label, CASE WHEN score >= (CASE WHEN i1 + 1 >= 50 THEN hi ELSE CAST(i1 + 1 AS DOUBLE) * step + lo END)
+                            AND i1 <> 49 THEN i1 + 1 ELSE i1 END AS bin FROM j1),
+cnt AS (SELECT label, bin, count(*) AS n FROM j2 GROUP BY label, bin),
+frame AS (SELECT label, lo, hi, (hi - lo) / 50.0 AS step, unnest(range(0, 50)) AS bin FROM r)
+SELECT f.label, CAST(f.bin AS INTEGER) AS bin,
+  round(CASE WHEN f.bin >= 50 THEN f.hi ELSE CAST(f.bin AS DOUBLE) * f.step + f.lo END, 9) AS bin_lo,
+  round(CASE WHEN f.bin + 1 >= 50 THEN f.hi ELSE CAST(f.bin + 1 AS DOUBLE) * f.step + f.lo END, 9) AS bin_hi,
+  CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM frame f LEFT JOIN cnt c ON f.label = c.label AND f.bin = c.bin"""
+
+ORACLES["threshold_sweep"] = f"""WITH {SCORES_CTE},
+t AS (SELECT unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]::DOUBLE[]) AS threshold),
+k AS (SELECT t.threshold,
+  count_if(s.label = 1 AND s.score > t.threshold) AS tp, count_if(s.label = 0 AND s.score > t.threshold) AS fp,
+  count_if(s.label = 1 AND NOT s.score > t.threshold) AS fn, count_if(s.label = 0 AND NOT s.score > t.threshold) AS tn
+  FROM t, scores s WHERE s.score IS NOT NULL GROUP BY t.threshold)
+SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn,
+  CAST(tn AS BIGINT) AS tn, {_metrics_sql("tp", "fp", "fn", "tn")} FROM k"""
+
+
+def verdict_sql(f1: str, auc: str) -> str:
+    return f"""CASE WHEN coalesce({f1} >= 0.9 AND {auc} >= 0.95, false) THEN 'excellent'
+  WHEN coalesce({f1} >= 0.8 AND {auc} >= 0.85, false) THEN 'good'
+  WHEN coalesce({f1} >= 0.7, false) THEN 'acceptable' ELSE 'deficient' END"""
+
+
+ORACLES["evaluation_summary"] = f"""WITH {PREFIX_CTE}, {CELLS_BODY},
+a AS (SELECT sum(pos * (neg_before + neg / 2.0)) AS s, sum(pos) AS P, sum(neg) AS N FROM p),
+m AS (SELECT {_metrics_sql("tp", "fp", "fn", "tn")},
+  round(a.s / NULLIF(a.P * a.N, 0), 4) AS auc_roc, CAST(a.P + a.N AS BIGINT) AS test_samples,
+  CAST(a.P AS BIGINT) AS positive_samples, CAST(a.N AS BIGINT) AS negative_samples FROM cells, a)
+SELECT *, {verdict_sql("f1_score", "auc_roc")} AS verdict FROM m"""
