@@ -26,6 +26,9 @@ PY_WHITESPACE_CLASS = (
     r"[\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# Accent folding for multilingual text (lower-case Latin letters and their base letter).
+ACCENTED_LETTERS = "àáâãäåāăąçćčďèéêëēėęěìíîïīįñńňòóôõöøōőùúûüūůűųýÿžźżšśş"
+FOLDED_LETTERS = "aaaaaaaaacccdeeeeeeeeiiiiiinnnoooooooouuuuuuuuyyzzzsss"
 # Display truncation of the demo table.
 DISPLAY_MAX_CHARS = 120
 ELLIPSIS = "…"
@@ -71,6 +74,12 @@ def clean_text(text: Column | str) -> Column:
     return F.trim(x)
 
 
+def fold_accents(text: Column | str) -> Column:
+    """Lower-case and map accented Latin letters to their base letter (é -> e), so
+    cleaning keeps 'cafe' instead of splitting 'caf' and ''. Optional pre-clean step."""
+    return F.translate(F.lower(_col(text)), ACCENTED_LETTERS, FOLDED_LETTERS)
+
+
 def combine_exact(title_clean: Column | str, text_clean: Column | str) -> Column:
     """``concat_ws(' ', title, text)``: NULL parts skipped, empty parts kept.
 

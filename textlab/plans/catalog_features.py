@@ -1,3 +1,92 @@
-"""Registered queries (continued)."""
+"""Registered queries: tokens, stop words, n-grams and term-keyed TF-IDF."""
 
-from textlab.plans.catalog import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textlab.config import LabelConfig
+from textlab.functions.text import clean_text, fold_accents
+from textlab.functions.tokens import (
+    ml_tokens,
+    mirror_tokens,
+    remove_stop_words,
+    unigrams_and_bigrams,
+)
+from textlab.operators import features
+from textlab.plans.catalog import register
+from textlab.plans.transform import clean_reviews
+from textlab.sources import views
+
+MIRROR = LabelConfig(zero_is_null=False)
+
+
+def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_reviews(views.reviews(spark, sf_dir))
+
+
+def _filtered_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clean(spark, sf_dir).select(
+        "review_id", remove_stop_words(ml_tokens(F.col("review_combined"))).alias("terms")
+    )
+
+
+def _mirror_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mirror's documents: trimmed combine, its own filter, 2+-character tokens,
+    stop words removed, unigrams and bigrams."""
+    docs = clean_reviews(views.reviews(spark, sf_dir), MIRROR, trimmed=True)
+    toks = remove_stop_words(mirror_tokens(F.col("review_combined")))
+    return docs.select("review_id", unigrams_and_bigrams(toks).alias("terms"))
+
+
+@register("tokens")
+def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokenizer twin on the clean texts (leading '' tokens kept, trailing dropped)."""
+    t = ml_tokens(F.col("review_combined"))
+    return _clean(spark, sf_dir).select(
+        "review_id", F.size(t).alias("n_tokens"), F.array_join(t, "|").alias("tokens_text")
+    )
+
+
+@register("stopword_filter")
+def q_stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Default English stop words removed (duplicates and '' tokens kept)."""
+    t = F.col("terms")
+    return _filtered_tokens(spark, sf_dir).select(
+        "review_id", F.size(t).alias("n_tokens"), F.array_join(t, "|").alias("tokens_text")
+    )
+
+
+@register("bigrams")
+def q_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigrams followed by bigrams of the stop-word-filtered tokens."""
+    g = unigrams_and_bigrams(F.col("terms"))
+    return _filtered_tokens(spark, sf_dir).select(
+        "review_id", F.size(g).alias("n_grams"), F.array_join(g, "|").alias("grams_text")
+    )
+
+
+@register("tfidf_terms")
+def q_tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact term-keyed TF-IDF with MLlib's IDF (minDocFreq 2)."""
+    return features.tfidf_terms(_filtered_tokens(spark, sf_dir), "review_id", "terms")
+
+
+@register("vocab_topk")
+def q_vocab_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 65,536 terms by corpus count among terms in 2+ documents."""
+    tf = features.term_frequencies(_filtered_tokens(spark, sf_dir), "review_id", "terms")
+    return features.vocabulary(tf)
+
+
+@register("tfidf_l2")
+def q_tfidf_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mirror features: 1-2 grams, capped vocabulary, sublinear tf, smooth IDF, L2."""
+    return features.tfidf_sublinear_l2(_mirror_terms(spark, sf_dir), "review_id", "terms")
+
+
+@register("clean_folded")
+def q_clean_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accent folding before cleaning, so accented words survive as words."""
+    d = views.reviews(spark, sf_dir)
+    return d.select("review_id", clean_text(fold_accents(F.col("body"))).alias("text_clean"))

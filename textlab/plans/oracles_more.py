@@ -126,3 +126,79 @@ m AS (SELECT {_metrics_sql("tp", "fp", "fn", "tn")},
   round(a.s / NULLIF(a.P * a.N, 0), 4) AS auc_roc, CAST(a.P + a.N AS BIGINT) AS test_samples,
   CAST(a.P AS BIGINT) AS positive_samples, CAST(a.N AS BIGINT) AS negative_samples FROM cells, a)
 SELECT *, {verdict_sql("f1_score", "auc_roc")} AS verdict FROM m"""
+
+
+# --- features -------------------------------------------------------------------
+
+from textlab.functions.text import ACCENTED_LETTERS, FOLDED_LETTERS  # noqa: E402
+from textlab.plans.oracles import CLEAN_CTE, REVIEWS_CTE, clean_sql, label_sql, rating_sql, stop_list_sql  # noqa: E402
+
+
+def ml_tokens_sql(x: str) -> str:
+    lx = f"lower({x})"
+    return (
+        f"(CASE WHEN {lx} = '' THEN [''] WHEN NOT regexp_matches({lx}, '\\S') THEN []::VARCHAR[] "
+        f"ELSE string_split_regex(regexp_replace({lx}, '\\s+$', ''), '\\s') END)"
+    )
+
+
+def stop_filter_sql(toks: str) -> str:
+    return f"list_filter({toks}, lambda t: NOT list_contains({stop_list_sql()}, lower(t)))"
+
+
+def grams_sql(f: str) -> str:
+    return f"list_concat({f}, list_transform(range(1, len({f})), lambda i: {f}[i] || ' ' || {f}[i + 1]))"
+
+
+TOKENS_CTE = f"""{CLEAN_CTE},
+toks AS (SELECT review_id, {ml_tokens_sql("review_combined")} AS t FROM clean),
+ftoks AS (SELECT review_id, {stop_filter_sql("t")} AS f FROM toks)"""
+
+ORACLES["tokens"] = f"""WITH {TOKENS_CTE}
+SELECT review_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, '|') AS tokens_text FROM toks"""
+
+ORACLES["stopword_filter"] = f"""WITH {TOKENS_CTE}
+SELECT review_id, CAST(len(f) AS INTEGER) AS n_tokens, array_to_string(f, '|') AS tokens_text FROM ftoks"""
+
+ORACLES["bigrams"] = f"""WITH {TOKENS_CTE},
+g AS (SELECT review_id, {grams_sql("f")} AS g FROM ftoks)
+SELECT review_id, CAST(len(g) AS INTEGER) AS n_grams, array_to_string(g, '|') AS grams_text FROM g"""
+
+TF_CTE = f"""{TOKENS_CTE},
+tf AS (SELECT review_id, term, count(*) AS tf FROM (SELECT review_id, unnest(f) AS term FROM ftoks) GROUP BY ALL),
+dfq AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term),
+n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM clean)"""
+
+ORACLES["tfidf_terms"] = f"""WITH {TF_CTE},
+w AS (SELECT tf.review_id, tf.term, tf.tf, dfq.df,
+  CASE WHEN dfq.df >= 2 THEN ln((n.n + 1.0) / (dfq.df + 1.0)) ELSE 0.0 END AS idf
+  FROM tf JOIN dfq ON tf.term = dfq.term, n)
+SELECT review_id, term, CAST(tf AS BIGINT) AS tf, CAST(df AS BIGINT) AS df, round(idf, 6) AS idf,
+  round(tf * idf, 6) AS weight FROM w"""
+
+ORACLES["vocab_topk"] = f"""WITH {TF_CTE}
+SELECT CAST(row_number() OVER (ORDER BY cf DESC, term ASC) AS INTEGER) AS rank, term,
+  CAST(cf AS BIGINT) AS cf, CAST(df AS BIGINT) AS df
+FROM dfq WHERE df >= 2 ORDER BY cf DESC, term ASC LIMIT 65536"""
+
+MIRROR_CTE = f"""{REVIEWS_CTE},
+m AS (SELECT review_id, {label_sql(rating_sql("rating", False))} AS label,
+  concat_ws(' ', NULLIF({clean_sql("title")}, ''), NULLIF({clean_sql("body")}, '')) AS review_combined
+  FROM reviews),
+mdocs AS (SELECT review_id, review_combined FROM m WHERE label IS NOT NULL AND length(review_combined) > 5),
+mtoks AS (SELECT review_id, {stop_filter_sql("regexp_extract_all(lower(review_combined), '\\b\\w\\w+\\b')")} AS f
+  FROM mdocs),
+mg AS (SELECT review_id, {grams_sql("f")} AS g FROM mtoks),
+mtf AS (SELECT review_id, term, count(*) AS tf FROM (SELECT review_id, unnest(g) AS term FROM mg) GROUP BY ALL),
+mdf AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM mtf GROUP BY term),
+vocab AS (SELECT term, df FROM mdf WHERE df >= 2 ORDER BY cf DESC, term ASC LIMIT 65536),
+mn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM mdocs),
+raw AS (SELECT mtf.review_id, mtf.term, (1.0 + ln(mtf.tf)) * (ln((1.0 + mn.n) / (1.0 + vocab.df)) + 1.0) AS w
+  FROM mtf JOIN vocab ON mtf.term = vocab.term, mn)"""
+
+ORACLES["tfidf_l2"] = f"""WITH {MIRROR_CTE}
+SELECT review_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY review_id)), 6) AS weight FROM raw"""
+
+ORACLES["clean_folded"] = f"""WITH {REVIEWS_CTE}
+SELECT review_id, {clean_sql(f"translate(lower(body), '{ACCENTED_LETTERS}', '{FOLDED_LETTERS}')")} AS text_clean
+FROM reviews"""
