@@ -202,3 +202,104 @@ SELECT review_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY review_id))
 ORACLES["clean_folded"] = f"""WITH {REVIEWS_CTE}
 SELECT review_id, {clean_sql(f"translate(lower(body), '{ACCENTED_LETTERS}', '{FOLDED_LETTERS}')")} AS text_clean
 FROM reviews"""
+
+
+# --- scoring shapes, requests, lines, gate ---------------------------------------
+
+from textlab.plans.oracles import GOLDEN_CTE  # noqa: E402
+
+PY_WS = r"[\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, '^{PY_WS}+|{PY_WS}+$', '', 'g')"
+
+
+SHAPED_CTE = f"""{SCORES_CTE},
+shaped AS (SELECT review_id, label AS pred_label, score,
+  CASE WHEN prediction = 1 THEN 'positive' ELSE 'negative' END AS sentiment,
+  prediction AS label, round(score, 4) AS prob_positive, round(1.0 - round(score, 4), 4) AS prob_negative
+  FROM scores),
+shaped2 AS (SELECT review_id, sentiment, label,
+  round(CASE WHEN label = 1 THEN prob_positive ELSE prob_negative END, 4) AS confidence,
+  prob_positive, prob_negative FROM shaped)"""
+
+ORACLES["score_shape"] = f"WITH {SHAPED_CTE} SELECT * FROM shaped2"
+
+ORACLES["batch_summary"] = f"""WITH {SCORES_CTE}
+SELECT CAST(count(*) AS BIGINT) AS total, CAST(count_if(prediction = 1) AS BIGINT) AS positive_count,
+  CAST(count(*) - count_if(prediction = 1) AS BIGINT) AS negative_count,
+  round(count_if(prediction = 1) / NULLIF(CAST(count(*) AS DOUBLE), 0), 4) AS positive_ratio FROM scores"""
+
+ORACLES["percent_summary"] = f"""WITH {SCORES_CTE},
+s AS (SELECT count(*) AS total, count_if(prediction = 1) AS pos FROM scores)
+SELECT CAST(total AS BIGINT) AS total, CAST(pos AS BIGINT) AS positive_count, CAST(total - pos AS BIGINT) AS negative_count,
+  printf('%.0f%%', round_even(pos / NULLIF(CAST(total AS DOUBLE), 0) * 100.0, 0)) AS positive_pct,
+  printf('%.0f%%', round_even((total - pos) / NULLIF(CAST(total AS DOUBLE), 0) * 100.0, 0)) AS negative_pct FROM s"""
+
+ORACLES["score_checks"] = f"""WITH {SHAPED_CTE}
+SELECT CAST(count(*) AS BIGINT) AS total,
+  CAST(count_if(abs(prob_positive + prob_negative - 1.0) > 0.01) AS BIGINT) AS bad_probability_sum,
+  CAST(count_if(abs(confidence - CASE WHEN label = 1 THEN prob_positive ELSE prob_negative END) > 1e-9) AS BIGINT) AS bad_confidence,
+  CAST(count_if(label NOT IN (0, 1) OR label IS NULL) AS BIGINT) AS bad_label,
+  CAST(count_if(confidence < 0.0 OR confidence > 1.0) AS BIGINT) AS bad_confidence_range,
+  CAST(count_if(label = 1) AS BIGINT) AS positive_count,
+  coalesce(count_if(label = 1) / NULLIF(CAST(count(*) AS DOUBLE), 0) BETWEEN 0.0 AND 1.0, true) AS ratio_in_range
+FROM shaped2"""
+
+ORACLES["display_rows"] = f"""WITH {SHAPED_CTE}
+SELECT s.review_id,
+  CASE WHEN length(d.text) > 120 THEN substr(d.text, 1, 120) || '…' ELSE d.text END AS review,
+  s.sentiment, printf('%.1f%%', round_even(s.confidence * 100.0, 1)) AS confidence_text
+FROM shaped2 s JOIN documents d ON s.review_id = d.doc_id"""
+
+ORACLES["validate_requests"] = f"""WITH {REVIEWS_CTE},
+r AS (SELECT review_id, body AS text, {strip_sql("coalesce(title, '')")} AS title_s, {strip_sql("body")} AS text_s,
+  CASE WHEN body IS NULL THEN 'missing_text' WHEN length(body) < 5 THEN 'too_short'
+       WHEN {strip_sql("body")} = '' THEN 'blank' END AS reject_reason FROM reviews)
+SELECT review_id, reject_reason,
+  CASE WHEN reject_reason IS NULL THEN concat_ws(' ', NULLIF(title_s, ''), NULLIF(text_s, '')) END AS review_text
+FROM r"""
+
+LINE_BREAK_SQL = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
+ORACLES["line_source"] = f"""WITH l AS (SELECT doc_id, string_split_regex(text, '{LINE_BREAK_SQL}') AS parts FROM documents),
+u AS (SELECT doc_id, unnest(range(0, len(parts))) AS line_no, unnest(parts) AS raw FROM l)
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, {strip_sql("raw")} AS line FROM u
+WHERE {strip_sql("raw")} <> ''"""
+
+GOLDEN_SCORED_CTE = f"""{SHAPED_CTE}, {GOLDEN_CTE},
+gs AS (SELECT g.id, g.category, g.expected_label, s.label AS prediction, s.confidence
+  FROM golden g JOIN shaped2 s ON g.id = s.review_id)"""
+
+ORACLES["golden_gate"] = f"""WITH {GOLDEN_SCORED_CTE},
+a AS (SELECT count(*) AS n, count_if(expected_label = prediction) AS correct,
+  count_if(category = 'clear_positive') AS n_pos, count_if(category = 'clear_negative') AS n_neg,
+  count_if(category = 'clear_positive' AND prediction <> 1) AS bad_pos,
+  count_if(category = 'clear_negative' AND prediction <> 0) AS bad_neg,
+  min(CASE WHEN category IN ('clear_positive', 'clear_negative') THEN confidence END) AS min_conf,
+  count_if(category IN ('clear_positive', 'clear_negative') AND confidence < 0.65) AS low_conf FROM gs)
+SELECT 'accuracy' AS rule, round(correct / NULLIF(CAST(n AS DOUBLE), 0), 4) AS observed, CAST(0.8 AS DOUBLE) AS threshold,
+  coalesce(correct / NULLIF(CAST(n AS DOUBLE), 0) >= 0.8, false) AS passed, CAST(n - correct AS BIGINT) AS failing FROM a
+UNION ALL SELECT 'clear_positive_all_positive', round(1.0 - bad_pos / NULLIF(CAST(n_pos AS DOUBLE), 0), 4), 1.0, bad_pos = 0, CAST(bad_pos AS BIGINT) FROM a
+UNION ALL SELECT 'clear_negative_all_negative', round(1.0 - bad_neg / NULLIF(CAST(n_neg AS DOUBLE), 0), 4), 1.0, bad_neg = 0, CAST(bad_neg AS BIGINT) FROM a
+UNION ALL SELECT 'clear_confidence_floor', round(min_conf, 4), 0.65, low_conf = 0, CAST(low_conf AS BIGINT) FROM a
+UNION ALL SELECT 'clear_positive_present', round(CAST(n_pos AS DOUBLE), 4), 1.0, n_pos >= 1, CAST(0 AS BIGINT) FROM a
+UNION ALL SELECT 'clear_negative_present', round(CAST(n_neg AS DOUBLE), 4), 1.0, n_neg >= 1, CAST(0 AS BIGINT) FROM a"""
+
+ORACLES["golden_failures"] = f"""WITH {GOLDEN_SCORED_CTE},
+r AS (SELECT *, CASE WHEN expected_label <> prediction THEN 'wrong_label'
+  WHEN category IN ('clear_positive', 'clear_negative') AND confidence < 0.65 THEN 'low_confidence' END AS reason FROM gs)
+SELECT id, category, expected_label, prediction, confidence, reason FROM r WHERE reason IS NOT NULL"""
+
+ORACLES["run_compare"] = f"""WITH {SCORES_CTE},
+f AS (SELECT *, CAST(('0x' || substr(md5('42:' || CAST(review_id AS VARCHAR)), 9, 8))::BIGINT % 3 AS INTEGER) AS fold FROM scores),
+c AS (SELECT fold, count_if(label = 1 AND prediction = 1) AS tp, count_if(label = 0 AND prediction = 1) AS fp,
+  count_if(label = 1 AND prediction = 0) AS fn, count_if(label = 0 AND prediction = 0) AS tn FROM f GROUP BY fold),
+m AS (SELECT fold, {_metrics_sql("tp", "fp", "fn", "tn")} FROM c),
+h AS (SELECT fold AS run_id, 'accuracy' AS metric, accuracy AS value FROM m
+  UNION ALL SELECT fold, 'precision', precision FROM m
+  UNION ALL SELECT fold, 'recall', recall FROM m
+  UNION ALL SELECT fold, 'f1_score', f1_score FROM m),
+l AS (SELECT *, lag(value) OVER (PARTITION BY metric ORDER BY run_id) AS prev FROM h)
+SELECT run_id, metric, round(value, 4) AS value, round(prev, 4) AS previous, round(value - prev, 4) AS delta,
+  coalesce(-(value - prev) > 0.01, false) AS regressed FROM l"""
