@@ -44,3 +44,103 @@ def q_fold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3 hash folds of the training part, sizes by fold and label."""
     train = with_hash_split(_labelled(spark, sf_dir)).filter(F.col("split") == F.lit("train"))
     return profile.group_sizes(with_folds(train), "fold", "label")
+
+
+# --- training, scoring with a fitted model, model comparison
+
+from textlab.config import TrainConfig  # noqa: E402
+from textlab.operators import evaluate as ev  # noqa: E402
+from textlab.operators import gate  # noqa: E402
+from textlab.operators.score import score, shape_predictions  # noqa: E402
+from textlab.plans import mirror  # noqa: E402
+from textlab.plans.evaluate import predictions  # noqa: E402
+from textlab.plans.train import cross_validate, cv_table, sentiment_pipeline  # noqa: E402
+from textlab.plans.transform import clean_documents  # noqa: E402
+from textlab.operators.split import hash_split  # noqa: E402
+
+FIXED = TrainConfig()
+
+
+def _quality_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_documents(views.labelled_documents(spark, sf_dir, "quality"))
+
+
+def _language_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_documents(views.language_documents(spark, sf_dir))
+
+
+@register("train_predict")
+def q_train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 + E8 + F1: fit the 5-stage pipeline on the hash-split training part of
+    documents x labels (label = quality), score the test part."""
+    train, test = hash_split(_quality_docs(spark, sf_dir))
+    model = sentiment_pipeline(FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0]).fit(train)
+    return predictions(model, test)
+
+
+@register("cv_table")
+def q_cv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3-fold CV of the 2 x 2 grid with features shared per fold; mean / std AUC, rank."""
+    train, _ = hash_split(_quality_docs(spark, sf_dir))
+    return cv_table(cross_validate(spark, train, FIXED))
+
+
+@register("top_terms")
+def q_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E9 + E11: the n-gram vocabulary model on the language label; 20 strongest terms each way."""
+    train, _ = hash_split(_language_docs(spark, sf_dir))
+    return mirror.top_terms(spark, mirror.fit_mirror(train), 20)
+
+
+@register("model_compare")
+def q_model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashed TF-IDF model vs n-gram vocabulary model on the same split."""
+    train, test = hash_split(_language_docs(spark, sf_dir))
+    hashed = sentiment_pipeline(FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0]).fit(train)
+    ngram = mirror.fit_mirror(train)
+    return mirror.compare_models(
+        {
+            "hashed_tfidf_lr": ev.evaluation_summary(predictions(hashed, test)),
+            "ngram_vocab_lr": ev.evaluation_summary(predictions(ngram, test)),
+        }
+    )
+
+
+def _language_model(spark: SparkSession, sf_dir: str):
+    train, _ = hash_split(_language_docs(spark, sf_dir))
+    return sentiment_pipeline(FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0]).fit(train)
+
+
+@register("model_golden_gate")
+def q_model_golden_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G10 with a trained model: golden set (English = positive) scored by bulk scoring."""
+    model = _language_model(spark, sf_dir)
+    g = views.golden(spark, sf_dir)
+    s = score(g, model, id_col="id", keep=("expected_label", "category"))
+    shaped = shape_predictions(s, id_col="id").select("id", F.col("label").alias("prediction"), "confidence")
+    return gate.golden_gate(s.select("id", "expected_label", "category").join(shaped, "id"))
+
+
+@register("edge_gate")
+def q_edge_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing titles, short texts, very long texts and other languages all score."""
+    model = _language_model(spark, sf_dir)
+    d = views.golden(spark, sf_dir).select("id", "title", "text")
+    docs = read_table_docs(spark, sf_dir)
+    cases = d.join(docs, "id").select(
+        "id",
+        "title",
+        "text",
+        F.when(F.col("n_chars") < F.lit(400), F.lit("short_text"))
+        .when(F.col("n_chars") >= F.lit(10000), F.lit("long_text"))
+        .when(F.col("lang") != F.lit("en"), F.lit("other_language"))
+        .otherwise(F.lit("missing_title"))
+        .alias("case"),
+    )
+    return gate.edge_case_gate(score(cases, model, id_col="id", keep=("case",)))
+
+
+def read_table_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textlab.sources.readers import read_table
+
+    return read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "n_chars", "lang")

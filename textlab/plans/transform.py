@@ -63,3 +63,12 @@ def clean_reviews(df: DataFrame, cfg: LabelConfig = LabelConfig(), trimmed: bool
         "rating_numeric",
         "country",
     )
+
+
+def clean_documents(docs: DataFrame, text: str = "text", min_length: int = 5) -> DataFrame:
+    """Labelled documents (``review_id, text, label``) to the training shape:
+    ``review_combined`` = cleaned text (no title), rows with a label and more than
+    ``min_length`` characters."""
+    combined = combine_exact(F.lit(None).cast("string"), clean_text(F.col(text)))
+    out = docs.withColumn("review_combined", combined)
+    return out.filter(valid_row(F.col("label"), F.col("review_combined"), min_length))
