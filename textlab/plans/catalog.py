@@ -34,7 +34,7 @@ def register(name: str) -> Callable[[Query], Query]:
 
 def all_queries() -> dict[str, Query]:
     # import for side effects: modules below register more queries
-    from textlab.plans import catalog_features, catalog_model, catalog_scoring  # noqa: F401
+    from textlab.plans import catalog_features, catalog_model, catalog_scoring, catalog_streaming  # noqa: F401
 
     return dict(_REGISTRY)
 

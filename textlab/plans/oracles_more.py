@@ -303,3 +303,5 @@ h AS (SELECT fold AS run_id, 'accuracy' AS metric, accuracy AS value FROM m
 l AS (SELECT *, lag(value) OVER (PARTITION BY metric ORDER BY run_id) AS prev FROM h)
 SELECT run_id, metric, round(value, 4) AS value, round(prev, 4) AS previous, round(value - prev, 4) AS delta,
   coalesce(-(value - prev) > 0.01, false) AS regressed FROM l"""
+
+ORACLES["stream_summary"] = ORACLES["batch_summary"]

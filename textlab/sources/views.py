@@ -42,7 +42,11 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     'Rated 0 out of 5 stars'; titles are NULL, '' or the first 40 characters in
     ``<b>`` tags; bodies are NULL or the remaining text after a ``<br>``.
     """
-    d = read_table(spark, sf_dir, "documents")
+    return reviews_from_documents(read_table(spark, sf_dir, "documents"))
+
+
+def reviews_from_documents(d: DataFrame) -> DataFrame:
+    """The review derivation on any documents frame (batch or stream)."""
     doc_id, text = F.col("doc_id"), F.col("text")
     m5 = doc_id % F.lit(5)
     title = (
@@ -71,7 +75,11 @@ def score_of(doc_id: Column) -> Column:
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``review_id, label, score, prediction`` from ``labels`` (label = quality)."""
-    lab = read_table(spark, sf_dir, "labels")
+    return scores_from_labels(read_table(spark, sf_dir, "labels"))
+
+
+def scores_from_labels(lab: DataFrame) -> DataFrame:
+    """The score derivation on any labels frame (batch or stream)."""
     s = score_of(F.col("doc_id"))
     return lab.select(
         F.col("doc_id").alias("review_id"),
