@@ -54,7 +54,7 @@ from textlab.operators import gate  # noqa: E402
 from textlab.operators.score import score, shape_predictions  # noqa: E402
 from textlab.plans import mirror  # noqa: E402
 from textlab.plans.evaluate import predictions  # noqa: E402
-from textlab.plans.train import cross_validate, cv_table, sentiment_pipeline  # noqa: E402
+from textlab.plans.train import cross_validate, cv_table, fit_pipeline  # noqa: E402
 from textlab.plans.transform import clean_documents  # noqa: E402
 from textlab.operators.split import hash_split  # noqa: E402
 
@@ -74,7 +74,7 @@ def q_train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E3 + E8 + F1: fit the 5-stage pipeline on the hash-split training part of
     documents x labels (label = quality), score the test part."""
     train, test = hash_split(_quality_docs(spark, sf_dir))
-    model = sentiment_pipeline(FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0]).fit(train)
+    model = fit_pipeline(train, FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0])
     return predictions(model, test)
 
 
@@ -96,7 +96,7 @@ def q_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashed TF-IDF model vs n-gram vocabulary model on the same split."""
     train, test = hash_split(_language_docs(spark, sf_dir))
-    hashed = sentiment_pipeline(FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0]).fit(train)
+    hashed = fit_pipeline(train, FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0])
     ngram = mirror.fit_mirror(train)
     return mirror.compare_models(
         {
@@ -108,7 +108,7 @@ def q_model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _language_model(spark: SparkSession, sf_dir: str):
     train, _ = hash_split(_language_docs(spark, sf_dir))
-    return sentiment_pipeline(FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0]).fit(train)
+    return fit_pipeline(train, FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0])
 
 
 @register("model_golden_gate")

@@ -60,7 +60,16 @@ def mirror_pipeline(n_train: int, c: float = MIRROR_C) -> Pipeline:
 
 
 def fit_mirror(train: DataFrame) -> PipelineModel:
-    return mirror_pipeline(train.count()).fit(train)
+    from pyspark import StorageLevel
+
+    from textlab.plans.train import right_size
+
+    t = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = t.count()
+        return mirror_pipeline(n).fit(right_size(t, n))
+    finally:
+        t.unpersist()
 
 
 TERM_SCHEMA = T.StructType(

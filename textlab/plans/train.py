@@ -32,6 +32,17 @@ from textlab.operators.split import hash_split, with_folds
 
 TEXT_COL = "review_combined"
 LABEL_COL = "label"
+# Rows per partition of persisted training features. Every L-BFGS iteration is
+# one Spark job over all partitions, so a small training set spread over many
+# partitions pays per-task overhead a hundred times; a large one still gets
+# ceil(rows / ROWS_PER_PARTITION) partitions of bounded size.
+ROWS_PER_PARTITION = 50_000
+
+
+def right_size(df: DataFrame, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Coalesce (no shuffle) to ``ceil(n_rows / rows_per_partition)`` partitions when fewer suffice."""
+    target = max(1, -(-n_rows // rows_per_partition))
+    return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
 
 
 def featurizer_stages(cfg: TrainConfig = TrainConfig()) -> list:
@@ -85,6 +96,9 @@ CV_SCHEMA = T.StructType(
 def cross_validate(spark: SparkSession, train: DataFrame, cfg: TrainConfig = TrainConfig(), id_col: str = "review_id") -> DataFrame:
     """k-fold CV of the grid, AUC on rawPrediction per (params, fold).
 
+    The fold features are prepared first (one IDF fit per fold, persisted and
+    right-sized), then all (fold, params) fits run concurrently in
+    ``cfg.parallelism`` driver threads, each a chain of small Spark jobs.
     Returns a small DataFrame ``(reg_param, elastic_net, fold, auc, train_rows,
     validation_rows)``: the metric values are the only data that reaches the driver.
     """
@@ -95,29 +109,31 @@ def cross_validate(spark: SparkSession, train: DataFrame, cfg: TrainConfig = Tra
         rawPredictionCol="rawPrediction", labelCol=LABEL_COL, metricName="areaUnderROC", numBins=cfg.cv_num_bins
     )
     grid = param_grid(cfg)
-    rows: list[tuple] = []
+    persisted: list[DataFrame] = [tf]
     try:
+        tf = right_size(tf, tf.count())
+        folds = []
         for k in range(cfg.split.folds):
             fit_part = tf.filter(F.col("fold") != F.lit(k))
             val_part = tf.filter(F.col("fold") == F.lit(k))
             idf_model = idf_stage(cfg).fit(fit_part)
             fit_f = idf_model.transform(fit_part).select(LABEL_COL, "features").persist(StorageLevel.MEMORY_AND_DISK)
             val_f = idf_model.transform(val_part).select(LABEL_COL, "features").persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                n_fit, n_val = fit_f.count(), val_f.count()
-
-                def fit_eval(params: tuple[float, float]) -> tuple:
-                    model = classifier(cfg, *params).fit(fit_f)
-                    auc = evaluator.evaluate(model.transform(val_f))
-                    return (float(params[0]), float(params[1]), k, float(auc), n_fit, n_val)
-
-                with ThreadPoolExecutor(max_workers=max(1, min(cfg.parallelism, len(grid)))) as pool:
-                    rows.extend(pool.map(fit_eval, grid))
-            finally:
-                fit_f.unpersist()
-                val_f.unpersist()
+            persisted += [fit_f, val_f]
+            folds.append((k, fit_f, val_f, fit_f.count(), val_f.count()))
+
+        def fit_eval(task: tuple) -> tuple:
+            (k, fit_f, val_f, n_fit, n_val), params = task
+            model = classifier(cfg, *params).fit(fit_f)
+            auc = evaluator.evaluate(model.transform(val_f))
+            return (float(params[0]), float(params[1]), k, float(auc), n_fit, n_val)
+
+        tasks = [(f, p) for f in folds for p in grid]
+        with ThreadPoolExecutor(max_workers=max(1, min(cfg.parallelism, len(tasks)))) as pool:
+            rows = list(pool.map(fit_eval, tasks))
     finally:
-        tf.unpersist()
+        for p in persisted:
+            p.unpersist()
     return spark.createDataFrame(rows, CV_SCHEMA)
 
 
@@ -159,6 +175,8 @@ def train_model(
     """Split by key hash -> (optional) fold-shared CV -> refit the best pipeline on
     all training rows. ``clean`` needs ``review_id, review_combined, label``."""
     train, test = hash_split(clean, id_col, cfg.split)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = right_size(train, train.count())
     cv = None
     if tune:
         cv = cross_validate(spark, train, cfg, id_col)
@@ -169,6 +187,16 @@ def train_model(
     return TrainResult(model, train, test, cv, reg, en)
 
 
+def fit_pipeline(train: DataFrame, cfg: TrainConfig = TrainConfig(), reg_param: float | None = None, elastic_net: float | None = None):
+    """Fit the 5-stage pipeline on a right-sized training frame (persisted during the fit)."""
+    t = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = sentiment_pipeline(cfg, reg_param, elastic_net).fit(right_size(t, t.count()))
+    finally:
+        t.unpersist()
+    return model
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """Write the model, overwriting, so reruns are idempotent."""
     model.write().overwrite().save(path)

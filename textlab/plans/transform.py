@@ -6,8 +6,9 @@ projection inside one whole-stage-codegen span, with no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textlab.config import LabelConfig
 from textlab.functions.text import (
@@ -40,11 +41,32 @@ def combined_reviews(df: DataFrame, cfg: LabelConfig = LabelConfig(), trimmed: b
     return out.withColumn("review_combined", combine(F.col("title_clean"), F.col("text_clean")))
 
 
+def keep_rows(df: DataFrame, keep: Column, columns: list[str]) -> DataFrame:
+    """Keep rows where ``keep`` holds, without letting the optimizer push ``keep`` down.
+
+    A plain ``filter`` on a computed column is pushed below the projection that
+    computes it, with the expression copied: the regex cleaning would then run
+    twice per row (once for the predicate, once for the output), and the first
+    copy would run in the scan stage, before any repartition. Emitting a
+    zero-or-one element array and ``inline``-ing it evaluates the cleaned text
+    once, after the columns it depends on are computed.
+    """
+    row = F.struct(*[F.col(c) for c in columns])
+    kept = F.when(keep, F.array(row)).otherwise(F.array().cast(T.ArrayType(row_type(df, columns))))
+    return df.select(F.inline(kept))
+
+
+def row_type(df: DataFrame, columns: list[str]) -> T.StructType:
+    fields = {f.name: f for f in df.schema.fields}
+    return T.StructType([fields[c] for c in columns])
+
+
 def clean_reviews(df: DataFrame, cfg: LabelConfig = LabelConfig(), trimmed: bool = False) -> DataFrame:
     """The whole training transform: ``review_id, review_combined, label (double), rating_numeric, country``.
 
     The label test runs before any regular expression: rows without a label are
-    dropped first, so the cleaning work is spent only on rows that can be kept.
+    dropped first (a cheap filter that may run in the scan), so the cleaning work
+    is spent only on rows that can be kept, and it is done once per row.
     """
     r = parse_rating(F.col("rating"), cfg.zero_is_null)
     labelled = df.select(
@@ -56,7 +78,9 @@ def clean_reviews(df: DataFrame, cfg: LabelConfig = LabelConfig(), trimmed: bool
         "review_id", "label", "rating_numeric", "country",
         combine(clean_text(F.col("title")), clean_text(F.col("body"))).alias("review_combined"),
     )
-    return combined.filter(valid_row(F.col("label"), F.col("review_combined"), cfg.min_text_length)).select(
+    cols = ["review_id", "review_combined", "label", "rating_numeric", "country"]
+    kept = keep_rows(combined, F.length(F.col("review_combined")) > F.lit(cfg.min_text_length), cols)
+    return kept.select(
         "review_id",
         "review_combined",
         F.col("label").cast("double").alias("label"),
@@ -70,5 +94,5 @@ def clean_documents(docs: DataFrame, text: str = "text", min_length: int = 5) ->
     ``review_combined`` = cleaned text (no title), rows with a label and more than
     ``min_length`` characters."""
     combined = combine_exact(F.lit(None).cast("string"), clean_text(F.col(text)))
-    out = docs.withColumn("review_combined", combined)
-    return out.filter(valid_row(F.col("label"), F.col("review_combined"), min_length))
+    out = docs.filter(F.col("label").isNotNull()).withColumn("review_combined", combined)
+    return keep_rows(out, F.length(F.col("review_combined")) > F.lit(min_length), out.columns)
