@@ -15,7 +15,9 @@ aggregates:
   small, and otherwise splits skewed term partitions of the sort-merge join;
 * a capped vocabulary (``max_features``) has a proven size bound and is broadcast.
 
-The document count N is a scalar subquery (one value), not a driver round trip.
+The document count N is a scalar subquery (one value, not a driver round
+trip) over the same by-document exchange, which Spark reuses instead of
+recomputing the text work.
 """
 
 from __future__ import annotations
@@ -33,6 +35,21 @@ def _by_doc(docs: DataFrame, id_col: str, partitions: int | None) -> DataFrame:
     return docs.repartition(partitions, id_col) if partitions else docs.repartition(id_col)
 
 
+def by_document(docs: DataFrame, id_col: str, terms_col: str, partitions: int | None = None) -> DataFrame:
+    """``(id, terms)`` hash-partitioned by id: the one shuffle of the feature plans.
+
+    The term arrays are computed before this exchange and read back after it, so
+    the text work is done once; term counts, document counts and per-document
+    windows downstream all reuse this partitioning.
+    """
+    return _by_doc(docs.select(id_col, terms_col), id_col, partitions)
+
+
+def _tf(by_doc: DataFrame, id_col: str, terms_col: str) -> DataFrame:
+    exploded = by_doc.select(id_col, F.explode(F.col(terms_col)).alias("term"))
+    return exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf"))
+
+
 def term_frequencies(
     docs: DataFrame, id_col: str, terms_col: str, partitions: int | None = None
 ) -> DataFrame:
@@ -41,10 +58,7 @@ def term_frequencies(
     The documents are hash-partitioned by id, so the pair count is computed
     within partitions and the output stays partitioned by id.
     """
-    exploded = _by_doc(docs.select(id_col, terms_col), id_col, partitions).select(
-        id_col, F.explode(F.col(terms_col)).alias("term")
-    )
-    return exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf"))
+    return _tf(by_document(docs, id_col, terms_col, partitions), id_col, terms_col)
 
 
 def document_frequencies(tf: DataFrame) -> DataFrame:
@@ -77,9 +91,10 @@ def tfidf_terms(
 
     Output ``(id, term, tf, df, idf, weight)``, doubles rounded to 6 places.
     """
-    tf = term_frequencies(docs, id_col, terms_col, partitions)
+    by_doc = by_document(docs, id_col, terms_col, partitions)
+    tf = _tf(by_doc, id_col, terms_col)
     dfreq = document_frequencies(tf).select("term", "df")
-    n = document_count(docs)
+    n = document_count(by_doc)
     w = idf(F.col("df"), n, min_doc_freq)
     return tf.join(dfreq, "term").select(
         id_col,
@@ -127,9 +142,10 @@ def tfidf_sublinear_l2(
     ``max_features`` rows and is broadcast; the norm window is partitioned by
     document and reuses the by-document partitioning of the term counts.
     """
-    tf = term_frequencies(docs, id_col, terms_col, partitions)
+    by_doc = by_document(docs, id_col, terms_col, partitions)
+    tf = _tf(by_doc, id_col, terms_col)
     vocab = vocabulary(tf, max_features, min_df).select("term", "df")
-    n = document_count(docs)
+    n = document_count(by_doc)
     smooth_idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     raw = tf.join(F.broadcast(vocab), "term").select(
         id_col, "term", ((F.lit(1.0) + F.log(F.col("tf"))) * smooth_idf).alias("w")
