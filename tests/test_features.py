@@ -104,5 +104,5 @@ def test_tfidf_independent_of_partitioning(spark):
         "review_id", remove_stop_words(ml_tokens(F.col("review_combined"))).alias("terms")
     )
     a = features.tfidf_terms(docs, "review_id", "terms")
-    b = features.tfidf_terms(docs.repartition(7), "review_id", "terms", partitions=3)
+    b = features.tfidf_terms(docs.repartition(7), "review_id", "terms")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

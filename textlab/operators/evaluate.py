@@ -194,11 +194,10 @@ def probability_histogram(
     """Per actual class, ``bins`` equal-width bins over that class's own min..max (last bin
     closed; a class with one distinct value is centred in a unit range), empty bins included.
 
-    The per-class range table has one row per class; it is joined by an equi-join
-    on the label and built from the class domain, so its size is bounded by the
-    number of classes.
+    Only classes 0 and 1 are histogrammed, so the per-class range table has at
+    most two rows: its broadcast has a proven bound.
     """
-    s = scored.filter(F.col(score).isNotNull()).select(
+    s = scored.filter(F.col(score).isNotNull() & F.col(label).isin(0, 1)).select(
         F.col(label).alias("label"), F.col(score).alias("score")
     )
     rng = s.groupBy("label").agg(F.min("score").alias("lo0"), F.max("score").alias("hi0"))

@@ -4,9 +4,9 @@ These compute what ``HashingTF + IDF`` approximates, keyed by the term itself
 (no hash collisions, inspectable, checkable in SQL), as Spark joins and
 aggregates:
 
-* documents are hash-partitioned by id once; exploding tokens and counting
-  ``(doc, term)`` pairs then needs no further shuffle, and neither do the
-  per-document windows (L2 norms) that follow;
+* ``(doc, term)`` pairs are counted by a hash aggregate on both columns with
+  map-side partial aggregation, so neither a common term nor a document id shared
+  by many rows lands in one task; per-document norms are aggregates joined back;
 * document frequencies are a ``groupBy(term)`` whose partial aggregation folds a
   hot term (say, present in a third of all documents) to one row per task before
   the shuffle;
@@ -15,9 +15,9 @@ aggregates:
   small, and otherwise splits skewed term partitions of the sort-merge join;
 * a capped vocabulary (``max_features``) has a proven size bound and is broadcast.
 
-The document count N is a scalar subquery (one value, not a driver round
-trip) over the same by-document exchange, which Spark reuses instead of
-recomputing the text work.
+The document count N is the document frequency of a per-document marker row,
+read as a scalar subquery (one value, no driver round trip) over the same
+aggregation, so the text is processed once.
 """
 
 from __future__ import annotations
@@ -31,34 +31,32 @@ DEFAULT_MIN_DF = 2
 # ---------------------------------------------------------------------------------
 
 
-def _by_doc(docs: DataFrame, id_col: str, partitions: int | None) -> DataFrame:
-    return docs.repartition(partitions, id_col) if partitions else docs.repartition(id_col)
+def _tf_with_marker(docs: DataFrame, id_col: str, terms_col: str) -> DataFrame:
+    """``(id, term, tf)`` plus one marker row ``(id, NULL, 1)`` per document.
 
-
-def by_document(docs: DataFrame, id_col: str, terms_col: str, partitions: int | None = None) -> DataFrame:
-    """``(id, terms)`` hash-partitioned by id: the one shuffle of the feature plans.
-
-    The term arrays are computed before this exchange and read back after it, so
-    the text work is done once; term counts, document counts and per-document
-    windows downstream all reuse this partitioning.
+    The marker's document frequency is the document count N (empty documents
+    included), so N comes out of the same aggregation as every other document
+    frequency instead of a second pass over the text. The pair count is a hash
+    aggregate on ``(id, term)`` with map-side partial aggregation: neither a
+    common term nor a document id shared by many rows lands in a single task.
     """
-    return _by_doc(docs.select(id_col, terms_col), id_col, partitions)
-
-
-def _tf(by_doc: DataFrame, id_col: str, terms_col: str) -> DataFrame:
-    exploded = by_doc.select(id_col, F.explode(F.col(terms_col)).alias("term"))
+    terms = F.coalesce(F.col(terms_col), F.array().cast("array<string>"))
+    marked = F.concat(terms, F.array(F.lit(None).cast("string")))
+    exploded = docs.select(id_col, F.explode(marked).alias("term"))
     return exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf"))
 
 
-def term_frequencies(
-    docs: DataFrame, id_col: str, terms_col: str, partitions: int | None = None
-) -> DataFrame:
-    """``(id, term, tf)`` for every term occurrence list; documents with no terms give no rows.
+def _split_marker(tf_all: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+    tf = tf_all.filter(F.col("term").isNotNull())
+    dfreq_all = document_frequencies(tf_all)
+    n = dfreq_all.filter(F.col("term").isNull()).select(F.col("df").cast("double")).scalar()
+    return tf, dfreq_all.filter(F.col("term").isNotNull()), n
 
-    The documents are hash-partitioned by id, so the pair count is computed
-    within partitions and the output stays partitioned by id.
-    """
-    return _tf(by_document(docs, id_col, terms_col, partitions), id_col, terms_col)
+
+def term_frequencies(docs: DataFrame, id_col: str, terms_col: str) -> DataFrame:
+    """``(id, term, tf)`` for every term occurrence list; documents with no terms give no rows."""
+    exploded = docs.select(id_col, F.explode(F.col(terms_col)).alias("term"))
+    return exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf"))
 
 
 def document_frequencies(tf: DataFrame) -> DataFrame:
@@ -68,11 +66,6 @@ def document_frequencies(tf: DataFrame) -> DataFrame:
     )
 
 
-def document_count(docs: DataFrame) -> Column:
-    """N as a lazily evaluated scalar subquery."""
-    return docs.select(F.count(F.lit(1)).cast("double")).scalar()
-
-
 def idf(df_col: Column, n_docs: Column, min_doc_freq: int = DEFAULT_MIN_DF) -> Column:
     """MLlib's IDF: ``ln((N + 1) / (df + 1))``, and 0 for terms below ``min_doc_freq``."""
     return F.when(df_col >= F.lit(min_doc_freq), F.log((n_docs + F.lit(1.0)) / (df_col + F.lit(1.0)))).otherwise(
@@ -85,16 +78,13 @@ def tfidf_terms(
     id_col: str,
     terms_col: str,
     min_doc_freq: int = DEFAULT_MIN_DF,
-    partitions: int | None = None,
 ) -> DataFrame:
     """Exact term-keyed TF-IDF with MLlib semantics (raw tf times IDF, no normalisation).
 
     Output ``(id, term, tf, df, idf, weight)``, doubles rounded to 6 places.
     """
-    by_doc = by_document(docs, id_col, terms_col, partitions)
-    tf = _tf(by_doc, id_col, terms_col)
-    dfreq = document_frequencies(tf).select("term", "df")
-    n = document_count(by_doc)
+    tf, dfreq, n = _split_marker(_tf_with_marker(docs, id_col, terms_col))
+    dfreq = dfreq.select("term", "df")
     w = idf(F.col("df"), n, min_doc_freq)
     return tf.join(dfreq, "term").select(
         id_col,
@@ -133,22 +123,20 @@ def tfidf_sublinear_l2(
     terms_col: str,
     max_features: int = DEFAULT_VOCAB_SIZE,
     min_df: int = DEFAULT_MIN_DF,
-    partitions: int | None = None,
 ) -> DataFrame:
     """The mirror's weights: capped vocabulary, ``1 + ln(tf)``, smooth IDF
     ``ln((1 + N) / (1 + df)) + 1``, then each document scaled to unit L2 norm.
 
     Output ``(id, term, weight)`` rounded to 6 places. The vocabulary is at most
-    ``max_features`` rows and is broadcast; the norm window is partitioned by
-    document and reuses the by-document partitioning of the term counts.
+    ``max_features`` rows and is broadcast. Norms are a ``groupBy(id)`` (partial
+    aggregation) joined back on id, not a window per document, so one id with a
+    huge share of the rows is split by AQE's skew-join handling.
     """
-    by_doc = by_document(docs, id_col, terms_col, partitions)
-    tf = _tf(by_doc, id_col, terms_col)
+    tf, _, n = _split_marker(_tf_with_marker(docs, id_col, terms_col))
     vocab = vocabulary(tf, max_features, min_df).select("term", "df")
-    n = document_count(by_doc)
     smooth_idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     raw = tf.join(F.broadcast(vocab), "term").select(
         id_col, "term", ((F.lit(1.0) + F.log(F.col("tf"))) * smooth_idf).alias("w")
     )
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return raw.select(id_col, "term", F.round(F.col("w") / norm, 6).alias("weight"))
+    norms = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return raw.join(norms, id_col).select(id_col, "term", F.round(F.col("w") / F.col("norm"), 6).alias("weight"))

@@ -60,25 +60,28 @@ def with_stratified_split(
     label_col: str = "label",
     cfg: SplitConfig = SplitConfig(),
 ) -> DataFrame:
-    """Exact stratified split: in each label, the ``round(ratio * n_label)`` rows with the
-    smallest ``(key, id)`` go to test.
+    """Exact stratified split: in each label, the ``round(ratio * n_label)`` ids with the
+    smallest ``(key, id)`` go to test, where ``n_label`` counts distinct ids. All
+    copies of an id follow it, so duplicates never straddle train and test.
 
     A window partitioned by label alone would put a whole class (possibly a
-    third of all rows) into one task. Instead the key's top ``bucket_bits`` bits
-    cut every label into many buckets:
-
-    1. count rows per (label, bucket): a partial aggregate, at most
-       labels x 2^bucket_bits rows;
-    2. prefix-sum those counts over buckets within each label (windows over that
-       small table only);
-    3. rank rows inside their (label, bucket) with a window on the same
-       partitioning, and join the small offset table on (label, bucket), so the
-       big side is shuffled once.
+    third of all rows) into one task. Instead:
+
+    1. ids are de-duplicated first (partial aggregation collapses copies, however
+       many share one id);
+    2. the key's top ``bucket_bits`` bits cut every label into many buckets; ids
+       per (label, bucket) are counted (at most labels x 2^bucket_bits rows) and
+       prefix-summed over buckets within each label, a window over that small
+       table only;
+    3. ids are ranked inside their (label, bucket) and compared with the
+       bucket's offset; the assignment is joined back to the rows on (id, label),
+       a join whose hot keys AQE splits.
     """
     key = hash_key(id_col, cfg.seed)
     shift = 32 - cfg.bucket_bits
-    rows = df.withColumns({"_key": key, "_bucket": F.shiftright(key, shift)})
-    per = rows.groupBy(label_col, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
+    ids = df.select(id_col, label_col).distinct()
+    ids = ids.withColumns({"_key": key, "_bucket": F.shiftright(key, shift)})
+    per = ids.groupBy(label_col, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
     wl = Window.partitionBy(label_col)
     offsets = per.select(
         label_col,
@@ -89,12 +92,15 @@ def with_stratified_split(
         ).alias("_before"),
         F.round(F.lit(cfg.test_ratio) * F.sum("_c").over(wl)).cast("bigint").alias("_n_test"),
     )
-    ranked = rows.withColumn(
+    ranked = ids.withColumn(
         "_rn",
         F.row_number().over(Window.partitionBy(label_col, "_bucket").orderBy("_key", id_col)),
     )
-    out = ranked.join(offsets, [label_col, "_bucket"])
     is_test = (F.col("_before") + F.col("_rn")) <= F.col("_n_test")
-    return out.withColumn(
-        "split", F.when(is_test, F.lit("test")).otherwise(F.lit("train"))
-    ).drop("_key", "_bucket", "_rn", "_before", "_n_test")
+    assign = ranked.join(offsets, [label_col, "_bucket"]).select(
+        F.col(id_col).alias("_id"),
+        F.col(label_col).alias("_label"),
+        F.when(is_test, F.lit("test")).otherwise(F.lit("train")).alias("split"),
+    )
+    cond = (F.col(id_col) == F.col("_id")) & F.col(label_col).eqNullSafe(F.col("_label"))
+    return df.join(assign, cond).drop("_id", "_label")

@@ -105,31 +105,21 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-# Key column of each provided table: narrow scans are spread by this key.
-TABLE_KEYS = {
-    "documents": "doc_id",
-    "labels": "doc_id",
-    "pages": "page_id",
-    "benchmark": "item_id",
-    "conversations": "conv_id",
-}
-
-
-def ensure_parallelism(df: DataFrame, key: str | None = None) -> DataFrame:
+def ensure_parallelism(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer partitions than the cluster has cores.
 
     A file written as one row group is one task, which would run all text work
-    on one core. Such a scan is hash-partitioned by its key into
-    ``spark.sql.shuffle.partitions`` parts (so a later join or aggregation on the
-    key can reuse the partitioning). Large inputs already arrive in many splits
-    and pass through untouched: this never adds a shuffle at scale.
+    on one core. Such a scan is spread round-robin into
+    ``spark.sql.shuffle.partitions`` parts; round-robin (not by key) so that a
+    key shared by many rows cannot land in one task. Large inputs already arrive
+    in many splits and pass through untouched: this never adds a shuffle at scale.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
     n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions", str(cores))))
-    return df.repartition(n, key) if key and key in df.columns else df.repartition(n)
+    return df.repartition(n)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
@@ -138,4 +128,4 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     With ``spread`` (default), narrow scans are spread by :func:`ensure_parallelism`.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df, TABLE_KEYS.get(name)) if spread else df
+    return ensure_parallelism(df) if spread else df
