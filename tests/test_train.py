@@ -87,3 +87,14 @@ def test_run_compare_flags_regressions(spark):
     )
     out = {(r.run_id, r.metric): r.regressed for r in gate.run_compare(hist, lower_is_better=["loss"]).collect()}
     assert out[(3, "f1_score")] and not out[(2, "f1_score")] and out[(2, "loss")] and not out[(1, "f1_score")]
+
+
+def test_threshold_and_rows_to_frame(spark):
+    from textlab.operators.score import with_threshold
+    from textlab.sources.readers import rows_to_frame
+
+    df = spark.createDataFrame([(1, 0.3), (2, 0.7)], "review_id long, score double")
+    assert [r.prediction for r in with_threshold(df, 0.25).orderBy("review_id").collect()] == [1, 1]
+    assert [r.prediction for r in with_threshold(df, 0.5).orderBy("review_id").collect()] == [0, 1]
+    req = rows_to_frame(spark, [(1, "Title", "Some text here"), (2, None, "Other")])
+    assert req.columns == ["request_id", "title", "text"] and req.count() == 2

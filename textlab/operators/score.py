@@ -90,6 +90,11 @@ def score(
     )
 
 
+def with_threshold(scored: DataFrame, threshold: float, score: str = "score", out: str = "prediction") -> DataFrame:
+    """Re-decide predictions at another threshold without retraining: 1 when score > threshold."""
+    return scored.withColumn(out, F.when(F.col(score) > F.lit(float(threshold)), F.lit(1)).otherwise(F.lit(0)))
+
+
 def shape_predictions(scored: DataFrame, id_col: str = "review_id", prediction: str = "prediction", score: str = "score") -> DataFrame:
     """Response fields: sentiment, label, P(pos) and P(neg) to 4 places, and the
     confidence of the predicted class."""

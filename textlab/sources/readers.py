@@ -129,3 +129,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return ensure_parallelism(df) if spread else df
+
+
+def rows_to_frame(spark: SparkSession, rows: list, schema: T.StructType | None = None) -> DataFrame:
+    """In-memory rows (e.g. a handful of scoring requests) as a DataFrame with a fixed schema.
+
+    For small, caller-held inputs only; bulk inputs are read as tables.
+    """
+    from textlab.sources.schema import REQUEST_SCHEMA
+
+    return spark.createDataFrame(rows, schema or REQUEST_SCHEMA)
