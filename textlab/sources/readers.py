@@ -109,17 +109,19 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer partitions than the cluster has cores.
 
     A file written as one row group is one task, which would run all text work
-    on one core. Such a scan is spread round-robin into
-    ``spark.sql.shuffle.partitions`` parts; round-robin (not by key) so that a
-    key shared by many rows cannot land in one task. Large inputs already arrive
-    in many splits and pass through untouched: this never adds a shuffle at scale.
+    on one core. Such a scan is spread into ``spark.sql.shuffle.partitions``
+    parts by a hash of the row's position (``monotonically_increasing_id``):
+    never by a data key, so a key or a group of copies shared by many rows cannot
+    land in one task, and without the per-partition sort a round-robin
+    repartition needs for deterministic retries. Large inputs already arrive in
+    many splits and pass through untouched: this never adds a shuffle at scale.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
     n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions", str(cores))))
-    return df.repartition(n)
+    return df.repartition(n, F.monotonically_increasing_id())
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
