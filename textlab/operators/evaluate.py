@@ -99,7 +99,7 @@ def confusion_matrix(scored: DataFrame, label: str = "label", prediction: str =
     return m.select(F.inline(cells))
 
 
-def _with_prefix(counts: DataFrame, buckets: int) -> DataFrame:
+def _with_prefix(counts: DataFrame, buckets: int | None) -> DataFrame:
     return exclusive_prefix_sums(counts, "score", ["pos", "neg"], buckets=buckets)
 
 
@@ -108,7 +108,7 @@ def _auc_terms(p: DataFrame) -> Column:
     return F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0))
 
 
-def auc_exact(scored: DataFrame, label: str = "label", score: str = "score", buckets: int = 1024) -> DataFrame:
+def auc_exact(scored: DataFrame, label: str = "label", score: str = "score", buckets: int | None = None) -> DataFrame:
     """Exact area under the ROC curve (trapezoid over all distinct scores, ties count half).
 
     NULL when one class is absent.
@@ -133,7 +133,7 @@ def evaluation_summary(
     label: str = "label",
     prediction: str = "prediction",
     score: str = "score",
-    buckets: int = 1024,
+    buckets: int | None = None,
 ) -> DataFrame:
     """The metrics record: accuracy, precision, recall, F1, AUC (4 places), sample
     counts and the verdict, from one reduction of the score table."""
@@ -165,7 +165,7 @@ def verdict(f1: Column, auc: Column) -> Column:
     return expr.otherwise(F.lit(VERDICT_OTHERWISE))
 
 
-def roc_points(scored: DataFrame, label: str = "label", score: str = "score", buckets: int = 1024) -> DataFrame:
+def roc_points(scored: DataFrame, label: str = "label", score: str = "score", buckets: int | None = None) -> DataFrame:
     """ROC points ``(threshold, tp, fp, tpr, fpr)``: one per distinct score (predict
     positive when score >= threshold), plus the origin at threshold +inf."""
     p = _with_prefix(score_counts(scored, label, label, score), buckets)

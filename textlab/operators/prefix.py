@@ -4,12 +4,16 @@ A window with an ORDER BY but no PARTITION BY moves every row into one task.
 Here the key range is cut into quantile buckets instead:
 
 1. ``approxQuantile`` gives at most ``buckets - 1`` cut points (the only values
-   that reach the driver, so their size is bounded by the argument);
+   that reach the driver; ``buckets`` is sized from the key count to about two
+   million keys per bucket and capped at 65,536, so this is bounded);
 2. ``Bucketizer`` (binary search in the JVM) assigns each row its bucket;
 3. a window partitioned by bucket gives the running sum inside the bucket;
 4. the per-bucket totals (at most ``buckets`` rows) are prefix-summed in one
    small window and broadcast back; the broadcast is bounded by ``buckets``.
 
+The key table is read three times (count, quantiles, sums); callers pass a
+reduced table (one row per distinct score) built from persisted scores.
+
 Quantile cuts keep buckets balanced even when keys crowd together (scores near
 0 or 1), which a fixed-width ``floor(key * B)`` would not.
 """
@@ -23,10 +27,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_COL = "_pbucket"
+# Adaptive bucket count: about KEYS_PER_BUCKET keys per window task, at most MAX_BUCKETS
+# buckets (so at most MAX_BUCKETS - 1 cut points ever reach the driver).
+KEYS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 1 << 16
+
+
+def bucket_count(df: DataFrame, keys_per_bucket: int = KEYS_PER_BUCKET) -> int:
+    """Buckets so that each holds about ``keys_per_bucket`` keys (one count job)."""
+    n = df.count()
+    return int(min(MAX_BUCKETS, max(1, -(-n // keys_per_bucket))))
 
 
-def quantile_buckets(df: DataFrame, key: str, buckets: int = 1024, relative_error: float = 1e-4) -> DataFrame:
-    """Add ``_pbucket``: the quantile bucket of ``key`` (ascending, ties in one bucket)."""
+def quantile_buckets(df: DataFrame, key: str, buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
+    """Add ``_pbucket``: the quantile bucket of ``key`` (ascending, ties in one bucket).
+
+    ``buckets=None`` sizes the bucket count from the number of keys; the quantile
+    error defaults to a quarter of a bucket's width.
+    """
+    if buckets is None:
+        buckets = bucket_count(df)
+    if relative_error is None:
+        relative_error = min(1e-3, 0.25 / buckets)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(df.approxQuantile(key, probs, relative_error))) if buckets > 1 else []
     splits = [float("-inf"), *cuts, float("inf")]
@@ -41,8 +63,8 @@ def exclusive_prefix_sums(
     df: DataFrame,
     key: str,
     values: Sequence[str],
-    buckets: int = 1024,
-    relative_error: float = 1e-4,
+    buckets: int | None = None,
+    relative_error: float | None = None,
 ) -> DataFrame:
     """For each row add ``<v>_before`` (sum of ``v`` over rows with a smaller ``key``) and
     ``<v>_total`` (sum over all rows). ``key`` must be unique and non-NULL (aggregate first).

@@ -32,7 +32,7 @@ def predictions(model: PipelineModel, test: DataFrame, id_col: str = "review_id"
     )
 
 
-def evaluate_model(model: PipelineModel, test: DataFrame, id_col: str = "review_id", buckets: int = 1024) -> dict[str, DataFrame]:
+def evaluate_model(model: PipelineModel, test: DataFrame, id_col: str = "review_id", buckets: int | None = None) -> dict[str, DataFrame]:
     """Scores the test table once (persisted; call ``release`` when done) and returns
     the metrics record, confusion matrix, ROC points, histograms and threshold sweep."""
     scored = predictions(model, test, id_col).persist(StorageLevel.MEMORY_AND_DISK)
