@@ -133,3 +133,18 @@ def q_country_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_label_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct non-NULL labels of the clean table."""
     return profile.label_domain(clean_reviews(views.reviews(spark, sf_dir)))
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1-A4: the review rows written as a CSV file (header, quoted multi-line texts,
+    doubled quotes) to the shared scratch folder, read back with the explicit schema
+    in PERMISSIVE mode, quarantine split off, columns renamed. CSV keeps no
+    difference between NULL and '': empty fields read back as NULL."""
+    from textlab.session import scratch_path
+    from textlab.sources.readers import canonical_reviews, read_reviews_csv, split_quarantine, write_reviews_csv
+
+    path = scratch_path(spark, "reviews-csv")
+    write_reviews_csv(views.reviews(spark, sf_dir), path)
+    good, _ = split_quarantine(read_reviews_csv(spark, path))
+    return canonical_reviews(good).select("rating", "title", "body", "country")

@@ -305,3 +305,9 @@ SELECT run_id, metric, round(value, 4) AS value, round(prev, 4) AS previous, rou
   coalesce(-(value - prev) > 0.01, false) AS regressed FROM l"""
 
 ORACLES["stream_summary"] = ORACLES["batch_summary"]
+
+# CSV keeps no difference between NULL and '': with default options the reader
+# returns NULL for an empty field, quoted or not.
+ORACLES["csv_roundtrip"] = f"""WITH {REVIEWS_CTE}
+SELECT NULLIF(rating, '') AS rating, NULLIF(title, '') AS title, NULLIF(body, '') AS body,
+  NULLIF(country, '') AS country FROM reviews"""

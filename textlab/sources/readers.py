@@ -141,3 +141,17 @@ def rows_to_frame(spark: SparkSession, rows: list, schema: T.StructType | None =
     from textlab.sources.schema import REQUEST_SCHEMA
 
     return spark.createDataFrame(rows, schema or REQUEST_SCHEMA)
+
+
+def write_reviews_csv(reviews: DataFrame, path: str) -> None:
+    """Write canonical reviews as a review CSV (raw header names) that the reader
+    accepts: quotes doubled, whitespace kept, NULL as an empty field and '' as ``""``."""
+    raw = reviews.select(*[F.col(c).alias(raw_name) for raw_name, c in RAW_TO_CANONICAL.items()])
+    (
+        raw.write.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .mode("overwrite")
+        .csv(path)
+    )
