@@ -35,6 +35,7 @@ from textlab.plans.train import LABEL_COL, TEXT_COL
 # --- fixed values ---------------------------------------------------------------
 MIRROR_C = 10.0
 MIRROR_MAX_ITER = 1000
+MIRROR_TOL = 1e-4  # the single-machine solver's default stopping tolerance
 MIRROR_VOCAB = 1 << 16
 MIRROR_MIN_DF = 2
 # ---------------------------------------------------------------------------------
@@ -53,7 +54,7 @@ def mirror_pipeline(n_train: int, c: float = MIRROR_C) -> Pipeline:
             Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
             LogisticRegression(
                 featuresCol="features", labelCol=LABEL_COL, maxIter=MIRROR_MAX_ITER, regParam=reg,
-                elasticNetParam=0.0, standardization=False, family="binomial",
+                elasticNetParam=0.0, standardization=False, family="binomial", tol=MIRROR_TOL,
             ),
         ]
     )
