@@ -38,7 +38,7 @@ class TrainConfig:
     max_iter: int = 100
     reg_params: tuple[float, ...] = (0.01, 0.1)
     elastic_net_params: tuple[float, ...] = (0.0, 0.5)
-    parallelism: int = 4  # concurrent (fold, params) fits
+    parallelism: int = 8  # concurrent (fold, params) fits: each L-BFGS iteration is a small job
     keep_negations: bool = False
     cv_num_bins: int = 1000  # numBins of the CV evaluator (areaUnderROC)
     split: SplitConfig = field(default_factory=SplitConfig)

@@ -89,7 +89,15 @@ def binary_metrics(scored: DataFrame, label: str = "label", prediction: str = "p
 
 def confusion_matrix(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Rows ``(actual, predicted, n)`` for all four cells, zero cells included."""
-    m = binary_metrics(scored, label, prediction)
+    return _cells(binary_metrics(scored, label, prediction))
+
+
+def confusion_from_counts(counts: DataFrame) -> DataFrame:
+    """The confusion matrix from a per-score count table."""
+    return _cells(counts.agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")]))
+
+
+def _cells(m: DataFrame) -> DataFrame:
     cells = F.array(
         *[
             F.struct(F.lit(a).alias("actual"), F.lit(p).alias("predicted"), F.col(c).alias("n"))
@@ -137,7 +145,11 @@ def evaluation_summary(
 ) -> DataFrame:
     """The metrics record: accuracy, precision, recall, F1, AUC (4 places), sample
     counts and the verdict, from one reduction of the score table."""
-    p = _with_prefix(score_counts(scored, label, prediction, score), buckets)
+    return summary_from_prefixed(_with_prefix(score_counts(scored, label, prediction, score), buckets))
+
+
+def summary_from_prefixed(p: DataFrame) -> DataFrame:
+    """The metrics record from a prefix-summed per-score table."""
     a = p.agg(
         *[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn", "pos", "neg")],
         F.sum(_auc_terms(p)).alias("s"),
@@ -168,7 +180,11 @@ def verdict(f1: Column, auc: Column) -> Column:
 def roc_points(scored: DataFrame, label: str = "label", score: str = "score", buckets: int | None = None) -> DataFrame:
     """ROC points ``(threshold, tp, fp, tpr, fpr)``: one per distinct score (predict
     positive when score >= threshold), plus the origin at threshold +inf."""
-    p = _with_prefix(score_counts(scored, label, label, score), buckets)
+    return roc_from_prefixed(_with_prefix(score_counts(scored, label, label, score), buckets))
+
+
+def roc_from_prefixed(p: DataFrame) -> DataFrame:
+    """ROC points from a prefix-summed per-score table."""
     tp = F.col("pos_total") - F.col("pos_before")
     fp = F.col("neg_total") - F.col("neg_before")
     pts = p.select(
@@ -194,12 +210,20 @@ def probability_histogram(
     """Per actual class, ``bins`` equal-width bins over that class's own min..max (last bin
     closed; a class with one distinct value is centred in a unit range), empty bins included.
 
-    Only classes 0 and 1 are histogrammed, so the per-class range table has at
-    most two rows: its broadcast has a proven bound.
+    Rows are first reduced to one per distinct score (partial aggregation), and
+    binned with weights. Only classes 0 and 1 are histogrammed, so the per-class
+    range table has at most two rows: its broadcast has a proven bound.
     """
-    s = scored.filter(F.col(score).isNotNull() & F.col(label).isin(0, 1)).select(
-        F.col(label).alias("label"), F.col(score).alias("score")
+    return histogram_from_counts(score_counts(scored, label, label, score), bins)
+
+
+def histogram_from_counts(counts: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
+    """The per-class histograms from a per-score count table (``score, pos, neg``)."""
+    per_class = F.array(
+        F.struct(F.lit(1).alias("label"), F.col("pos").alias("n")),
+        F.struct(F.lit(0).alias("label"), F.col("neg").alias("n")),
     )
+    s = counts.select("score", F.inline(per_class)).filter(F.col("n") > F.lit(0))
     rng = s.groupBy("label").agg(F.min("score").alias("lo0"), F.max("score").alias("hi0"))
     same = F.col("lo0") == F.col("hi0")
     rng = rng.select(
@@ -219,12 +243,12 @@ def probability_histogram(
     idx = F.when(
         (F.col("score") >= edge(idx1 + F.lit(1))) & (idx1 != F.lit(bins - 1)), idx1 + F.lit(1)
     ).otherwise(idx1)
-    counts = j.groupBy("label", idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    hist = j.groupBy("label", idx.alias("bin")).agg(F.sum("n").alias("n"))
     frame = rng.select("label", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     frame = frame.select(
         "label", "bin", edge(F.col("bin")).alias("bin_lo"), edge(F.col("bin") + F.lit(1)).alias("bin_hi")
     )
-    return frame.join(counts, ["label", "bin"], "left").select(
+    return frame.join(hist, ["label", "bin"], "left").select(
         "label",
         "bin",
         F.round("bin_lo", 9).alias("bin_lo"),
@@ -245,10 +269,15 @@ def threshold_sweep(
     index are suffix-summed over at most ``len(thresholds) + 1`` rows, so the
     work does not multiply rows by thresholds.
     """
+    return sweep_from_counts(score_counts(scored, label, label, score), thresholds)
+
+
+def sweep_from_counts(counts: DataFrame, thresholds: Sequence[float] = DEFAULT_SWEEP) -> DataFrame:
+    """The threshold sweep from a per-score count table."""
     ts = sorted(set(float(t) for t in thresholds))
     k = len(ts)
     arr = F.array(*[F.lit(t) for t in ts])
-    c = score_counts(scored, label, label, score).select(
+    c = counts.select(
         F.size(F.filter(arr, lambda t: t < F.col("score"))).alias("idx"), "pos", "neg"
     )
     per = c.groupBy("idx").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))

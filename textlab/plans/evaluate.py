@@ -33,21 +33,32 @@ def predictions(model: PipelineModel, test: DataFrame, id_col: str = "review_id"
 
 
 def evaluate_model(model: PipelineModel, test: DataFrame, id_col: str = "review_id", buckets: int | None = None) -> dict[str, DataFrame]:
-    """Scores the test table once (persisted; call ``release`` when done) and returns
-    the metrics record, confusion matrix, ROC points, histograms and threshold sweep."""
+    """Score the test table once, reduce it once to one row per distinct score, prefix-sum
+    that once, and derive every report from those (all persisted; call ``release``).
+
+    Returns the scored rows, the metrics record, confusion matrix, ROC points,
+    histograms and threshold sweep.
+    """
     scored = predictions(model, test, id_col).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = ev.score_counts(scored).persist(StorageLevel.MEMORY_AND_DISK)
+    prefixed = ev.exclusive_prefix_sums(counts, "score", ["pos", "neg"], buckets=buckets).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
     return {
         "scored": scored,
-        "summary": ev.evaluation_summary(scored, buckets=buckets),
-        "confusion": ev.confusion_matrix(scored),
-        "roc": ev.roc_points(scored, buckets=buckets),
-        "histogram": ev.probability_histogram(scored),
-        "sweep": ev.threshold_sweep(scored),
+        "_counts": counts,
+        "_prefixed": prefixed,
+        "summary": ev.summary_from_prefixed(prefixed),
+        "confusion": ev.confusion_from_counts(counts),
+        "roc": ev.roc_from_prefixed(prefixed),
+        "histogram": ev.histogram_from_counts(counts),
+        "sweep": ev.sweep_from_counts(counts),
     }
 
 
 def release(reports: dict[str, DataFrame]) -> None:
-    reports["scored"].unpersist()
+    for key in ("_prefixed", "_counts", "scored"):
+        reports[key].unpersist()
 
 
 def save_metrics_json(summary: DataFrame, path: str) -> None:

@@ -61,16 +61,25 @@ def mirror_pipeline(n_train: int, c: float = MIRROR_C) -> Pipeline:
 
 
 def fit_mirror(train: DataFrame) -> PipelineModel:
+    """Text stages and the vocabulary / IDF fits run on the input's partitions; only the
+    finished feature vectors are persisted and coalesced for the L-BFGS iterations."""
     from pyspark import StorageLevel
 
     from textlab.plans.train import right_size
 
     t = train.persist(StorageLevel.MEMORY_AND_DISK)
+    feats = None
     try:
         n = t.count()
-        return mirror_pipeline(n).fit(right_size(t, n))
+        stages = mirror_pipeline(n).getStages()
+        featurizer = Pipeline(stages=stages[:-1]).fit(t)
+        feats = featurizer.transform(t).select(LABEL_COL, "features").persist(StorageLevel.MEMORY_AND_DISK)
+        lr_model = stages[-1].fit(right_size(feats, feats.count()))
+        return PipelineModel(stages=[*featurizer.stages, lr_model])
     finally:
         t.unpersist()
+        if feats is not None:
+            feats.unpersist()
 
 
 TERM_SCHEMA = T.StructType(

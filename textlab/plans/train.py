@@ -111,14 +111,16 @@ def cross_validate(spark: SparkSession, train: DataFrame, cfg: TrainConfig = Tra
     grid = param_grid(cfg)
     persisted: list[DataFrame] = [tf]
     try:
-        tf = right_size(tf, tf.count())
+        n_all = tf.count()
         folds = []
         for k in range(cfg.split.folds):
             fit_part = tf.filter(F.col("fold") != F.lit(k))
             val_part = tf.filter(F.col("fold") == F.lit(k))
             idf_model = idf_stage(cfg).fit(fit_part)
-            fit_f = idf_model.transform(fit_part).select(LABEL_COL, "features").persist(StorageLevel.MEMORY_AND_DISK)
-            val_f = idf_model.transform(val_part).select(LABEL_COL, "features").persist(StorageLevel.MEMORY_AND_DISK)
+            fit_f = idf_model.transform(fit_part).select(LABEL_COL, "features")
+            val_f = idf_model.transform(val_part).select(LABEL_COL, "features")
+            fit_f = right_size(fit_f, n_all).persist(StorageLevel.MEMORY_AND_DISK)
+            val_f = right_size(val_f, n_all).persist(StorageLevel.MEMORY_AND_DISK)
             persisted += [fit_f, val_f]
             folds.append((k, fit_f, val_f, fit_f.count(), val_f.count()))
 
@@ -175,26 +177,41 @@ def train_model(
     """Split by key hash -> (optional) fold-shared CV -> refit the best pipeline on
     all training rows. ``clean`` needs ``review_id, review_combined, label``."""
     train, test = hash_split(clean, id_col, cfg.split)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    train = right_size(train, train.count())
     cv = None
     if tune:
         cv = cross_validate(spark, train, cfg, id_col)
         reg, en = best_params(cv_table(cv))
     else:
         reg, en = cfg.reg_params[0], cfg.elastic_net_params[0]
-    model = sentiment_pipeline(cfg, reg, en).fit(train)
+    model = fit_pipeline(train, cfg, reg, en)
     return TrainResult(model, train, test, cv, reg, en)
 
 
-def fit_pipeline(train: DataFrame, cfg: TrainConfig = TrainConfig(), reg_param: float | None = None, elastic_net: float | None = None):
-    """Fit the 5-stage pipeline on a right-sized training frame (persisted during the fit)."""
-    t = train.persist(StorageLevel.MEMORY_AND_DISK)
+def fit_pipeline(train: DataFrame, cfg: TrainConfig = TrainConfig(), reg_param: float | None = None, elastic_net: float | None = None) -> PipelineModel:
+    """Fit the 5-stage pipeline with each part at the parallelism it needs.
+
+    Tokenising, hashing and the IDF fit are text work and run on the input's
+    partitions; only the finished feature vectors are persisted and coalesced
+    (``right_size``) for the L-BFGS iterations, which are one small job each. The
+    result is the same ``PipelineModel`` (Tokenizer, StopWordsRemover, HashingTF,
+    IDFModel, LogisticRegressionModel) that ``sentiment_pipeline().fit`` returns.
+    """
+    stages = featurizer_stages(cfg)
+    tf = train
+    for st in stages:
+        tf = st.transform(tf)
+    tf = tf.select(LABEL_COL, "raw_features").persist(StorageLevel.MEMORY_AND_DISK)
+    feats = None
     try:
-        model = sentiment_pipeline(cfg, reg_param, elastic_net).fit(right_size(t, t.count()))
+        idf_model = idf_stage(cfg).fit(tf)
+        feats = idf_model.transform(tf).select(LABEL_COL, "features").persist(StorageLevel.MEMORY_AND_DISK)
+        n = feats.count()
+        lr_model = classifier(cfg, reg_param, elastic_net).fit(right_size(feats, n))
     finally:
-        t.unpersist()
-    return model
+        tf.unpersist()
+        if feats is not None:
+            feats.unpersist()
+    return PipelineModel(stages=[*stages, idf_model, lr_model])
 
 
 def save_model(model: PipelineModel, path: str) -> None:
