@@ -98,3 +98,15 @@ def test_threshold_and_rows_to_frame(spark):
     assert [r.prediction for r in with_threshold(df, 0.5).orderBy("review_id").collect()] == [0, 1]
     req = rows_to_frame(spark, [(1, "Title", "Some text here"), (2, None, "Other")])
     assert req.columns == ["request_id", "title", "text"] and req.count() == 2
+
+
+def test_fit_pipeline_equals_plain_pipeline_fit(spark):
+    from textlab.plans.train import fit_pipeline, sentiment_pipeline
+
+    docs = clean_documents(views.language_documents(spark, SF_SMALL))
+    a = fit_pipeline(docs, CFG, 0.01, 0.0)
+    b = sentiment_pipeline(CFG, 0.01, 0.0).fit(docs)
+    pa = {r.review_id: (r.prediction, r.probability[1]) for r in a.transform(docs).collect()}
+    pb = {r.review_id: (r.prediction, r.probability[1]) for r in b.transform(docs).collect()}
+    assert pa.keys() == pb.keys()
+    assert all(pa[k][0] == pb[k][0] and abs(pa[k][1] - pb[k][1]) < 1e-4 for k in pa)
