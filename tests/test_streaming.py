@@ -43,3 +43,21 @@ def test_stream_score_equals_batch(spark):
     batch = shape_predictions(score(accepted, model, title="title_s", text="text_s"))
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     assert spark.read.parquet(bad).count() == rejected.count()
+
+
+def test_scored_stream_is_stateless(spark):
+    from textlab.plans.catalog_streaming import DOCUMENTS_SCHEMA
+    from textlab.plans.train import fit_pipeline
+    from textlab.plans.transform import clean_documents
+    from textlab.streaming.scoring import scored_stream
+
+    model = fit_pipeline(clean_documents(views.language_documents(spark, SF_SMALL)))
+    docs = file_stream(spark, SF_SMALL, DOCUMENTS_SCHEMA, glob="documents.parquet")
+    req = views.reviews_from_documents(docs).select("review_id", "title", F.col("body").alias("text"))
+    out = scored_stream(req, model)
+    assert out.isStreaming and "score" in out.columns
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    q = out.writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "test-noop")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert q.lastProgress is not None and q.exception() is None

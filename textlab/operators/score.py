@@ -95,14 +95,21 @@ def with_threshold(scored: DataFrame, threshold: float, score: str = "score", ou
     return scored.withColumn(out, F.when(F.col(score) > F.lit(float(threshold)), F.lit(1)).otherwise(F.lit(0)))
 
 
-def shape_predictions(scored: DataFrame, id_col: str = "review_id", prediction: str = "prediction", score: str = "score") -> DataFrame:
+def shape_predictions(
+    scored: DataFrame,
+    id_col: str = "review_id",
+    prediction: str = "prediction",
+    score: str = "score",
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """Response fields: sentiment, label, P(pos) and P(neg) to 4 places, and the
-    confidence of the predicted class."""
+    confidence of the predicted class (``keep`` columns are carried through)."""
     label = F.col(prediction).cast("int")
     pos = F.round(F.col(score), 4)
     neg = F.round(F.lit(1.0) - pos, 4)
     return scored.select(
         id_col,
+        *keep,
         F.when(label == F.lit(1), F.lit(SENTIMENT_POSITIVE)).otherwise(F.lit(SENTIMENT_NEGATIVE)).alias("sentiment"),
         label.alias("label"),
         F.round(F.when(label == F.lit(1), pos).otherwise(neg), 4).alias("confidence"),

@@ -43,13 +43,13 @@ def file_stream(
 def scored_stream(requests: DataFrame, model: PipelineModel, id_col: str = "review_id", preprocess: str = "train") -> DataFrame:
     """Validate each request and score the accepted ones (stateless, per row).
 
-    Output keeps the rejected rows with ``reject_reason`` set and NULL scores, so
-    one stream feeds both sinks.
+    Only accepted requests are scored; every step is a per-row projection, so the
+    stream keeps no state. Use :func:`start_scoring` to also sink the rejected rows.
     """
     v = validate_requests(requests)
     accepted = v.filter(F.col("reject_reason").isNull())
     s = score(accepted, model, id_col=id_col, title="title_s", text="text_s", preprocess=preprocess)
-    return shape_predictions(s, id_col=id_col).join(s.select(id_col, "score"), id_col)
+    return shape_predictions(s, id_col=id_col, keep=("score",))
 
 
 def start_scoring(
@@ -67,12 +67,17 @@ def start_scoring(
     v = validate_requests(requests)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        bad = batch.filter(F.col("reject_reason").isNotNull()).select(id_col, "reject_reason")
-        bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
-        good = batch.filter(F.col("reject_reason").isNull())
-        s = score(good, model, id_col=id_col, title="title_s", text="text_s")
-        out = shape_predictions(s, id_col=id_col)
-        out.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        # two sinks read the micro-batch: keep it for the duration of this batch only
+        batch.persist()
+        try:
+            bad = batch.filter(F.col("reject_reason").isNotNull()).select(id_col, "reject_reason")
+            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+            good = batch.filter(F.col("reject_reason").isNull())
+            s = score(good, model, id_col=id_col, title="title_s", text="text_s")
+            out = shape_predictions(s, id_col=id_col)
+            out.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     w = v.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
