@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlab.operators import profile
-from textlab.operators.split import with_folds, with_hash_split, with_stratified_split
+from textlab.config import TrainConfig
+from textlab.operators import evaluate as ev
+from textlab.operators import gate, profile
+from textlab.operators.score import score, shape_predictions
+from textlab.operators.split import hash_split, with_folds, with_hash_split, with_stratified_split
+from textlab.plans import mirror
 from textlab.plans.catalog import register
+from textlab.plans.evaluate import predictions
+from textlab.plans.train import cross_validate, cv_table, fit_pipeline
+from textlab.plans.transform import clean_documents
 from textlab.sources import views
 
 
@@ -48,15 +55,6 @@ def q_fold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- training, scoring with a fitted model, model comparison
 
-from textlab.config import TrainConfig  # noqa: E402
-from textlab.operators import evaluate as ev  # noqa: E402
-from textlab.operators import gate  # noqa: E402
-from textlab.operators.score import score, shape_predictions  # noqa: E402
-from textlab.plans import mirror  # noqa: E402
-from textlab.plans.evaluate import predictions  # noqa: E402
-from textlab.plans.train import cross_validate, cv_table, fit_pipeline  # noqa: E402
-from textlab.plans.transform import clean_documents  # noqa: E402
-from textlab.operators.split import hash_split  # noqa: E402
 
 FIXED = TrainConfig()
 

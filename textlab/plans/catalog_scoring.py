@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textlab.operators import evaluate
+from textlab.functions.text import py_strip, scoring_text
+from textlab.operators import evaluate, gate, profile
+from textlab.operators.score import display_rows, output_checks, shape_predictions, validate_requests
+from textlab.operators.split import with_folds
 from textlab.plans.catalog import register
 from textlab.sources import views
+from textlab.sources.readers import read_table
 
 
 @register("binary_metrics")
@@ -53,13 +58,6 @@ def q_evaluation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- scoring shapes, request validation, line source, gate
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from textlab.functions.text import py_strip, scoring_text  # noqa: E402
-from textlab.operators import gate, profile  # noqa: E402
-from textlab.operators.score import display_rows, output_checks, shape_predictions, validate_requests  # noqa: E402
-from textlab.operators.split import with_folds  # noqa: E402
-from textlab.sources.readers import read_table  # noqa: E402
 
 # --- fixed values: line boundaries of Python's str.splitlines() -----------------
 LINE_BREAK_PATTERN = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"

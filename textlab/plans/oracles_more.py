@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from textlab.plans.oracles import ORACLES, SCORES_CTE
+from textlab.functions.text import ACCENTED_LETTERS, FOLDED_LETTERS
+from textlab.plans.oracles import (
+    CLEAN_CTE,
+    GOLDEN_CTE,
+    ORACLES,
+    REVIEWS_CTE,
+    SCORES_CTE,
+    clean_sql,
+    label_sql,
+    rating_sql,
+    stop_list_sql,
+)
+
 
 LABELLED_DOCS_CTE = """labelled_docs AS (
   SELECT d.doc_id AS review_id, d.text, d.lang, CAST(l.quality AS DOUBLE) AS label
@@ -130,9 +142,6 @@ SELECT *, {verdict_sql("f1_score", "auc_roc")} AS verdict FROM m"""
 
 # --- features -------------------------------------------------------------------
 
-from textlab.functions.text import ACCENTED_LETTERS, FOLDED_LETTERS  # noqa: E402
-from textlab.plans.oracles import CLEAN_CTE, REVIEWS_CTE, clean_sql, label_sql, rating_sql, stop_list_sql  # noqa: E402
-
 
 def ml_tokens_sql(x: str) -> str:
     lx = f"lower({x})"
@@ -206,7 +215,6 @@ FROM reviews"""
 
 # --- scoring shapes, requests, lines, gate ---------------------------------------
 
-from textlab.plans.oracles import GOLDEN_CTE  # noqa: E402
 
 PY_WS = r"[\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
