@@ -102,3 +102,19 @@ def test_verdict_rules(spark):
     df = spark.createDataFrame([(0.95, 0.97), (0.85, 0.9), (0.85, 0.5), (0.75, None), (0.5, 0.99)], "f1 double, auc double")
     got = [r[0] for r in df.select(ev.verdict(F.col("f1"), F.col("auc"))).collect()]
     assert got == ["excellent", "good", "acceptable", "acceptable", "deficient"]
+
+
+@pytest.mark.parametrize("buckets", [1, 5, 64])
+def test_roc_drop_intermediate_matches_reference_rule(spark, buckets):
+    """Kept points equal the rule 'first, last, or a non-zero second difference' computed
+    sequentially over thresholds in descending order."""
+    df = views.scores(spark, SF_MEDIUM)
+    rows = df.collect()
+    thr = sorted({r.score for r in rows}, reverse=True)
+    tps = [sum(1 for r in rows if r.label == 1 and r.score >= t) for t in thr]
+    fps = [sum(1 for r in rows if r.label == 0 and r.score >= t) for t in thr]
+    keep = [0] + [i for i in range(1, len(thr) - 1)
+                  if (tps[i + 1] - 2 * tps[i] + tps[i - 1]) or (fps[i + 1] - 2 * fps[i] + fps[i - 1])] + [len(thr) - 1]
+    want = {(thr[i], tps[i], fps[i]) for i in keep} | {(float("inf"), 0, 0)}
+    got = {(r.threshold, r.tp, r.fp) for r in ev.roc_points(df, buckets=buckets, drop_intermediate=True).collect()}
+    assert got == want

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textlab.operators.prefix import exclusive_prefix_sums
+from textlab.operators.prefix import exclusive_prefix_sums, previous_values
 
 # --- fixed values: verdict rule (F1 and AUC floors) and histogram bins --------
 VERDICT_RULES = (
@@ -177,14 +177,39 @@ def verdict(f1: Column, auc: Column) -> Column:
     return expr.otherwise(F.lit(VERDICT_OTHERWISE))
 
 
-def roc_points(scored: DataFrame, label: str = "label", score: str = "score", buckets: int | None = None) -> DataFrame:
+def roc_points(
+    scored: DataFrame,
+    label: str = "label",
+    score: str = "score",
+    buckets: int | None = None,
+    drop_intermediate: bool = False,
+) -> DataFrame:
     """ROC points ``(threshold, tp, fp, tpr, fpr)``: one per distinct score (predict
-    positive when score >= threshold), plus the origin at threshold +inf."""
-    return roc_from_prefixed(_with_prefix(score_counts(scored, label, label, score), buckets))
+    positive when score >= threshold), plus the origin at threshold +inf.
+
+    ``drop_intermediate`` drops points collinear with their neighbours, as the
+    common ``roc_curve`` default does. In descending-threshold order a point's
+    second differences are ``pos(next lower score) - pos(score)`` (and the same
+    for negatives), so a point is kept when it is the highest or lowest score or
+    its counts differ from those of the next lower score.
+    """
+    return roc_from_prefixed(_with_prefix(score_counts(scored, label, label, score), buckets), drop_intermediate, buckets)
 
 
-def roc_from_prefixed(p: DataFrame) -> DataFrame:
+def roc_from_prefixed(p: DataFrame, drop_intermediate: bool = False, buckets: int | None = None) -> DataFrame:
     """ROC points from a prefix-summed per-score table."""
+    if drop_intermediate:
+        p = previous_values(p, "score", ["pos", "neg"], buckets)
+        highest = (F.col("pos_total") - F.col("pos_before") == F.col("pos")) & (
+            F.col("neg_total") - F.col("neg_before") == F.col("neg")
+        )
+        keep = (
+            highest
+            | F.col("prev_pos").isNull()
+            | (F.col("prev_pos") != F.col("pos"))
+            | (F.col("prev_neg") != F.col("neg"))
+        )
+        p = p.filter(keep)
     tp = F.col("pos_total") - F.col("pos_before")
     fp = F.col("neg_total") - F.col("neg_before")
     pts = p.select(

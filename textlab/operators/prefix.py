@@ -88,3 +88,35 @@ def exclusive_prefix_sums(
         *[(F.col(f"_{v}_in") + F.col(f"_{v}_off")).alias(f"{v}_before") for v in values],
         *[F.col(f"{v}_total") for v in values],
     )
+
+
+def previous_values(
+    df: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    buckets: int | None = None,
+) -> DataFrame:
+    """Add ``prev_<c>`` for each column: the value in the row with the next smaller
+    ``key`` (NULL for the smallest key). ``key`` must be unique and non-NULL.
+
+    A ``lag`` inside each quantile bucket, and for a bucket's first row the last
+    row of the nearest non-empty lower bucket, taken from a table of at most
+    ``buckets`` rows (a small window, then a bounded broadcast).
+    """
+    b = quantile_buckets(df, key, buckets)
+    w = Window.partitionBy(BUCKET_COL).orderBy(key)
+    inner = b.select(
+        "*",
+        *[F.lag(c).over(w).alias(f"_lag_{c}") for c in columns],
+        F.row_number().over(w).alias("_rn"),
+    )
+    last = b.groupBy(BUCKET_COL).agg(F.max_by(F.struct(*[F.col(c) for c in columns]), F.col(key)).alias("_last"))
+    edges = last.select(BUCKET_COL, F.lag("_last").over(Window.orderBy(BUCKET_COL)).alias("_edge"))
+    out = inner.join(F.broadcast(edges), BUCKET_COL)
+    return out.select(
+        *df.columns,
+        *[
+            F.when(F.col("_rn") == F.lit(1), F.col("_edge").getField(c)).otherwise(F.col(f"_lag_{c}")).alias(f"prev_{c}")
+            for c in columns
+        ],
+    )

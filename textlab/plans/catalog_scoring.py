@@ -150,3 +150,9 @@ def q_run_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = c.select("fold", *evaluate._metric_columns(tp, fp, fn, tn))
     hist = gate.metrics_long(m, "fold", ["accuracy", "precision", "recall", "f1_score"])
     return gate.run_compare(hist)
+
+
+@register("roc_compact")
+def q_roc_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ROC points without collinear intermediate points (the usual roc_curve default)."""
+    return evaluate.roc_points(views.scores(spark, sf_dir), drop_intermediate=True)

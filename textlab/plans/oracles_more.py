@@ -319,3 +319,13 @@ ORACLES["stream_summary"] = ORACLES["batch_summary"]
 ORACLES["csv_roundtrip"] = f"""WITH {REVIEWS_CTE}
 SELECT NULLIF(rating, '') AS rating, NULLIF(title, '') AS title, NULLIF(body, '') AS body,
   NULLIF(country, '') AS country FROM reviews"""
+
+ORACLES["roc_compact"] = f"""WITH {PREFIX_CTE},
+q AS (SELECT *, lag(pos) OVER (ORDER BY score) AS prev_pos, lag(neg) OVER (ORDER BY score) AS prev_neg,
+  lead(score) OVER (ORDER BY score) AS next_score FROM p)
+SELECT 'inf'::DOUBLE AS threshold, CAST(0 AS BIGINT) AS tp, CAST(0 AS BIGINT) AS fp, 0.0 AS tpr, 0.0 AS fpr
+UNION ALL
+SELECT score, CAST(pos_total - pos_before AS BIGINT), CAST(neg_total - neg_before AS BIGINT),
+  round((pos_total - pos_before) / NULLIF(CAST(pos_total AS DOUBLE), 0), 6),
+  round((neg_total - neg_before) / NULLIF(CAST(neg_total AS DOUBLE), 0), 6) FROM q
+WHERE next_score IS NULL OR prev_pos IS NULL OR pos <> prev_pos OR neg <> prev_neg"""
