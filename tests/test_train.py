@@ -110,3 +110,20 @@ def test_fit_pipeline_equals_plain_pipeline_fit(spark):
     pb = {r.review_id: (r.prediction, r.probability[1]) for r in b.transform(docs).collect()}
     assert pa.keys() == pb.keys()
     assert all(pa[k][0] == pb[k][0] and abs(pa[k][1] - pb[k][1]) < 1e-4 for k in pa)
+
+
+def test_run_history_append_is_idempotent(spark, workdir):
+    from textlab.plans.evaluate import append_run
+
+    path = os.path.join(workdir, "history")
+    m1 = spark.createDataFrame([(0.8, 0.7, 0.6, 0.65, 0.9, 10, 5, 5)],
+                               "accuracy double, precision double, recall double, f1_score double, auc_roc double, "
+                               "test_samples long, positive_samples long, negative_samples long")
+    m2 = m1.withColumn("f1_score", F.lit(0.5))
+    append_run(m1, path, 1)
+    append_run(m2, path, 2)
+    append_run(m2, path, 2)  # retry of run 2 replaces it
+    hist = spark.read.parquet(path)
+    assert hist.count() == 16
+    out = {(r.run_id, r.metric): r.regressed for r in gate.run_compare(hist).collect()}
+    assert out[(2, "f1_score")] and not out[(2, "accuracy")]

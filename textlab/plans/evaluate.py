@@ -64,3 +64,22 @@ def release(reports: dict[str, DataFrame]) -> None:
 def save_metrics_json(summary: DataFrame, path: str) -> None:
     """The 8-field metrics record as one JSON object (floats already at 4 places)."""
     summary.select(*METRIC_FIELDS).coalesce(1).write.mode("overwrite").json(path)
+
+
+def append_run(summary: DataFrame, history_path: str, run_id: int) -> None:
+    """Add one run's metrics record to a run-history table (``run_id, metric, value``).
+
+    Partitioned by ``run_id`` with dynamic partition overwrite: writing the same
+    run again replaces that run's rows (idempotent retries), other runs stay.
+    Compare runs with ``operators.gate.run_compare(spark.read.parquet(history_path))``.
+    """
+    from textlab.operators.gate import metrics_long
+
+    numeric = [c for c in METRIC_FIELDS if c in summary.columns]
+    long = metrics_long(summary.withColumn("_run", F.lit(int(run_id))), "_run", numeric)
+    (
+        long.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id")
+        .parquet(history_path)
+    )
