@@ -46,10 +46,30 @@ def _tf_with_marker(docs: DataFrame, id_col: str, terms_col: str) -> DataFrame:
     return exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf"))
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    The term counts feed several consumers (document frequencies, the document
+    count, the weight join); Catalyst pushes different filters into each branch,
+    so their exchanges are not reused and the regex cleaning, tokenising and
+    counting would run once per consumer. A reliable checkpoint
+    (``spark.checkpoint.dir``, never a local checkpoint) does that work exactly
+    once and cuts the lineage, so a lost executor does not send the job back to
+    the raw text.
+    """
+    from textlab.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _split_marker(tf_all: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
     tf = tf_all.filter(F.col("term").isNotNull())
     dfreq_all = document_frequencies(tf_all)
-    n = dfreq_all.filter(F.col("term").isNull()).select(F.col("df").cast("double")).scalar()
+    # An aggregate over the whole table, not a filter: a filter on the grouping key
+    # would be pushed below the aggregation, and the subquery would then no longer
+    # share (reuse) the term-count exchange with the main plan.
+    n = dfreq_all.agg(F.max(F.when(F.col("term").isNull(), F.col("df"))).cast("double")).scalar()
     return tf, dfreq_all.filter(F.col("term").isNotNull()), n
 
 
@@ -83,7 +103,7 @@ def tfidf_terms(
 
     Output ``(id, term, tf, df, idf, weight)``, doubles rounded to 6 places.
     """
-    tf, dfreq, n = _split_marker(_tf_with_marker(docs, id_col, terms_col))
+    tf, dfreq, n = _split_marker(materialized(_tf_with_marker(docs, id_col, terms_col)))
     dfreq = dfreq.select("term", "df")
     w = idf(F.col("df"), n, min_doc_freq)
     return tf.join(dfreq, "term").select(
@@ -132,7 +152,7 @@ def tfidf_sublinear_l2(
     aggregation) joined back on id, not a window per document, so one id with a
     huge share of the rows is split by AQE's skew-join handling.
     """
-    tf, _, n = _split_marker(_tf_with_marker(docs, id_col, terms_col))
+    tf, _, n = _split_marker(materialized(_tf_with_marker(docs, id_col, terms_col)))
     vocab = vocabulary(tf, max_features, min_df).select("term", "df")
     smooth_idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     raw = tf.join(F.broadcast(vocab), "term").select(
