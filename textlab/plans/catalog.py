@@ -16,7 +16,15 @@ from textlab.config import LabelConfig
 from textlab.functions.text import clean_text, parse_rating, sentiment_label
 from textlab.operators import profile
 from textlab.plans.transform import clean_reviews, combined_reviews
+from textlab.session import scratch_path
 from textlab.sources import views
+from textlab.sources.readers import (
+    canonical_reviews,
+    read_reviews_csv,
+    read_table,
+    split_quarantine,
+    write_reviews_csv,
+)
 
 MIRROR = LabelConfig(zero_is_null=False)
 
@@ -95,8 +103,6 @@ def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("clean_pages")
 def q_clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C5-C6 on raw web pages: real tags; script and style contents stay as words."""
-    from textlab.sources.readers import read_table
-
     pages = read_table(spark, sf_dir, "pages")
     c = clean_text(F.col("html"))
     return pages.select("page_id", c.alias("html_clean"), F.length(c).cast("bigint").alias("n_chars"))
@@ -141,9 +147,6 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     doubled quotes) to the shared scratch folder, read back with the explicit schema
     in PERMISSIVE mode, quarantine split off, columns renamed. CSV keeps no
     difference between NULL and '': empty fields read back as NULL."""
-    from textlab.session import scratch_path
-    from textlab.sources.readers import canonical_reviews, read_reviews_csv, split_quarantine, write_reviews_csv
-
     path = scratch_path(spark, "reviews-csv")
     write_reviews_csv(views.reviews(spark, sf_dir), path)
     good, _ = split_quarantine(read_reviews_csv(spark, path))
