@@ -17,7 +17,6 @@ from textlab.functions.text import (
     combine_trimmed,
     parse_rating,
     sentiment_label,
-    valid_row,
 )
 
 
