@@ -41,3 +41,10 @@ def test_folds_cover_all_rows(spark):
     df = with_folds(_labelled(spark))
     folds = {r.fold: r.n for r in df.groupBy("fold").agg(F.count("*").alias("n")).collect()}
     assert set(folds) == {0, 1, 2} and sum(folds.values()) == df.count()
+
+
+def test_approximate_stratified_is_the_hash_cut(spark):
+    df = _labelled(spark)
+    a = {r.review_id: r.split for r in with_stratified_split(df, exact=False).collect()}
+    b = {r.review_id: r.split for r in with_hash_split(df).collect()}
+    assert a == b

@@ -59,8 +59,12 @@ def with_stratified_split(
     id_col: str = "review_id",
     label_col: str = "label",
     cfg: SplitConfig = SplitConfig(),
+    exact: bool = True,
 ) -> DataFrame:
-    """Exact stratified split: in each label, the ``round(ratio * n_label)`` ids with the
+    """Stratified split. ``exact=False`` is the per-row key-hash cut, which gives each
+    label about ``test_ratio`` of its rows with no shuffle at all.
+
+    Exact stratified split: in each label, the ``round(ratio * n_label)`` ids with the
     smallest ``(key, id)`` go to test, where ``n_label`` counts distinct ids. All
     copies of an id follow it, so duplicates never straddle train and test.
 
@@ -77,6 +81,8 @@ def with_stratified_split(
        bucket's offset; the assignment is joined back to the rows on (id, label),
        a join whose hot keys AQE splits.
     """
+    if not exact:
+        return with_hash_split(df, id_col, cfg)
     key = hash_key(id_col, cfg.seed)
     shift = 32 - cfg.bucket_bits
     ids = df.select(id_col, label_col).distinct()
