@@ -17,7 +17,9 @@ aggregates:
 
 The document count N is the document frequency of a per-document marker row,
 read as a scalar subquery (one value, no driver round trip) over the same
-aggregation, so the text is processed once.
+aggregation. The term-count table is written once with a reliable checkpoint
+(see :func:`materialized`), so the text is cleaned, tokenised and counted once
+however many branches read it.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textlab.session import checkpoint_root
+
 # --- fixed values ----------------------------------------------------------------
 DEFAULT_VOCAB_SIZE = 1 << 16
 DEFAULT_MIN_DF = 2
@@ -57,8 +61,6 @@ def materialized(df: DataFrame) -> DataFrame:
     once and cuts the lineage, so a lost executor does not send the job back to
     the raw text.
     """
-    from textlab.session import checkpoint_root
-
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -66,9 +68,9 @@ def materialized(df: DataFrame) -> DataFrame:
 def _split_marker(tf_all: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
     tf = tf_all.filter(F.col("term").isNotNull())
     dfreq_all = document_frequencies(tf_all)
-    # An aggregate over the whole table, not a filter: a filter on the grouping key
-    # would be pushed below the aggregation, and the subquery would then no longer
-    # share (reuse) the term-count exchange with the main plan.
+    # An aggregate over the whole (small) table rather than a filter on the
+    # grouping key, which the optimizer would push below the aggregation into a
+    # separate scan of the term counts.
     n = dfreq_all.agg(F.max(F.when(F.col("term").isNull(), F.col("df"))).cast("double")).scalar()
     return tf, dfreq_all.filter(F.col("term").isNotNull()), n
 
