@@ -48,7 +48,8 @@ def test_flagship_has_no_exchange_on_split_input(spark, workdir):
 
 def test_only_bounded_broadcast_hints(spark):
     """Explicit broadcast hints are used only for bounded tables (vocabulary, bucket
-    offsets, per-class ranges); everything else is left to AQE's measured sizes."""
+    offsets and edges, per-class ranges, a model's hashed-bucket coefficients);
+    everything else is left to AQE's measured sizes."""
     import pathlib
 
     root = pathlib.Path(__file__).resolve().parents[1] / "textlab"
@@ -57,5 +58,5 @@ def test_only_bounded_broadcast_hints(spark):
         for i, line in enumerate(py.read_text().splitlines(), 1):
             if "F.broadcast(" in line:
                 hits.append(f"{py.name}:{line.strip()}")
-    allowed = ("F.broadcast(offsets)", "F.broadcast(rng)", "F.broadcast(vocab)", "F.broadcast(edges)")
+    allowed = ("F.broadcast(offsets)", "F.broadcast(rng)", "F.broadcast(vocab)", "F.broadcast(edges)", "F.broadcast(buckets)")
     assert hits and all(any(a in h for a in allowed) for h in hits), hits

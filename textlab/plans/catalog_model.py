@@ -142,3 +142,16 @@ def read_table_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textlab.sources.readers import read_table
 
     return read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "n_chars", "lang")
+
+
+@register("hashed_top_terms")
+def q_hashed_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E11 for the 5-stage hashed model (language label): the strongest terms each way,
+    found by hashing the corpus terms with the model's HashingTF."""
+    from textlab.functions.tokens import ml_tokens, remove_stop_words
+
+    docs = _language_docs(spark, sf_dir)
+    train, _ = hash_split(docs)
+    model = fit_pipeline(train, FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0])
+    terms = train.select(F.explode(remove_stop_words(ml_tokens(F.col("review_combined")))).alias("term"))
+    return mirror.hashed_top_terms(spark, model, terms, 20)

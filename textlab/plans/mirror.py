@@ -120,3 +120,54 @@ def compare_models(summaries: dict[str, DataFrame]) -> DataFrame:
     for m in ("accuracy", "f1_score", "auc_roc"):
         out = out.withColumn(f"delta_{m}", F.round(F.col(m) - F.first(m).over(w.rowsBetween(Window.unboundedPreceding, 0)), 4))
     return out
+
+
+SPARSE_JSON = T.StructType(
+    [
+        T.StructField(
+            "v",
+            T.StructType(
+                [
+                    T.StructField("type", T.IntegerType()),
+                    T.StructField("size", T.IntegerType()),
+                    T.StructField("indices", T.ArrayType(T.IntegerType())),
+                    T.StructField("values", T.ArrayType(T.DoubleType())),
+                ]
+            ),
+        )
+    ]
+)
+BUCKET_SCHEMA = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("coefficient", T.DoubleType())])
+
+
+def hashed_top_terms(spark: SparkSession, model: PipelineModel, terms: DataFrame, k: int = 20) -> DataFrame:
+    """Term weights of a hashed model: each distinct corpus term (``terms.term``) is
+    hashed with the model's own HashingTF, and the bucket's coefficient is attached.
+
+    Terms that collide share their bucket's coefficient (``terms_in_bucket`` says
+    how many). The coefficient table has ``numFeatures`` rows (a model parameter),
+    so its broadcast is bounded; the terms are a Spark table of any size.
+    """
+    hashing = next(s for s in model.stages if type(s).__name__ == "HashingTF")
+    coef = model.stages[-1].coefficients.toArray().tolist()
+    buckets = spark.createDataFrame([(i, float(c)) for i, c in enumerate(coef) if c != 0.0], BUCKET_SCHEMA)
+    single = terms.select("term").distinct().select("term", F.array("term").alias("_one"))
+    hashed = hashing.copy({hashing.inputCol: "_one", hashing.outputCol: "_h"}).transform(single)
+    sparse = F.from_json(F.to_json(F.struct(F.col("_h").alias("v"))), SPARSE_JSON).getField("v")
+    keyed = hashed.select("term", sparse.getField("indices").getItem(0).alias("bucket"))
+    per_bucket = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("terms_in_bucket"))
+    joined = keyed.join(F.broadcast(buckets), "bucket").join(per_bucket, "bucket")
+    pos = joined.orderBy(F.col("coefficient").desc(), "term").limit(k).withColumn("direction", F.lit("positive"))
+    neg = joined.orderBy(F.col("coefficient").asc(), "term").limit(k).withColumn("direction", F.lit("negative"))
+    both = pos.unionByName(neg)
+    w = Window.partitionBy("direction").orderBy(
+        F.when(F.col("direction") == F.lit("positive"), -F.col("coefficient")).otherwise(F.col("coefficient")), "term"
+    )
+    return both.select(
+        "direction",
+        F.row_number().over(w).alias("rank"),
+        "term",
+        "bucket",
+        "terms_in_bucket",
+        F.round("coefficient", 6).alias("coefficient"),
+    )
