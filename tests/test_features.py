@@ -106,3 +106,18 @@ def test_tfidf_independent_of_partitioning(spark):
     a = features.tfidf_terms(docs, "review_id", "terms")
     b = features.tfidf_terms(docs.repartition(7), "review_id", "terms")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_vocabulary_threshold_prune_matches_full_sort(spark):
+    """The count-threshold pruning gives exactly the plain sort-and-limit result, ties included."""
+    docs = clean_reviews(views.reviews(spark, SF_SMALL)).select(
+        "review_id", remove_stop_words(ml_tokens(F.col("review_combined"))).alias("terms")
+    )
+    tf = features.term_frequencies(docs, "review_id", "terms")
+    full = (
+        features.document_frequencies(tf).filter(F.col("df") >= 2)
+        .orderBy(F.col("cf").desc(), F.col("term").asc()).collect()
+    )
+    for size in (1, 7, 50, 333, 10**6):
+        got = [(r.term, r.cf) for r in features.vocabulary(tf, size=size).orderBy("rank").collect()]
+        assert got == [(r.term, r.cf) for r in full[:size]], size

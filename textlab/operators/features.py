@@ -121,13 +121,32 @@ def tfidf_terms(
 def vocabulary(tf: DataFrame, size: int = DEFAULT_VOCAB_SIZE, min_df: int = DEFAULT_MIN_DF) -> DataFrame:
     """Top ``size`` terms by corpus count among those in at least ``min_df`` documents.
 
-    Ties break by term, so the cut is deterministic. ``orderBy().limit()`` plans a
-    per-partition top-k and a merge of at most partitions x size rows; the final
-    rank window runs over at most ``size`` rows.
+    Ties break by term, so the cut is deterministic. A plain ``orderBy().limit()``
+    would merge up to (partitions x size) rows in one task, so candidates are
+    pruned first by an exact count threshold:
+
+    1. terms per corpus-count value: a table with one row per distinct count,
+       at most ``sqrt(2 * total tokens)`` rows (distinct positive counts sum to at
+       most the total), so a window over it is bounded;
+    2. the threshold T is the smallest count with fewer than ``size`` terms
+       strictly above it, i.e. the count of the ``size``-th term;
+    3. only terms with count >= T enter the top-k; the final rank window runs
+       over at most ``size`` rows.
+
+    The document-frequency table is read twice (threshold, top-k), so it is
+    checkpointed once (:func:`materialized`).
     """
+    dfreq = materialized(document_frequencies(tf).filter(F.col("df") >= F.lit(min_df)))
+    per_count = dfreq.groupBy("cf").agg(F.count(F.lit(1)).alias("_terms"))
+    above = F.coalesce(
+        F.sum("_terms").over(Window.orderBy(F.col("cf").desc()).rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0),
+    )
+    threshold = (
+        per_count.select("cf", above.alias("_above")).filter(F.col("_above") < F.lit(size)).agg(F.min("cf")).scalar()
+    )
     top = (
-        document_frequencies(tf)
-        .filter(F.col("df") >= F.lit(min_df))
+        dfreq.filter(F.col("cf") >= threshold)
         .orderBy(F.col("cf").desc(), F.col("term").asc())
         .limit(size)
     )
