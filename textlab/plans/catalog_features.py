@@ -1,4 +1,4 @@
-"""Registered queries: tokens, stop words, n-grams and term-keyed TF-IDF."""
+"""Registered queries: tokens, stop words, n-grams, term-keyed and hashed TF-IDF."""
 
 from __future__ import annotations
 

@@ -1,4 +1,6 @@
-"""Registered queries: splits and folds."""
+"""Registered queries: splits and folds (E1, E2, E7, B8), training and cross-validation
+(E3-E8), the n-gram vocabulary model, model comparison and term weights (E9-E11),
+model-based scoring and gates (F1, F4, G10, G11)."""
 
 from __future__ import annotations
 

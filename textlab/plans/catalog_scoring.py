@@ -1,4 +1,6 @@
-"""Registered queries: evaluation on deterministic scores."""
+"""Registered queries: evaluation on deterministic scores (G1-G8), response shaping and
+self-checks (F3, F5, F7), batch summaries (B10, B11), request validation and display
+rows (C13-C15), the line source (A8), the golden gate and run comparison (G10, G12)."""
 
 from __future__ import annotations
 

@@ -1,4 +1,5 @@
-"""SQL oracles (continued): splits, evaluation."""
+"""SQL oracles (continued): splits, evaluation, features, scoring shapes, requests,
+lines, gate, CSV round trip and streaming summary."""
 
 from __future__ import annotations
 
