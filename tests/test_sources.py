@@ -63,3 +63,22 @@ def test_golden_json_and_lines(spark, workdir):
     assert [r.category for r in g] == ["clear_positive", "edge_case_no_title"]
     lines = _write(workdir, "lines.txt", "  first review \n\n   \nsecond　\n")
     assert [r.text for r in read_lines(spark, lines).collect()] == ["first review", "second"]
+
+
+def test_quarantine_sink_and_raw_lines(spark, workdir):
+    from textlab.sources.readers import write_quarantine
+
+    path = _write(workdir, "reviews.csv", CSV)
+    _, bad = split_quarantine(read_reviews_csv(spark, path))
+    out = os.path.join(workdir, "quarantine")
+    write_quarantine(bad, out)
+    lines = sorted(r[0] for r in spark.read.parquet(out).select("_corrupt_record").collect())
+    assert lines == ["Rated 1 out of 5 stars,only", "a,b,c,d,e,f"]
+
+
+def test_inferred_schema_read(spark, workdir):
+    path = _write(workdir, "reviews.csv", 'Rating,Review Title,Review Text,Country\n5,Great,"Nice, really",US\n1,Bad,Broke,DE\n')
+    df = read_reviews_csv(spark, path, schema=None)
+    assert "_corrupt_record" not in df.columns
+    assert dict(df.dtypes)["Rating"] == "int"
+    assert sorted(r["Review Text"] for r in df.collect()) == ["Broke", "Nice, really"]

@@ -60,7 +60,10 @@ def split_quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split a PERMISSIVE read into (good rows, quarantined rows with the raw line).
 
     Both halves keep every column, so the CSV parser sees the full schema and
-    decides corruption the same way whatever the caller selects later.
+    decides corruption the same way whatever the caller selects later. Spark
+    refuses a raw CSV/JSON scan that needs nothing but the corrupt-record column,
+    so to keep just the raw lines, write the quarantine first
+    (:func:`write_quarantine`) and read that.
     """
     if CORRUPT_COLUMN not in raw.columns:
         return raw, raw.limit(0)
@@ -69,6 +72,11 @@ def split_quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def write_quarantine(bad: DataFrame, path: str) -> None:
+    """Sink for quarantined rows (all parsed columns plus the raw line), overwrite."""
+    bad.write.mode("overwrite").parquet(path)
+
+
 def canonical_reviews(good: DataFrame) -> DataFrame:
     """Rename raw columns to ``rating, title, body, country`` and add ``review_id``.
 
