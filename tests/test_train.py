@@ -127,3 +127,24 @@ def test_run_history_append_is_idempotent(spark, workdir):
     assert hist.count() == 16
     out = {(r.run_id, r.metric): r.regressed for r in gate.run_compare(hist).collect()}
     assert out[(2, "f1_score")] and not out[(2, "accuracy")]
+
+
+def test_exact_mirror_features_equal_term_keyed_weights(spark):
+    """The exact mirror's vectors carry the sublinear / smooth-idf / L2 weights of the
+    term-keyed operator, index for index."""
+    from textlab.operators import features as fe
+    from textlab.plans import mirror
+
+    docs = clean_documents(views.language_documents(spark, SF_SMALL))
+    model = mirror.fit_exact_mirror(docs)
+    terms = docs.select("review_id", mirror.mirror_terms(F.col("review_combined")).alias("terms"))
+    want = {(r.review_id, r.term): r.weight for r in fe.tfidf_sublinear_l2(terms, "review_id", "terms").collect()}
+    vocab = {r["index"]: r["term"] for r in model.vocab.collect()}
+    got = {}
+    for r in model.features(docs).collect():
+        for i, v in zip(r.features.indices, r.features.values):
+            got[(r.review_id, vocab[int(i)])] = round(float(v), 6)
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 2e-6 for k in want)
+    pred = model.transform(docs)
+    assert pred.count() == docs.count() and "probability" in pred.columns

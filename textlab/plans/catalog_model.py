@@ -98,14 +98,24 @@ def q_model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = hash_split(_language_docs(spark, sf_dir))
     hashed = fit_pipeline(train, FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0])
     ngram = mirror.fit_mirror(train)
+    exact = mirror.fit_exact_mirror(train)
     return mirror.compare_models(
         {
             "hashed_tfidf_lr": ev.evaluation_summary(predictions(hashed, test)),
             "ngram_vocab_lr": ev.evaluation_summary(predictions(ngram, test)),
+            "ngram_exact_lr": ev.evaluation_summary(predictions(exact, test)),
         }
     )
 
 
+@register("exact_top_terms")
+def q_exact_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E9 + E11 with the mirror's exact features (sublinear tf, smooth idf, L2 rows):
+    the 20 strongest terms each way."""
+    train, _ = hash_split(_language_docs(spark, sf_dir))
+    return mirror.exact_top_terms(mirror.fit_exact_mirror(train), 20)
+
+
 def _language_model(spark: SparkSession, sf_dir: str):
     train, _ = hash_split(_language_docs(spark, sf_dir))
     return fit_pipeline(train, FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0])

@@ -24,12 +24,14 @@ from pyspark.ml.feature import (
     SQLTransformer,
     StopWordsRemover,
 )
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textlab.functions.stopwords import english_stop_words
-from textlab.functions.tokens import MIRROR_TOKEN_PATTERN
+from textlab.functions.tokens import MIRROR_TOKEN_PATTERN, mirror_tokens, remove_stop_words, unigrams_and_bigrams
+from textlab.operators import features
 from textlab.plans.train import LABEL_COL, TEXT_COL
 
 # --- fixed values ---------------------------------------------------------------
@@ -171,3 +173,102 @@ def hashed_top_terms(spark: SparkSession, model: PipelineModel, terms: DataFrame
         "terms_in_bucket",
         F.round("coefficient", 6).alias("coefficient"),
     )
+
+
+# --- the mirror with its exact features -------------------------------------------
+# Sublinear tf, smooth idf and L2 rows, as in the single-machine original, built as
+# Spark joins and aggregates and handed to MLlib as sparse vectors.
+
+VECTOR_JSON = T.StructType([T.StructField("v", VectorUDT())])
+
+
+def mirror_terms(text: Column) -> Column:
+    """2+-character tokens, stop words removed, followed by their bigrams."""
+    return unigrams_and_bigrams(remove_stop_words(mirror_tokens(text)))
+
+
+class ExactMirrorModel:
+    """Fitted exact mirror: vocabulary ``(term, index, idf)`` (at most 65,536 rows,
+    checkpointed) and a ``LogisticRegressionModel`` on the L2-normalised weights."""
+
+    def __init__(self, vocab: DataFrame, size: int, lr_model, id_col: str = "review_id"):
+        self.vocab, self.size, self.lr_model, self.id_col = vocab, size, lr_model, id_col
+
+    def features(self, docs: DataFrame) -> DataFrame:
+        """``(id, features)`` for documents with ``review_combined``.
+
+        Weights join the broadcast vocabulary; norms are an aggregate joined back;
+        each document's (index, weight) pairs (at most vocabulary-size of them)
+        become one sparse vector through ``from_json`` with a vector schema, in the
+        JVM. Documents without vocabulary terms get the zero vector.
+        """
+        i = self.id_col
+        terms = docs.select(i, mirror_terms(F.col(TEXT_COL)).alias("terms"))
+        tf = features.term_frequencies(terms, i, "terms")
+        w = tf.join(F.broadcast(self.vocab), "term").select(
+            i, "index", ((F.lit(1.0) + F.log(F.col("tf"))) * F.col("idf")).alias("w")
+        )
+        norms = w.groupBy(i).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+        pairs = (
+            w.join(norms, i)
+            .groupBy(i)
+            .agg(F.array_sort(F.collect_list(F.struct("index", (F.col("w") / F.col("norm")).alias("value")))).alias("p"))
+        )
+        ids = docs.select(i).join(pairs, i, "left")
+        p = F.coalesce(F.col("p"), F.array().cast("array<struct<index:int,value:double>>"))
+        vec = F.struct(
+            F.lit(0).alias("type"),
+            F.lit(self.size).alias("size"),
+            F.transform(p, lambda x: x.getField("index")).alias("indices"),
+            F.transform(p, lambda x: x.getField("value")).alias("values"),
+        )
+        return ids.select(i, F.from_json(F.to_json(F.struct(vec.alias("v"))), VECTOR_JSON).getField("v").alias("features"))
+
+    def transform(self, docs: DataFrame) -> DataFrame:
+        """Adds rawPrediction, probability and prediction, keeping the input columns."""
+        return self.lr_model.transform(docs.join(self.features(docs), self.id_col))
+
+
+def fit_exact_mirror(train: DataFrame, id_col: str = "review_id", c: float = MIRROR_C) -> ExactMirrorModel:
+    """Fit the exact mirror on ``(id, review_combined, label)`` rows."""
+    from pyspark import StorageLevel
+
+    from textlab.plans.train import right_size
+
+    terms = train.select(id_col, mirror_terms(F.col(TEXT_COL)).alias("terms"))
+    tf, _, n = features._split_marker(features.materialized(features._tf_with_marker(terms, id_col, "terms")))
+    vocab = features.vocabulary(tf, MIRROR_VOCAB, MIRROR_MIN_DF)
+    smooth_idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    vocab = features.materialized(
+        vocab.select("term", (F.col("rank") - F.lit(1)).cast("int").alias("index"), smooth_idf.alias("idf"))
+    )
+    size = vocab.count()
+    model = ExactMirrorModel(vocab, size, None, id_col)
+    feats = train.select(id_col, LABEL_COL).join(model.features(train), id_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n_rows = feats.count()
+        lr = LogisticRegression(
+            featuresCol="features", labelCol=LABEL_COL, maxIter=MIRROR_MAX_ITER, regParam=1.0 / (c * max(n_rows, 1)),
+            elasticNetParam=0.0, standardization=False, family="binomial", tol=MIRROR_TOL,
+        )
+        model.lr_model = lr.fit(right_size(feats, n_rows))
+    finally:
+        feats.unpersist()
+    return model
+
+
+def exact_top_terms(model: ExactMirrorModel, k: int = 20) -> DataFrame:
+    """Strongest term weights of the exact mirror: coefficients (a model parameter of at
+    most vocabulary size) joined to the vocabulary by index."""
+    spark = model.vocab.sparkSession
+    coef = model.lr_model.coefficients.toArray().tolist()
+    weights = spark.createDataFrame([(i, float(x)) for i, x in enumerate(coef)], "index int, coefficient double")
+    terms = model.vocab.join(weights, "index").select("index", "term", "coefficient")
+    pos = terms.orderBy(F.col("coefficient").desc(), "term").limit(k).withColumn("direction", F.lit("positive"))
+    neg = terms.orderBy(F.col("coefficient").asc(), "term").limit(k).withColumn("direction", F.lit("negative"))
+    w = Window.partitionBy("direction").orderBy(
+        F.when(F.col("direction") == F.lit("positive"), -F.col("coefficient")).otherwise(F.col("coefficient")), "term"
+    )
+    return pos.unionByName(neg).select(
+        "direction", F.row_number().over(w).alias("rank"), "term", F.round("coefficient", 6).alias("coefficient")
+    )
