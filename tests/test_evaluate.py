@@ -118,3 +118,14 @@ def test_roc_drop_intermediate_matches_reference_rule(spark, buckets):
     want = {(thr[i], tps[i], fps[i]) for i in keep} | {(float("inf"), 0, 0)}
     got = {(r.threshold, r.tp, r.fp) for r in ev.roc_points(df, buckets=buckets, drop_intermediate=True).collect()}
     assert got == want
+
+
+def test_evaluation_independent_of_partitioning(spark):
+    df = views.scores(spark, SF_MEDIUM)
+    a = ev.evaluation_summary(df).first().asDict()
+    b = ev.evaluation_summary(df.repartition(7)).first().asDict()
+    c = ev.evaluation_summary(df.coalesce(1), buckets=3).first().asDict()
+    assert a == b == c
+    ra = sorted(map(tuple, ev.roc_points(df).collect()))
+    rb = sorted(map(tuple, ev.roc_points(df.repartition(5), buckets=9).collect()))
+    assert ra == rb

@@ -148,3 +148,14 @@ def test_exact_mirror_features_equal_term_keyed_weights(spark):
     assert all(abs(got[k] - want[k]) < 2e-6 for k in want)
     pred = model.transform(docs)
     assert pred.count() == docs.count() and "probability" in pred.columns
+
+
+def test_refit_on_same_split_is_identical(spark):
+    from textlab.operators.split import hash_split
+    from textlab.plans.train import fit_pipeline
+
+    docs = clean_documents(views.language_documents(spark, SF_SMALL))
+    train, _ = hash_split(docs)
+    a = fit_pipeline(train, CFG, 0.01, 0.0).stages[-1].coefficients.toArray()
+    b = fit_pipeline(train.repartition(3), CFG, 0.01, 0.0).stages[-1].coefficients.toArray()
+    assert abs(a - b).max() < 1e-6
