@@ -96,10 +96,15 @@ def q_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("model_compare")
 def q_model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashed TF-IDF model vs n-gram vocabulary model on the same split."""
+    from concurrent.futures import ThreadPoolExecutor
+
     train, test = hash_split(_language_docs(spark, sf_dir))
-    hashed = fit_pipeline(train, FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0])
-    ngram = mirror.fit_mirror(train)
-    exact = mirror.fit_exact_mirror(train)
+    # each fit is a chain of small jobs: fit the three models concurrently
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        f_hashed = pool.submit(fit_pipeline, train, FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0])
+        f_ngram = pool.submit(mirror.fit_mirror, train)
+        f_exact = pool.submit(mirror.fit_exact_mirror, train)
+        hashed, ngram, exact = f_hashed.result(), f_ngram.result(), f_exact.result()
     return mirror.compare_models(
         {
             "hashed_tfidf_lr": ev.evaluation_summary(predictions(hashed, test)),
