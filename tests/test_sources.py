@@ -82,3 +82,10 @@ def test_inferred_schema_read(spark, workdir):
     assert "_corrupt_record" not in df.columns
     assert dict(df.dtypes)["Rating"] == "int"
     assert sorted(r["Review Text"] for r in df.collect()) == ["Broke", "Nice, really"]
+
+
+def test_quarantine_count_and_raw_lines_without_caching(spark, workdir):
+    path = _write(workdir, "reviews.csv", CSV)
+    good, bad = split_quarantine(read_reviews_csv(spark, path))
+    assert bad.count() == 2 and good.count() == 2
+    assert sorted(r[0] for r in bad.select("_corrupt_record").collect()) == ["Rated 1 out of 5 stars,only", "a,b,c,d,e,f"]

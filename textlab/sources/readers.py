@@ -61,14 +61,20 @@ def split_quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Both halves keep every column, so the CSV parser sees the full schema and
     decides corruption the same way whatever the caller selects later. Spark
-    refuses a raw CSV/JSON scan that needs nothing but the corrupt-record column,
-    so to keep just the raw lines, write the quarantine first
-    (:func:`write_quarantine`) and read that.
+    refuses a raw CSV/JSON scan that needs nothing but the corrupt-record column;
+    the quarantine filter always needs a data column as well, so counting or
+    selecting the raw lines works directly.
     """
     if CORRUPT_COLUMN not in raw.columns:
         return raw, raw.limit(0)
-    good = raw.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
-    bad = raw.filter(F.col(CORRUPT_COLUMN).isNotNull())
+    # Spark rejects a raw-file scan whose only needed column is the corrupt-record
+    # column (e.g. ``good.count()`` or ``bad.count()``). Tying both filters to a
+    # data column through a predicate the optimizer cannot fold away keeps every
+    # query on either half legal.
+    data_col = next(c for c in raw.columns if c != CORRUPT_COLUMN)
+    keeps_a_data_column = F.length(F.coalesce(F.col(data_col).cast("string"), F.lit(""))) >= F.lit(0)
+    good = raw.filter(F.col(CORRUPT_COLUMN).isNull() & keeps_a_data_column).drop(CORRUPT_COLUMN)
+    bad = raw.filter(F.col(CORRUPT_COLUMN).isNotNull() & keeps_a_data_column)
     return good, bad
 
 
