@@ -33,6 +33,17 @@ class SplitConfig:
 
 @dataclass(frozen=True)
 class TrainConfig:
+    """The 5-stage pipeline and its tuning.
+
+    ``num_features`` hashed buckets; IDF ignores terms in fewer than
+    ``min_doc_freq`` documents; L-BFGS runs at most ``max_iter`` iterations; the
+    grid is ``reg_params`` x ``elastic_net_params`` (elastic net 0 = pure L2);
+    ``parallelism`` (fold, params) fits run at once in driver threads;
+    ``keep_negations`` keeps no/nor/not and n't forms out of the stop list;
+    ``cv_num_bins`` is the CV evaluator's ROC binning; ``split`` gives the test
+    ratio, seed and fold count.
+    """
+
     num_features: int = 1 << 16
     min_doc_freq: int = 2
     max_iter: int = 100
