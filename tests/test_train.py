@@ -159,3 +159,21 @@ def test_refit_on_same_split_is_identical(spark):
     a = fit_pipeline(train, CFG, 0.01, 0.0).stages[-1].coefficients.toArray()
     b = fit_pipeline(train.repartition(3), CFG, 0.01, 0.0).stages[-1].coefficients.toArray()
     assert abs(a - b).max() < 1e-6
+
+
+def test_keep_negations_reaches_the_pipeline(spark):
+    from textlab.plans.train import featurizer_stages
+
+    plain = featurizer_stages(TrainConfig())[1].getStopWords()
+    kept = featurizer_stages(TrainConfig(keep_negations=True))[1].getStopWords()
+    assert "not" in plain and "not" not in kept and "the" in kept
+
+
+def test_model_info_reads_training_metrics(spark, trained, workdir):
+    import json as _json
+
+    path = os.path.join(workdir, "metrics.json")
+    with open(path, "w") as f:
+        f.write(_json.dumps({"accuracy": 0.9, "f1_score": 0.8}))
+    info = model_info(spark, trained.model, "somewhere", path).first()
+    assert _json.loads(info.training_metrics) == {"accuracy": 0.9, "f1_score": 0.8}
