@@ -122,7 +122,7 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 ORACLES = {
     "op3_minhash_near_dedup": rf"""
@@ -132,7 +132,7 @@ WITH RECURSIVE w AS (
   FROM documents
 ), s AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
   FROM w
 ), x AS (SELECT doc_id, unnest(s) AS t, len(s) AS n FROM s), p AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.t = b.t AND a.doc_id <> b.doc_id
@@ -145,7 +145,7 @@ WITH d AS (
   SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
 ), m AS (SELECT h, max(page_id) AS last FROM d GROUP BY h)
 SELECT page_id, payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     ((('0x' || substr(h, ((i // 4) * 5 + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), '') AS payload_digest,
   CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
@@ -153,8 +153,8 @@ FROM d JOIN m USING (h)""",
     "op8_nearest_neighbours": """
 WITH v AS (
   SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
-  WHERE len(list_filter(embedding, e -> e IS NULL OR isnan(e) OR isinf(e))) = 0
-    AND len(list_filter(embedding, e -> e <> 0)) > 0
+  WHERE len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
