@@ -2,24 +2,25 @@
 
 A document's set is its distinct word shingles. Documents with equal sets form one
 class; classes get ``slots`` minwise tokens. In each of ``trees`` independent trees a
-node picks ``branch`` of the slots by its own hash, and a class goes to one child a
-picked slot, named by its token there. From ``depth`` on, nodes of at most ``leaf``
-classes are compared exhaustively; larger ones branch again. Two classes of
-similarity s meet below one picked slot with probability s: at the threshold a
-tree of depth 3 misses a pair with probability 0.03, three trees with 3e-5.
-
-Comparing finds candidates by their tokens, ``margin`` below the threshold (over four
-standard deviations). Links are confirmed on the full sets of 64-bit shingle hashes.
-A node's first candidates are a spanning forest of its likely pairs; once these
-are confirmed, nodes whose classes all share a component are done, and in the
-others every remaining candidate pair of different components is confirmed. So a
-group of near copies costs links in proportion to its size, and no link
-between components is left out.
+node picks slots by its own hash, and a class goes to one child a picked slot,
+named by its token there: one slot a node down to ``depth``, then ``branch``. From
+``depth`` on, nodes of at most ``leaf`` classes are compared exhaustively; larger
+ones branch again. Two classes of similarity s meet below one picked slot with
+probability s: 24 trees of depth 5 all miss a pair at 0.85 with probability 8e-7.
+
+Comparing a node takes two passes. First a spanning forest of its likely pairs (by
+their tokens, ``margin`` below the threshold) is confirmed on the full sets of 64-bit
+shingle hashes, which joins nearly all of a group. Nodes whose classes then share a
+component are done; in the others all full sets are compared, and what links different
+components is kept. So a group of near copies costs links in proportion to its size,
+and no link between components is left out.
 
 Nodes that stay large hold near copies as a rule. Each of their classes is first
-confirmed against the node's least class; nodes of one component are done, the
-others branch on, and at depth ``deepest`` what is left is compared block by block,
-all against all, over many tasks. Nothing is capped.
+confirmed against the likeliest of the ``pivots`` classes that each of its nodes puts
+up. Nodes of one component are then done. Where all but ``leaf`` classes are of one component, these few are compared
+with everything else, in blocks; other nodes branch on, and at depth ``deepest`` what
+is left is compared block by block, all against all, over many tasks. Nothing is
+capped.
 
 Defined cases: a NULL or blank text has an empty set and is linked with nothing; a
 text shorter than a shingle is one shingle. Repeated rows are copies of each
@@ -48,12 +49,13 @@ class NearDup:
     shingle: int = 3
     percent: int = 85
     slots: int = 128
-    trees: int = 3
+    trees: int = 24
     branch: int = 2
-    depth: int = 3
-    deepest: int = 8
-    leaf: int = 64
-    margin: float = 0.14
+    depth: int = 5
+    deepest: int = 7
+    leaf: int = 256
+    pivots: int = 3
+    margin: float = 0.12
 
     @property
     def likely(self) -> float:
@@ -167,9 +169,10 @@ def _descend(cfg: NearDup, levels: int, roots: bool):
                 nodes, rows = np.tile(trees, len(rows)), np.repeat(rows, cfg.trees)
             else:
                 nodes = batch.column("node").to_numpy().astype(np.int64).view(np.uint64)
+            branch = 1 if roots else cfg.branch
             for _ in range(levels):
-                nodes = children(nodes, tokens[rows], cfg.branch).reshape(-1)
-                rows = np.repeat(rows, cfg.branch)
+                nodes = children(nodes, tokens[rows], branch).reshape(-1)
+                rows = np.repeat(rows, branch)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(nodes.view(np.int64)), batch.column("key").take(pa.array(rows))], names=["node", "key"]
             )
@@ -177,8 +180,23 @@ def _descend(cfg: NearDup, levels: int, roots: bool):
     return run
 
 
-def likely_pairs(labels, sizes, tokens, cfg: NearDup, forest: bool):
-    """Index pairs of a node that may be links, of different labels; or a spanning forest of them."""
+def _shares(slots: int):
+    """Share of equal tokens of each row's two classes."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            same = (_matrix(batch.column("tokens"), slots) == _matrix(batch.column("_ptokens"), slots)).mean(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), batch.column("_pivot"), pa.array(same)], names=["key", "pivot", "share"]
+            )
+
+    return run
+
+
+def likely_pairs(labels, sizes, tokens, cfg: NearDup):
+    """A spanning forest of a node's index pairs that may be links, of different labels."""
     import numpy as np
 
     k = len(sizes)
@@ -194,8 +212,6 @@ def likely_pairs(labels, sizes, tokens, cfg: NearDup, forest: bool):
         share[part] = (tokens[i[part]] == tokens[j[part]]).mean(axis=1)
     go = share >= cfg.likely
     i, j, share = i[go], j[go], share[go]
-    if not forest:
-        return list(zip(i.tolist(), j.tolist(), strict=True))
     root = {}
 
     def top(x):
@@ -213,8 +229,12 @@ def likely_pairs(labels, sizes, tokens, cfg: NearDup, forest: bool):
     return out
 
 
-def _compare(cfg: NearDup, forest: bool):
-    """Candidate pairs of each node; rows come sorted by node, one node is held at a time."""
+def _compare(cfg: NearDup, exact: bool):
+    """Pairs of each node; rows come sorted by node, one node is held at a time.
+
+    Exactly, on full sets: links. Else, on tokens: a forest of likely pairs.
+    """
+    last = "set" if exact else "tokens"
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -223,14 +243,14 @@ def _compare(cfg: NearDup, forest: bool):
         held, node = [], None
 
         def done():
-            if len(held) < 2:
-                return []
             labels = np.array([r[1] for r in held], object)
-            if (labels == labels[0]).all():
+            if len(held) < 2 or (labels == labels[0]).all():
                 return []
-            sizes = np.array([r[2] for r in held])
-            tokens = np.frombuffer(b"".join(r[3] for r in held), np.uint16).reshape(-1, cfg.slots)
-            pairs = likely_pairs(labels, sizes, tokens, cfg, forest)
+            if exact:
+                pairs = exact_links(labels, [r[3] for r in held], cfg.percent)
+            else:
+                tokens = np.frombuffer(b"".join(r[3] for r in held), np.uint16).reshape(-1, cfg.slots)
+                pairs = likely_pairs(labels, np.array([r[2] for r in held]), tokens, cfg)
             return [tuple(sorted((held[a][0], held[b][0]))) for a, b in pairs]
 
         def table(found):
@@ -240,7 +260,11 @@ def _compare(cfg: NearDup, forest: bool):
 
         for batch in batches:
             found = []
-            columns = [batch.column(c).to_pylist() for c in ("node", "key", "label", "n", "tokens")]
+            columns = [batch.column(c).to_pylist() for c in ("node", "key", "label", "n")]
+            if exact:
+                columns.append([x.values.to_numpy() for x in batch.column(last)])
+            else:
+                columns.append(batch.column(last).to_pylist())
             for row in zip(*columns, strict=True):
                 if row[0] != node:
                     found += done()
@@ -252,6 +276,52 @@ def _compare(cfg: NearDup, forest: bool):
     return run
 
 
+def exact_links(labels, sets: list, percent: int):
+    """Index pairs of linked sets of different labels: a spanning forest of a node's links.
+
+    Intersections of all pairs come from products of 0/1 matrices over the shingles
+    that two or more of the sets hold, a few thousand columns at a time.
+    """
+    import numpy as np
+
+    k = len(sets)
+    n = np.array([len(x) for x in sets])
+    i, j = np.triu_indices(k, 1)
+    go = (labels[i] != labels[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+    i, j = i[go], j[go]
+    if not len(i):
+        return []
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(k), n)
+    _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    numbers = np.cumsum(times > 1) - 1
+    column, owner = numbers[column[shared]], owner[shared]
+    both = np.zeros((k, k), np.float64)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        lo, hi = np.searchsorted(column, [at, at + 4096])
+        m = np.zeros((k, 4096), np.float32)
+        m[owner[lo:hi], column[lo:hi] - at] = 1
+        both += m @ m.T
+    same = both[i, j].astype(np.int64)
+    go = 100 * same >= percent * (n[i] + n[j] - same)
+    root: dict = {}
+
+    def top(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for a, b in zip(i[go].tolist(), j[go].tolist(), strict=True):
+        ra, rb = top(labels[a]), top(labels[b])
+        if ra != rb:
+            root[ra] = rb
+            out.append((a, b))
+    return out
+
+
 # --- the join ----------------------------------------------------------------------
 
 
@@ -352,6 +422,52 @@ class _Join:
         ).filter("_lo <> _hi").select("_node")
         return labelled.join(mixed, F.col("node") == F.col("_node")).drop("_node")
 
+    def _best_pivots(self, large: DataFrame, pivots: DataFrame) -> DataFrame:
+        """Of each class the likeliest of the pivots of all its nodes, one pair a class.
+
+        This only joins groups early; what it passes over is compared later.
+        """
+        near = (
+            large.join(pivots, F.col("node") == F.col("_node"))
+            .select("key", F.explode("_pivots").alias("_pivot")).filter("key <> _pivot").distinct()
+        )
+        own = self.classes.select(F.col("key").alias("_pk"), F.col("tokens").alias("_ptokens"))
+        both = self._with_tokens(near).join(own, F.col("_pivot") == F.col("_pk"))
+        shares = both.select("key", "_pivot", "tokens", "_ptokens").mapInArrow(
+            _shares(self.cfg.slots), "key binary, pivot binary, share double"
+        )
+        return (
+            shares.groupBy("key").agg(F.max(F.struct("share", "pivot")).alias("_best"))
+            .filter(F.col("_best.share") >= self.cfg.likely)
+            .select(F.least("key", "_best.pivot").alias("a"), F.greatest("key", "_best.pivot").alias("b"))
+        )
+
+    def _near_done(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Open rows ``(node, key, label)`` of large nodes, as blocks and as rows to branch.
+
+        Where few classes are not of the node's largest component, each block holds a
+        share of that component and all the others. Pairs inside the component need no
+        comparing, so the work is in proportion to the node.
+        """
+        leaf = self.cfg.leaf
+        by_label = rows.groupBy(F.col("node").alias("_node"), F.col("label").alias("_label")).agg(
+            F.count(F.lit(1)).alias("_k")
+        )
+        most = by_label.groupBy("_node").agg(
+            F.max(F.struct("_k", "_label")).alias("_most"), F.sum("_k").alias("_all")
+        ).select("_node", "_most._k", "_most._label", "_all")
+        sized = materialise(rows.join(most, F.col("node") == F.col("_node")), "open")
+        few = F.col("_all") - F.col("_k") <= leaf
+        parts = F.ceil(F.col("_k") / leaf).cast("int")
+        own = F.pmod(F.xxhash64("key"), parts).cast("int")
+        block = F.when(F.col("label") == F.col("_label"), F.array(own)).otherwise(
+            F.sequence(F.lit(0), parts - 1)
+        )
+        blocks = sized.filter(few).select("node", "key", F.explode(block).alias("_block")).select(
+            F.xxhash64("node", "_block", F.lit("few")).alias("node"), "key"
+        )
+        return blocks, sized.filter(~few).select("node", "key")
+
     def _blocks(self, rows: DataFrame) -> DataFrame:
         """All pairs of blocks of each large node, as nodes of at most about two leaves."""
         half = max(1, self.cfg.leaf // 2)
@@ -378,17 +494,17 @@ class _Join:
         self._keep_sets(small.unionByName(large).select("key"))
         leaves, depth = [small], cfg.depth
         while not large.isEmpty():
-            pivot = large.groupBy(F.col("node").alias("_node")).agg(F.min("key").alias("_pivot"))
-            self._confirm(
-                large.join(pivot, F.col("node") == F.col("_node")).select(
-                    F.col("_pivot").alias("a"), F.col("key").alias("b")
-                )
-            )
-            open_rows = self._open(large).select("node", "key")
+            first = [
+                F.min(F.struct(F.xxhash64("node", "key", F.lit(i)), F.col("key")))["key"] for i in range(cfg.pivots)
+            ]
+            pivot = large.groupBy(F.col("node").alias("_node")).agg(F.array(*first).alias("_pivots"))
+            self._confirm(self._best_pivots(large, pivot))
+            blocks, wide = self._near_done(self._open(large))
+            leaves.append(blocks)
             if depth == cfg.deepest:
-                leaves.append(self._blocks(open_rows))
+                leaves.append(self._blocks(wide))
                 break
-            below = self._with_tokens(open_rows).select("node", "key", "tokens").mapInArrow(
+            below = self._with_tokens(wide).select("node", "key", "tokens").mapInArrow(
                 _descend(cfg, 1, False), "node long, key binary"
             )
             small, large = self._split(materialise(below.distinct(), "nodes"), "sized")
@@ -397,11 +513,17 @@ class _Join:
         every = leaves[0]
         for more in leaves[1:]:
             every = every.unionByName(more)
-        for forest in (True, False):
-            candidates = self._sorted(self._with_tokens(self._open(every))).select(
-                "node", "key", "label", "n", "tokens"
-            ).mapInArrow(_compare(cfg, forest), "a binary, b binary")
-            self._confirm(candidates)
+        likely = self._sorted(self._with_tokens(self._open(every))).select(
+            "node", "key", "label", "n", "tokens"
+        ).mapInArrow(_compare(cfg, False), "a binary, b binary")
+        self._confirm(likely)
+        own = self.sets.select(F.col("key").alias("_k"), "set")
+        rest = self._open(every).join(own, F.col("key") == F.col("_k"))
+        exact = self._sorted(rest.withColumn("n", F.size("set"))).select(
+            "node", "key", "label", "n", "set"
+        ).mapInArrow(_compare(cfg, True), "a binary, b binary")
+        more = materialise(exact.distinct(), "links")
+        self.labels = components(self.tried.filter("linked").select("a", "b").unionByName(more))
 
     def result(self) -> DataFrame:
         named = self._labelled(self.classes.select("key", F.col("one.none").alias("_none"), F.col("one.id").alias("_id")))
