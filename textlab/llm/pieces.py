@@ -16,7 +16,8 @@ every document holds is one row a block. Texts move once, by block: a block is u
 characters are encoded by the same rule with a heap, in the block's task, so that the
 fold's work stays bounded.
 
-Defined cases: a NULL text encodes like ''; both have no pieces. Repeated rows
+Defined cases: a NULL text encodes like ''; both have no pieces. U+2581 stands for the
+space, so it decodes as one. Repeated rows
 are encoded one by one. An empty table gives an empty result. Extra columns are
 ignored. Models with a normalisation table or other white-space handling than the
 identity's are refused.
@@ -35,7 +36,7 @@ from textlab.llm.common import materialise
 from textlab.llm.lattice import edges, merges, viterbi
 
 SPACE = "▁"
-BLOCK_ROWS_BITS = 13
+BLOCK_ROWS_BITS = 12
 BLOCK_ROWS = 1 << BLOCK_ROWS_BITS
 LATTICE_CHARS = 32
 PLAIN_UNITS = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
@@ -238,20 +239,22 @@ def _spell(model: PieceModel, carry: list[str]):
     scores = {p: (i, s) for p, i, s in model.pieces}
 
     def run(texts, known):
+        import numpy as np
         import pandas as pd
         import regex
 
         find = regex.compile(model.units).findall
         ids = dict(zip(known["unit"], known["ids"], strict=True))
+        nothing = np.zeros(0, np.int32)
         out = []
         for t in texts["_text"]:
-            row: list[int] = []
+            row = []
             for u in find(_prefixed(t)):
                 got = ids.get(u)
                 if got is None:
-                    ids[u] = got = encode_long(u, scores, model)
-                row.extend(got)
-            out.append(row)
+                    ids[u] = got = np.array(encode_long(u, scores, model), np.int32)
+                row.append(got)
+            out.append(np.concatenate(row) if row else nothing)
         return pd.DataFrame({c: texts[c] for c in carry} | {"ids": out})
 
     return run

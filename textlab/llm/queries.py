@@ -50,10 +50,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document the number of pieces, a hash of the ids, and whether they decode to the text."""
+    """Per document the number of pieces, a hash of the ids, and whether they decode to the
+    text (the model spells U+2581 and the space alike)."""
     model = pieces.load(tokenizer_path())
     docs = read(spark, sf_dir, "documents").select(
-        "doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5")
+        "doc_id", "text", F.md5(F.translate(F.coalesce("text", F.lit("")), "▁", " ")).alias("text_md5")
     )
     decoded = pieces.decode(pieces.encode(docs, model, ("doc_id", "text_md5")), model)
     return decoded.select(
