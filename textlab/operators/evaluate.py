@@ -129,7 +129,7 @@ def auc_exact(scored: DataFrame, label: str = "label", score: str = "score", buc
         F.count(F.lit(1)).alias("n_scores"),
     )
     return a.select(
-        F.round(F.try_divide(F.col("s"), F.col("P") * F.col("N")), 6).alias("auc_roc"),
+        F.round(F.try_divide(F.try_divide(F.col("s"), F.col("P")), F.col("N")), 6).alias("auc_roc"),
         F.col("P").cast("bigint").alias("positive_samples"),
         F.col("N").cast("bigint").alias("negative_samples"),
         F.col("n_scores").cast("bigint").alias("n_scores"),
@@ -157,7 +157,7 @@ def summary_from_prefixed(p: DataFrame) -> DataFrame:
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
     out = a.select(
         *_metric_columns(tp, fp, fn, tn),
-        F.round(F.try_divide(F.col("s"), F.col("pos") * F.col("neg")), 4).alias("auc_roc"),
+        F.round(F.try_divide(F.try_divide(F.col("s"), F.col("pos")), F.col("neg")), 4).alias("auc_roc"),
         (F.col("pos") + F.col("neg")).cast("bigint").alias("test_samples"),
         F.col("pos").cast("bigint").alias("positive_samples"),
         F.col("neg").cast("bigint").alias("negative_samples"),

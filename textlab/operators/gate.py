@@ -41,7 +41,8 @@ def golden_gate(
     category: str = "category",
 ) -> DataFrame:
     """Golden-set rules: overall accuracy; every clear positive predicted 1; every clear
-    negative predicted 0; confidence floor on clear cases; both clear categories present."""
+    negative predicted 0; confidence floor on clear cases; both clear categories present.
+    A row without a prediction or confidence fails its rules."""
     exp, pred, conf, cat = F.col(expected), F.col(prediction), F.col(confidence), F.col(category)
     is_pos, is_neg = cat == F.lit(CLEAR_POSITIVE), cat == F.lit(CLEAR_NEGATIVE)
     clear = is_pos | is_neg
@@ -50,10 +51,10 @@ def golden_gate(
         F.count_if(exp == pred).alias("correct"),
         F.count_if(is_pos).alias("n_pos"),
         F.count_if(is_neg).alias("n_neg"),
-        F.count_if(is_pos & (pred != F.lit(1))).alias("bad_pos"),
-        F.count_if(is_neg & (pred != F.lit(0))).alias("bad_neg"),
+        F.count_if(is_pos & F.coalesce(pred != F.lit(1), F.lit(True))).alias("bad_pos"),
+        F.count_if(is_neg & F.coalesce(pred != F.lit(0), F.lit(True))).alias("bad_neg"),
         F.min(F.when(clear, conf)).alias("min_conf"),
-        F.count_if(clear & (conf < F.lit(min_confidence))).alias("low_conf"),
+        F.count_if(clear & F.coalesce(conf < F.lit(min_confidence), F.lit(True))).alias("low_conf"),
     )
     acc = F.try_divide(F.col("correct"), F.col("n"))
     rules = F.array(
@@ -94,11 +95,13 @@ def golden_failures(
     confidence: str = "confidence",
     category: str = "category",
 ) -> DataFrame:
-    """Rows breaking a golden rule, with the reason: a wrong label or a low-confidence clear case."""
+    """Rows breaking a golden rule, with the reason: not scored, a wrong label or a
+    low-confidence clear case."""
     exp, pred, conf, cat = F.col(expected), F.col(prediction), F.col(confidence), F.col(category)
     clear = cat.isin(CLEAR_POSITIVE, CLEAR_NEGATIVE)
     reason = (
-        F.when(exp != pred, F.lit("wrong_label"))
+        F.when(pred.isNull() | conf.isNull(), F.lit("not_scored"))
+        .when(exp != pred, F.lit("wrong_label"))
         .when(clear & (conf < F.lit(min_confidence)), F.lit("low_confidence"))
     )
     return scored.select(id_col, category, expected, prediction, confidence, reason.alias("reason")).filter(

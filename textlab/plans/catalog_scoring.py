@@ -121,7 +121,7 @@ def q_line_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _golden_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     shaped = shape_predictions(views.scores(spark, sf_dir))
     g = views.golden(spark, sf_dir)
-    return g.join(shaped.withColumnRenamed("review_id", "id"), "id").select(
+    return g.join(shaped.withColumnRenamed("review_id", "id"), "id", "left").select(
         "id", "category", "expected_label", F.col("label").alias("prediction"), "confidence"
     )
 

@@ -34,10 +34,13 @@ REVIEWS_CTE = """reviews AS (
          WHEN doc_id % 8 = 5 THEN NULL
          WHEN doc_id % 8 = 6 THEN 'no rating'
          ELSE 'Rated 0 out of 5 stars' END AS rating,
-    CASE WHEN doc_id % 5 = 0 THEN NULL
+    CASE WHEN doc_id % 11 = 0 THEN '<b>' || text || '</b>'
+         WHEN doc_id % 5 = 0 THEN NULL
          WHEN doc_id % 5 = 1 THEN ''
          ELSE '<b>' || substr(text, 1, 40) || '</b>' END AS title,
-    CASE WHEN doc_id % 11 = 0 THEN NULL ELSE '<br>' || substr(text, 41) END AS body,
+    CASE WHEN doc_id % 11 = 0 THEN NULL
+         WHEN doc_id % 5 <= 1 THEN '<br>' || text
+         ELSE '<br>' || substr(text, 41) END AS body,
     upper(lang) AS country
   FROM documents)"""
 

@@ -278,15 +278,15 @@ WHERE {strip_sql("raw")} <> ''"""
 
 GOLDEN_SCORED_CTE = f"""{SHAPED_CTE}, {GOLDEN_CTE},
 gs AS (SELECT g.id, g.category, g.expected_label, s.label AS prediction, s.confidence
-  FROM golden g JOIN shaped2 s ON g.id = s.review_id)"""
+  FROM golden g LEFT JOIN shaped2 s ON g.id = s.review_id)"""
 
 ORACLES["golden_gate"] = f"""WITH {GOLDEN_SCORED_CTE},
 a AS (SELECT count(*) AS n, count_if(expected_label = prediction) AS correct,
   count_if(category = 'clear_positive') AS n_pos, count_if(category = 'clear_negative') AS n_neg,
-  count_if(category = 'clear_positive' AND prediction <> 1) AS bad_pos,
-  count_if(category = 'clear_negative' AND prediction <> 0) AS bad_neg,
+  count_if(category = 'clear_positive' AND prediction IS DISTINCT FROM 1) AS bad_pos,
+  count_if(category = 'clear_negative' AND prediction IS DISTINCT FROM 0) AS bad_neg,
   min(CASE WHEN category IN ('clear_positive', 'clear_negative') THEN confidence END) AS min_conf,
-  count_if(category IN ('clear_positive', 'clear_negative') AND confidence < 0.65) AS low_conf FROM gs)
+  count_if(category IN ('clear_positive', 'clear_negative') AND coalesce(confidence < 0.65, true)) AS low_conf FROM gs)
 SELECT 'accuracy' AS rule, round(correct / NULLIF(CAST(n AS DOUBLE), 0), 4) AS observed, CAST(0.8 AS DOUBLE) AS threshold,
   coalesce(correct / NULLIF(CAST(n AS DOUBLE), 0) >= 0.8, false) AS passed, CAST(n - correct AS BIGINT) AS failing FROM a
 UNION ALL SELECT 'clear_positive_all_positive', round(1.0 - bad_pos / NULLIF(CAST(n_pos AS DOUBLE), 0), 4), 1.0, bad_pos = 0, CAST(bad_pos AS BIGINT) FROM a
@@ -296,7 +296,8 @@ UNION ALL SELECT 'clear_positive_present', round(CAST(n_pos AS DOUBLE), 4), 1.0,
 UNION ALL SELECT 'clear_negative_present', round(CAST(n_neg AS DOUBLE), 4), 1.0, n_neg >= 1, CAST(0 AS BIGINT) FROM a"""
 
 ORACLES["golden_failures"] = f"""WITH {GOLDEN_SCORED_CTE},
-r AS (SELECT *, CASE WHEN expected_label <> prediction THEN 'wrong_label'
+r AS (SELECT *, CASE WHEN prediction IS NULL OR confidence IS NULL THEN 'not_scored'
+  WHEN expected_label <> prediction THEN 'wrong_label'
   WHEN category IN ('clear_positive', 'clear_negative') AND confidence < 0.65 THEN 'low_confidence' END AS reason FROM gs)
 SELECT id, category, expected_label, prediction, confidence, reason FROM r WHERE reason IS NOT NULL"""
 

@@ -2,8 +2,9 @@
 
 ``documents`` holds no ratings, titles or tags, so the review-shaped inputs are
 derived from it column by column. Every view reads whole tables and whole
-texts: the title takes the first 40 characters and the body the rest, so the
-two together still carry the complete document.
+texts: title and body together hold the complete document. The title takes the first
+40 characters and the body the rest; where the title is NULL or empty the body is
+the whole text, and where the body is NULL the title is.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``review_id, rating, title, body, country`` from ``documents``.
 
     rating cycles through 'Rated 1..5 out of 5 stars', NULL, 'no rating' and
-    'Rated 0 out of 5 stars'; titles are NULL, '' or the first 40 characters in
-    ``<b>`` tags; bodies are NULL or the remaining text after a ``<br>``.
+    'Rated 0 out of 5 stars'; titles are NULL, '' or text in ``<b>`` tags; bodies are
+    NULL or the text that is not in the title after a ``<br>``.
     """
     return reviews_from_documents(read_table(spark, sf_dir, "documents"))
 
@@ -49,13 +50,17 @@ def reviews_from_documents(d: DataFrame) -> DataFrame:
     """The review derivation on any documents frame (batch or stream)."""
     doc_id, text = F.col("doc_id"), F.col("text")
     m5 = doc_id % F.lit(5)
+    no_body = doc_id % F.lit(11) == F.lit(0)
     title = (
-        F.when(m5 == F.lit(0), F.lit(None).cast("string"))
+        F.when(no_body, F.concat(F.lit("<b>"), text, F.lit("</b>")))
+        .when(m5 == F.lit(0), F.lit(None).cast("string"))
         .when(m5 == F.lit(1), F.lit(""))
         .otherwise(F.concat(F.lit("<b>"), F.substring(text, 1, TITLE_CHARS), F.lit("</b>")))
     )
-    body = F.when(doc_id % F.lit(11) == F.lit(0), F.lit(None).cast("string")).otherwise(
-        F.concat(F.lit("<br>"), F.substr(text, F.lit(TITLE_CHARS + 1)))
+    body = (
+        F.when(no_body, F.lit(None).cast("string"))
+        .when(m5 <= F.lit(1), F.concat(F.lit("<br>"), text))
+        .otherwise(F.concat(F.lit("<br>"), F.substr(text, F.lit(TITLE_CHARS + 1))))
     )
     return d.select(
         doc_id.alias("review_id"),
