@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textlab.llm.common import let
+from textlab.llm.common import let, materialise
 
 KEY = ["_id", "_th"]
 
@@ -94,8 +94,12 @@ def removals(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
         .filter("_first <> _last")
         .select(F.col("_hash").alias("_h"), "_first")
     )
-    found = _occurrences(docs, cfg).join(repeated, F.col("_hash") == F.col("_h")).select(
-        *KEY, "_pos", "_hash", "_text", where.eqNullSafe(F.col("_first")).alias("_is_first")
+    # written once, so that chunk texts meet the repeated hashes once for both uses below
+    found = materialise(
+        _occurrences(docs, cfg).join(repeated, F.col("_hash") == F.col("_h")).select(
+            *KEY, "_pos", "_hash", "_text", where.eqNullSafe(F.col("_first")).alias("_is_first")
+        ),
+        "chunks",
     )
     firsts = (
         found.filter("_is_first").groupBy("_hash").agg(F.min("_text").alias("_first_text"))
