@@ -119,7 +119,9 @@ def judge_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
         "_words", F.array_join(_letters(ascii_lower(F.col("path"))), " ")
     )
     seen = materialise(urls.groupBy("host", "_words").agg(F.count(F.lit(1)).alias("n")), "url-shapes")
-    split = segment_hosts(seen.select("host").distinct(), word_counts(pages)).withColumnRenamed("host", "_host")
+    # written once: the total and the scores both read the counts
+    counts = materialise(word_counts(pages), "word-counts")
+    split = segment_hosts(seen.select("host").distinct(), counts).withColumnRenamed("host", "_host")
     listed = F.array(*[F.lit(w) for w in BLOCK_WORDS])
     shapes = materialise(
         seen.join(split, F.col("host") == F.col("_host"), "left")
