@@ -12,7 +12,8 @@ Encoded units go back to their blocks, where texts are spelled with them.
 
 Only distinct units of a block are shuffled, never their occurrences, so a word that
 every document holds is one row a block. Texts move once, by block: a block is up to
-``BLOCK_ROWS`` rows of one input partition. Units of more than ``LATTICE_CHARS``
+``BLOCK_ROWS`` rows of one input partition with texts of like length, fewer the longer
+they are, so that it holds about 16 MB of text at most or one single text. Units of more than ``LATTICE_CHARS``
 characters are encoded by the same rule with a heap, in the block's task, so that the
 fold's work stays bounded.
 
@@ -38,6 +39,8 @@ from textlab.llm.lattice import edges, merges, viterbi
 SPACE = "▁"
 BLOCK_ROWS_BITS = 12
 BLOCK_ROWS = 1 << BLOCK_ROWS_BITS
+SHORT_CHARS = 2048
+CLASSES = 16
 LATTICE_CHARS = 32
 PLAIN_UNITS = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
 LETTER_UNITS = f"{SPACE}*[\\p{{L}}\\p{{M}}]+|{SPACE}*[^{SPACE}\\p{{L}}\\p{{M}}]+|{SPACE}+"
@@ -139,9 +142,10 @@ def _units(pattern: str):
         import regex
 
         find = regex.compile(pattern).findall
-        block, seen = None, set()
+        # a partition's blocks come in order within each length class
+        held: dict[int, tuple[int, set]] = {}
 
-        def out():
+        def out(block, seen):
             return pa.RecordBatch.from_arrays(
                 [pa.array([block] * len(seen), pa.int64()), pa.array(list(seen), pa.string())],
                 names=["block", "unit"],
@@ -149,13 +153,16 @@ def _units(pattern: str):
 
         for batch in batches:
             for b, t in zip(batch.column("block").to_pylist(), batch.column("text"), strict=True):
-                if b != block:
+                block, seen = held.get(b % CLASSES, (b, None))
+                if seen is None or block != b:
                     if seen:
-                        yield out()
-                    block, seen = b, set()
+                        yield out(block, seen)
+                    seen = set()
+                    held[b % CLASSES] = (b, seen)
                 seen.update(u for u in find(_prefixed(t.as_py())) if len(u) <= LATTICE_CHARS)
-        if seen:
-            yield out()
+        for block, seen in held.values():
+            if seen:
+                yield out(block, seen)
 
     return run
 
@@ -240,29 +247,46 @@ def _spell(model: PieceModel, carry: list[str]):
 
     def run(texts, known):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
         import regex
 
         find = regex.compile(model.units).findall
-        ids = dict(zip(known["unit"], known["ids"], strict=True))
-        nothing = np.zeros(0, np.int32)
-        out = []
-        for t in texts["_text"]:
+        number = {u: i for i, u in enumerate(known.column("unit").to_pylist())}
+        lists = pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *known.column("ids").chunks])
+        rows, long = [], []
+        for t in texts.column("_text"):
             row = []
-            for u in find(_prefixed(t)):
-                got = ids.get(u)
-                if got is None:
-                    ids[u] = got = np.array(encode_long(u, scores, model), np.int32)
-                row.append(got)
-            out.append(np.concatenate(row) if row else nothing)
-        return pd.DataFrame({c: texts[c] for c in carry} | {"ids": out})
+            for u in find(_prefixed(t.as_py())):
+                i = number.get(u)
+                if i is None:
+                    number[u] = i = len(number)
+                    long.append(np.array(encode_long(u, scores, model), np.int32))
+                row.append(i)
+            rows.append(np.array(row, np.int32))
+        flat = np.concatenate([lists.flatten().to_numpy(), *long])
+        sizes = np.concatenate([pc.list_value_length(lists).to_numpy(), [len(x) for x in long]]).astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        out = []
+        for row in rows:
+            n = sizes[row]
+            # position in the row's ids -> position in flat
+            out.append(flat[np.repeat(starts[row] - np.cumsum(n) + n, n) + np.arange(n.sum())])
+        ends = np.cumsum([0] + [len(x) for x in out])
+        ids = pa.ListArray.from_arrays(
+            pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *out]))
+        )
+        return pa.Table.from_arrays([*[texts.column(c) for c in carry], ids], names=[*carry, "ids"])
 
     return run
 
 
 def encode(docs: DataFrame, model: PieceModel, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``ids`` of every row of ``docs``, beside the columns named by ``carry``."""
-    block = F.shiftright(F.monotonically_increasing_id(), BLOCK_ROWS_BITS)
+    # length class c: texts of up to 2 ** (c + 1) * SHORT_CHARS characters, 2 ** c times fewer a block
+    size = F.greatest(F.lit(1.0), F.coalesce(F.length("text"), F.lit(0)) / SHORT_CHARS)
+    kind = F.least(F.floor(F.log2(size)), F.lit(BLOCK_ROWS_BITS)).cast("int")
+    block = F.call_function("shiftright", F.monotonically_increasing_id(), F.lit(BLOCK_ROWS_BITS) - kind) * CLASSES + kind
     own = [F.col(f"`{c}`") for c in carry]
     rows = docs.select(*own, F.col("text").alias("_text"), block.alias("_block"))
     kinds = dict(rows.dtypes)
@@ -280,7 +304,7 @@ def encode(docs: DataFrame, model: PieceModel, carry: tuple[str, ...] = ("doc_id
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in carry] + ["ids array<int>"])
     return (
         rows.groupBy("_block").cogroup(spelled.groupBy("_block"))
-        .applyInPandas(_spell(model, list(carry)), schema)
+        .applyInArrow(_spell(model, list(carry)), schema)
     )
 
 
