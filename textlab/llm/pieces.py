@@ -13,7 +13,7 @@ Encoded units go back to their blocks, where texts are spelled with them.
 Only distinct units of a block are shuffled, never their occurrences, so a word that
 every document holds is one row a block. Texts move once, by block: a block is up to
 ``BLOCK_ROWS`` rows of one input partition with texts of like length, fewer the longer
-they are, so that it holds about 16 MB of text at most or one single text. Units of more than ``LATTICE_CHARS``
+they are, so that it holds about 64 MB of text at most or one single text. Units of more than ``LATTICE_CHARS``
 characters are encoded by the same rule with a heap, in the block's task, so that the
 fold's work stays bounded.
 
@@ -39,7 +39,7 @@ from textlab.llm.lattice import edges, merges, viterbi
 SPACE = "▁"
 BLOCK_ROWS_BITS = 12
 BLOCK_ROWS = 1 << BLOCK_ROWS_BITS
-SHORT_CHARS = 2048
+SHORT_CHARS = 8192
 CLASSES = 16
 LATTICE_CHARS = 32
 PLAIN_UNITS = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
