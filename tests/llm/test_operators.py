@@ -125,6 +125,19 @@ def test_pieces_equal_the_library(spark):
     assert pieces.encode(docs.limit(0), model).count() == 0
 
 
+def test_pieces_of_mixed_lengths_and_null_ids(spark):
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path())
+    model = pieces.load(tokenizer_path())
+    # short texts, texts of two length classes above, one without a space
+    texts = ["one two", "ab cd " * 7000, "x" * 40000, None, "three " * 12000, "one two"]
+    rows = [(None if i == 1 else i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {(r.doc_id, tuple(r.ids)) for r in pieces.encode(docs, model).collect()}
+    assert got == {(d, tuple(lib.encode(t or ""))) for d, t in rows}
+
+
 def best_cost(unit, scores, unknown):
     """The largest sum of scores over all ways to cut the unit."""
     costs = [scores[unit][1]] if unit in scores else [unknown] if len(unit) == 1 else []
