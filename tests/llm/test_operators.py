@@ -223,6 +223,21 @@ def test_near_duplicates_empty_and_distinct(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [0, 3, 4, 5, 6, 8, 9, 10, 11]
 
 
+def word_shingles(text, n):
+    w = [re.sub("[A-Z]+", lambda m: m[0].lower(), x) for x in WORD.findall(text or "")]
+    return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+@pytest.mark.parametrize("slice_bits", [6, 18])
+def test_shingle_hashes_tell_shingles_apart(slice_bits):
+    tables = near_dup.hash_tables(slice_bits)
+    texts = [t for _, t, _ in ODD] + ["x" * 300 + " y z" * 50, "a b", "A B c\x0bD", "b a", "é\u00a0x É x"]
+    for n in (1, 3, 5):
+        sets = [(word_shingles(t, n), set(near_dup.shingle_set((t or "").encode(), n, tables).tolist())) for t in texts]
+        assert all(len(a) == len(b) for a, b in sets)
+        assert all(len(a & c) == len(b & d) for a, b in sets for c, d in sets)
+
+
 def test_exact_links_equal_sets():
     import numpy as np
 

@@ -32,6 +32,7 @@ ignored (``distinct_documents`` keeps them).
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +42,9 @@ from pyspark.sql import functions as F
 from textlab.llm.common import ascii_lower, let, materialise, words
 from textlab.llm.components import components
 
+GAP = re.compile(rb"[\x20\x09-\x0D]")
+BASE = 0xD6E8FEB86659FD93
+
 
 @dataclass(frozen=True)
 class NearDup:
@@ -124,18 +128,77 @@ def children(nodes, tokens, branch: int):
     return np.stack(out, axis=1)
 
 
-def _sketch(slots: int):
+def hash_tables(slice_bits: int = 18) -> tuple:
+    """A random odd number per byte (0 for gaps between words; A-Z as a-z), powers of
+    an odd base and their inverses, as many as a slice has bytes."""
+    import numpy as np
+
+    of_byte = np.random.default_rng(2).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    of_byte[65:91] = of_byte[97:123]
+    of_byte[[9, 10, 11, 12, 13, 32]] = 0
+    return of_byte, _powers(BASE, 1 << slice_bits), _powers(pow(BASE, -1, 1 << 64), 1 << slice_bits)
+
+
+def _powers(base: int, n: int):
+    import numpy as np
+
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def word_hashes(raw: bytes, tables: tuple):
+    """64-bit hashes of the words of a UTF-8 text in order, A-Z like a-z.
+
+    A word's hash is a polynomial over its bytes, mixed. Long texts are taken in
+    slices that end at a gap, so only the hashes grow with the text.
+    """
+    import numpy as np
+
+    of_byte, powers, inverse = tables
+    size, at, out = len(powers), 0, []
+    while at < len(raw):
+        end = at + size
+        if end < len(raw):
+            gap = GAP.search(raw, end)
+            end = gap.start() if gap else len(raw)
+        values = of_byte[np.frombuffer(raw, np.uint8, min(end, len(raw)) - at, at)]
+        word = values != 0
+        starts = np.flatnonzero(word & ~np.concatenate([[False], word[:-1]]))
+        if len(starts):
+            up, down = powers, inverse
+            if len(values) > len(up):
+                up, down = _powers(BASE, len(values)), _powers(pow(BASE, -1, 1 << 64), len(values))
+            sums = np.add.reduceat(values * up[: len(values)], starts, dtype=np.uint64)
+            out.append(_mix(sums * down[starts]))
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def shingle_set(raw: bytes, n: int, tables: tuple):
+    """The distinct shingles of a text, as sorted 64-bit hashes."""
+    import numpy as np
+
+    h = word_hashes(raw, tables)
+    if not len(h):
+        return h
+    width = min(n, len(h))
+    least = len(h) - width + 1
+    out = h[:least] ^ np.uint64(width)
+    for j in range(1, width):
+        out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + h[j : j + least])
+    return np.unique(out)
+
+
+def _sketch(slots: int, shingle: int):
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
+        tables = hash_tables()
         for batch in batches:
-            sets = batch.column("_s")
-            flat = sets.values.to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
-            at = sets.offsets.to_numpy()
             n, key, tokens = [], [], []
-            for i in range(len(sets)):
-                own = np.unique(flat[at[i] : at[i + 1]])
+            for text in batch.column("_s"):
+                own = shingle_set(text.as_py() or b"", shingle, tables)
                 n.append(len(own))
                 key.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
                 tokens.append(minwise(own, slots).tobytes() if len(own) else None)
@@ -329,8 +392,8 @@ class _Join:
     def __init__(self, docs: DataFrame, cfg: NearDup):
         self.docs, self.cfg, self.spark = docs, cfg, docs.sparkSession
         self.sketches = materialise(
-            docs.select("doc_id", F.xxhash64("text").alias("th"), shingles(F.col("text"), cfg.shingle).alias("_s"))
-            .mapInArrow(_sketch(cfg.slots), "doc_id long, th long, n long, key binary, tokens binary"),
+            docs.select("doc_id", F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("_s"))
+            .mapInArrow(_sketch(cfg.slots, cfg.shingle), "doc_id long, th long, n long, key binary, tokens binary"),
             "sketches",
         )
         one = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("th").alias("th"))
