@@ -557,9 +557,8 @@ class _Join:
         self._keep_sets(small.unionByName(large).select("key"))
         leaves, depth = [small], cfg.depth
         while not large.isEmpty():
-            first = [
-                F.min(F.struct(F.xxhash64("node", "key", F.lit(i)), F.col("key")))["key"] for i in range(cfg.pivots)
-            ]
+            # the same order in all nodes: the nodes that a group meets in mostly put up the same pivots
+            first = [F.min(F.struct(F.xxhash64("key", F.lit(i)), F.col("key")))["key"] for i in range(cfg.pivots)]
             pivot = large.groupBy(F.col("node").alias("_node")).agg(F.array(*first).alias("_pivots"))
             self._confirm(self._best_pivots(large, pivot))
             blocks, wide = self._near_done(self._open(large))
