@@ -57,7 +57,7 @@ class NearDup:
     branch: int = 2
     depth: int = 5
     deepest: int = 7
-    leaf: int = 256
+    leaf: int = 2048
     pivots: int = 3
     margin: float = 0.12
 
@@ -258,38 +258,51 @@ def _shares(slots: int):
     return run
 
 
+def forest(weight, least: float) -> list:
+    """Index pairs of a heaviest spanning forest, of edges of at least ``least``.
+
+    ``weight`` is symmetric; edges of weight 2 join what is joined already.
+    """
+    import numpy as np
+
+    k, out = len(weight), []
+    left, best, source = np.ones(k, bool), np.full(k, -1.0), np.zeros(k, np.int64)
+    for _ in range(k):
+        v = int(np.argmax(np.where(left, best, -2)))
+        if least <= best[v] < 2:
+            out.append((int(source[v]), v))
+        left[v] = False
+        better = left & (weight[v] > best)
+        best[better] = weight[v][better]
+        source[better] = v
+    return out
+
+
+def _compatible(labels, sizes, percent: int):
+    """Which pairs may be links by their sizes, and which have one label."""
+    import numpy as np
+
+    _, number = np.unique(labels, return_inverse=True)
+    sizes = np.asarray(sizes, np.int64)
+    fits = 100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes)
+    return fits, number[:, None] == number[None, :]
+
+
 def likely_pairs(labels, sizes, tokens, cfg: NearDup):
     """A spanning forest of a node's index pairs that may be links, of different labels."""
     import numpy as np
 
     k = len(sizes)
-    i, j = np.triu_indices(k, 1)
-    small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
-    go = (labels[i] != labels[j]) & (100 * small >= cfg.percent * large)
-    i, j = i[go], j[go]
-    if not len(i):
-        return []
-    share = np.empty(len(i))
-    for at in range(0, len(i), 1 << 14):
-        part = slice(at, at + (1 << 14))
-        share[part] = (tokens[i[part]] == tokens[j[part]]).mean(axis=1)
-    go = share >= cfg.likely
-    i, j, share = i[go], j[go], share[go]
-    root = {}
-
-    def top(x):
-        while root.get(x, x) != x:
-            root[x] = root.get(root[x], root[x])
-            x = root[x]
-        return x
-
-    out = []
-    for e in np.argsort(-share, kind="stable"):
-        a, b = top(labels[i[e]]), top(labels[j[e]])
-        if a != b:
-            root[a] = b
-            out.append((int(i[e]), int(j[e])))
-    return out
+    fits, same = _compatible(labels, sizes, cfg.percent)
+    weight = np.zeros((k, k), np.float32)
+    step = max(1, (1 << 22) // (k * cfg.slots))
+    for at in range(0, k, step):
+        equal = tokens[at : at + step, None] == tokens[None, at:]
+        weight[at : at + step, at:] = equal.sum(axis=2, dtype=np.uint16) / np.float32(cfg.slots)
+    weight = np.maximum(weight, weight.T)
+    weight[~fits] = 0
+    weight[same] = 2
+    return forest(weight, cfg.likely)
 
 
 def _compare(cfg: NearDup, exact: bool):
@@ -349,40 +362,26 @@ def exact_links(labels, sets: list, percent: int):
 
     k = len(sets)
     n = np.array([len(x) for x in sets])
-    i, j = np.triu_indices(k, 1)
-    go = (labels[i] != labels[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
-    i, j = i[go], j[go]
-    if not len(i):
+    fits, joined = _compatible(labels, n, percent)
+    if not (fits & ~joined).any():
         return []
     flat, owner = np.concatenate(sets), np.repeat(np.arange(k), n)
     _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
     shared = times[column] > 1
     numbers = np.cumsum(times > 1) - 1
     column, owner = numbers[column[shared]], owner[shared]
-    both = np.zeros((k, k), np.float64)
+    both = np.zeros((k, k), np.int32)
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
         lo, hi = np.searchsorted(column, [at, at + 4096])
         m = np.zeros((k, 4096), np.float32)
         m[owner[lo:hi], column[lo:hi] - at] = 1
-        both += m @ m.T
-    same = both[i, j].astype(np.int64)
-    go = 100 * same >= percent * (n[i] + n[j] - same)
-    root: dict = {}
-
-    def top(x):
-        while root.get(x, x) != x:
-            x = root[x]
-        return x
-
-    out = []
-    for a, b in zip(i[go].tolist(), j[go].tolist(), strict=True):
-        ra, rb = top(labels[a]), top(labels[b])
-        if ra != rb:
-            root[ra] = rb
-            out.append((a, b))
-    return out
+        both += (m @ m.T).astype(np.int32)
+    union = n[:, None] + n[None, :] - both
+    weight = (fits & (100 * both.astype(np.int64) >= percent * union)).astype(np.float32)
+    weight[joined] = 2
+    return forest(weight, 1)
 
 
 # --- the join ----------------------------------------------------------------------
