@@ -12,7 +12,6 @@ from textlab.functions.text import (
     request_reject_reason,
     scoring_text,
     sentiment_label,
-    valid_row,
 )
 from textlab.functions.tokens import (
     bigrams,
@@ -39,5 +38,4 @@ __all__ = [
     "scoring_text",
     "sentiment_label",
     "unigrams_and_bigrams",
-    "valid_row",
 ]

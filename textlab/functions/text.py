@@ -18,8 +18,6 @@ RATING_DIGIT_PATTERN = r"(\d)"
 # Cleaning: lower-case, tags to a space, anything but a-z / 0-9 / whitespace to a
 # space, runs of whitespace to one space, then trim.
 TAG_PATTERN = r"<[^>]+>"
-NON_ALNUM_PATTERN = r"[^a-z0-9\s]"
-WHITESPACE_RUN_PATTERN = r"\s+"
 # The last two steps together turn every maximal run of characters outside a-z0-9
 # into one space, which one pattern does in a single pass:
 NON_ALNUM_RUN_PATTERN = r"[^a-z0-9]+"
@@ -101,11 +99,6 @@ def combine_trimmed(title_clean: Column | str, text_clean: Column | str) -> Colu
     )
 
 
-def valid_row(label: Column | str, combined: Column | str, min_length: int = 5) -> Column:
-    """Training-row predicate: label present and untrimmed combined text longer than ``min_length``."""
-    return _col(label).isNotNull() & (F.length(_col(combined)) > F.lit(min_length))
-
-
 def py_strip(text: Column | str) -> Column:
     """Python ``str.strip()`` semantics (all Unicode whitespace), unlike ``trim``."""
     return F.regexp_replace(
