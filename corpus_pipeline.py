@@ -29,8 +29,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated multi-line chunks; documents that held nothing else are dropped."""
-    out = line_dedup.dedup_lines(docs)
+    """Texts without repeated multi-line passages; documents that held nothing else are dropped."""
+    out = line_dedup.dedup_lines(docs, line_dedup.RUNS)
     if "n_chars" in out.columns:
         kind = dict(out.dtypes)["n_chars"]
         out = out.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(kind))

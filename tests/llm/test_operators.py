@@ -10,6 +10,7 @@ import zipfile
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from textlab.llm import (
     line_dedup,
@@ -392,6 +393,56 @@ def test_line_chunks(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def without_repeated_runs(rows):
+    """Brute force on lines: of each (id, text) the text left, None where the document is dropped."""
+    word = re.compile(r"[^\x20\x09-\x0D]")
+    order = {r: k for k, r in enumerate(sorted({(i, t) for i, t in rows if t}, key=lambda r: (r[0] is not None, r[0])))}
+    seen, out = set(), {}
+    for i, t in order:
+        lines, gone = t.split("\n"), set()
+        for k in range(len(lines) - 1):
+            two = (lines[k], lines[k + 1])
+            if not word.search("".join(two)):
+                continue
+            if two in seen:
+                gone |= {k, k + 1}
+            seen.add(two)
+        left = [x for k, x in enumerate(lines) if k not in gone]
+        out[i, t] = t if not gone else "\n".join(left) if any(map(word.search, left)) else None
+    return out
+
+
+def test_repeated_passages_go_whole(spark):
+    """Passages of 3 to 6 lines and over 50 words, wherever the content-defined boundaries fall."""
+    from corpus_pipeline import lines
+
+    passages = {
+        (n, v): "\n".join(f"p{n}v{v} line {j} " + " ".join(f"w{n}{v}{j}{x}" for x in range(17)) for j in range(n))
+        for n in range(3, 7) for v in range(5)
+    }
+    rows, i = [], 0
+    for p in passages.values():
+        for k in range(3):
+            own = [f"own {i} {j}" for j in range(4 + k)]
+            rows.append((i, "\n".join([*own[: 2 + k], p, *own[2 + k :]])))
+            i += 1
+    rows += [(900, rows[4][1]), (901, "one\n\n\n\ntwo\nthree\n\n"), (902, "one\n\n\n\ntwo\nthree\n\n"), (903, None),
+             (904, ""), (905, "x\nx\nx\ny"), (None, "y\none\nend"), (906, "\n\n"), (907, "\n\n"), (908, "own 3 0\nown 3 1"),
+             (908, "own 3 0\nown 3 1"), (909, rows[0][1] + "\n" + rows[1][1])]
+    docs = documents(spark, [(i, t, "a") for i, t in rows])
+    docs = docs.withColumn("n_chars", F.length("text"))
+    want = without_repeated_runs(rows)
+    got = lines(spark, docs, "").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(
+        (i, want[i, t] if t else t) for i, t in rows if not t or want[i, t] is not None
+    )
+    for p in passages.values():
+        assert sum(line in (r.text or "").split("\n") for r in got for line in p.split("\n")) == p.count("\n") + 1
+    assert not {900, 902, 908, 909} & {r.doc_id for r in got}
+    report = {(r.doc_id, r.n_chars): r for r in line_dedup.line_report(docs, line_dedup.RUNS).collect()}
+    assert all(report[i, len(t)].kept_chars == len(want[i, t] or "") for i, t in rows if t)
+
+
 # --- 8 -------------------------------------------------------------------------------
 
 

@@ -1,4 +1,4 @@
-"""Operator 7: repeated multi-line chunks at content-defined boundaries, DataFrame functions only.
+"""Operator 7: repeated multi-line passages, DataFrame functions only.
 
 A text's lines are hashed; a rolling hash over each window of ``window`` line hashes
 ends a chunk where it is divisible by ``divisor``. A boundary depends on the lines
@@ -7,14 +7,26 @@ boundary. Chunks of ``min_lines`` lines or more whose hash occurs more than once
 in the corpus are compared byte by byte with the first occurrence (smallest
 document, then position), and are removed where they are equal.
 
+Chunks alone miss most short passages: those cut by a passage's edge are not equal, and
+those of one line don't count. With ``overlap`` (``RUNS``, as the query and the
+pipeline have it) the units are all windows of ``min_lines`` neighbouring lines instead,
+each hashed where it begins, and a line goes if a window that holds it occurred
+before. So every line of a repeated passage of ``min_lines`` lines or more
+goes, up to its edges, and all that whole chunks would remove; each line that goes stays
+at its first place. The chunk rule is the default of the functions.
+
 Hashes alone are grouped, with map-side pre-aggregation. Texts move twice: chunks to
-meet the repeated hashes, and documents to meet their removals; a chunk that a third of
-the documents hold is left to AQE's skew splitting, and its hash is one row there.
+meet the repeated hashes (of windows, documents to meet the places of their repeated
+ones, and those windows' texts), and documents to meet their removals; a unit that a
+third of the documents hold is left to AQE's skew splitting, and its hash is one row
+there.
 
-Defined cases: a NULL or empty text has no chunks and stays as it is. Chunks without
-a word are never removed. Rows equal in id and text count as one document
-and get the same result. A document whose chunks are all removed is dropped. An
-empty table gives an empty result. Extra columns are kept, whatever their names.
+Defined cases: a NULL or empty text has no chunks and stays as it is. Chunks and
+windows without a word are never removed (so of three blank lines in a row in a
+repeated passage the middle one stays). Rows equal in id and text count as one
+document and get the same result. A document whose chunks are all removed, or that lost
+windows and has no word left, is dropped. An empty table gives an empty result.
+Extra columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,15 +39,22 @@ from pyspark.sql import functions as F
 from textlab.llm.common import let, materialise
 
 KEY = ["_id", "_th"]
+WORD = r"[^\x20\x09-\x0D]"
 
 
 @dataclass(frozen=True)
 class Chunking:
-    """``divisor`` is the mean number of lines a chunk holds."""
+    """``divisor`` is the mean number of lines a chunk holds; ``overlap`` takes all
+    windows of ``min_lines`` lines for units instead of the chunks."""
 
     window: int = 2
     divisor: int = 3
     min_lines: int = 2
+    overlap: bool = False
+
+
+#: Every repeated run of two lines or more.
+RUNS = Chunking(overlap=True)
 
 
 def chunks(text: Column, cfg: Chunking = Chunking()) -> Column:
@@ -73,6 +92,32 @@ def chunks(text: Column, cfg: Chunking = Chunking()) -> Column:
     return F.when(text.isNotNull() & (text != ""), let(F.split(text, "\n"), cut))
 
 
+def _parts(text: Column, cfg: Chunking) -> Column:
+    """What removals count by position: the texts of chunks, or the lines."""
+    if cfg.overlap:
+        return F.when(text.isNotNull() & (text != ""), F.split(text, "\n"))
+    return F.transform(chunks(text, cfg), lambda x: x["text"])
+
+
+def _left(parts: Column, gone: Column) -> Column:
+    """The parts at positions not in the sorted ``gone``: the slices between them."""
+
+    def between(ends: Column) -> Column:
+        def one(end: Column, i: Column) -> Column:
+            start = F.coalesce(F.get(ends, i - 1) + 1, F.lit(0))
+            return F.slice(parts, start + 1, end - start)
+
+        return F.flatten(F.transform(ends, one))
+
+    return let(F.concat(gone, F.array(F.size(parts))), between)
+
+
+def _joined(parts: Column, cfg: Chunking) -> Column:
+    """The text of what is left, NULL where the document is dropped."""
+    some = F.exists(parts, lambda x: x.rlike(WORD)) if cfg.overlap else F.size(parts) > 0
+    return F.when(some, F.array_join(parts, "\n"))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), "text")
 
@@ -81,26 +126,76 @@ def _occurrences(docs: DataFrame, cfg: Chunking) -> DataFrame:
     """``_id, _th, _pos, _hash, _text`` of each chunk that may be removed."""
     whole = _keyed(docs).select(*KEY, F.posexplode(chunks(F.col("text"), cfg)).alias("_pos", "_chunk"))
     return whole.filter(
-        (F.col("_chunk.lines") >= cfg.min_lines) & F.col("_chunk.text").rlike(r"[^\x20\x09-\x0D]")
+        (F.col("_chunk.lines") >= cfg.min_lines) & F.col("_chunk.text").rlike(WORD)
     ).select(*KEY, "_pos", F.xxhash64("_chunk.text").alias("_hash"), F.col("_chunk.text").alias("_text"))
 
 
-def removals(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
-    """``_id, _th, _gone``: of each document the positions of chunks to remove."""
+def _windows(docs: DataFrame, cfg: Chunking) -> DataFrame:
+    """``_id, _th, _pos, _hash`` of each window of ``min_lines`` lines that holds a word."""
+
+    def hashed(lines: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            own = [F.get(lines, i + j) for j in range(cfg.min_lines)]
+            word = own[0]["word"]
+            for y in own[1:]:
+                word = word | y["word"]
+            return F.when((i + cfg.min_lines <= F.size(lines)) & word, F.xxhash64(*[y["hash"] for y in own]))
+
+        return F.transform(lines, one)
+
+    lines = F.transform(
+        _parts(F.col("text"), cfg), lambda x: F.struct(F.xxhash64(x).alias("hash"), x.rlike(WORD).alias("word"))
+    )
+    return _keyed(docs).select(*KEY, F.posexplode(let(lines, hashed)).alias("_pos", "_hash")).filter("_hash is not null")
+
+
+def _repeated(units: DataFrame) -> DataFrame:
+    """``_h, _first``: hashes that occur more than once, and where first."""
     where = F.struct("_id", "_th", "_pos")
-    repeated = (
-        _occurrences(docs, cfg).groupBy("_hash")
+    return (
+        units.groupBy("_hash")
         .agg(F.min(where).alias("_first"), F.max(where).alias("_last"))
         .filter("_first <> _last")
         .select(F.col("_hash").alias("_h"), "_first")
     )
-    # written once, so that chunk texts meet the repeated hashes once for both uses below
-    found = materialise(
-        _occurrences(docs, cfg).join(repeated, F.col("_hash") == F.col("_h")).select(
-            *KEY, "_pos", "_hash", "_text", where.eqNullSafe(F.col("_first")).alias("_is_first")
-        ),
-        "chunks",
+
+
+def _found_chunks(docs: DataFrame, cfg: Chunking) -> DataFrame:
+    """``_id, _th, _pos, _hash, _text, _is_first`` of each chunk of a repeated hash."""
+    return _occurrences(docs, cfg).join(_repeated(_occurrences(docs, cfg)), F.col("_hash") == F.col("_h")).select(
+        *KEY, "_pos", "_hash", "_text",
+        F.struct("_id", "_th", "_pos").eqNullSafe(F.col("_first")).alias("_is_first"),
+    )
+
+
+def _found_windows(docs: DataFrame, cfg: Chunking) -> DataFrame:
+    """The same of windows. Only places and hashes meet the repeated hashes: windows
+    overlap, so their texts are taken from the documents, of repeated ones alone."""
+    windows = materialise(_windows(docs, cfg), "windows")
+    place = F.struct(
+        "_pos", "_hash", F.struct("_id", "_th", "_pos").eqNullSafe(F.col("_first")).alias("_is_first")
     )
+    places = (
+        windows.join(_repeated(windows), F.col("_hash") == F.col("_h"))
+        .groupBy(F.col("_id").alias("_gid"), F.col("_th").alias("_gth")).agg(F.collect_set(place).alias("_places"))
+    )
+    texts = let(_parts(F.col("text"), cfg), lambda lines: F.transform("_places", lambda p: F.struct(
+        p["_pos"].alias("_pos"), p["_hash"].alias("_hash"),
+        F.array_join(F.slice(lines, p["_pos"] + 1, cfg.min_lines), "\n").alias("_text"),
+        p["_is_first"].alias("_is_first"),
+    )))
+    return (
+        _keyed(docs).join(
+            places.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_th") == F.col("_gth"))
+        )
+        .select(*KEY, F.explode(texts).alias("_w")).select(*KEY, "_w.*")
+    )
+
+
+def removals(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
+    """``_id, _th, _gone``: of each document the sorted positions of parts to remove."""
+    # written once, so that texts meet the repeated hashes once for both uses below
+    found = materialise(_found_windows(docs, cfg) if cfg.overlap else _found_chunks(docs, cfg), "chunks")
     firsts = (
         found.filter("_is_first").groupBy("_hash").agg(F.min("_text").alias("_first_text"))
         .withColumnRenamed("_hash", "_h")
@@ -108,11 +203,14 @@ def removals(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
     equal = found.filter("not _is_first").join(
         firsts, (F.col("_hash") == F.col("_h")) & (F.col("_text") == F.col("_first_text"))
     )
-    return equal.groupBy(*KEY).agg(F.collect_set("_pos").alias("_gone"))
+    gone = F.collect_set("_pos")
+    if cfg.overlap:
+        gone = F.array_distinct(F.flatten(F.transform(gone, lambda p: F.sequence(p, p + (cfg.min_lines - 1)))))
+    return equal.groupBy(*KEY).agg(F.array_sort(gone).alias("_gone"))
 
 
 def dedup_lines(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
-    """The documents without repeated chunks, in the columns they came with."""
+    """The documents without repeated chunks or windows, in the columns they came with."""
     gone = removals(docs, cfg).select(F.col("_id").alias("_gid"), F.col("_th").alias("_gth"), "_gone")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     joined = docs.select(row, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), F.col("text").alias("_text")).join(
@@ -120,11 +218,10 @@ def dedup_lines(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
         F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_th") == F.col("_gth")), "left",
     )
 
-    def rest(c: Column) -> Column:
-        left = F.filter(c, lambda x, i: ~F.array_contains(F.col("_gone"), i))
-        return F.when(F.size(left) > 0, F.array_join(F.transform(left, lambda x: x["text"]), "\n"))
+    def rest(parts: Column) -> Column:
+        return let(_left(parts, F.col("_gone")), lambda left: _joined(left, cfg))
 
-    cleaned = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(let(chunks(F.col("_text"), cfg), rest))
+    cleaned = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(let(_parts(F.col("_text"), cfg), rest))
     kept = joined.select("_row", "_gone", cleaned.alias("_clean")).filter(
         F.col("_gone").isNull() | F.col("_clean").isNotNull()
     )
@@ -134,7 +231,9 @@ def dedup_lines(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
 
 
 def line_report(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
-    """``doc_id, n_chunks, n_removed, n_chars, kept_chars, kept_md5``, all documents."""
+    """``doc_id, n_chunks, n_removed, n_chars, kept_chars, kept_md5``, all documents.
+
+    With ``overlap``, ``n_chunks`` and ``n_removed`` count lines."""
     gone = removals(docs, cfg).select(F.col("_id").alias("_gid"), F.col("_th").alias("_gth"), "_gone")
     joined = _keyed(docs).join(
         gone.hint("shuffle_hash"),
@@ -143,14 +242,9 @@ def line_report(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
     none = F.array().cast("array<int>")
     cut = joined.select(
         F.col("_id").alias("doc_id"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
-        F.coalesce("_gone", none).alias("_gone"), chunks(F.col("text"), cfg).alias("_chunks"), "text",
-    )
-    left = F.array_join(
-        F.transform(
-            F.filter("_chunks", lambda x, i: ~F.array_contains(F.col("_gone"), i)), lambda x: x["text"]
-        ),
-        "\n",
+        F.coalesce("_gone", none).alias("_gone"), _parts(F.col("text"), cfg).alias("_chunks"), "text",
     )
+    left = let(_left(F.col("_chunks"), F.col("_gone")), lambda x: F.coalesce(_joined(x, cfg), F.lit("")))
     clean = F.when(F.size("_gone") == 0, F.coalesce("text", F.lit(""))).otherwise(left)
     return cut.select(
         "doc_id",

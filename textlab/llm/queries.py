@@ -86,7 +86,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(read(spark, sf_dir, "documents"))
+    return line_dedup.line_report(read(spark, sf_dir, "documents"), line_dedup.RUNS)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
