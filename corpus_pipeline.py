@@ -20,7 +20,7 @@ from textlab.llm.common import materialise, read
 from textlab.llm.queries import tokenizer_path, trusted
 
 #: Near duplicates of this pipeline: five-word shingles, similarity 0.8 or more.
-NEAR = near_dup.NearDup(shingle=5, percent=80, trees=32)
+NEAR = near_dup.NearDup(shingle=5, percent=80, slots=160, trees=32)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -253,6 +253,28 @@ def test_exact_links_equal_sets():
     assert len(linked) == 11
 
 
+@pytest.mark.parametrize("name", ["query", "pipeline"])
+def test_trees_share_no_slot(name):
+    import corpus_pipeline
+    import numpy as np
+    import pyarrow as pa
+
+    cfg = near_dup.NearDup() if name == "query" else corpus_pipeline.NEAR
+    plain = np.random.default_rng(5).integers(0, 1 << 16, cfg.slots, dtype=np.uint16)
+    tokens = np.tile(plain, (cfg.slots + 1, 1))
+    tokens[np.arange(cfg.slots), np.arange(cfg.slots)] ^= 1
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([x.tobytes() for x in tokens], pa.binary()), pa.array([b"%d" % i for i in range(len(tokens))], pa.binary())],
+        names=["tokens", "key"],
+    )
+    rows = [r for b in near_dup._descend(cfg, cfg.depth, True)([batch]) for r in b.to_pylist()]
+    own = {r["node"] for r in rows if r["key"] == b"%d" % cfg.slots}
+    left = Counter(r["key"] for r in rows if r["node"] not in own)
+    assert len(own) == cfg.trees and len(rows) == cfg.trees * len(tokens)
+    # a changed token leaves all trees but one as they are, and depth of them reach each tree
+    assert set(left.values()) == {1} and len(left) == cfg.trees * cfg.depth
+
+
 # --- 4 -------------------------------------------------------------------------------
 
 
