@@ -224,6 +224,21 @@ def test_near_duplicates_empty_and_distinct(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [0, 3, 4, 5, 6, 8, 9, 10, 11]
 
 
+def test_one_document_of_each_component(spark):
+    """Also where near copies have no id, or several texts have the smallest."""
+    def copies(name, ids):
+        words = [f"{name}{i}" for i in range(120)]
+        return [(i, " ".join([*words[:k], f"new{k}", *words[k + 1 :]]), "a") for k, i in enumerate(ids)]
+
+    groups = [copies("a", [None] * 4), copies("b", [5, 5, 5, 6]), copies("c", [None, 8, 8]), copies("d", [9])]
+    blank = [(20, None, "a"), (20, " ", "a"), (None, "", "a")]
+    docs = documents(spark, [r for g in groups for r in [*g, g[0]]] + blank)
+    kept = near_dup.distinct_documents(docs, near_dup.NearDup(shingle=5, percent=80)).collect()
+    names = Counter((r.text.split()[-1][0], r.doc_id) for r in kept if r.text and r.text.strip())
+    assert names == {("a", None): 1, ("b", 5): 1, ("c", 8): 1, ("d", 9): 1}
+    assert len(kept) == 4 + len(blank)
+
+
 def word_shingles(text, n):
     w = [re.sub("[A-Z]+", lambda m: m[0].lower(), x) for x in WORD.findall(text or "")]
     return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()

@@ -608,31 +608,35 @@ class _Join:
         self.labels = components(self.tried.filter("linked").select("a", "b").unionByName(more))
 
     def result(self) -> DataFrame:
-        named = self._labelled(self.classes.select("key", F.col("one.none").alias("_none"), F.col("one.id").alias("_id")))
-        least = named.groupBy(F.col("label").alias("_l")).agg(
-            F.min(F.struct("_none", "_id")).alias("_least")
-        )
+        """``doc_id, th, n_shingles, component_id, kept`` and ``first``: whether the row has the
+        least id, then text hash, of its component (a text without shingles is its own)."""
+        named = self._labelled(self.classes.select("key", "one"))
+        least = named.groupBy(F.col("label").alias("_l")).agg(F.min("one").alias("_least"))
         of_class = named.join(least, F.col("label") == F.col("_l")).select(
-            F.col("key").alias("_k"), F.col("_least._id").alias("_component")
+            F.col("key").alias("_k"), F.col("_least.id").alias("_component"), F.col("_least.th").alias("_least_th")
         )
         return self.sketches.join(of_class, F.col("key") == F.col("_k"), "left").select(
             "doc_id", "th", F.col("n").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("_component")).otherwise(F.col("doc_id")).alias("component_id"),
-        ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+            F.when(F.col("n") > 0, F.col("th") == F.col("_least_th")).otherwise(True).alias("_least_text"),
+        ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+            "doc_id", "th", "n_shingles", "component_id", "kept", (F.col("kept") & F.col("_least_text")).alias("first")
+        )
 
 
 def near_duplicates(docs: DataFrame, cfg: NearDup = NearDup()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
     join = _Join(docs, cfg)
     join.run()
-    return join.result().drop("th")
+    return join.result().drop("th", "first")
 
 
 def distinct_documents(docs: DataFrame, cfg: NearDup = NearDup()) -> DataFrame:
-    """One document of each component (of repeated rows, one), in the columns they came with."""
+    """One document of each component, in the columns they came with: that of the least id,
+    NULL last, then of the least text hash; of rows equal in both, one."""
     join = _Join(docs, cfg)
     join.run()
-    kept = join.result().filter("kept").select(F.col("doc_id").alias("_kid"), F.col("th").alias("_kth")).distinct()
+    kept = join.result().filter("first").select(F.col("doc_id").alias("_kid"), F.col("th").alias("_kth")).distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = docs.select(row, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"))
     return (
