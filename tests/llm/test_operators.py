@@ -347,6 +347,32 @@ def test_classifier_learns_and_defines_odd_cases(spark):
     assert quality_classifier.score(docs.limit(0), model).count() == 0
 
 
+def test_classifier_learns_from_one_text_an_id(spark, monkeypatch):
+    trained = quality_classifier._train
+
+    def counted(cfg):
+        import pyarrow as pa
+
+        def run(batches):
+            batches = list(batches)
+            if sum(b.num_rows for b in batches) > cfg.sample:
+                raise ValueError("more rows than the sample")
+            ids = [d for b in batches for d in b.column("doc_id").to_pylist()]
+            assert len(ids) == len(set(ids)) == 20 and isinstance(batches[0], pa.RecordBatch)
+            yield from trained(cfg)(iter(batches))
+
+        return run
+
+    monkeypatch.setattr(quality_classifier, "_train", counted)
+    rows = [(i, f"{'good' if i % 2 else 'bad'} word{i}", "a") for i in range(20)]
+    rows += [(3, f"good again {k % 4}", "a") for k in range(40)] + [(4, " ", "a"), (4, None, "a")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, label int")
+    cfg = quality_classifier.Trainer(sample=20, epochs=2, bits=10, dim=4)
+    first = quality_classifier.fit(documents(spark, rows).repartition(5), labels, cfg)
+    again = quality_classifier.fit(documents(spark, rows[::-1]).repartition(2), labels, cfg)
+    assert (first.vectors == again.vectors).all()
+
+
 # --- 6 -------------------------------------------------------------------------------
 
 

@@ -4,8 +4,9 @@ A document is the average of learned vectors of its hashed words and byte 3- and
 4-grams inside words (word ends marked), whole texts throughout; a softmax over
 two classes reads the average. Training is stochastic gradient descent in numpy, in
 one task, on a bounded sample of labelled documents: the ``sample`` smallest by a
-hash of ``doc_id``. What reaches that task is each sampled document's distinct bucket
-numbers and shares, at most ``2 ** bits`` of them. The model (``2 ** bits`` by
+hash of ``doc_id``, of repeated ids the text of the least hash that has a word. What
+reaches that task is each sampled document's distinct bucket numbers and shares, at
+most ``2 ** bits`` of them, once an id. The model (``2 ** bits`` by
 ``dim`` numbers) is all that passes the driver; executors score Arrow batches
 with one number a bucket, as the average and the softmax are linear up to the end.
 
@@ -128,11 +129,20 @@ def fit_numpy(examples: list, labels: list[int], cfg: Trainer) -> Model:
 
 
 def _featurise(bits: int):
+    """Features of each row; of rows of one id, all of one text, the first in the task."""
+
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
+        seen = set()
         for batch in batches:
+            new = []
+            for i, d in enumerate(batch.column("doc_id").to_pylist()):
+                if d not in seen:
+                    seen.add(d)
+                    new.append(i)
+            batch = batch.take(pa.array(new, pa.int64()))
             ids, shares = [], []
             for t in batch.column("text"):
                 found, n = np.unique(features(t.as_py(), bits), return_counts=True)
@@ -178,11 +188,16 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: Trainer = Trainer()) -> Model:
         F.col("doc_id").alias("_id"), F.col("label").cast("int").alias("label")
     )
     # the sample has at most cfg.sample rows of two numbers
-    chosen = docs.select("doc_id", "text").filter("text is not null").join(
+    chosen = docs.select("doc_id", "text").filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).join(
         F.broadcast(sample), F.col("doc_id") == F.col("_id")
-    )
-    rows = chosen.select("doc_id", "label", "text").mapInArrow(
-        _featurise(cfg.bits), "doc_id long, label int, ids binary, shares binary"
+    ).select("doc_id", "label", "text", F.xxhash64("text").alias("_th"))
+    # one text a sampled id, by two numbers a row; the rows of that text are reduced before they move
+    least = chosen.groupBy(F.col("doc_id").alias("_lid")).agg(F.min("_th").alias("_lth"))
+    rows = (
+        chosen.join(F.broadcast(least), (F.col("doc_id") == F.col("_lid")) & (F.col("_th") == F.col("_lth")))
+        .select("doc_id", "label", "text")
+        .mapInArrow(_featurise(cfg.bits), "doc_id long, label int, ids binary, shares binary")
+        .dropDuplicates(["doc_id"])
     )
     one = rows.repartition(1).mapInArrow(_train(cfg), "v binary, r binary, b binary").collect()
     if not one:
