@@ -129,3 +129,15 @@ def test_evaluation_independent_of_partitioning(spark):
     ra = sorted(map(tuple, ev.roc_points(df).collect()))
     rb = sorted(map(tuple, ev.roc_points(df.repartition(5), buckets=9).collect()))
     assert ra == rb
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_record_counts_rows_without_a_score(spark, buckets):
+    rows = [*FIVE, (1, 1, None), (0, 1, None), (None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    plain = ev.evaluation_summary(spark.createDataFrame(FIVE, SCHEMA), buckets=buckets).first().asDict()
+    got = ev.evaluation_summary(df, buckets=buckets).first().asDict()
+    assert plain["null_scores"] == 0 and got == plain | {"null_scores": 3}
+    assert ev.evaluation_summary(df.limit(0), buckets=buckets).first().null_scores == 0
+    counts = ev.with_score(ev.score_counts_with_nulls(df))
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, ev.score_counts(df).collect()))

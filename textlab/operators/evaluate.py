@@ -52,6 +52,34 @@ def score_counts(scored: DataFrame, label: str = "label", prediction: str = "pre
     )
 
 
+def score_counts_with_nulls(
+    scored: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score"
+) -> DataFrame:
+    """``score_counts`` plus, from the same aggregate, ``n_rows`` (rows with the score) and
+    ``null_scores``. Rows without a score are counted at -inf, with all cells zero;
+    ``with_score`` drops a row that holds nothing else."""
+    known = F.col(score).isNotNull()
+    pos, neg = _is(label, 1) & known, _is(label, 0) & known
+    pp, pn = _is(prediction, 1), _is(prediction, 0)
+    return scored.groupBy(
+        F.coalesce(F.col(score).cast("double"), F.lit(float("-inf"))).alias("score")
+    ).agg(
+        F.count_if(pos).alias("pos"),
+        F.count_if(neg).alias("neg"),
+        F.count_if(pos & pp).alias("tp"),
+        F.count_if(neg & pp).alias("fp"),
+        F.count_if(pos & pn).alias("fn"),
+        F.count_if(neg & pn).alias("tn"),
+        F.count_if(known).alias("n_rows"),
+        F.count_if(~known).alias("null_scores"),
+    )
+
+
+def with_score(counts: DataFrame) -> DataFrame:
+    """The rows of ``score_counts_with_nulls``, prefix-summed or not, that hold a score."""
+    return counts.filter(F.col("n_rows") > F.lit(0)).drop("n_rows", "null_scores")
+
+
 def _ratio(a: Column, b: Column) -> Column:
     """a / b, 0 when b is 0 (the zero_division=0 convention)."""
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
@@ -144,14 +172,16 @@ def evaluation_summary(
     buckets: int | None = None,
 ) -> DataFrame:
     """The metrics record: accuracy, precision, recall, F1, AUC (4 places), sample
-    counts and the verdict, from one reduction of the score table."""
-    return summary_from_prefixed(_with_prefix(score_counts(scored, label, prediction, score), buckets))
+    counts, the number of rows without a score (``null_scores``, in no other count) and the
+    verdict, from one reduction of the score table."""
+    return summary_from_prefixed(_with_prefix(score_counts_with_nulls(scored, label, prediction, score), buckets))
 
 
 def summary_from_prefixed(p: DataFrame) -> DataFrame:
-    """The metrics record from a prefix-summed per-score table."""
+    """The metrics record from a prefix-summed per-score table; ``null_scores`` where it has them."""
+    nulls = [c for c in ("null_scores",) if c in p.columns]
     a = p.agg(
-        *[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn", "pos", "neg")],
+        *[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn", "pos", "neg", *nulls)],
         F.sum(_auc_terms(p)).alias("s"),
     )
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
@@ -161,6 +191,7 @@ def summary_from_prefixed(p: DataFrame) -> DataFrame:
         (F.col("pos") + F.col("neg")).cast("bigint").alias("test_samples"),
         F.col("pos").cast("bigint").alias("positive_samples"),
         F.col("neg").cast("bigint").alias("negative_samples"),
+        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in nulls],
     )
     return out.withColumn("verdict", verdict(F.col("f1_score"), F.col("auc_roc")))
 

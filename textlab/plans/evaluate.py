@@ -40,17 +40,18 @@ def evaluate_model(model: PipelineModel, test: DataFrame, id_col: str = "review_
     histograms and threshold sweep.
     """
     scored = predictions(model, test, id_col).persist(StorageLevel.MEMORY_AND_DISK)
-    counts = ev.score_counts(scored).persist(StorageLevel.MEMORY_AND_DISK)
-    prefixed = ev.exclusive_prefix_sums(counts, "score", ["pos", "neg"], buckets=buckets).persist(
+    reduced = ev.score_counts_with_nulls(scored).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = ev.with_score(reduced)
+    prefixed = ev.exclusive_prefix_sums(reduced, "score", ["pos", "neg"], buckets=buckets).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     return {
         "scored": scored,
-        "_counts": counts,
+        "_counts": reduced,
         "_prefixed": prefixed,
         "summary": ev.summary_from_prefixed(prefixed),
         "confusion": ev.confusion_from_counts(counts),
-        "roc": ev.roc_from_prefixed(prefixed),
+        "roc": ev.roc_from_prefixed(ev.with_score(prefixed)),
         "histogram": ev.histogram_from_counts(counts),
         "sweep": ev.sweep_from_counts(counts),
     }
