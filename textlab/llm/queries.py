@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlab.llm import (
+    collocations,
+    context_tree,
     line_dedup,
     mixing,
     near_dup,
@@ -19,6 +21,7 @@ from textlab.llm import (
     quality_rules,
     token_counts,
     url_filter,
+    vector_codes,
     warc_zip,
 )
 from textlab.llm.common import read
@@ -103,6 +106,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.queue(mixing.sized(read(spark, sf_dir, "documents"))).drop("uid", "source")
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -120,6 +135,9 @@ QUERIES = {
     "op8_nearest_neighbours": op8,
     "op9_token_counts": op9,
     "op10_mixing": op10,
+    "op11_vector_codes": op11,
+    "op12_collocations": op12,
+    "op13_lm_scoring": op13,
     "pipeline": pipeline,
 }
 
@@ -194,4 +212,65 @@ WITH RECURSIVE b AS (
 )
 SELECT q.doc_id, size, source_size, target, coalesce(taken, 0) AS taken
 FROM q LEFT JOIN taken USING (doc_id)""",
+    "op11_vector_codes": """
+WITH v AS (
+  SELECT vec_id, label, len(embedding) // 16 AS d, row_number() OVER (ORDER BY vec_id) - 1 AS no,
+    list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0
+), p AS (
+  SELECT vec_id, label, no, part, x[part * d + 1 : part * d + d] AS y FROM v, range(0, 16) AS r(part)
+), c0 AS (SELECT part, no AS entry, y AS c FROM p WHERE no < 64),
+a1 AS (
+  SELECT p.part, p.no, any_value(p.y) AS y, arg_min(entry, e * 64 + entry) AS entry
+  FROM (SELECT p.*, entry, list_sum(list_transform(list_zip(y, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS e
+    FROM p JOIN c0 USING (part)) p GROUP BY p.part, p.no
+), m1 AS (
+  SELECT part, entry, list(f ORDER BY i) AS c FROM (
+    SELECT part, entry, i, (sum(y[i])::BIGINT - ((sum(y[i])::BIGINT % count(*)) + count(*)) % count(*)) // count(*) AS f
+    FROM a1, (SELECT unnest(range(1, (SELECT max(d) FROM v) + 1)) AS i) GROUP BY part, entry, i) GROUP BY part, entry
+), c1 AS (SELECT part, entry, coalesce(m1.c, c0.c) AS c FROM c0 LEFT JOIN m1 USING (part, entry)),
+a2 AS (
+  SELECT p.part, p.no, any_value(p.y) AS y, arg_min(entry, e * 64 + entry) AS entry
+  FROM (SELECT p.*, entry, list_sum(list_transform(list_zip(y, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS e
+    FROM p JOIN c1 USING (part)) p GROUP BY p.part, p.no
+), m2 AS (
+  SELECT part, entry, list(f ORDER BY i) AS c FROM (
+    SELECT part, entry, i, (sum(y[i])::BIGINT - ((sum(y[i])::BIGINT % count(*)) + count(*)) % count(*)) // count(*) AS f
+    FROM a2, (SELECT unnest(range(1, (SELECT max(d) FROM v) + 1)) AS i) GROUP BY part, entry, i) GROUP BY part, entry
+), c2 AS (SELECT part, entry, coalesce(m2.c, c1.c) AS c FROM c1 LEFT JOIN m2 USING (part, entry)),
+a3 AS (
+  SELECT no, part, arg_min(entry, e * 64 + entry) AS entry, min(e) AS e
+  FROM (SELECT p.no, p.part, entry, list_sum(list_transform(list_zip(y, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS e
+    FROM p JOIN c2 USING (part)) p GROUP BY no, part
+), g AS (
+  SELECT no, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(e)::BIGINT AS error FROM a3 GROUP BY no
+), h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM g JOIN v USING (no), h""",
+    "op12_collocations": r"""
+WITH p AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+  FROM p, (SELECT unnest(range(1, 6)) AS k)
+), f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+c AS (
+  SELECT c.lang, c.phrase, c.k AS words, c.f AS a, j, l.f AS l, r.f AS r, n,
+    ((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT f.*, unnest(range(1, k)) AS j, string_split(phrase, ' ') AS w FROM f WHERE k > 1) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1 : j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[j + 1 : c.k], ' ')
+  JOIN t ON t.lang = c.lang
+), b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+s AS (
+  SELECT lang, array_to_string(string_split(phrase, ' ')[i : i + x - 1], ' ') AS phrase, max(f) AS f
+  FROM (SELECT f.*, unnest(range(2, k)) AS x FROM f WHERE k > 2) f, (SELECT unnest(range(1, 5)) AS i)
+  WHERE i + x - 1 <= k GROUP BY 1, 2
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.lang = b.lang AND s.phrase = b.phrase AND 100 * s.f >= 100 * b.a)
+QUALIFY rank <= 2000""",
 }
