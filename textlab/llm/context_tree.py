@@ -14,7 +14,7 @@ As the probability of a byte depends on its ``depth`` predecessors alone, the mo
 table of all distinct windows of ``depth + 1`` bytes of the corpus, those of held-out
 texts with a count of zero. It grows with the corpus and stays distributed:
 
-* texts are written once as bytes, in blocks of about ``BLOCK_BYTES`` of one input partition;
+* texts are written once as bytes, packed in blocks of about ``BLOCK_BYTES`` of one input partition;
 * each block gives its distinct windows and words, with training counts, and Spark adds
   them up;
 * windows are dealt by the last two context bytes; a task climbs from full depth
@@ -43,10 +43,10 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textlab.llm.blocks import blocked, numbers, pack, unpack
 from textlab.llm.common import materialise
-from textlab.session import scratch_path
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 #: Bytes whose windows one step holds.
 STEP_BYTES = 2 << 20
 #: Windows after which a task climbs through the subtrees it holds.
@@ -58,37 +58,42 @@ END = b"\n"
 class ContextTree:
     """``depth`` context bytes, at most 6; ids with ``crc32 mod folds == held`` don't train."""
 
-    depth: int = 5
+    depth: int = 4
     folds: int = 5
     held: int = 1
 
 
 def _bodies(batches: Iterator) -> Iterator:
-    """Texts as bytes, numbered by block."""
+    """Texts as bytes."""
     import re
 
     import pyarrow as pa
-    from pyspark import TaskContext
 
     words = re.compile(rb"[^\x20\x09-\x0D]+").findall
-    block, held = TaskContext.get().partitionId() << 32, 0
     for batch in batches:
-        blocks, sizes, bodies = [], [], []
+        sizes, bodies = [], []
         for t in batch.column("text"):
             found = words((t.as_py() or "").encode("utf-8").lower())
-            body = b" ".join(found) + END
-            if held and held + len(body) > BLOCK_BYTES:
-                block, held = block + 1, 0
-            held += len(body)
-            blocks.append(block)
             sizes.append(len(found) + 1)
-            bodies.append(body)
+            bodies.append(b" ".join(found) + END)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"), batch.column("held_out"), pa.array(sizes, pa.int64()),
-                pa.array(bodies, pa.binary()), pa.array(blocks, pa.int64()),
+                pa.array(bodies, pa.binary()),
             ],
-            names=["doc_id", "held_out", "n_tokens", "body", "block"],
+            names=["doc_id", "held_out", "n_tokens", "body"],
+        )
+
+
+def _blocks(batches: Iterator) -> Iterator:
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    number = numbers()
+    sizes = lambda b: pc.binary_length(b.column("body")).to_numpy(zero_copy_only=False)
+    for block in blocked(_bodies(batches), sizes, BLOCK_BYTES):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([next(number)], pa.int64()), pa.array([pack(block)], pa.binary())], names=["block", "packed"]
         )
 
 
@@ -141,47 +146,31 @@ def _units(depth: int):
         import numpy as np
         import pyarrow as pa
 
-        block, words, grams = None, {}, []
-
-        def out() -> Iterator:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([block] * len(words), pa.int64()), pa.array(list(words), pa.binary()),
-                    pa.nulls(len(words), pa.int64()), pa.array(list(words.values()), pa.int64()),
-                ],
-                names=["block", "word", "gram", "n"],
-            )
-            codes, sums = _added(grams)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(codes), block), pa.int64()), pa.nulls(len(codes), pa.binary()),
-                    pa.array(codes, pa.int64()), pa.array(sums, pa.int64()),
-                ],
-                names=["block", "word", "gram", "n"],
-            )
-
         for batch in batches:
-            blocks = batch.column("block").to_numpy()
-            cuts = np.flatnonzero(np.diff(blocks)) + 1
-            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(blocks)], strict=True):
-                if lo == hi:
-                    continue
-                if block is not None and blocks[lo] != block:
-                    yield from out()
-                    words, grams = {}, []
-                block = int(blocks[lo])
-                bodies = batch.column("body").slice(lo, hi - lo).to_pylist()
-                trains = ~batch.column("held_out").slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+            for block, packed in zip(batch.column("block").to_pylist(), batch.column("packed"), strict=True):
+                rows = unpack(packed.as_py())
+                bodies = rows.column("body").to_pylist()
+                trains = ~rows.column("held_out").to_numpy()
+                words, grams = {}, []
                 for body, t in zip(bodies, trains.tolist(), strict=True):
                     for w in (*body[:-1].split(b" "), END) if len(body) > 1 else (END,):
                         words[w] = words.get(w, 0) + t
-                for codes, starts, rows in _windows(bodies, depth):
-                    n = np.repeat(trains[rows], np.diff([*starts, len(codes)])).astype(np.int64)
+                for codes, starts, texts in _windows(bodies, depth):
+                    n = np.repeat(trains[texts], np.diff([*starts, len(codes)])).astype(np.int64)
                     grams.append(_added([(codes, n)]))
                     if len(grams) > 8:
                         grams = [_added(grams)]
-        if block is not None:
-            yield from out()
+                codes, sums = _added(grams)
+                w, g = len(words), len(codes)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(w + g, block), pa.int64()),
+                        pa.array([*words, *[None] * g], pa.binary()),
+                        pa.array(np.concatenate([np.zeros(w, np.int64), codes]), mask=np.arange(w + g) < w),
+                        pa.array(np.concatenate([np.fromiter(words.values(), np.int64, w), sums])),
+                    ],
+                    names=["block", "word", "gram", "n"],
+                )
 
     return run
 
@@ -390,11 +379,12 @@ def window_table(grams: DataFrame, cfg: ContextTree) -> DataFrame:
 def _score(depth: int, tokens: int, kinds: int):
     """Base and model scores of a block's texts from its words' counts and windows' values."""
 
-    def run(texts: Any, units: Any) -> Any:
+    def run(blocks: Any, units: Any) -> Any:
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        texts = pa.concat_tables(unpack(p.as_py()) for p in blocks.column("packed"))
         is_word = pc.is_valid(units.column("word"))
         known = units.filter(is_word)
         counts = dict(zip(known.column("word").to_pylist(), known.column("value").to_pylist(), strict=True))
@@ -435,17 +425,8 @@ def score(docs: DataFrame, cfg: ContextTree = ContextTree()) -> DataFrame:
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % cfg.folds
     marked = docs.select("doc_id", "text", F.coalesce(remainder == cfg.held, F.lit(False)).alias("held_out"))
     kind = dict(docs.dtypes)["doc_id"]
-    spark = docs.sparkSession
-    path = scratch_path(spark, "bodies")
-    texts = marked.mapInArrow(_bodies, f"doc_id {kind}, held_out boolean, n_tokens long, body binary, block long")
-    texts.write.option("compression", "zstd").parquet(path)
-    texts = spark.read.schema(texts.schema).parquet(path)
-    units = materialise(
-        texts.select("block", "held_out", "body").mapInArrow(
-            _units(cfg.depth), "block long, word binary, gram long, n long"
-        ),
-        "units",
-    )
+    blocks = materialise(marked.mapInArrow(_blocks, "block long, packed binary"), "blocks")
+    units = materialise(blocks.mapInArrow(_units(cfg.depth), "block long, word binary, gram long, n long"), "units")
     words = units.filter(F.col("word").isNotNull())
     grams = units.filter(F.col("gram").isNotNull())
     counted = words.groupBy("word").agg(F.sum("n").cast("double").alias("value"))
@@ -465,6 +446,6 @@ def score(docs: DataFrame, cfg: ContextTree = ContextTree()) -> DataFrame:
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, bits_per_byte double"
     )
-    return texts.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
+    return blocks.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         _score(cfg.depth, tokens, kinds), schema
     )
