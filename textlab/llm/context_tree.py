@@ -36,6 +36,7 @@ result. Texts of any length are read whole. Extra columns are ignored.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Any
@@ -46,11 +47,12 @@ from pyspark.sql import functions as F
 from textlab.llm.blocks import blocked, numbers, pack, unpack
 from textlab.llm.common import materialise
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 #: Bytes whose windows one step holds.
 STEP_BYTES = 2 << 20
 #: Windows after which a task climbs through the subtrees it holds.
 STEP_WINDOWS = 1 << 19
+OUT_ROWS = 1 << 16
 END = b"\n"
 
 
@@ -129,6 +131,19 @@ def _windows(bodies: Iterator[bytes], depth: int) -> Iterator[tuple[Any, Any, An
         yield step()
 
 
+def _tokens(body: bytes) -> list[bytes]:
+    return [*body[:-1].split(b" "), END] if len(body) > 1 else [END]
+
+
+def _counted(codes: Any, weight: int = 1) -> tuple[Any, Any]:
+    """Distinct codes with ``weight`` times their number."""
+    import numpy as np
+
+    ordered = np.sort(codes)
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+    return ordered[starts], weight * np.diff([*starts, len(ordered)]).astype(np.int64)
+
+
 def _added(parts: list) -> tuple[Any, Any]:
     """Distinct codes and the sums of their counts."""
     import numpy as np
@@ -151,18 +166,18 @@ def _units(depth: int):
                 rows = unpack(packed.as_py())
                 bodies = rows.column("body").to_pylist()
                 trains = ~rows.column("held_out").to_numpy()
-                words, grams = {}, []
+                words, others, grams = Counter(), set(), []
                 for body, t in zip(bodies, trains.tolist(), strict=True):
-                    for w in (*body[:-1].split(b" "), END) if len(body) > 1 else (END,):
-                        words[w] = words.get(w, 0) + t
+                    (words if t else others).update(_tokens(body))
+                words.update(dict.fromkeys(others, 0))
                 for codes, starts, texts in _windows(bodies, depth):
-                    n = np.repeat(trains[texts], np.diff([*starts, len(codes)])).astype(np.int64)
-                    grams.append(_added([(codes, n)]))
+                    trained = np.repeat(trains[texts], np.diff([*starts, len(codes)]))
+                    grams += [_counted(codes[trained]), _counted(codes[~trained], 0)]
                     if len(grams) > 8:
                         grams = [_added(grams)]
                 codes, sums = _added(grams)
                 w, g = len(words), len(codes)
-                yield pa.RecordBatch.from_arrays(
+                whole = pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(w + g, block), pa.int64()),
                         pa.array([*words, *[None] * g], pa.binary()),
@@ -171,6 +186,8 @@ def _units(depth: int):
                     ],
                     names=["block", "word", "gram", "n"],
                 )
+                for at in range(0, w + g, OUT_ROWS):
+                    yield whole.slice(at, OUT_ROWS)
 
     return run
 
@@ -376,6 +393,44 @@ def window_table(grams: DataFrame, cfg: ContextTree) -> DataFrame:
     )
 
 
+class _Values:
+    """Values by distinct code. Codes that share a slot move on to the next, smaller table."""
+
+    def __init__(self, codes: Any, values: Any) -> None:
+        import numpy as np
+
+        self.codes, self.values, self.tables = codes, values, []
+        left = np.arange(len(codes), dtype=np.int32)
+        while len(left):
+            bits = max(8, (2 * len(left)).bit_length())
+            table = np.zeros(1 << bits, np.int32)
+            self.tables.append((bits, table))
+            slot = self._slot(codes[left], len(self.tables) - 1)
+            table[slot] = left
+            left = left[table[slot] != left]
+
+    def _slot(self, codes: Any, turn: int) -> Any:
+        import numpy as np
+
+        h = codes.astype(np.uint64) * np.uint64((0x9E3779B97F4A7C15 * (2 * turn + 1)) & (1 << 64) - 1)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        return (h >> np.uint64(64 - self.tables[turn][0])).astype(np.int64)
+
+    def of(self, codes: Any) -> Any:
+        import numpy as np
+
+        out = np.full(len(codes), np.nan)
+        left = np.arange(len(codes))
+        for turn, (_, table) in enumerate(self.tables):
+            mine = codes if turn == 0 else codes[left]
+            at = table[self._slot(mine, turn)]
+            hit = self.codes[at] == mine
+            out[left[hit]] = self.values[at[hit]]
+            left = left[~hit]
+        return out
+
+
 def _score(depth: int, tokens: int, kinds: int):
     """Base and model scores of a block's texts from its words' counts and windows' values."""
 
@@ -387,23 +442,21 @@ def _score(depth: int, tokens: int, kinds: int):
         texts = pa.concat_tables(unpack(p.as_py()) for p in blocks.column("packed"))
         is_word = pc.is_valid(units.column("word"))
         known = units.filter(is_word)
-        counts = dict(zip(known.column("word").to_pylist(), known.column("value").to_pylist(), strict=True))
+        counts = zip(known.column("word").to_pylist(), known.column("value").to_pylist(), strict=True)
         spread = math.log10(tokens + 0.5 * (kinds + 1))
-        cost = {w: math.log10(c + 0.5) - spread for w, c in counts.items()}
+        cost = {w: math.log10(c + 0.5) - spread for w, c in counts}
         grams = units.filter(pc.invert(is_word))
-        codes, values = (grams.column(c).to_numpy() for c in ("gram", "value"))
-        order = np.argsort(codes)
-        codes, values = codes[order], values[order]
+        values = _Values(*(grams.column(c).to_numpy() for c in ("gram", "value")))
         bodies = texts.column("body").to_pylist()
+        new = math.log10(0.5) - spread  # of words that no training text holds, and of no other
         base, seen = [], []
         for body in bodies:
-            words = body[:-1].split(b" ") if len(body) > 1 else []
-            words.append(END)
-            base.append(math.fsum(map(cost.__getitem__, words)))
-            seen.append(sum(counts[w] > 0 for w in words))
+            costs = list(map(cost.__getitem__, _tokens(body)))
+            base.append(math.fsum(costs))
+            seen.append(len(costs) - costs.count(new))
         score = np.zeros(len(bodies))
         for found, starts, rows in _windows(bodies, depth):
-            np.add.at(score, rows, np.add.reduceat(values[np.searchsorted(codes, found)], starts))
+            np.add.at(score, rows, np.add.reduceat(values.of(found), starts))
         size = np.array([len(b) for b in bodies], np.float64)
         return pa.table(
             {
