@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +36,39 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders that ``materialise`` writes meanwhile."""
+    made: list[str] = []
+    _recorders.append(made)
+    try:
+        yield made
+    finally:
+        _recorders.remove(made)
+
+
+def drop_scratch(spark: SparkSession, paths: list[str], reader: DataFrame) -> list[str]:
+    """Delete written tables that ``reader`` does not read; returns those that stay."""
+    used = reader.inputFiles()
+    stay = []
+    for path in paths:
+        if any(path.rstrip("/").rsplit("/", 1)[1] in f for f in used):
+            stay.append(path)
+        else:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return stay
+
+
+def materialise(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write to a fresh shared scratch folder and read it back: later branches don't
     repeat the work, and a lost executor costs no recomputation of what lies before."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    for made in _recorders:
+        made.append(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -44,7 +44,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlab.llm.blocks import blocked, numbers, pack, unpack
+from textlab.llm.blocks import ROW_BYTES, blocked, numbers, pack, unpack
 from textlab.llm.common import materialise
 
 BLOCK_BYTES = 16 << 20
@@ -92,7 +92,7 @@ def _blocks(batches: Iterator) -> Iterator:
     import pyarrow.compute as pc
 
     number = numbers()
-    sizes = lambda b: pc.binary_length(b.column("body")).to_numpy(zero_copy_only=False)
+    sizes = lambda b: ROW_BYTES + pc.binary_length(b.column("body")).to_numpy(zero_copy_only=False)
     for block in blocked(_bodies(batches), sizes, BLOCK_BYTES):
         yield pa.RecordBatch.from_arrays(
             [pa.array([next(number)], pa.int64()), pa.array([pack(block)], pa.binary())], names=["block", "packed"]
@@ -376,7 +376,7 @@ def window_table(grams: DataFrame, cfg: ContextTree) -> DataFrame:
     dealt = grams.withColumn("_tail", F.shiftright("gram", 8).bitwiseAND(0xFFFF))
     low = materialise(
         dealt.repartition("_tail").sortWithinPartitions("_tail").select("gram", "n").mapInArrow(_low(cfg.depth), _LOW),
-        "tree",
+        "tree", "zstd",
     )
     nodes = low.filter(F.col("plane").isNotNull())
     last = F.expr("shiftright(node, plane)").bitwiseAND(255)
@@ -478,8 +478,8 @@ def score(docs: DataFrame, cfg: ContextTree = ContextTree()) -> DataFrame:
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % cfg.folds
     marked = docs.select("doc_id", "text", F.coalesce(remainder == cfg.held, F.lit(False)).alias("held_out"))
     kind = dict(docs.dtypes)["doc_id"]
-    blocks = materialise(marked.mapInArrow(_blocks, "block long, packed binary"), "blocks")
-    units = materialise(blocks.mapInArrow(_units(cfg.depth), "block long, word binary, gram long, n long"), "units")
+    blocks = materialise(marked.mapInArrow(_blocks, "block long, packed binary"), "blocks", "zstd")
+    units = materialise(blocks.mapInArrow(_units(cfg.depth), "block long, word binary, gram long, n long"), "units", "zstd")
     words = units.filter(F.col("word").isNotNull())
     grams = units.filter(F.col("gram").isNotNull())
     counted = words.groupBy("word").agg(F.sum("n").cast("double").alias("value"))

@@ -11,11 +11,11 @@ is not what the library returns). Characters without a piece become byte pieces.
 Encoded units go back to their blocks, where texts are spelled with them.
 
 Only distinct units of a block are shuffled, never their occurrences, so a word that
-every document holds is one row a block. Texts move once, by block: a block is up to
-``BLOCK_ROWS`` rows of one input partition with texts of like length, fewer the longer
-they are, so that it holds about 64 MB of text at most or one single text. Units of more than ``LATTICE_CHARS``
-characters are encoded by the same rule with a heap, in the block's task, so that the
-fold's work stays bounded.
+every document holds is one row a block. A block is ``BLOCK_BYTES`` of text from one input
+partition, or one longer text, and moves once, as one compressed row. Units of more than
+``LATTICE_CHARS`` characters, whose fold would take quadratic time, are encoded by the same
+rule with a heap in the block's task; so is any unit whose answer is missing because an
+input without a stable order was read differently the second time.
 
 Defined cases: a NULL text encodes like ''; both have no pieces. U+2581 stands for the
 space, so it decodes as one. Repeated rows
@@ -32,15 +32,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from textlab.llm.blocks import ROW_BYTES, blocked, numbers, pack, unpack
 from textlab.llm.common import materialise
 from textlab.llm.lattice import edges, merges, viterbi
 
 SPACE = "▁"
-BLOCK_ROWS_BITS = 12
-BLOCK_ROWS = 1 << BLOCK_ROWS_BITS
-SHORT_CHARS = 8192
-CLASSES = 16
+BLOCK_BYTES = 16 << 20
+OUT_ROWS = 1 << 16
 LATTICE_CHARS = 32
 PLAIN_UNITS = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
 LETTER_UNITS = f"{SPACE}*[\\p{{L}}\\p{{M}}]+|{SPACE}*[^{SPACE}\\p{{L}}\\p{{M}}]+|{SPACE}+"
@@ -130,8 +130,38 @@ def piece_table(spark: SparkSession, model: PieceModel) -> DataFrame:
     return spark.createDataFrame(list(model.pieces), "piece string, id int, score double")
 
 
-def _prefixed(text: str | None) -> str:
-    return SPACE + text.replace(" ", SPACE) if text else ""
+def _splitter(pattern: str):
+    """Two functions: a text's words with the white space before them, and a word's units.
+
+    Words repeat more than texts do, so that the slow pattern runs on distinct words only."""
+    import re
+
+    import regex
+
+    runs = re.compile(PLAIN_UNITS).findall
+    find = regex.compile(pattern).findall
+
+    def words(text: str | None) -> list[str]:
+        if not text:
+            return []
+        parts = text.split(" ")
+        if SPACE in text or "" in parts:
+            return runs(SPACE + text.replace(" ", SPACE))
+        return parts  # each after one space
+
+    def units(word: str) -> list[str]:
+        return find(word if word.startswith(SPACE) else SPACE + word)
+
+    return words, units
+
+
+def _text_blocks(batches: Iterator) -> Iterator:
+    import pyarrow.compute as pc
+
+    def sizes(batch):
+        return ROW_BYTES + pc.fill_null(pc.binary_length(batch.column("_text")), 0).to_numpy(zero_copy_only=False)
+
+    return blocked(batches, sizes, BLOCK_BYTES)
 
 
 def _units(pattern: str):
@@ -139,32 +169,29 @@ def _units(pattern: str):
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        import regex
 
-        find = regex.compile(pattern).findall
-        # a partition's blocks come in order within each length class
-        held: dict[int, tuple[int, set]] = {}
+        words, units = _splitter(pattern)
+        for block, rows in zip(numbers(), _text_blocks(batches)):
+            seen = set()
+            for t in rows.column("_text"):
+                seen.update(words(t.as_py()))
+            found = list({u for w in seen for u in units(w) if len(u) <= LATTICE_CHARS})
+            for at in range(0, len(found), OUT_ROWS):
+                part = found[at : at + OUT_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block] * len(part), pa.int64()), pa.array(part, pa.string())], names=["block", "unit"]
+                )
 
-        def out(block, seen):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([block] * len(seen), pa.int64()), pa.array(list(seen), pa.string())],
-                names=["block", "unit"],
-            )
+    return run
 
-        for batch in batches:
-            for b, t in zip(batch.column("block").to_pylist(), batch.column("text"), strict=True):
-                block, seen = held.get(b % CLASSES, (b, None))
-                if seen is None or block != b:
-                    if seen:
-                        yield out(block, seen)
-                    seen = set()
-                    held[b % CLASSES] = (b, seen)
-                seen.update(u for u in find(_prefixed(t.as_py())) if len(u) <= LATTICE_CHARS)
-        for block, seen in held.values():
-            if seen:
-                yield out(block, seen)
 
-    return run
+def _packed(batches: Iterator) -> Iterator:
+    import pyarrow as pa
+
+    for block, rows in zip(numbers(), _text_blocks(batches)):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), pa.array([pack(rows)], pa.binary())], names=["block", "packed"]
+        )
 
 
 def encode_units(units: DataFrame, model: PieceModel) -> DataFrame:
@@ -242,36 +269,58 @@ def encode_long(unit: str, scores: dict, model: PieceModel) -> list[int]:
     return out
 
 
-def _spell(model: PieceModel, carry: list[str]):
+def _joined(flat, sizes, index):
+    """The pieces of ``flat`` (cut by ``sizes``) that ``index`` names, one after the other."""
+    import numpy as np
+
+    starts = np.cumsum(sizes) - sizes
+    n = sizes[index]
+    return flat[np.repeat(starts[index] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+
+
+def _spell(model: PieceModel, carry: list[str], arrow_schema):
     scores = {p: (i, s) for p, i, s in model.pieces}
 
-    def run(texts, known):
+    def run(blocks, known):
+        from collections import defaultdict
+        from itertools import count
+
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
-        import regex
 
-        find = regex.compile(model.units).findall
+        words, units = _splitter(model.units)
+        empty = arrow_schema.empty_table()
+        # without a packed row: a block that only the first reading made
+        texts = pa.concat_tables([empty, *(unpack(p.as_py()) for p in blocks.column("packed"))])
+        # texts as numbers of words, words as numbers of units, units as ids
+        word_number = defaultdict(count().__next__)
+        rows = []
+        for t in texts.column("_text"):
+            found = words(t.as_py())
+            rows.append(np.fromiter(map(word_number.__getitem__, found), np.int32, len(found)))
         number = {u: i for i, u in enumerate(known.column("unit").to_pylist())}
         lists = pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *known.column("ids").chunks])
-        rows, long = [], []
-        for t in texts.column("_text"):
-            row = []
-            for u in find(_prefixed(t.as_py())):
+        long, made, lengths = [], [], []
+        for w in word_number:
+            before = len(made)
+            for u in units(w):
                 i = number.get(u)
                 if i is None:
                     number[u] = i = len(number)
                     long.append(np.array(encode_long(u, scores, model), np.int32))
-                row.append(i)
-            rows.append(np.array(row, np.int32))
+                made.append(i)
+            lengths.append(len(made) - before)
         flat = np.concatenate([lists.flatten().to_numpy(), *long])
-        sizes = np.concatenate([pc.list_value_length(lists).to_numpy(), [len(x) for x in long]]).astype(np.int64)
-        starts = np.cumsum(sizes) - sizes
-        out = []
-        for row in rows:
-            n = sizes[row]
-            # position in the row's ids -> position in flat
-            out.append(flat[np.repeat(starts[row] - np.cumsum(n) + n, n) + np.arange(n.sum())])
+        sizes = np.concatenate(
+            [pc.list_value_length(lists).to_numpy(zero_copy_only=False), [len(x) for x in long]]
+        ).astype(np.int64)
+        made, lengths = np.array(made, np.int64), np.array(lengths, np.int64)
+        word_ids = _joined(flat, sizes, made)
+        ends = np.concatenate([[0], np.cumsum(sizes[made])])
+        word_ends = np.concatenate([[0], np.cumsum(lengths)])
+        word_sizes = np.diff(ends[word_ends])
+        out = [_joined(word_ids, word_sizes, row) for row in rows]
         ends = np.cumsum([0] + [len(x) for x in out])
         ids = pa.ListArray.from_arrays(
             pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *out]))
@@ -283,28 +332,20 @@ def _spell(model: PieceModel, carry: list[str]):
 
 def encode(docs: DataFrame, model: PieceModel, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``ids`` of every row of ``docs``, beside the columns named by ``carry``."""
-    # length class c: texts of up to 2 ** (c + 1) * SHORT_CHARS characters, 2 ** c times fewer a block
-    size = F.greatest(F.lit(1.0), F.coalesce(F.length("text"), F.lit(0)) / SHORT_CHARS)
-    kind = F.least(F.floor(F.log2(size)), F.lit(BLOCK_ROWS_BITS)).cast("int")
-    block = F.call_function("shiftright", F.monotonically_increasing_id(), F.lit(BLOCK_ROWS_BITS) - kind) * CLASSES + kind
     own = [F.col(f"`{c}`") for c in carry]
-    rows = docs.select(*own, F.col("text").alias("_text"), block.alias("_block"))
+    rows = docs.select(*own, F.col("text").alias("_text"))
     kinds = dict(rows.dtypes)
     # a fixed number of partitions: few bytes of units make much work below
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = materialise(
-        rows.select(F.col("_block").alias("block"), F.col("_text").alias("text"))
-        .mapInArrow(_units(model.units), "block long, unit string"),
-        "units",
+        rows.mapInArrow(_units(model.units), "block long, unit string"), "units", "zstd"
     ).repartition(parts, "unit")
     known = encode_units(found.select("unit").distinct(), model).withColumnRenamed("unit", "_unit")
-    spelled = found.join(known, F.col("unit") == F.col("_unit")).select(
-        F.col("block").alias("_block"), "unit", "ids"
-    )
+    spelled = found.join(known, F.col("unit") == F.col("_unit")).select("block", "unit", "ids")
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in carry] + ["ids array<int>"])
     return (
-        rows.groupBy("_block").cogroup(spelled.groupBy("_block"))
-        .applyInArrow(_spell(model, list(carry)), schema)
+        rows.mapInArrow(_packed, "block long, packed binary").groupBy("block")
+        .cogroup(spelled.groupBy("block")).applyInArrow(_spell(model, list(carry), to_arrow_schema(rows.schema)), schema)
     )
 
 
