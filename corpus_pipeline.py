@@ -12,11 +12,14 @@ pieces have no SQL; the stages are tested against brute force.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlab.llm import line_dedup, mixing, near_dup, pieces, quality_rules
-from textlab.llm.common import materialise, read
+from textlab.llm.common import drop_scratch, materialise, read, recorded
 from textlab.llm.queries import tokenizer_path, trusted
 
 #: Near duplicates of this pipeline: five-word shingles, similarity 0.8 or more.
@@ -53,12 +56,37 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
+#: Scratch tables by the number of the stage that made them.
+_scratch: dict[int, list[str]] = {}
+
+
+def _tidy(number: int, stage: Callable[..., DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """``stage``, which first drops what the stages before it left: their results are written
+    and read again by then. Tables that ``docs`` still reads stay."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for n in [n for n in _scratch if n < number]:
+            _scratch[n] = drop_scratch(spark, _scratch[n], docs)
+        with recorded() as made:
+            out = stage(spark, docs, sf_dir)
+        _scratch.setdefault(number, []).extend(made)
+        return out
+
+    return run_stage
+
+
 STAGES = [
-    ("quality rules", quality),
-    ("line dedup", lines),
-    ("near dedup", near),
-    ("mixing", mix),
-    ("sentencepiece", encode),
+    (name, _tidy(number, stage))
+    for number, (name, stage) in enumerate(
+        [
+            ("quality rules", quality),
+            ("line dedup", lines),
+            ("near dedup", near),
+            ("mixing", mix),
+            ("sentencepiece", encode),
+        ]
+    )
 ]
 ORACLE_SQL = None
 
