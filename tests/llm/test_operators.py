@@ -438,50 +438,56 @@ def test_line_chunks(spark):
     assert got[0] == [rows[0][1]] and got[13] == ["single"] * 2 and got[11] == [None] and got[12] == [""]
     for i in range(1, 6):
         left = got[i][0].count("shared line")
-        assert left < 15 and got[i][0].count("own") == 12 and got[i][0].count("end") == 9
-    # brute force: the first occurrence of each repeated chunk stays
-    chunks = {r.doc_id: [(x.text, x.lines) for x in r.c] for r in cut if r.c}
-    seen, want = set(), {}
-    for i in sorted(chunks):
-        keep = []
-        for t, n in chunks[i]:
-            if n < 2 or t not in seen or not WORD.search(t):
-                keep.append(t)
-            seen.add(t)
-        if keep:
-            want[i] = "\n".join(keep)
-    assert {i: t[0] for i, t in got.items() if i in chunks} == want
+        assert left < 8 and got[i][0].count("own") == 12 and got[i][0].count("end") == 9
+    want = without_repeated_units({(r.doc_id, r.text): [(x.text, x.lines) for x in r.c] for r in cut if r.c})
+    for (i, _), t in want.items():
+        assert got.get(i, [None])[0] == t
     report = {r.doc_id: r for r in line_dedup.line_report(docs).collect()}
     assert report[3].kept_chars == len(got[3][0]) and report[11].n_chunks == 0
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
-def without_repeated_runs(rows):
-    """Brute force on lines: of each (id, text) the text left, None where the document is dropped."""
-    word = re.compile(r"[^\x20\x09-\x0D]")
-    order = {r: k for k, r in enumerate(sorted({(i, t) for i, t in rows if t}, key=lambda r: (r[0] is not None, r[0])))}
-    seen, out = set(), {}
-    for i, t in order:
-        lines, gone = t.split("\n"), set()
-        for k in range(len(lines) - 1):
-            two = (lines[k], lines[k + 1])
-            if not word.search("".join(two)):
-                continue
-            if two in seen:
-                gone |= {k, k + 1}
-            seen.add(two)
-        left = [x for k, x in enumerate(lines) if k not in gone]
-        out[i, t] = t if not gone else "\n".join(left) if any(map(word.search, left)) else None
+def without_repeated_units(chunks):
+    """Brute force on {(id, text): [(chunk, lines)]}: the text left, None where the document is dropped."""
+    order = sorted(chunks, key=lambda k: (k[0] is not None, k[0]))
+    places = {}  # unit -> its places (document, first chunk, last chunk) in order
+    for n, key in enumerate(order):
+        c = chunks[key]
+        for k, (text, lines) in enumerate(c):
+            if lines >= 2 and WORD.search(text):
+                places.setdefault((text,), []).append((n, k, k))
+            if k + 1 < len(c) and WORD.search(text + c[k + 1][0]):
+                places.setdefault((text, c[k + 1][0]), []).append((n, k, k + 1))
+    later = {p for found in places.values() for p in found[1:]}
+    gone = {}
+    for found in places.values():
+        kept = [
+            p for p in found
+            if not any(q != p and q[0] == p[0] and q[1] <= p[2] and p[1] <= q[2] for q in later)
+        ]
+        for n, a, b in found[1:] if kept else []:
+            if (n, a, b) != kept[0]:
+                gone.setdefault(n, set()).update(range(a, b + 1))
+    out = {}
+    for n, key in enumerate(order):
+        left = [t for k, (t, _) in enumerate(chunks[key]) if k not in gone.get(n, ())]
+        out[key] = key[1] if n not in gone else "\n".join(left) if any(map(WORD.search, left)) else None
     return out
 
 
-def test_repeated_passages_go_whole(spark):
-    """Passages of 3 to 6 lines and over 50 words, wherever the content-defined boundaries fall."""
-    from corpus_pipeline import lines
+def chunks_of(docs):
+    rows = docs.select("doc_id", "text", line_dedup.chunks(docs.text).alias("c")).collect()
+    return {(r.doc_id, r.text): [(x.text, x.lines) for x in r.c] for r in rows if r.c}
+
+
+def test_repeated_passages_go(spark):
+    """Passages of 3 to 8 lines and over 50 words: all that whole units cover, and every
+    removed passage is still found in one piece somewhere."""
+    from corpus_pipeline import STAGES
 
     passages = {
         (n, v): "\n".join(f"p{n}v{v} line {j} " + " ".join(f"w{n}{v}{j}{x}" for x in range(17)) for j in range(n))
-        for n in range(3, 7) for v in range(5)
+        for n in range(3, 9) for v in range(5)
     }
     rows, i = [], 0
     for p in passages.values():
@@ -494,16 +500,29 @@ def test_repeated_passages_go_whole(spark):
              (908, "own 3 0\nown 3 1"), (909, rows[0][1] + "\n" + rows[1][1])]
     docs = documents(spark, [(i, t, "a") for i, t in rows])
     docs = docs.withColumn("n_chars", F.length("text"))
-    want = without_repeated_runs(rows)
-    got = lines(spark, docs, "").collect()
+    want = without_repeated_units(chunks_of(docs))
+    got = dict(STAGES)["line dedup"](spark, docs, "").collect()
     assert Counter((r.doc_id, r.text) for r in got) == Counter(
         (i, want[i, t] if t else t) for i, t in rows if not t or want[i, t] is not None
     )
-    for p in passages.values():
-        assert sum(line in (r.text or "").split("\n") for r in got for line in p.split("\n")) == p.count("\n") + 1
-    assert not {900, 902, 908, 909} & {r.doc_id for r in got}
-    report = {(r.doc_id, r.n_chars): r for r in line_dedup.line_report(docs, line_dedup.RUNS).collect()}
+    texts = [r.text or "" for r in got]
+    whole = sum(sum(p in t for t in texts) == 1 for p in passages.values())
+    copies = sum(t.count(line) for t in texts for p in passages.values() for line in p.split("\n"))
+    lines = sum(p.count("\n") + 1 for p in passages.values())
+    assert whole > len(passages) / 2 and copies < 2 * lines, (whole, copies, lines)
+    assert all(any(p in t for t in texts) for p in passages.values())
+    assert not {900, 902} & {r.doc_id for r in got}
+    report = {(r.doc_id, r.n_chars): r for r in line_dedup.line_report(docs).collect()}
     assert all(report[i, len(t)].kept_chars == len(want[i, t] or "") for i, t in rows if t)
+    assert all(report[i, len(t)].n_chunks == len(c) for (i, t), c in chunks_of(docs).items())
+
+
+def test_units_that_overlap_leave_one_whole(spark):
+    """With a boundary after every line: b-c is first found where a-b takes its b away."""
+    every = line_dedup.Chunking(divisor=1 << 50)
+    rows = [(1, "a\nb"), (2, "a\nb\nc"), (3, "b\nc"), (4, "head\nb\nc\ntail")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(documents(spark, [(*r, "s") for r in rows]), every).collect()}
+    assert got == {1: "a\nb", 2: "c", 3: "b\nc", 4: "head\ntail"}
 
 
 # --- 8 -------------------------------------------------------------------------------

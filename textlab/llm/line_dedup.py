@@ -1,31 +1,29 @@
 """Operator 7: repeated multi-line passages, DataFrame functions only.
 
 A text's lines are hashed; a rolling hash over each window of ``window`` line hashes
-ends a chunk where it is divisible by ``divisor``. A boundary depends on the lines
+ends a chunk unless it is divisible by ``divisor``: passages of few lines need boundaries
+inside them. A boundary depends on the lines
 just before it alone, so lines inserted or removed elsewhere shift no other
-boundary. Chunks of ``min_lines`` lines or more whose hash occurs more than once
-in the corpus are compared byte by byte with the first occurrence (smallest
-document, then position), and are removed where they are equal.
-
-Chunks alone miss most short passages: those cut by a passage's edge are not equal, and
-those of one line don't count. With ``overlap`` (``RUNS``, as the query and the
-pipeline have it) the units are all windows of ``min_lines`` neighbouring lines instead,
-each hashed where it begins, and a line goes if a window that holds it occurred
-before. So every line of a repeated passage of ``min_lines`` lines or more
-goes, up to its edges, and all that whole chunks would remove; each line that goes stays
-at its first place. The chunk rule is the default of the functions.
-
-Hashes alone are grouped, with map-side pre-aggregation. Texts move twice: chunks to
-meet the repeated hashes (of windows, documents to meet the places of their repeated
-ones, and those windows' texts), and documents to meet their removals; a unit that a
-third of the documents hold is left to AQE's skew splitting, and its hash is one row
-there.
-
-Defined cases: a NULL or empty text has no chunks and stays as it is. Chunks and
-windows without a word are never removed (so of three blank lines in a row in a
-repeated passage the middle one stays). Rows equal in id and text count as one
-document and get the same result. A document whose chunks are all removed, or that lost
-windows and has no word left, is dropped. An empty table gives an empty result.
+boundary. Units are the chunks of ``min_lines`` lines or more and every pair of
+neighbouring chunks, so that one-line chunks inside a passage leave no gap. Units whose
+hash occurs more than once in the corpus are compared byte by byte with the
+occurrence that is kept, and the chunks of equal ones are removed.
+
+Units overlap, so the first occurrence of one (smallest document, then position) may
+itself lose a chunk to another. Kept is therefore the first occurrence none of whose chunks lies
+in a later occurrence of some other unit; where there is none, the unit removes nothing. The kept
+occurrence stays whole, so every removed unit is still found in one piece. What a
+passage's edges cut off stays: chunks that begin before it or end behind it are not equal.
+
+Hashes alone are grouped, with map-side pre-aggregation. Texts move twice: documents to
+meet the places of their repeated units, whose texts are taken there, and documents to
+meet their removals; a unit that a third of the documents hold is left to AQE's skew
+splitting, and its hash is one row there.
+
+Defined cases: a NULL or empty text has no chunks and stays as it is. Units
+without a word are never removed. Rows equal in id and text count as one
+document and get the same result. A document that lost chunks and has no word left
+is dropped. An empty table gives an empty result.
 Extra columns are kept, whatever their names.
 """
 
@@ -44,17 +42,11 @@ WORD = r"[^\x20\x09-\x0D]"
 
 @dataclass(frozen=True)
 class Chunking:
-    """``divisor`` is the mean number of lines a chunk holds; ``overlap`` takes all
-    windows of ``min_lines`` lines for units instead of the chunks."""
+    """Chunks go on over one line end in ``divisor``."""
 
     window: int = 2
-    divisor: int = 3
+    divisor: int = 4
     min_lines: int = 2
-    overlap: bool = False
-
-
-#: Every repeated run of two lines or more.
-RUNS = Chunking(overlap=True)
 
 
 def chunks(text: Column, cfg: Chunking = Chunking()) -> Column:
@@ -71,7 +63,7 @@ def chunks(text: Column, cfg: Chunking = Chunking()) -> Column:
             at = F.filter(
                 F.transform(
                     rolled,
-                    lambda x, i: F.when((F.pmod(x, F.lit(cfg.divisor).cast("long")) == 0) | (i + 1 == F.size(h)), i + 1),
+                    lambda x, i: F.when((F.pmod(x, F.lit(cfg.divisor).cast("long")) != 0) | (i + 1 == F.size(h)), i + 1),
                 ),
                 lambda x: x.isNotNull(),
             )
@@ -93,9 +85,6 @@ def chunks(text: Column, cfg: Chunking = Chunking()) -> Column:
 
 
 def _parts(text: Column, cfg: Chunking) -> Column:
-    """What removals count by position: the texts of chunks, or the lines."""
-    if cfg.overlap:
-        return F.when(text.isNotNull() & (text != ""), F.split(text, "\n"))
     return F.transform(chunks(text, cfg), lambda x: x["text"])
 
 
@@ -112,46 +101,44 @@ def _left(parts: Column, gone: Column) -> Column:
     return let(F.concat(gone, F.array(F.size(parts))), between)
 
 
-def _joined(parts: Column, cfg: Chunking) -> Column:
+def _joined(parts: Column) -> Column:
     """The text of what is left, NULL where the document is dropped."""
-    some = F.exists(parts, lambda x: x.rlike(WORD)) if cfg.overlap else F.size(parts) > 0
-    return F.when(some, F.array_join(parts, "\n"))
+    return F.when(F.exists(parts, lambda x: x.rlike(WORD)), F.array_join(parts, "\n"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), "text")
 
 
-def _occurrences(docs: DataFrame, cfg: Chunking) -> DataFrame:
-    """``_id, _th, _pos, _hash, _text`` of each chunk that may be removed."""
-    whole = _keyed(docs).select(*KEY, F.posexplode(chunks(F.col("text"), cfg)).alias("_pos", "_chunk"))
-    return whole.filter(
-        (F.col("_chunk.lines") >= cfg.min_lines) & F.col("_chunk.text").rlike(WORD)
-    ).select(*KEY, "_pos", F.xxhash64("_chunk.text").alias("_hash"), F.col("_chunk.text").alias("_text"))
-
+def _units(docs: DataFrame, cfg: Chunking) -> DataFrame:
+    """``_id, _th, _pos, _more, _hash`` of each unit that holds a word: the chunk at ``_pos`` and
+    ``_more`` (0 or 1) chunks behind it."""
 
-def _windows(docs: DataFrame, cfg: Chunking) -> DataFrame:
-    """``_id, _th, _pos, _hash`` of each window of ``min_lines`` lines that holds a word."""
-
-    def hashed(lines: Column) -> Column:
-        def one(x: Column, i: Column) -> Column:
-            own = [F.get(lines, i + j) for j in range(cfg.min_lines)]
-            word = own[0]["word"]
-            for y in own[1:]:
-                word = word | y["word"]
-            return F.when((i + cfg.min_lines <= F.size(lines)) & word, F.xxhash64(*[y["hash"] for y in own]))
+    def hashed(marks: Column) -> Column:
+        def one(m: Column, i: Column) -> Column:
+            after = F.get(marks, i + 1)
+            alone = F.when((m["lines"] >= cfg.min_lines) & m["word"], m["hash"])
+            both = F.when(m["word"] | after["word"], F.xxhash64(m["hash"], after["hash"], F.lit(2)))
+            both = F.when(i + 1 < F.size(marks), both)
+            return F.array(
+                F.struct(i.alias("_pos"), F.lit(0).alias("_more"), alone.alias("_hash")),
+                F.struct(i.alias("_pos"), F.lit(1).alias("_more"), both.alias("_hash")),
+            )
 
-        return F.transform(lines, one)
+        return F.flatten(F.transform(marks, one))
 
-    lines = F.transform(
-        _parts(F.col("text"), cfg), lambda x: F.struct(F.xxhash64(x).alias("hash"), x.rlike(WORD).alias("word"))
+    marks = F.transform(
+        chunks(F.col("text"), cfg),
+        lambda x: F.struct(
+            F.xxhash64(x["text"]).alias("hash"), x["lines"].alias("lines"), x["text"].rlike(WORD).alias("word")
+        ),
     )
-    return _keyed(docs).select(*KEY, F.posexplode(let(lines, hashed)).alias("_pos", "_hash")).filter("_hash is not null")
+    return _keyed(docs).select(*KEY, F.inline(let(marks, hashed))).filter("_hash is not null")
 
 
 def _repeated(units: DataFrame) -> DataFrame:
     """``_h, _first``: hashes that occur more than once, and where first."""
-    where = F.struct("_id", "_th", "_pos")
+    where = F.struct("_id", "_th", "_pos", "_more")
     return (
         units.groupBy("_hash")
         .agg(F.min(where).alias("_first"), F.max(where).alias("_last"))
@@ -160,57 +147,69 @@ def _repeated(units: DataFrame) -> DataFrame:
     )
 
 
-def _found_chunks(docs: DataFrame, cfg: Chunking) -> DataFrame:
-    """``_id, _th, _pos, _hash, _text, _is_first`` of each chunk of a repeated hash."""
-    return _occurrences(docs, cfg).join(_repeated(_occurrences(docs, cfg)), F.col("_hash") == F.col("_h")).select(
-        *KEY, "_pos", "_hash", "_text",
-        F.struct("_id", "_th", "_pos").eqNullSafe(F.col("_first")).alias("_is_first"),
-    )
+def _spoiled(places: Column, p: Column, i: Column) -> Column:
+    """Whether a chunk of place ``p`` lies in a later occurrence of a unit at another place.
+
+    Places come in order, at most two a position, so what overlaps is at most four away."""
+    near = [F.get(places, i + d) for d in (-4, -3, -2, -1, 1, 2, 3, 4)]
+    hits = [
+        F.coalesce(
+            ~q["_is_first"] & (q["_pos"] <= p["_pos"] + p["_more"]) & (p["_pos"] <= q["_pos"] + q["_more"]),
+            F.lit(False),
+        )
+        for q in near
+    ]
+    out = hits[0]
+    for h in hits[1:]:
+        out = out | h
+    return out
 
 
-def _found_windows(docs: DataFrame, cfg: Chunking) -> DataFrame:
-    """The same of windows. Only places and hashes meet the repeated hashes: windows
-    overlap, so their texts are taken from the documents, of repeated ones alone."""
-    windows = materialise(_windows(docs, cfg), "windows")
+def _found(docs: DataFrame, cfg: Chunking) -> DataFrame:
+    """``_id, _th, _pos, _more, _hash, _text, _is_first, _spoiled`` of each unit of a repeated hash."""
+    units = materialise(_units(docs, cfg), "units")
     place = F.struct(
-        "_pos", "_hash", F.struct("_id", "_th", "_pos").eqNullSafe(F.col("_first")).alias("_is_first")
+        "_pos", "_more", "_hash", F.struct("_id", "_th", "_pos", "_more").eqNullSafe(F.col("_first")).alias("_is_first")
     )
     places = (
-        windows.join(_repeated(windows), F.col("_hash") == F.col("_h"))
-        .groupBy(F.col("_id").alias("_gid"), F.col("_th").alias("_gth")).agg(F.collect_set(place).alias("_places"))
+        units.join(_repeated(units), F.col("_hash") == F.col("_h"))
+        .groupBy(F.col("_id").alias("_gid"), F.col("_th").alias("_gth"))
+        .agg(F.sort_array(F.collect_set(place)).alias("_places"))
     )
-    texts = let(_parts(F.col("text"), cfg), lambda lines: F.transform("_places", lambda p: F.struct(
-        p["_pos"].alias("_pos"), p["_hash"].alias("_hash"),
-        F.array_join(F.slice(lines, p["_pos"] + 1, cfg.min_lines), "\n").alias("_text"),
-        p["_is_first"].alias("_is_first"),
+    texts = let(_parts(F.col("text"), cfg), lambda parts: let(F.col("_places"), lambda s: F.transform(
+        s,
+        lambda p, i: F.struct(
+            p["_pos"].alias("_pos"), p["_more"].alias("_more"), p["_hash"].alias("_hash"),
+            F.array_join(F.slice(parts, p["_pos"] + 1, p["_more"] + 1), "\n").alias("_text"),
+            p["_is_first"].alias("_is_first"), _spoiled(s, p, i).alias("_spoiled"),
+        ),
     )))
     return (
         _keyed(docs).join(
             places.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_th") == F.col("_gth"))
         )
-        .select(*KEY, F.explode(texts).alias("_w")).select(*KEY, "_w.*")
+        .select(*KEY, F.inline(texts))
     )
 
 
 def removals(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
-    """``_id, _th, _gone``: of each document the sorted positions of parts to remove."""
+    """``_id, _th, _gone``: of each document the sorted positions of chunks to remove."""
     # written once, so that texts meet the repeated hashes once for both uses below
-    found = materialise(_found_windows(docs, cfg) if cfg.overlap else _found_chunks(docs, cfg), "chunks")
-    firsts = (
-        found.filter("_is_first").groupBy("_hash").agg(F.min("_text").alias("_first_text"))
-        .withColumnRenamed("_hash", "_h")
+    found = materialise(_found(docs, cfg), "repeated-units")
+    where = F.struct("_id", "_th", "_pos", "_more")
+    kept = (
+        found.filter("not _spoiled").groupBy("_hash").agg(F.min(F.struct(where.alias("at"), F.col("_text").alias("text"))).alias("_kept"))
+        .select(F.col("_hash").alias("_h"), F.col("_kept.at").alias("_at"), F.col("_kept.text").alias("_kept_text"))
     )
     equal = found.filter("not _is_first").join(
-        firsts, (F.col("_hash") == F.col("_h")) & (F.col("_text") == F.col("_first_text"))
+        kept, (F.col("_hash") == F.col("_h")) & (F.col("_text") == F.col("_kept_text")) & ~where.eqNullSafe(F.col("_at"))
     )
-    gone = F.collect_set("_pos")
-    if cfg.overlap:
-        gone = F.array_distinct(F.flatten(F.transform(gone, lambda p: F.sequence(p, p + (cfg.min_lines - 1)))))
+    gone = F.array_distinct(F.flatten(F.collect_set(F.sequence("_pos", F.col("_pos") + F.col("_more")))))
     return equal.groupBy(*KEY).agg(F.array_sort(gone).alias("_gone"))
 
 
 def dedup_lines(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
-    """The documents without repeated chunks or windows, in the columns they came with."""
+    """The documents without repeated units, in the columns they came with."""
     gone = removals(docs, cfg).select(F.col("_id").alias("_gid"), F.col("_th").alias("_gth"), "_gone")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     joined = docs.select(row, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), F.col("text").alias("_text")).join(
@@ -219,7 +218,7 @@ def dedup_lines(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
     )
 
     def rest(parts: Column) -> Column:
-        return let(_left(parts, F.col("_gone")), lambda left: _joined(left, cfg))
+        return let(_left(parts, F.col("_gone")), _joined)
 
     cleaned = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(let(_parts(F.col("_text"), cfg), rest))
     kept = joined.select("_row", "_gone", cleaned.alias("_clean")).filter(
@@ -231,9 +230,7 @@ def dedup_lines(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
 
 
 def line_report(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
-    """``doc_id, n_chunks, n_removed, n_chars, kept_chars, kept_md5``, all documents.
-
-    With ``overlap``, ``n_chunks`` and ``n_removed`` count lines."""
+    """``doc_id, n_chunks, n_removed, n_chars, kept_chars, kept_md5``, all documents."""
     gone = removals(docs, cfg).select(F.col("_id").alias("_gid"), F.col("_th").alias("_gth"), "_gone")
     joined = _keyed(docs).join(
         gone.hint("shuffle_hash"),
@@ -244,7 +241,7 @@ def line_report(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
         F.col("_id").alias("doc_id"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
         F.coalesce("_gone", none).alias("_gone"), _parts(F.col("text"), cfg).alias("_chunks"), "text",
     )
-    left = let(_left(F.col("_chunks"), F.col("_gone")), lambda x: F.coalesce(_joined(x, cfg), F.lit("")))
+    left = let(_left(F.col("_chunks"), F.col("_gone")), lambda x: F.coalesce(_joined(x), F.lit("")))
     clean = F.when(F.size("_gone") == 0, F.coalesce("text", F.lit(""))).otherwise(left)
     return cut.select(
         "doc_id",
