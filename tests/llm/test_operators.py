@@ -628,3 +628,23 @@ def test_mixing(spark):
     assert sum(size(r.text) for r in mixed.collect()) == sum(taken.values())
     assert mixing.queue(mixing.sized(docs.limit(0))).count() == 0
     assert mixing.mixed(docs.filter("doc_id in (3, 4)")).count() == 0
+
+
+def test_mixing_does_not_depend_on_the_layout(spark, monkeypatch):
+    """Rows that share ids but not texts, in two layouts and in ranges of any size."""
+    rows = [(i % 3 if i % 4 else None, "w " * (i % 11) + f"t{i}", f"s{i % 2}") for i in range(99)]
+    rows += [(5, "the same", "s0")] * 7
+    docs = documents(spark, rows)
+    report = lambda d: Counter(
+        tuple(r) for r in mixing.queue(mixing.sized(d)).drop("uid").collect()
+    )
+    whole = report(docs.coalesce(1))
+    assert report(docs.repartition(7, "text")) == whole
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 10)
+    ordered = docs.repartition(5, "source", "text")
+    assert report(ordered) == whole
+    base = mixing.sized(ordered)
+    ranged = mixing._running(base, ["doc_id", "size", "text_hash", "uid"], "_cum", 11)
+    assert ranged.agg(F.max("_cum")).first()[0] == base.agg(F.sum("size")).first()[0]
+    counts = base.repartitionByRange(11, "doc_id", "size", "text_hash", "uid").groupBy(F.spark_partition_id()).count()
+    assert counts.agg(F.max("count")).first()[0] < 25  # rows without an id alone are 25

@@ -9,14 +9,17 @@ epoch; a document's virtual finish time is the source's words up to its end
 divided by the source's target. The queue is sorted by finish time over the whole
 corpus and cut where its words would exceed the budget.
 
-No window spans a source or the corpus: prefix sums run inside 4,096 hash ranges
-a source (then inside finish-time ranges) and the ranges' totals are summed up
-before. One row a source, or a range, meets in one task; rows never do.
+No window spans a source or the corpus: rows are range-sorted into as many ranges as hold
+``RANGE_ROWS`` rows each, first by source and place, then by finish time; prefix sums run
+inside a range and the ranges' totals are summed up before. Ties go by size, text hash and
+last by row, so ranges cut through the rows of one id too. One row a source, or a range, meets in one
+task; rows never do.
 
 Defined cases: a NULL or blank text has size 0 and is never taken. NULL is a
 source of its own. Every input row is queued, also rows equal to others (they
-stand side by side and may differ in ``taken``). An empty table gives an empty
-result. Extra columns are ignored.
+stand side by side and may differ in ``taken``); rows that share an id but not the text
+are told apart by the text, so the result doesn't depend on how the input is split. An
+empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,9 +40,8 @@ class Mix:
     seed: str = "mix:"
 
 
-#: Finish times up to FINE_UNTIL are cut into ranges of 1/FINE, later ones by their logarithm.
-FINE, FINE_UNTIL, COARSE = 2048, 8, 64
-HASH_DIGITS = 3
+#: Mean rows of a range.
+RANGE_ROWS = 1 << 15
 
 
 def word_count(text: Column) -> Column:
@@ -82,61 +84,56 @@ def source_targets(base: DataFrame, mix: Mix) -> DataFrame:
     )
 
 
-def _range_of(finish: Column) -> Column:
-    late = F.floor(F.log2(finish / FINE_UNTIL) * COARSE) + FINE * FINE_UNTIL
-    return F.when(finish < FINE_UNTIL, F.floor(finish * FINE)).otherwise(late)
+def _running(df: DataFrame, order: list[str], name: str, ranges: int) -> DataFrame:
+    """``df`` with the running sum of ``size`` in ``order``, its last column unique."""
+    # the ranges' numbers are written down: what follows must not deal the rows anew
+    ranged = materialise(
+        df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "mix-ranges"
+    )
+    before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy(F.col("_range").alias("_r")).agg(F.sum("size").alias("_sum"))
+        .select("_r", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    )
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        ranged.withColumn("_in", F.sum("size").over(inside))
+        .join(offsets, F.col("_range") == F.col("_r"))
+        .withColumn(name, F.col("_offset") + F.col("_in"))
+        .drop("_in", "_range", "_r", "_offset")
+    )
 
 
 def queue(base: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """``base(uid, doc_id, source, size)`` with ``source_size``, ``target`` and ``taken``.
+    """``base(uid, doc_id, source, size, text_hash)`` with ``source_size``, ``target`` and ``taken``.
 
     ``uid`` tells rows apart; ``base`` is read more than once, so it has to be a
     written table.
     """
-    digits = F.substring("_key", 1, HASH_DIGITS)
     key = F.md5(F.concat(F.lit(mix.seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    base = base.withColumn("_key", key).withColumn("_range", digits)
     targets = source_targets(base, mix)
-    ranges = base.groupBy("source", "_range").agg(F.sum("size").alias("_sum"))
-    before = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # at most 4,096 rows a source
-    offsets = (
-        ranges.withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
-        .join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-        .select(
-            F.col("source").alias("_source"), F.col("_range").alias("_r"),
-            "_offset", "source_size", "source_no", "target",
-        )
-    )
-    up_to = (
-        Window.partitionBy("source", "_range")
-        .orderBy("_key", "doc_id", "uid")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    start = F.sum("source_size").over(Window.orderBy("source_no")) - F.col("source_size")
+    sources = targets.withColumn("_start", start).withColumnRenamed("source", "_source")
+    ranges = -(-base.count() // RANGE_ROWS) or 1
+    rows = (
+        base.withColumn("_key", key).join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     )
-    placed = base.withColumn("_cum", F.sum("size").over(up_to)).join(
-        offsets, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_range") == F.col("_r"))
+    ties = ["source_no", "_key", "doc_id", "size", "text_hash", "uid"]
+    placed = materialise(
+        _running(rows, ties, "_cum", ranges).withColumn("_cum", F.col("_cum") - F.col("_start")).drop("_start"),
+        "mix-places",
     )
     epochs = F.sequence(F.lit(0), F.lit(mix.max_epochs - 1))
-    finish = (F.col("_offset") + F.col("_cum") + F.col("_epoch") * F.col("source_size")) / F.col("target")
+    finish = (F.col("_cum") + F.col("_epoch") * F.col("source_size")) / F.col("target")
     queued = (
         placed.filter((F.col("size") > 0) & (F.col("target") > 0))
-        .select("uid", "size", "source_no", "_key", "doc_id", "_offset", "_cum", "source_size", "target",
-                F.explode(epochs).alias("_epoch"))
-        .select("uid", "size", "source_no", "_key", "doc_id", finish.alias("_finish"))
-        .withColumn("_slot", _range_of(F.col("_finish")))
-    )
-    order = ["_finish", "source_no", "_key", "doc_id", "uid"]
-    slots = queued.groupBy("_slot").agg(F.sum("size").alias("_sum"))
-    earlier = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    slot_offsets = slots.select(
-        F.col("_slot").alias("_s"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start")
+        .select(*ties, "_cum", "source_size", "target", F.explode(epochs).alias("_epoch"))
+        .select(*ties, finish.alias("_finish"), "_epoch")
     )
     budget = base.agg((F.sum("size") * mix.budget_percent).alias("_budget_100")).scalar()
-    in_slot = Window.partitionBy("_slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     taken = (
-        queued.withColumn("_in", F.sum("size").over(in_slot))
-        .join(slot_offsets, F.col("_slot") == F.col("_s"))
-        .filter((F.col("_start") + F.col("_in")) * 100 <= budget)
+        _running(queued, ["_finish", *ties, "_epoch"], "_total", ranges * mix.max_epochs)
+        .filter(F.col("_total") * 100 <= budget)
         .groupBy(F.col("uid").alias("_uid"))
         .agg(F.sum("size").alias("_taken"))
     )
@@ -147,26 +144,21 @@ def queue(base: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """``uid, doc_id, source, size``, written once: texts are read a single time."""
-    return materialise(
-        docs.select(
-            F.monotonically_increasing_id().alias("uid"), "doc_id", "source",
-            word_count(F.col("text")).alias("size"),
-        ),
-        "mix-sizes",
+    """``uid, doc_id, source, size, text_hash``, written once: texts are read a single time."""
+    return materialise(_sizes(docs), "mix-sizes")
+
+
+def _sizes(docs: DataFrame, *more: Column) -> DataFrame:
+    return docs.select(
+        F.monotonically_increasing_id().alias("uid"), "doc_id", "source",
+        word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash"), *more,
     )
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The mix itself: documents as often as they are taken, with the columns they came with."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    numbered = materialise(
-        docs.select(
-            F.monotonically_increasing_id().alias("uid"), "doc_id", "source",
-            word_count(F.col("text")).alias("size"), row,
-        ),
-        "mix-docs",
-    )
+    numbered = materialise(_sizes(docs, row), "mix-docs")
     taken = queue(numbered.drop("_row"), mix).filter("taken > 0")
     times = taken.select(F.col("uid").alias("_u"), (F.col("taken") / F.col("size")).cast("int").alias("_n"))
     return (
