@@ -111,8 +111,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _units(docs: DataFrame, cfg: Chunking) -> DataFrame:
-    """``_id, _th, _pos, _more, _hash`` of each unit that holds a word: the chunk at ``_pos`` and
-    ``_more`` (0 or 1) chunks behind it."""
+    """``_id, _th, _at, _hash`` of each unit that holds a word. ``_at`` is twice the position of its
+    first chunk, one more for a pair."""
 
     def hashed(marks: Column) -> Column:
         def one(m: Column, i: Column) -> Column:
@@ -121,8 +121,8 @@ def _units(docs: DataFrame, cfg: Chunking) -> DataFrame:
             both = F.when(m["word"] | after["word"], F.xxhash64(m["hash"], after["hash"], F.lit(2)))
             both = F.when(i + 1 < F.size(marks), both)
             return F.array(
-                F.struct(i.alias("_pos"), F.lit(0).alias("_more"), alone.alias("_hash")),
-                F.struct(i.alias("_pos"), F.lit(1).alias("_more"), both.alias("_hash")),
+                F.struct((2 * i).alias("_at"), alone.alias("_hash")),
+                F.struct((2 * i + 1).alias("_at"), both.alias("_hash")),
             )
 
         return F.flatten(F.transform(marks, one))
@@ -138,15 +138,23 @@ def _units(docs: DataFrame, cfg: Chunking) -> DataFrame:
 
 def _repeated(units: DataFrame) -> DataFrame:
     """``_h, _first``: hashes that occur more than once, and where first."""
-    where = F.struct("_id", "_th", "_pos", "_more")
+    mark = F.xxhash64("_id", "_th", "_at")
     return (
         units.groupBy("_hash")
-        .agg(F.min(where).alias("_first"), F.max(where).alias("_last"))
-        .filter("_first <> _last")
+        .agg(F.min(F.struct("_id", "_th", "_at")).alias("_first"), F.min(mark).alias("_low"), F.max(mark).alias("_high"))
+        .filter("_low <> _high")
         .select(F.col("_hash").alias("_h"), "_first")
     )
 
 
+def _chunk(at: Column) -> Column:
+    return F.shiftright(at, 1)
+
+
+def _last(at: Column) -> Column:
+    return _chunk(at) + at % 2
+
+
 def _spoiled(places: Column, p: Column, i: Column) -> Column:
     """Whether a chunk of place ``p`` lies in a later occurrence of a unit at another place.
 
@@ -154,7 +162,7 @@ def _spoiled(places: Column, p: Column, i: Column) -> Column:
     near = [F.get(places, i + d) for d in (-4, -3, -2, -1, 1, 2, 3, 4)]
     hits = [
         F.coalesce(
-            ~q["_is_first"] & (q["_pos"] <= p["_pos"] + p["_more"]) & (p["_pos"] <= q["_pos"] + q["_more"]),
+            ~q["_is_first"] & (_chunk(q["_at"]) <= _last(p["_at"])) & (_chunk(p["_at"]) <= _last(q["_at"])),
             F.lit(False),
         )
         for q in near
@@ -166,11 +174,9 @@ def _spoiled(places: Column, p: Column, i: Column) -> Column:
 
 
 def _found(docs: DataFrame, cfg: Chunking) -> DataFrame:
-    """``_id, _th, _pos, _more, _hash, _text, _is_first, _spoiled`` of each unit of a repeated hash."""
-    units = materialise(_units(docs, cfg), "units")
-    place = F.struct(
-        "_pos", "_more", "_hash", F.struct("_id", "_th", "_pos", "_more").eqNullSafe(F.col("_first")).alias("_is_first")
-    )
+    """``_id, _th, _at, _hash, _text, _is_first, _spoiled`` of each unit of a repeated hash."""
+    units = materialise(_units(docs, cfg), "units", "zstd")
+    place = F.struct("_at", "_hash", F.struct("_id", "_th", "_at").eqNullSafe(F.col("_first")).alias("_is_first"))
     places = (
         units.join(_repeated(units), F.col("_hash") == F.col("_h"))
         .groupBy(F.col("_id").alias("_gid"), F.col("_th").alias("_gth"))
@@ -179,8 +185,8 @@ def _found(docs: DataFrame, cfg: Chunking) -> DataFrame:
     texts = let(_parts(F.col("text"), cfg), lambda parts: let(F.col("_places"), lambda s: F.transform(
         s,
         lambda p, i: F.struct(
-            p["_pos"].alias("_pos"), p["_more"].alias("_more"), p["_hash"].alias("_hash"),
-            F.array_join(F.slice(parts, p["_pos"] + 1, p["_more"] + 1), "\n").alias("_text"),
+            p["_at"].alias("_at"), p["_hash"].alias("_hash"),
+            F.array_join(F.slice(parts, _chunk(p["_at"]) + 1, p["_at"] % 2 + 1), "\n").alias("_text"),
             p["_is_first"].alias("_is_first"), _spoiled(s, p, i).alias("_spoiled"),
         ),
     )))
@@ -195,16 +201,17 @@ def _found(docs: DataFrame, cfg: Chunking) -> DataFrame:
 def removals(docs: DataFrame, cfg: Chunking = Chunking()) -> DataFrame:
     """``_id, _th, _gone``: of each document the sorted positions of chunks to remove."""
     # written once, so that texts meet the repeated hashes once for both uses below
-    found = materialise(_found(docs, cfg), "repeated-units")
-    where = F.struct("_id", "_th", "_pos", "_more")
+    found = materialise(_found(docs, cfg), "repeated-units", "zstd")
+    where = F.struct("_id", "_th", "_at")
     kept = (
-        found.filter("not _spoiled").groupBy("_hash").agg(F.min(F.struct(where.alias("at"), F.col("_text").alias("text"))).alias("_kept"))
-        .select(F.col("_hash").alias("_h"), F.col("_kept.at").alias("_at"), F.col("_kept.text").alias("_kept_text"))
+        found.filter("not _spoiled").groupBy("_hash")
+        .agg(F.min(F.struct(where.alias("at"), F.col("_text").alias("text"))).alias("_kept"))
+        .select(F.col("_hash").alias("_h"), F.col("_kept.at").alias("_kept_at"), F.col("_kept.text").alias("_kept_text"))
     )
     equal = found.filter("not _is_first").join(
-        kept, (F.col("_hash") == F.col("_h")) & (F.col("_text") == F.col("_kept_text")) & ~where.eqNullSafe(F.col("_at"))
+        kept, (F.col("_hash") == F.col("_h")) & (F.col("_text") == F.col("_kept_text")) & ~where.eqNullSafe(F.col("_kept_at"))
     )
-    gone = F.array_distinct(F.flatten(F.collect_set(F.sequence("_pos", F.col("_pos") + F.col("_more")))))
+    gone = F.array_distinct(F.flatten(F.collect_set(F.sequence(_chunk(F.col("_at")), _last(F.col("_at"))))))
     return equal.groupBy(*KEY).agg(F.array_sort(gone).alias("_gone"))
 
 

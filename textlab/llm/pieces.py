@@ -10,11 +10,12 @@ model's own merge order on the same lattice (its scores are ranks: their largest
 is not what the library returns). Characters without a piece become byte pieces.
 Encoded units go back to their blocks, where texts are spelled with them.
 
-Only distinct units of a block are shuffled, never their occurrences, so a word that
-every document holds is one row a block. A block is ``BLOCK_BYTES`` of text from one input
+Only distinct units of a block are shuffled, never their occurrences, packed by share of
+all units; a share's task finds its distinct units, and later hands each block the ids of
+its units in their order. A block is ``BLOCK_BYTES`` of text from one input
 partition, or one longer text, and moves once, as one compressed row. Units of more than
 ``LATTICE_CHARS`` characters, whose fold would take quadratic time, are encoded by the same
-rule with a heap in the block's task; so is any unit whose answer is missing because an
+rule with a heap in the block's task; so are units whose answer doesn't fit because an
 input without a stable order was read differently the second time.
 
 Defined cases: a NULL text encodes like ''; both have no pieces. U+2581 stands for the
@@ -27,6 +28,7 @@ identity's are refused.
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -164,8 +166,26 @@ def _text_blocks(batches: Iterator) -> Iterator:
     return blocked(batches, sizes, BLOCK_BYTES)
 
 
-def _units(pattern: str):
-    """Distinct units of each block, as far as the lattice takes them."""
+def _shares(words: Iterator, units, shares: int) -> dict[int, list[str]]:
+    """The distinct units of some words that the lattice takes, in order, by their share."""
+    out: dict[int, list[str]] = {}
+    for u in sorted({u for w in words for u in units(w) if len(u) <= LATTICE_CHARS}):
+        out.setdefault(zlib.crc32(u.encode()) % shares, []).append(u)
+    return out
+
+
+def _listed(units: list[str]) -> bytes:
+    import pyarrow as pa
+
+    return pack(pa.RecordBatch.from_arrays([pa.array(units, pa.string())], names=["unit"]))
+
+
+def _digest(units: list[str]) -> int:
+    return zlib.crc32("\n".join(units).encode())
+
+
+def _units(pattern: str, shares: int):
+    """Distinct units of each block, one packed row a share of all units."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -175,16 +195,51 @@ def _units(pattern: str):
             seen = set()
             for t in rows.column("_text"):
                 seen.update(words(t.as_py()))
-            found = list({u for w in seen for u in units(w) if len(u) <= LATTICE_CHARS})
-            for at in range(0, len(found), OUT_ROWS):
-                part = found[at : at + OUT_ROWS]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(part), pa.int64()), pa.array(part, pa.string())], names=["block", "unit"]
-                )
+            found = _shares(seen, units, shares)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block] * len(found), pa.int64()), pa.array(list(found), pa.int32()),
+                    pa.array([_listed(part) for part in found.values()], pa.binary()),
+                ],
+                names=["block", "share", "units"],
+            )
 
     return run
 
 
+def _distinct(batches: Iterator) -> Iterator:
+    """The distinct units of whole shares."""
+    import pyarrow as pa
+
+    seen = set()
+    for batch in batches:
+        for packed in batch.column("units"):
+            seen.update(unpack(packed.as_py()).column("unit").to_pylist())
+    found = list(seen)
+    for at in range(0, len(found), OUT_ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(found[at : at + OUT_ROWS], pa.string())], names=["unit"])
+
+
+def _answered(found, known):
+    """Each block's units of one share as lists of ids, in their order."""
+    import pyarrow as pa
+
+    number = {u: i for i, u in enumerate(known.column("unit").to_pylist())}
+    lists = pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *known.column("ids").chunks])
+    digests, answers = [], []
+    for packed in found.column("units"):
+        units = unpack(packed.as_py()).column("unit").to_pylist()
+        ids = lists.take(pa.array([number[u] for u in units], pa.int32()))
+        digests.append(_digest(units))
+        answers.append(pack(pa.RecordBatch.from_arrays([ids], names=["ids"])))
+    return pa.table(
+        {
+            "block": found.column("block"), "share": found.column("share"), "digest": pa.array(digests, pa.int64()),
+            "ids": pa.array(answers, pa.binary()),
+        }
+    )
+
+
 def _packed(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
@@ -278,10 +333,10 @@ def _joined(flat, sizes, index):
     return flat[np.repeat(starts[index] - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
 
-def _spell(model: PieceModel, carry: list[str], arrow_schema):
+def _spell(model: PieceModel, carry: list[str], arrow_schema, shares: int):
     scores = {p: (i, s) for p, i, s in model.pieces}
 
-    def run(blocks, known):
+    def run(blocks, answers):
         from collections import defaultdict
         from itertools import count
 
@@ -290,36 +345,40 @@ def _spell(model: PieceModel, carry: list[str], arrow_schema):
         import pyarrow.compute as pc
 
         words, units = _splitter(model.units)
-        empty = arrow_schema.empty_table()
         # without a packed row: a block that only the first reading made
-        texts = pa.concat_tables([empty, *(unpack(p.as_py()) for p in blocks.column("packed"))])
+        texts = pa.concat_tables([arrow_schema.empty_table(), *(unpack(p.as_py()) for p in blocks.column("packed"))])
         # texts as numbers of words, words as numbers of units, units as ids
         word_number = defaultdict(count().__next__)
         rows = []
         for t in texts.column("_text"):
             found = words(t.as_py())
             rows.append(np.fromiter(map(word_number.__getitem__, found), np.int32, len(found)))
-        number = {u: i for i, u in enumerate(known.column("unit").to_pylist())}
-        lists = pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *known.column("ids").chunks])
-        long, made, lengths = [], [], []
+        own = _shares(word_number, units, shares)
+        number, lists = {}, [pa.array([], pa.list_(pa.int32()))]
+        for share, digest, packed in zip(*(answers.column(c) for c in ("share", "digest", "ids")), strict=True):
+            part = own.get(share.as_py(), [])
+            if _digest(part) == digest.as_py():
+                number.update(zip(part, count(len(number))))
+                lists += unpack(packed.as_py()).column("ids").chunks
+        lists = pa.concat_arrays(lists)
+        other, made, lengths = [], [], []
         for w in word_number:
             before = len(made)
             for u in units(w):
                 i = number.get(u)
                 if i is None:
                     number[u] = i = len(number)
-                    long.append(np.array(encode_long(u, scores, model), np.int32))
+                    other.append(np.array(encode_long(u, scores, model), np.int32))
                 made.append(i)
             lengths.append(len(made) - before)
-        flat = np.concatenate([lists.flatten().to_numpy(), *long])
+        flat = np.concatenate([lists.flatten().to_numpy(), *other])
         sizes = np.concatenate(
-            [pc.list_value_length(lists).to_numpy(zero_copy_only=False), [len(x) for x in long]]
+            [pc.list_value_length(lists).to_numpy(zero_copy_only=False), [len(x) for x in other]]
         ).astype(np.int64)
         made, lengths = np.array(made, np.int64), np.array(lengths, np.int64)
         word_ids = _joined(flat, sizes, made)
         ends = np.concatenate([[0], np.cumsum(sizes[made])])
-        word_ends = np.concatenate([[0], np.cumsum(lengths)])
-        word_sizes = np.diff(ends[word_ends])
+        word_sizes = np.diff(ends[np.concatenate([[0], np.cumsum(lengths)])])
         out = [_joined(word_ids, word_sizes, row) for row in rows]
         ends = np.cumsum([0] + [len(x) for x in out])
         ids = pa.ListArray.from_arrays(
@@ -335,17 +394,25 @@ def encode(docs: DataFrame, model: PieceModel, carry: tuple[str, ...] = ("doc_id
     own = [F.col(f"`{c}`") for c in carry]
     rows = docs.select(*own, F.col("text").alias("_text"))
     kinds = dict(rows.dtypes)
-    # a fixed number of partitions: few bytes of units make much work below
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # shares of units as many as the session's shuffles have partitions, so that each fits a task
+    shares = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = materialise(
-        rows.mapInArrow(_units(model.units), "block long, unit string"), "units", "zstd"
-    ).repartition(parts, "unit")
-    known = encode_units(found.select("unit").distinct(), model).withColumnRenamed("unit", "_unit")
-    spelled = found.join(known, F.col("unit") == F.col("_unit")).select("block", "unit", "ids")
+        rows.mapInArrow(_units(model.units, shares), "block long, share int, units binary"), "units", "zstd"
+    )
+    # a fixed number of partitions: few bytes of units make much work below
+    distinct = found.select("share", "units").repartition(shares, "share").mapInArrow(_distinct, "unit string")
+    known = encode_units(distinct.repartition(shares, "unit"), model).withColumn(
+        "share", (F.crc32(F.col("unit").cast("binary")) % shares).cast("int")
+    )
+    answers = (
+        found.groupBy("share").cogroup(known.groupBy("share"))
+        .applyInArrow(_answered, "block long, share int, digest long, ids binary")
+    )
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in carry] + ["ids array<int>"])
     return (
         rows.mapInArrow(_packed, "block long, packed binary").groupBy("block")
-        .cogroup(spelled.groupBy("block")).applyInArrow(_spell(model, list(carry), to_arrow_schema(rows.schema)), schema)
+        .cogroup(answers.groupBy("block"))
+        .applyInArrow(_spell(model, list(carry), to_arrow_schema(rows.schema), shares), schema)
     )
 
 
@@ -356,7 +423,7 @@ def _decode(spelled: tuple):
         for batch in batches:
             texts = []
             for ids in batch.column("ids"):
-                body = b"".join([spelled[i] for i in ids.as_py() or []])
+                body = b"".join(map(spelled.__getitem__, ids.as_py() or ()))
                 texts.append((body[1:] if body[:1] == b" " else body).decode("utf-8", "replace"))
             columns = [batch.column(c) for c in batch.schema.names] + [pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "decoded"])
