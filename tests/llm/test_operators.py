@@ -73,6 +73,26 @@ def url_verdict(url):
     return host, path, best
 
 
+def bayes_by_hand(urls, split):
+    """Log odds to block of (host, path, rule) by multinomial naive Bayes over what the rules decide."""
+    import math
+
+    words = [[*split.get(h, []), *re.findall("[a-z]+", re.sub("[A-Z]+", lambda m: m[0].lower(), p))] for h, p, _ in urls]
+    counts, docs = {"block": Counter(), "allow": Counter()}, Counter()
+    for w, (_, _, rule) in zip(words, urls, strict=True):
+        if rule:
+            counts[rule.verdict].update(w)
+            docs[rule.verdict] += 1
+    vocabulary = set(counts["block"]) | set(counts["allow"])
+    odds = {
+        w: math.log((counts["block"][w] + 1) / (sum(counts["block"].values()) + len(vocabulary)))
+        - math.log((counts["allow"][w] + 1) / (sum(counts["allow"].values()) + len(vocabulary)))
+        for w in vocabulary
+    }
+    prior = math.log((docs["block"] + 1) / (docs["allow"] + 1))
+    return [prior + sum(odds.get(x, 0) for x in w) for w in words]
+
+
 def test_url_rules(spark):
     urls = [
         None, "", "example.com/en/", "http://Example.COM/en/x?q=/fr/", "https://www.example.com/en/1", "x://a.net/fr/",
@@ -90,11 +110,27 @@ def test_url_rules(spark):
         assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule and rule.pattern), u
         if rule:
             assert got[i].verdict == rule.verdict
-    assert got[12].score > got[14].score and got[13].score > got[14].score
+    want = bayes_by_hand(
+        [url_verdict(u) for u in urls],
+        {r.host: list(r.words) for r in url_filter.segment_hosts(
+            spark.createDataFrame([(url_verdict(u)[0],) for u in urls], "host string").distinct(),
+            url_filter.word_counts(pages)).collect()},
+    )
+    for i, (_, _, rule) in enumerate(map(url_verdict, urls)):
+        assert got[i].score == pytest.approx(want[i], abs=1e-9)
+        assert rule or got[i].verdict == ("block" if want[i] > 0 else "allow")
     split = url_filter.segment_hosts(
         spark.createDataFrame([("cheappills.org",)], "host string"), url_filter.word_counts(pages)
     ).first()
     assert split.words[:2] == ["cheap", "pills"]
+    # three hosts share a label that no text has; a fourth, alone with its label, keeps its letters together
+    own = spark.createDataFrame(
+        [(i, f"http://{h}/", "cheapzebra.org says cheap", "", "") for i, h in
+         enumerate(["a.shared.org", "b.shared.org", "c.shared.org", "cheapzebra.org"])], pages.schema)
+    found = url_filter.segment_hosts(
+        own.select(F.regexp_extract("url", "//([^/]*)", 1).alias("host")), url_filter.word_counts(own))
+    assert {r.host: list(r.words) for r in found.collect()}["cheapzebra.org"] == ["cheap", "zebra", "org"]
+    assert {r.host: list(r.words) for r in found.collect()}["a.shared.org"] == ["a", "shared", "org"]
     assert url_filter.judge_urls(pages.limit(0), RULES).count() == 0
 
 

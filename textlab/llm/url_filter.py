@@ -5,17 +5,20 @@ with the rule's; the longest fitting rule decides (equal lengths: the smaller
 text). Every other url gets the method's verdict. Host labels without a separator
 are split into words by a unigram Viterbi fold over a relational lattice (see
 ``lattice``); word counts come from the text of all pages, hyphenated host labels
-and paths. A multinomial naive Bayes then scores host and path words. It learns
-from all urls of the table: a url whose segmented host holds a listed word is an
-example to block, every other one an example to allow.
+and paths. Host names that a text mentions are taken out of it first, and a label counts
+as a word once for every other host that has it: a label must not vouch for itself.
+A multinomial naive Bayes then scores host and path words. It learns
+from the urls that a rule decides, by the rule's verdict, and judges the others.
 
 Hosts and paths are reduced to their distinct values before they are split or
 scored, and counts are pre-aggregated, so a host with a third of all pages is one
 row. Joins back to the pages are left to AQE's skew splitting.
 
 Defined cases: a NULL url, or one without ``://``, has an empty host and path, fits
-no rule and has no words; the class prior decides. Labels of more than 63
-characters (no valid DNS label) stay one word. Repeated rows are judged one by one. An
+no rule and has no words; the class prior decides (allow, where the classes are even or no
+rule decides any url). Labels of more than 63
+characters (no valid DNS label) stay one word, and so do letters of a label that no known words
+spell. Repeated rows are judged one by one. An
 empty table gives an empty result. Extra columns are ignored.
 """
 
@@ -26,19 +29,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textlab.llm.common import ascii_lower, materialise
+from textlab.llm.common import ascii_lower, let, materialise
 from textlab.llm.lattice import edges, viterbi
 
-# --- fixed values: words that make a host an example to block ------------------
-BLOCK_WORDS = (
-    "ads adult baccarat bet bets betting bonus casino casinos cheap click cracked dating escort "
-    "farm forex gambling jackpot keygen loan loans lottery malware meds nude payday pharma pharmacy "
-    "phish phishing pill pills poker porn replica roulette sex slots spam torrent track tracker "
-    "viagra warez win xxx"
-).split()
-# --------------------------------------------------------------------------------
 MAX_LABEL = 63
+#: Longer words are counted and scored, but are no pieces of labels.
 MAX_WORD = 24
+#: Natural logarithm; a letter outside all words costs more than any word.
+STRAY_LETTER = -50.0
 
 
 @dataclass(frozen=True)
@@ -73,16 +71,28 @@ def matching_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column
 
 
 def _letters(text: Column, least: int = 1) -> Column:
-    return F.regexp_extract_all(text, F.lit("[a-z]{%d,%d}" % (least, MAX_WORD)), F.lit(0))
+    return F.regexp_extract_all(text, F.lit("[a-z]{%d,}" % least), F.lit(0))
+
+
+#: Names with a dot between letters or digits, as hosts have.
+HOST_LIKE = r"[a-z0-9-]+(?:\.[a-z0-9-]+)+"
 
 
 def word_counts(pages: DataFrame) -> DataFrame:
-    """``piece, n``: words of two letters or more of all pages' text, split labels and paths."""
+    """``piece, n``: words of two letters or more of all pages' text, split labels and paths,
+    and labels by the number of other hosts that have them."""
     host, path = url_parts(F.col("url"))
-    text = F.lower(F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<[^>]*>", " "))
+    text = F.lower(F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<[^>]*>|&#?\w+;", " "))
+    text = F.regexp_replace(text, HOST_LIKE, " ")
     hyphened = F.array_join(F.filter(F.split(host, r"\."), lambda x: x.contains("-")), " ")
     seen = pages.select(F.explode(_letters(F.concat_ws(" ", text, hyphened, ascii_lower(path)), 2)).alias("piece"))
-    return seen.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    labels = (
+        pages.select(host.alias("host")).distinct()
+        .select("host", F.explode(F.array_distinct(_letters(F.col("host"), 2))).alias("piece"))
+        .groupBy("piece").agg((F.count(F.lit(1)) - 1).alias("n")).filter("n > 0")
+    )
+    counted = seen.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    return counted.unionByName(labels).groupBy("piece").agg(F.sum("n").alias("n"))
 
 
 def segment_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
@@ -90,19 +100,32 @@ def segment_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     parts = hosts.select("host", F.posexplode(F.split("host", "[^a-z]+")).alias("_pos", "word")).filter("word <> ''")
     labels = parts.select("word").distinct()
     total = counts.agg(F.sum("n").cast("double").alias("_total"))
-    listed = counts.sparkSession.createDataFrame([(w,) for w in BLOCK_WORDS], "piece string")
     known = (
-        counts.unionByName(listed.withColumn("n", F.lit(1).cast("long")))
-        .groupBy("piece").agg(F.sum("n").alias("_n"))
+        counts.filter(F.length("piece") <= MAX_WORD)
         .withColumn("id", F.lit(1))
-        .withColumn("score", F.log(F.col("_n") / F.greatest(F.lit(1.0), F.coalesce(total.scalar(), F.lit(1.0)))))
+        .withColumn("score", F.log(F.col("n") / F.greatest(F.lit(1.0), F.coalesce(total.scalar(), F.lit(1.0)))))
     )
     lattice = edges(labels.filter(F.length("word") <= MAX_LABEL), known, MAX_WORD)
-    # a letter outside all words costs more than any word
-    path = viterbi(F.col("_edges"), F.length("word"), F.lit(-50.0))
+    path = viterbi(F.col("_edges"), F.length("word"), F.lit(STRAY_LETTER))
     split = lattice.select(
         F.col("word").alias("_word"),
-        F.transform(path, lambda e: F.substring(F.col("word"), e["start"], e["len"])).alias("_split"),
+        # known words, and the letters between them together
+        F.filter(
+            F.split(
+                F.array_join(
+                    F.transform(
+                        path,
+                        lambda e: let(
+                            F.substring(F.col("word"), e["start"], e["len"]),
+                            lambda w: F.when(e["id"].isNotNull(), F.concat(F.lit(" "), w, F.lit(" "))).otherwise(w),
+                        ),
+                    ),
+                    "",
+                ),
+                " +",
+            ),
+            lambda w: w != "",
+        ).alias("_split"),
     )
     return (
         parts.join(split, F.col("word") == F.col("_word"), "left")
@@ -115,34 +138,38 @@ def segment_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` (log odds to block) of every page."""
     host, path = url_parts(F.col("url"))
-    urls = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn(
-        "_words", F.array_join(_letters(ascii_lower(F.col("path"))), " ")
+    pattern, decided = matching_rule(F.col("host"), F.col("path"), rules)
+    urls = (
+        pages.select("page_id", host.alias("host"), path.alias("path"))
+        .withColumn("_words", F.array_join(_letters(ascii_lower(F.col("path"))), " "))
+        .select("*", pattern.alias("rule"), decided.alias("_decided"))
+    )
+    # examples of the two classes: what the rules decide
+    seen = materialise(
+        urls.groupBy("host", "_words").agg(
+            F.count_if(F.col("_decided") == "block").alias("b"), F.count_if(F.col("_decided") == "allow").alias("a")
+        ),
+        "url-shapes",
     )
-    seen = materialise(urls.groupBy("host", "_words").agg(F.count(F.lit(1)).alias("n")), "url-shapes")
     # written once: the total and the scores both read the counts
     counts = materialise(word_counts(pages), "word-counts")
     split = segment_hosts(seen.select("host").distinct(), counts).withColumnRenamed("host", "_host")
-    listed = F.array(*[F.lit(w) for w in BLOCK_WORDS])
     shapes = materialise(
         seen.join(split, F.col("host") == F.col("_host"), "left")
         .withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
         .select(
-            "host", "_words", "n",
-            F.concat("words", F.array_remove(F.split("_words", " "), "")).alias("tokens"),
-            F.arrays_overlap("words", listed).cast("long").alias("bad"),
+            "host", "_words", "b", "a", F.concat("words", F.array_remove(F.split("_words", " "), "")).alias("tokens")
         ),
         "url-tokens",
     )
     classes = shapes.agg(
-        F.coalesce(F.sum(F.col("n") * F.col("bad")), F.lit(0)).alias("b"),
-        F.coalesce(F.sum(F.col("n") * (1 - F.col("bad"))), F.lit(0)).alias("a"),
-        F.coalesce(F.sum(F.col("n") * F.col("bad") * F.size("tokens")), F.lit(0)).alias("tb"),
-        F.coalesce(F.sum(F.col("n") * (1 - F.col("bad")) * F.size("tokens")), F.lit(0)).alias("ta"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("b", "a")],
+        *[F.coalesce(F.sum(F.col(c) * F.size("tokens")), F.lit(0)).alias(f"t{c}") for c in ("b", "a")],
     ).first()
     tokens = (
-        shapes.select(F.explode("tokens").alias("token"), "n", "bad")
-        .groupBy("token")
-        .agg(F.sum(F.col("n") * F.col("bad")).alias("_b"), F.sum(F.col("n") * (1 - F.col("bad"))).alias("_a"))
+        shapes.select(F.explode("tokens").alias("token"), "b", "a")
+        .groupBy("token").agg(F.sum("b").alias("_b"), F.sum("a").alias("_a"))
+        .filter("_b + _a > 0")
     )
     vocabulary = tokens.agg(F.count(F.lit(1))).first()[0]
     odds = tokens.select(
@@ -159,9 +186,8 @@ def judge_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
         .groupBy(F.col("host").alias("_h"), F.col("_words").alias("_w"))
         .agg((F.coalesce(F.sum("_odds"), F.lit(0.0)) + prior).alias("score"))
     )
-    pattern, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     judged = urls.join(scored, (F.col("host") == F.col("_h")) & (F.col("_words") == F.col("_w")), "left")
     own = F.when(F.col("score") > 0, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(
-        "page_id", "host", "path", pattern.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "score"
+        "page_id", "host", "path", "rule", F.coalesce("_decided", own).alias("verdict"), "score"
     )

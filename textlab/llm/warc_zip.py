@@ -39,6 +39,8 @@ from textlab.llm.common import materialise
 
 PACKAGE_BYTES = 16 << 20
 CHUNK = 8 << 20
+#: Bytes of packed records that a task reads.
+TASK_BYTES = 2 << 20
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.idx"
 DATE = "2024-01-01T00:00:00Z"
 MANIFEST = "package string, records long, bytes long"
@@ -316,7 +318,12 @@ def read_packages(packages: DataFrame, columns: list[str] | None = None) -> Data
     """The records of ``packages(package)``, with the wanted ``columns`` of ``RECORDS``."""
     kinds = dict(c.strip().split(" ") for c in RECORDS.split(","))
     columns = columns or list(kinds)
-    ranges = packages.select("package").mapInArrow(_list, RANGES)
-    part = F.floor(F.col("at") / CHUNK)
-    dealt = ranges.withColumn("_part", part).repartition("package", "_part").sortWithinPartitions("package", "at")
+    ranges = materialise(packages.select("package").mapInArrow(_list, RANGES), "record-ranges", "zstd")
+    # as many tasks as there are bytes to read, not as the few bytes of the ranges suggest
+    size = ranges.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    part = F.floor(F.col("at") / TASK_BYTES)
+    dealt = (
+        ranges.withColumn("_part", part).repartition(size // TASK_BYTES + 1, "package", "_part")
+        .sortWithinPartitions("package", "at")
+    )
     return dealt.drop("_part").mapInArrow(_read(columns), ", ".join(f"{c} {kinds[c]}" for c in columns))
