@@ -4,8 +4,8 @@ A window with an ORDER BY but no PARTITION BY moves every row into one task.
 Here the key range is cut into quantile buckets instead:
 
 1. ``approxQuantile`` gives at most ``buckets - 1`` cut points (the only values
-   that reach the driver; ``buckets`` is sized from the key count to about two
-   million keys per bucket and capped at 65,536, so this is bounded);
+   that reach the driver; ``buckets`` is the session's number of shuffle partitions, more
+   where a bucket would hold over two million keys, and at most 65,536);
 2. ``Bucketizer`` (binary search in the JVM) assigns each row its bucket;
 3. a window partitioned by bucket gives the running sum inside the bucket;
 4. the per-bucket totals (at most ``buckets`` rows) are prefix-summed in one
@@ -20,6 +20,7 @@ Quantile cuts keep buckets balanced even when keys crowd together (scores near
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -27,16 +28,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_COL = "_pbucket"
-# Adaptive bucket count: about KEYS_PER_BUCKET keys per window task, at most MAX_BUCKETS
+# Bucket count: at most about KEYS_PER_BUCKET keys per window task, at most MAX_BUCKETS
 # buckets (so at most MAX_BUCKETS - 1 cut points ever reach the driver).
 KEYS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 1 << 16
 
 
 def bucket_count(df: DataFrame, keys_per_bucket: int = KEYS_PER_BUCKET) -> int:
-    """Buckets so that each holds about ``keys_per_bucket`` keys (one count job)."""
+    """Buckets so that each holds at most about ``keys_per_bucket`` keys, and as many as the
+    session's shuffles have partitions at any size (one count job)."""
     n = df.count()
-    return int(min(MAX_BUCKETS, max(1, -(-n // keys_per_bucket))))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return int(min(MAX_BUCKETS, max(least, -(-n // keys_per_bucket))))
 
 
 def quantile_buckets(df: DataFrame, key: str, buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
@@ -51,7 +54,7 @@ def quantile_buckets(df: DataFrame, key: str, buckets: int | None = None, relati
         relative_error = min(1e-3, 0.25 / buckets)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(df.approxQuantile(key, probs, relative_error))) if buckets > 1 else []
-    splits = [float("-inf"), *cuts, float("inf")]
+    splits = [float("-inf"), *filter(math.isfinite, cuts), float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
     keyed = df.withColumn("_pkey", F.col(key).cast("double"))

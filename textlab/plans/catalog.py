@@ -20,11 +20,14 @@ from textlab.session import scratch_path
 from textlab.sources import views
 from textlab.sources.readers import (
     canonical_reviews,
+    quarantine_ledger,
+    quarantine_reason,
     read_reviews_csv,
     read_table,
     split_quarantine,
     write_reviews_csv,
 )
+from textlab.sources.schema import CORRUPT_COLUMN, RAW_TO_CANONICAL
 
 MIRROR = LabelConfig(zero_is_null=False)
 
@@ -150,4 +153,46 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "reviews-csv")
     write_reviews_csv(views.reviews(spark, sf_dir), path)
     good, _ = split_quarantine(read_reviews_csv(spark, path))
-    return canonical_reviews(good).select("rating", "title", "body", "country")
+    return canonical_reviews(good).select("review_id", "rating", "title", "body", "country")
+
+
+def _damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line`` of each document as a row of a review file; of every ten ids one is short of
+    fields, one has too many and one never closes its quote."""
+    text = F.substring(F.regexp_replace(F.coalesce("text", F.lit("")), '[\\r\\n",\\\\]', " "), 1, 1 << 30)
+    kind = F.pmod(F.col("doc_id"), F.lit(10))
+    quoted = F.concat(F.lit('"'), text, F.lit('"'))
+    return read_table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.when(kind == 1, F.concat(F.lit("5,"), quoted))
+        .when(kind == 2, F.concat(F.lit("5,t,"), quoted, F.lit(",EN,more,x")))
+        .when(kind == 3, F.concat(F.lit('5,t,"'), text, F.lit(",EN")))
+        .otherwise(F.concat(F.lit("5,t,"), quoted, F.lit(",EN")))
+        .alias("line"),
+    )
+
+
+def _damaged_file(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    path = scratch_path(spark, "damaged-csv")
+    header = ",".join(RAW_TO_CANONICAL)
+    # one column under the whole header, as it stands: separator and quote never occur
+    (
+        _damaged_lines(spark, sf_dir).select(F.col("line").alias(header))
+        .write.option("header", True).option("sep", "\x01").option("quote", "\x02")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    )
+    return split_quarantine(read_reviews_csv(spark, path, multiline=False))
+
+
+@register("quarantine_ledger")
+def q_quarantine_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: damaged rows written among good ones and read back: rows by reason, and all."""
+    return quarantine_ledger(*_damaged_file(spark, sf_dir))
+
+
+@register("quarantined_lines")
+def q_quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: the raw lines in quarantine with their reason."""
+    _, bad = _damaged_file(spark, sf_dir)
+    raw = F.col(CORRUPT_COLUMN)
+    return bad.select(raw.alias("raw_line"), quarantine_reason(raw).alias("reason"))

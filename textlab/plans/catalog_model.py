@@ -12,11 +12,12 @@ from textlab.operators import evaluate as ev
 from textlab.operators import gate, profile
 from textlab.operators.score import score, shape_predictions
 from textlab.operators.split import hash_split, with_folds, with_hash_split, with_stratified_split
-from textlab.plans import mirror
+from textlab.plans import ledger, mirror
 from textlab.plans.catalog import register
 from textlab.plans.evaluate import predictions
 from textlab.plans.train import cross_validate, cv_table, fit_pipeline
 from textlab.plans.transform import clean_documents
+from textlab.session import scratch_path
 from textlab.sources import views
 from textlab.sources.readers import read_table
 
@@ -86,6 +87,13 @@ def q_cv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cv_table(cross_validate(spark, train, FIXED))
 
 
+@register("recorded_run")
+def q_recorded_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E8 + G9 + A9-A12 + G12: split, CV, refit, evaluation, metrics file and metadata on record
+    under one run id; the record read back, its counts and consistency checks."""
+    return ledger.audit_run(ledger.record_run(spark, _quality_docs(spark, sf_dir), scratch_path(spark, "runs"), FIXED))
+
+
 @register("top_terms")
 def q_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E9 + E11: the n-gram vocabulary model on the language label; 20 strongest terms each way."""

@@ -45,6 +45,25 @@ SELECT split, label, CAST(count(*) AS BIGINT) AS n FROM split GROUP BY split, la
 ORACLES["stratified_split"] = f"WITH {STRATIFIED_CTE} SELECT review_id, label, split FROM strat"
 ORACLES["stratified_split_sizes"] = f"""WITH {STRATIFIED_CTE}
 SELECT split, label, CAST(count(*) AS BIGINT) AS n FROM strat GROUP BY split, label"""
+ORACLES["recorded_run"] = f"""WITH {LABELLED_DOCS_CTE},
+valid AS (
+  SELECT s.*, CAST(k1 % 3 AS INTEGER) AS fold FROM split s JOIN labelled_docs d USING (review_id)
+  WHERE length({clean_sql("d.text")}) > 5),
+rows AS (
+  SELECT 'split' AS step, split || '_label_' || CAST(label AS INTEGER) AS name, count(*) AS value
+  FROM valid GROUP BY split, label
+  UNION ALL
+  SELECT 'cv', 'fold' || f || '_train_rows', count_if(fold <> f) FROM valid, range(0, 3) AS r(f)
+  WHERE split = 'train' GROUP BY f
+  UNION ALL
+  SELECT 'cv', 'fold' || f || '_validation_rows', count_if(fold = f) FROM valid, range(0, 3) AS r(f)
+  WHERE split = 'train' GROUP BY f
+  UNION ALL SELECT 'metrics', 'test_samples', count(*) FROM valid WHERE split = 'test'
+  UNION ALL SELECT 'metrics', 'positive_samples', count_if(label = 1) FROM valid WHERE split = 'test'
+  UNION ALL SELECT 'metrics', 'negative_samples', count_if(label = 0) FROM valid WHERE split = 'test'
+  UNION ALL SELECT 'audit', unnest(['cv_cells', 'stages', 'metrics_in_range', 'verdict_follows_rule',
+    'refit_at_best_mean_auc', 'samples_are_the_test_part', 'metadata_holds_metrics']), unnest([12, 5, 1, 1, 1, 1, 1]))
+SELECT step, name, CAST(value AS BIGINT) AS value FROM rows"""
 ORACLES["fold_sizes"] = f"""WITH {LABELLED_DOCS_CTE}
 SELECT CAST(k1 % 3 AS INTEGER) AS fold, label, CAST(count(*) AS BIGINT) AS n
 FROM split WHERE split = 'train' GROUP BY ALL"""
@@ -318,9 +337,22 @@ ORACLES["stream_summary"] = ORACLES["batch_summary"]
 
 # CSV keeps no difference between NULL and '': with default options the reader
 # returns NULL for an empty field, quoted or not.
-ORACLES["csv_roundtrip"] = f"""WITH {REVIEWS_CTE}
-SELECT NULLIF(rating, '') AS rating, NULLIF(title, '') AS title, NULLIF(body, '') AS body,
-  NULLIF(country, '') AS country FROM reviews"""
+ORACLES["csv_roundtrip"] = f"""WITH {REVIEWS_CTE},
+r AS (SELECT NULLIF(rating, '') AS rating, NULLIF(title, '') AS title, NULLIF(body, '') AS body,
+  NULLIF(country, '') AS country FROM reviews)
+SELECT md5({" || ".join(f"coalesce('V' || strlen({c}) || ':' || {c}, 'N')" for c in ("body", "country", "rating", "title"))})
+  || '-' || (row_number() OVER (PARTITION BY rating, title, body, country) - 1) AS review_id,
+  rating, title, body, country FROM r"""
+
+DAMAGED_CTE = r"""lines AS (
+  SELECT doc_id % 10 AS kind, regexp_replace(coalesce(text, ''), '[\r\n",\\]', ' ', 'g') AS t FROM documents),
+damaged AS (
+  SELECT CASE kind WHEN 1 THEN 'short' WHEN 2 THEN 'surplus' WHEN 3 THEN 'unclosed_quote' ELSE 'good' END AS reason,
+    CASE kind WHEN 1 THEN '5,"' || t || '"' WHEN 2 THEN '5,t,"' || t || '",EN,more,x' WHEN 3 THEN '5,t,"' || t || ',EN'
+    END AS raw_line FROM lines)"""
+ORACLES["quarantine_ledger"] = f"""WITH {DAMAGED_CTE}
+SELECT coalesce(reason, 'all') AS reason, count(*)::BIGINT AS rows FROM damaged GROUP BY ROLLUP(reason)"""
+ORACLES["quarantined_lines"] = f"WITH {DAMAGED_CTE} SELECT raw_line, reason FROM damaged WHERE reason <> 'good'"
 
 ORACLES["roc_compact"] = f"""WITH {PREFIX_CTE},
 q AS (SELECT *, lag(pos) OVER (ORDER BY score) AS prev_pos, lag(neg) OVER (ORDER BY score) AS prev_neg,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,11 +68,11 @@ def split_quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     if CORRUPT_COLUMN not in raw.columns:
         return raw, raw.limit(0)
     # Spark rejects a raw-file scan whose only needed column is the corrupt-record
-    # column (e.g. ``good.count()`` or ``bad.count()``). Tying both filters to a
-    # data column through a predicate the optimizer cannot fold away keeps every
-    # query on either half legal.
-    data_col = next(c for c in raw.columns if c != CORRUPT_COLUMN)
-    keeps_a_data_column = F.length(F.coalesce(F.col(data_col).cast("string"), F.lit(""))) >= F.lit(0)
+    # column (e.g. ``good.count()`` or ``bad.count()``), and its CSV parser judges only the
+    # columns that a query needs. A predicate on all data columns that the optimizer cannot
+    # fold away keeps every query on either half legal, and the verdict on a row the same.
+    data = [F.col(f"`{c}`").cast("string") for c in raw.columns if c != CORRUPT_COLUMN]
+    keeps_a_data_column = F.length(F.concat_ws("", *data)) >= F.lit(0)
     good = raw.filter(F.col(CORRUPT_COLUMN).isNull() & keeps_a_data_column).drop(CORRUPT_COLUMN)
     bad = raw.filter(F.col(CORRUPT_COLUMN).isNotNull() & keeps_a_data_column)
     return good, bad
@@ -83,12 +83,50 @@ def write_quarantine(bad: DataFrame, path: str) -> None:
     bad.write.mode("overwrite").parquet(path)
 
 
+def content_text(columns: list[str]) -> Column:
+    """One text that tells apart any two rows with different ``columns``: each value with its
+    length in bytes before it, NULL as a letter of its own."""
+
+    def one(name: str) -> Column:
+        value = F.col(f"`{name}`").cast("string")
+        marked = F.concat(F.lit("V"), F.octet_length(value).cast("string"), F.lit(":"), value)
+        return F.coalesce(marked, F.lit("N"))
+
+    return F.concat(*[one(c) for c in columns])
+
+
+def with_content_key(df: DataFrame, name: str = "review_id", step: int = 1 << 16) -> DataFrame:
+    """Add a key that depends on the row alone: the MD5 of its columns (in name order) and a dense
+    ordinal among equal rows, as text.
+
+    Equal rows are counted, with map-side pre-aggregation, and made again from their count, so
+    that no window or task gathers them: a row found more often than ``step`` times is dealt
+    out in steps first. The input's splits and order play no part.
+    """
+    columns = df.columns
+    own = [F.col(f"`{c}`") for c in columns]
+    counted = df.groupBy(*own).agg(F.count(F.lit(1)).alias("_n"))
+    dealt = (
+        counted.filter(F.col("_n") > step)
+        .select(*own, "_n", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / step))).alias("_part"))
+        .repartition(F.xxhash64(*own), F.col("_part"))
+        .select(
+            *own, (F.col("_part") * step).alias("_from"),
+            F.least(F.col("_n"), (F.col("_part") + 1) * step).alias("_to"),
+        )
+    )
+    few = counted.filter(F.col("_n") <= step).select(*own, F.lit(0).cast("long").alias("_from"), F.col("_n").alias("_to"))
+    key = F.md5(content_text(sorted(columns)).cast("binary"))
+    return few.unionByName(dealt).select(
+        *own, key.alias("_key"), F.explode(F.sequence(F.col("_from"), F.col("_to") - 1)).alias("_no")
+    ).select(*own, F.concat_ws("-", "_key", F.col("_no").cast("string")).alias(name))
+
+
 def canonical_reviews(good: DataFrame) -> DataFrame:
     """Rename raw columns to ``rating, title, body, country`` and add ``review_id``.
 
-    The raw file has no key; ``monotonically_increasing_id`` is a function of the
-    input split and row position, so a recomputed partition gets the same ids.
-    Other columns are kept unmodified.
+    The raw file has no key; :func:`with_content_key` gives each row one that any
+    reading of the same rows gives again. Other columns are kept unmodified.
     """
     out = good
     for raw_name, name in RAW_TO_CANONICAL.items():
@@ -96,7 +134,34 @@ def canonical_reviews(good: DataFrame) -> DataFrame:
             out = out.withColumnRenamed(raw_name, name)
     if "country" not in out.columns:
         out = out.withColumn("country", F.lit(None).cast("string"))
-    return out.withColumn("review_id", F.monotonically_increasing_id())
+    return with_content_key(out)
+
+
+#: Why a raw line is in quarantine.
+UNCLOSED, SHORT, SURPLUS, OTHER = "unclosed_quote", "short", "surplus", "other"
+
+
+def quarantine_reason(raw: Column, fields: int = len(RAW_TO_CANONICAL)) -> Column:
+    """The reason as the raw line shows it: an odd number of quotes, else the number of fields
+    that commas outside quotes make."""
+    quotes = F.length(raw) - F.length(F.replace(raw, F.lit('"'), F.lit("")))
+    found = F.size(F.split(F.regexp_replace(raw, '"[^"]*"', ""), ","))
+    return (
+        F.when(quotes % 2 == 1, F.lit(UNCLOSED)).when(found < fields, F.lit(SHORT))
+        .when(found > fields, F.lit(SURPLUS)).otherwise(F.lit(OTHER))
+    )
+
+
+def quarantine_ledger(good: DataFrame, bad: DataFrame) -> DataFrame:
+    """``reason, rows``: the rows read as good, those in quarantine by reason, and all that were read."""
+    kinds = bad.select(quarantine_reason(F.col(CORRUPT_COLUMN)).alias("reason")).unionByName(
+        good.select(F.lit("good").alias("reason"))
+    )
+    return (
+        kinds.groupBy("reason").agg(F.count(F.lit(1)).alias("_n"))
+        .rollup("reason").agg(F.sum("_n").alias("rows"))
+        .select(F.coalesce("reason", F.lit("all")).alias("reason"), "rows")
+    )
 
 
 def land_as_parquet(df: DataFrame, path: str, partitions: int | None = None) -> None:
