@@ -39,3 +39,23 @@ def test_stages_take_an_empty_table(spark):
     docs = read(spark, SF, "documents").limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0, name
+
+
+def test_broadcast_hints_are_bounded():
+    """Of this package's hinted tables one has a row a piece of the model, the others a row
+    a sampled id; nothing else carries a hint."""
+    import pathlib
+
+    from textlab.llm import pieces, quality_classifier
+
+    root = pathlib.Path(pieces.__file__).parent
+    hits = {
+        (py.name, line.strip())
+        for py in root.glob("*.py") for line in py.read_text().splitlines() if "F.broadcast(" in line
+    }
+    assert {name for name, _ in hits} == {"pieces.py", "quality_classifier.py"}
+    assert len(hits) == 3
+    from textlab.llm.queries import tokenizer_path
+
+    assert len(pieces.load(tokenizer_path()).pieces) <= 1 << 16
+    assert quality_classifier.Trainer().sample <= 6144
