@@ -164,6 +164,37 @@ def auc_exact(scored: DataFrame, label: str = "label", score: str = "score", buc
     )
 
 
+def auc_by(
+    scored: DataFrame, by: Sequence[str], label: str = "label", score: str = "score", buckets: int | None = None
+) -> DataFrame:
+    """Exact area under the ROC curve of every group of ``by`` from one job:
+    ``(*by, auc_roc, positive_samples, negative_samples, n_scores)``.
+
+    Rows are first counted per group and distinct score; the prefix sums are those of all
+    groups at once. Rows without a score are left out, so a group with none is not in the
+    result. ``auc_roc`` is not rounded and NULL where a group lacks a class.
+    """
+    counts = (
+        scored.filter(F.col(score).isNotNull())
+        .groupBy(*by, F.col(score).cast("double").alias("score"))
+        .agg(F.count_if(_is(label, 1)).alias("pos"), F.count_if(_is(label, 0)).alias("neg"))
+    )
+    p = exclusive_prefix_sums(counts, "score", ["pos", "neg"], buckets=buckets, by=by)
+    a = p.groupBy(*by).agg(
+        F.sum(_auc_terms(p)).alias("s"),
+        F.sum("pos").alias("P"),
+        F.sum("neg").alias("N"),
+        F.count(F.lit(1)).alias("n_scores"),
+    )
+    return a.select(
+        *by,
+        F.try_divide(F.try_divide(F.col("s"), F.col("P")), F.col("N")).alias("auc_roc"),
+        F.col("P").cast("bigint").alias("positive_samples"),
+        F.col("N").cast("bigint").alias("negative_samples"),
+        F.col("n_scores").cast("bigint").alias("n_scores"),
+    )
+
+
 def evaluation_summary(
     scored: DataFrame,
     label: str = "label",

@@ -68,24 +68,34 @@ def exclusive_prefix_sums(
     values: Sequence[str],
     buckets: int | None = None,
     relative_error: float | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """For each row add ``<v>_before`` (sum of ``v`` over rows with a smaller ``key``) and
     ``<v>_total`` (sum over all rows). ``key`` must be unique and non-NULL (aggregate first).
+
+    With ``by`` the sums run inside each of its groups (NULL is a group), where ``key`` must
+    be unique. The buckets are cut over all groups' keys together, so no window holds more
+    than one bucket's keys however unlike the groups are; the table of totals has at most
+    groups x ``buckets`` rows and is joined without a hint.
     """
     b = quantile_buckets(df, key, buckets, relative_error)
-    w_in = Window.partitionBy(BUCKET_COL).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    w_in = Window.partitionBy(*by, BUCKET_COL).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     inner = b.select(
         "*", *[F.coalesce(F.sum(v).over(w_in), F.lit(0)).alias(f"_{v}_in") for v in values]
     )
-    totals = b.groupBy(BUCKET_COL).agg(*[F.sum(v).alias(f"_{v}_tot") for v in values])
-    w_off = Window.orderBy(BUCKET_COL).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy()
+    totals = b.groupBy(*by, BUCKET_COL).agg(*[F.sum(v).alias(f"_{v}_tot") for v in values])
+    w_off = Window.partitionBy(*by).orderBy(BUCKET_COL).rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(*by)
     offsets = totals.select(
-        BUCKET_COL,
+        *[F.col(c).alias(f"_by_{c}") for c in by],
+        F.col(BUCKET_COL).alias("_off_bucket"),
         *[F.coalesce(F.sum(f"_{v}_tot").over(w_off), F.lit(0)).alias(f"_{v}_off") for v in values],
         *[F.sum(f"_{v}_tot").over(w_all).alias(f"{v}_total") for v in values],
     )
-    out = inner.join(F.broadcast(offsets), BUCKET_COL)
+    same = F.col(BUCKET_COL) == F.col("_off_bucket")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    out = inner.join(offsets if by else F.broadcast(offsets), same)
     return out.select(
         *df.columns,
         *[(F.col(f"_{v}_in") + F.col(f"_{v}_off")).alias(f"{v}_before") for v in values],

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from textlab.config import LabelConfig
 from textlab.functions.text import clean_text, fold_accents
@@ -93,39 +92,35 @@ def q_clean_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("review_id", clean_text(fold_accents(F.col("body"))).alias("text_clean"))
 
 
-@register("hashed_features")
-def q_hashed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D3 + D4 + D11: HashingTF (2^16 buckets) and IDF (minDocFreq 2) fitted on the clean
-    reviews; per document the number of non-zero buckets and the sum of weights.
-    MurmurHash3 bucketing has no SQL twin, so this is a rows-only check."""
+def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean reviews with HashingTF (2^16 buckets) and IDF (minDocFreq 2) vectors, fitted on them."""
     from pyspark.ml import Pipeline
 
     from textlab.plans.train import featurizer_stages, idf_stage
 
     docs = _clean(spark, sf_dir)
-    model = Pipeline(stages=[*featurizer_stages(), idf_stage()]).fit(docs)
-    out = model.transform(docs)
-    # read the sparse vector's own (indices, values) instead of a dense 2^16 array
-    sparse = F.from_json(F.to_json(F.struct(F.col("features").alias("v"))), SPARSE_SCHEMA).getField("v")
-    return out.select(
+    return Pipeline(stages=[*featurizer_stages(), idf_stage()]).fit(docs).transform(docs)
+
+
+@register("hashed_features")
+def q_hashed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 + D4 + D11: per document the number of non-zero buckets and the sum of weights,
+    read from the sparse vector's own entries."""
+    v = F.unwrap_udt("features")
+    return _hashed(spark, sf_dir).select(
         "review_id",
-        F.size(sparse.getField("indices")).alias("n_buckets"),
-        F.round(F.aggregate(sparse.getField("values"), F.lit(0.0), lambda acc, x: acc + x), 6).alias("weight_sum"),
+        F.size(v["indices"]).alias("n_buckets"),
+        F.round(F.aggregate(v["values"], F.lit(0.0), lambda acc, x: acc + x), 6).alias("weight_sum"),
     )
 
 
-SPARSE_SCHEMA = T.StructType(
-    [
-        T.StructField(
-            "v",
-            T.StructType(
-                [
-                    T.StructField("type", T.IntegerType()),
-                    T.StructField("size", T.IntegerType()),
-                    T.StructField("indices", T.ArrayType(T.IntegerType())),
-                    T.StructField("values", T.ArrayType(T.DoubleType())),
-                ]
-            ),
-        )
-    ]
-)
+@register("hashed_buckets")
+def q_hashed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 + D4: every document's buckets with their counts and IDF weights."""
+    tf, weights = F.unwrap_udt("raw_features"), F.unwrap_udt("features")
+    entries = F.arrays_zip(
+        tf["indices"].alias("bucket"), tf["values"].alias("count"), weights["values"].alias("w")
+    )
+    return _hashed(spark, sf_dir).select("review_id", F.inline(entries)).select(
+        "review_id", "bucket", F.col("count").cast("bigint").alias("tf"), F.round("w", 6).alias("weight")
+    )

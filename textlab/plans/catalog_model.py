@@ -12,7 +12,7 @@ from textlab.operators import evaluate as ev
 from textlab.operators import gate, profile
 from textlab.operators.score import score, shape_predictions
 from textlab.operators.split import hash_split, with_folds, with_hash_split, with_stratified_split
-from textlab.plans import ledger, mirror
+from textlab.plans import certificate, ledger, mirror
 from textlab.plans.catalog import register
 from textlab.plans.evaluate import predictions
 from textlab.plans.train import cross_validate, cv_table, fit_pipeline
@@ -87,6 +87,35 @@ def q_cv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cv_table(cross_validate(spark, train, FIXED))
 
 
+@register("train_certificate")
+def q_train_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The certificate of ``train_predict``'s fit beside every document it scores: rows
+    learned from, hashed features that vary in them, and whether no entry of the loss's
+    gradient is above the tolerance."""
+    train, test = hash_split(_quality_docs(spark, sf_dir))
+    model = fit_pipeline(train, FIXED, FIXED.reg_params[0], FIXED.elastic_net_params[0])
+    fit = certificate.certificate(certificate.gradient(model.transform(train), model.stages[-1]))
+    fact = fit.select(F.struct("train_rows", "features", "optimal").alias("fit")).scalar()
+    scored = predictions(model, test).withColumn("fit", fact)
+    return scored.select(
+        "review_id", "label", F.col("score").between(0, 1).alias("scored"), "fit.train_rows", "fit.features", "fit.optimal"
+    )
+
+
+@register("cv_auc_grid")
+def q_cv_auc_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 + G3 on given scores: the exact area of every (fold, parameters) curve from one job."""
+    out = ev.auc_by(views.grid_scores(spark, sf_dir), ("reg_param", "elastic_net", "fold"))
+    return out.withColumn("auc_roc", F.round("auc_roc", 6))
+
+
+@register("cv_table_scores")
+def q_cv_table_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5 + E6 on given scores: mean and deviation of the folds' areas, rank, best pair."""
+    cells = ev.auc_by(views.grid_scores(spark, sf_dir), ("reg_param", "elastic_net", "fold"))
+    return cv_table(cells.withColumnRenamed("auc_roc", "auc"))
+
+
 @register("recorded_run")
 def q_recorded_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E8 + G9 + A9-A12 + G12: split, CV, refit, evaluation, metrics file and metadata on record

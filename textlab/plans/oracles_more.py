@@ -95,6 +95,27 @@ SELECT f.actual, f.predicted, CAST(count(s.review_id) AS BIGINT) AS n
 FROM frame f LEFT JOIN scores s ON s.label = f.actual AND s.prediction = f.predicted
 GROUP BY f.actual, f.predicted"""
 
+GRID_CTE = """grid AS (SELECT * FROM (VALUES (0.01, 0.0, 7919), (0.01, 0.5, 7907), (0.1, 0.0, 7901), (0.1, 0.5, 7883))
+  AS v(reg_param, elastic_net, m)),
+cell_scores AS (SELECT CAST(reg_param AS DOUBLE) AS reg_param, CAST(elastic_net AS DOUBLE) AS elastic_net,
+  CAST(('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 9, 8))::BIGINT % 3 AS INTEGER) AS fold,
+  quality AS label, CAST((doc_id * m) % 200 AS DOUBLE) / 200.0 AS score FROM labels, grid),
+cell_counts AS (SELECT reg_param, elastic_net, fold, score, count_if(label = 1) AS pos, count_if(label = 0) AS neg
+  FROM cell_scores WHERE score IS NOT NULL GROUP BY ALL),
+below AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY reg_param, elastic_net, fold ORDER BY score
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before FROM cell_counts),
+areas AS (SELECT reg_param, elastic_net, fold, sum(pos * (neg_before + neg / 2.0)) / NULLIF(sum(pos) * sum(neg), 0) AS auc,
+  CAST(sum(pos) AS BIGINT) AS positive_samples, CAST(sum(neg) AS BIGINT) AS negative_samples,
+  CAST(count(*) AS BIGINT) AS n_scores FROM below GROUP BY reg_param, elastic_net, fold)"""
+
+ORACLES["cv_auc_grid"] = f"""WITH {GRID_CTE}
+SELECT reg_param, elastic_net, fold, round(auc, 6) AS auc_roc, positive_samples, negative_samples, n_scores FROM areas"""
+ORACLES["cv_table_scores"] = f"""WITH {GRID_CTE},
+pairs AS (SELECT reg_param, elastic_net, round(avg(auc), 6) AS mean_auc, round(stddev_samp(auc), 6) AS std_auc,
+  CAST(count(*) AS INTEGER) AS folds FROM areas GROUP BY reg_param, elastic_net),
+ranked AS (SELECT *, CAST(rank() OVER (ORDER BY mean_auc DESC) AS INTEGER) AS rank FROM pairs)
+SELECT *, rank = 1 AS is_best FROM ranked"""
+
 PREFIX_CTE = f"""{SCORES_CTE},
 c AS (SELECT score, count_if(label = 1) AS pos, count_if(label = 0) AS neg FROM scores
       WHERE score IS NOT NULL GROUP BY score),
@@ -210,6 +231,66 @@ SELECT CAST(row_number() OVER (ORDER BY cf DESC, term ASC) AS INTEGER) AS rank,
   CAST(cf AS BIGINT) AS cf, CAST(df AS BIGINT) AS df
 FROM dfq WHERE df >= 2 ORDER BY cf DESC, term ASC LIMIT 65536"""
 
+# MurmurHash3 x86-32, seed 42, of a term's UTF-8 bytes; its lowest 16 bits are the bucket.
+# Unsigned 64-bit products of two 32-bit numbers do not overflow.
+_WORD = "4294967296::UBIGINT"
+
+
+def _rotate_sql(x: str, bits: int) -> str:
+    return f"(({x} * {1 << bits}::UBIGINT) % {_WORD} + {x} // {1 << (32 - bits)}::UBIGINT)"
+
+
+def _scramble_sql(k: str) -> str:
+    y = f"(({k} * 3432918353::UBIGINT) % {_WORD})"
+    return f"(({_rotate_sql(y, 15)} * 461845907::UBIGINT) % {_WORD})"
+
+
+def murmur_cte(terms: str) -> str:
+    """CTEs ending in ``hashed(term, bucket)`` of the distinct ``term`` of table ``terms``."""
+    folded = f"xor(h, {_scramble_sql('k')})"
+    return f"""octets AS (SELECT term, list_transform(range(0, strlen(term)),
+    lambda j: ('0x' || substr(hex(encode(term)), CAST(2 * j + 1 AS BIGINT), 2))::UBIGINT) AS b
+  FROM (SELECT DISTINCT term FROM {terms})),
+blocks AS (SELECT term, CAST(len(b) AS UBIGINT) AS n,
+  list_transform(range(0, len(b) // 4),
+    lambda i: b[4 * i + 1] + 256 * b[4 * i + 2] + 65536 * b[4 * i + 3] + 16777216 * b[4 * i + 4]) AS ks,
+  coalesce(b[4 * (len(b) // 4) + 1], 0)::UBIGINT + 256::UBIGINT * coalesce(b[4 * (len(b) // 4) + 2], 0)
+    + 65536::UBIGINT * coalesce(b[4 * (len(b) // 4) + 3], 0) AS rest FROM octets),
+body AS (SELECT term, n, rest, list_reduce(ks, lambda h, k:
+  CAST(({_rotate_sql(folded, 13)} * 5::UBIGINT + 3864292196::UBIGINT) % {_WORD} AS UBIGINT), 42::UBIGINT) AS h FROM blocks),
+mixed0 AS (SELECT term, xor(xor(h, {_scramble_sql("rest")}), n) AS h FROM body),
+mixed1 AS (SELECT term, (xor(h, h // 65536::UBIGINT) * 2246822507::UBIGINT) % {_WORD} AS h FROM mixed0),
+mixed2 AS (SELECT term, (xor(h, h // 8192::UBIGINT) * 3266489909::UBIGINT) % {_WORD} AS h FROM mixed1),
+hashed AS (SELECT term, CAST(xor(h, h // 65536::UBIGINT) % 65536 AS INTEGER) AS bucket FROM mixed2)"""
+
+
+def buckets_cte(tokens: str, docs: str) -> str:
+    """CTEs ending in ``weighed(review_id, bucket, tf, df, weight)`` of ``tokens(review_id, f)``."""
+    return f"""occurrences AS (SELECT review_id, unnest(f) AS term FROM {tokens}),
+{murmur_cte("occurrences")},
+bucket_tf AS (SELECT review_id, bucket, count(*) AS tf FROM occurrences JOIN hashed USING (term) GROUP BY ALL),
+bucket_df AS (SELECT bucket, count(*) AS df FROM bucket_tf GROUP BY bucket),
+doc_count AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM {docs}),
+weighed AS (SELECT review_id, bucket, tf, df,
+  tf * CASE WHEN df >= 2 THEN ln((n + 1.0) / (df + 1.0)) ELSE 0.0 END AS weight
+  FROM bucket_tf JOIN bucket_df USING (bucket), doc_count)"""
+
+
+ORACLES["hashed_buckets"] = f"""WITH {TOKENS_CTE}, {buckets_cte("ftoks", "clean")}
+SELECT review_id, bucket, CAST(tf AS BIGINT) AS tf, round(weight, 6) AS weight FROM weighed"""
+ORACLES["hashed_features"] = f"""WITH {TOKENS_CTE}, {buckets_cte("ftoks", "clean")}
+SELECT c.review_id, CAST(count(w.bucket) AS INTEGER) AS n_buckets, round(coalesce(sum(w.weight), 0.0), 6) AS weight_sum
+FROM clean c LEFT JOIN weighed w USING (review_id) GROUP BY c.review_id"""
+ORACLES["train_certificate"] = f"""WITH {LABELLED_DOCS_CTE},
+valid AS (SELECT s.review_id, s.label, s.split, {clean_sql("d.text")} AS t FROM split s
+  JOIN labelled_docs d USING (review_id)),
+train_docs AS (SELECT review_id, {ml_tokens_sql("t")} AS t FROM valid WHERE length(t) > 5 AND split = 'train'),
+train_toks AS (SELECT review_id, {stop_filter_sql("t")} AS f FROM train_docs),
+{buckets_cte("train_toks", "train_docs")},
+varying AS (SELECT count(DISTINCT bucket) AS features FROM weighed, doc_count WHERE df >= 2 AND df < n)
+SELECT review_id, label, true AS scored, CAST(n AS BIGINT) AS train_rows, CAST(features AS BIGINT) AS features,
+  true AS optimal FROM valid, doc_count, varying WHERE length(t) > 5 AND split = 'test'"""
+
 MIRROR_CTE = f"""{REVIEWS_CTE},
 m AS (SELECT review_id, {label_sql(rating_sql("rating", False))} AS label,
   concat_ws(' ', NULLIF({clean_sql("title")}, ''), NULLIF({clean_sql("body")}, '')) AS review_combined

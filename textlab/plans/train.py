@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -22,12 +23,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textlab.config import TrainConfig
 from textlab.functions.stopwords import english_stop_words
+from textlab.operators import evaluate as ev
 from textlab.operators.split import hash_split, with_folds
 
 TEXT_COL = "review_combined"
@@ -93,21 +96,36 @@ CV_SCHEMA = T.StructType(
 )
 
 
+CELL = ("reg_param", "elastic_net", "fold")
+
+
+def _areas(cells: list[tuple], scored: list[DataFrame], cfg: TrainConfig) -> list[tuple]:
+    """The CV table's rows; a cell whose validation part is empty has no area (NULL)."""
+    if cfg.cv_num_bins > 0:
+        binned = BinaryClassificationEvaluator(labelCol=LABEL_COL, metricName="areaUnderROC", numBins=cfg.cv_num_bins)
+        found = {c[:3]: binned.evaluate(s) for c, s in zip(cells, scored, strict=True)}
+    else:
+        margin = vector_to_array("rawPrediction")[1].alias("score")
+        every = reduce(DataFrame.unionByName, [s.select(*CELL, LABEL_COL, margin) for s in scored])
+        found = {tuple(a)[:3]: a.auc_roc for a in ev.auc_by(every, CELL, LABEL_COL).collect()}  # one row a cell
+    return [(*c[:3], found.get(c[:3]), *c[3:]) for c in cells]
+
+
 def cross_validate(spark: SparkSession, train: DataFrame, cfg: TrainConfig = TrainConfig(), id_col: str = "review_id") -> DataFrame:
     """k-fold CV of the grid, AUC on rawPrediction per (params, fold).
 
     The fold features are prepared first (one IDF fit per fold, persisted and
     right-sized), then all (fold, params) fits run concurrently in
-    ``cfg.parallelism`` driver threads, each a chain of small Spark jobs.
+    ``cfg.parallelism`` driver threads, each a chain of small Spark jobs. The fitted
+    models score their validation parts into one table, and the exact areas of all
+    curves come from one set of prefix sums over it (``evaluate.auc_by``); a positive
+    ``cfg.cv_num_bins`` asks for MLlib's binned areas, one evaluator a curve, instead.
     Returns a small DataFrame ``(reg_param, elastic_net, fold, auc, train_rows,
     validation_rows)``: the metric values are the only data that reaches the driver.
     """
     folded = with_folds(train, id_col, cfg.split)
     tf = Pipeline(stages=featurizer_stages(cfg)).fit(folded).transform(folded)
     tf = tf.select(id_col, LABEL_COL, "fold", "raw_features").persist(StorageLevel.MEMORY_AND_DISK)
-    evaluator = BinaryClassificationEvaluator(
-        rawPredictionCol="rawPrediction", labelCol=LABEL_COL, metricName="areaUnderROC", numBins=cfg.cv_num_bins
-    )
     grid = param_grid(cfg)
     persisted: list[DataFrame] = [tf]
     try:
@@ -124,15 +142,17 @@ def cross_validate(spark: SparkSession, train: DataFrame, cfg: TrainConfig = Tra
             persisted += [fit_f, val_f]
             folds.append((k, fit_f, val_f, fit_f.count(), val_f.count()))
 
-        def fit_eval(task: tuple) -> tuple:
+        def fit(task: tuple) -> tuple[tuple, DataFrame]:
             (k, fit_f, val_f, n_fit, n_val), params = task
-            model = classifier(cfg, *params).fit(fit_f)
-            auc = evaluator.evaluate(model.transform(val_f))
-            return (float(params[0]), float(params[1]), k, float(auc), n_fit, n_val)
+            cell = (float(params[0]), float(params[1]), int(k))
+            out = classifier(cfg, *params).fit(fit_f).transform(val_f)
+            marked = out.select(LABEL_COL, "rawPrediction", *[F.lit(v).alias(c) for c, v in zip(CELL, cell, strict=True)])
+            return (*cell, n_fit, n_val), marked
 
         tasks = [(f, p) for f in folds for p in grid]
         with ThreadPoolExecutor(max_workers=max(1, min(cfg.parallelism, len(tasks)))) as pool:
-            rows = list(pool.map(fit_eval, tasks))
+            cells, scored = zip(*pool.map(fit, tasks), strict=True)
+        rows = _areas(list(cells), list(scored), cfg)
     finally:
         for p in persisted:
             p.unpersist()

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textlab.operators.split import with_folds
 from textlab.sources.readers import read_table
 
 # --- fixed values of the derived views (shared with the SQL oracles) --------
@@ -20,6 +21,8 @@ SCORE_MULTIPLIER = 7919
 SCORE_MODULUS = 200
 POSITIVE_PROBABILITY_CUT = 0.5
 GOLDEN_SHORT_CHARS = 400
+# (reg_param, elastic_net, score multiplier) of the given cross-validation scores
+GRID_MULTIPLIERS = ((0.01, 0.0, 7919), (0.01, 0.5, 7907), (0.1, 0.0, 7901), (0.1, 0.5, 7883))
 # ---------------------------------------------------------------------------
 
 
@@ -71,11 +74,10 @@ def reviews_from_documents(d: DataFrame) -> DataFrame:
     )
 
 
-def score_of(doc_id: Column) -> Column:
+def score_of(doc_id: Column, multiplier: Column | None = None) -> Column:
     """Deterministic positive-class probability with repeats (ties) in [0, 1)."""
-    return ((doc_id * F.lit(SCORE_MULTIPLIER)) % F.lit(SCORE_MODULUS)).cast("double") / F.lit(
-        float(SCORE_MODULUS)
-    )
+    m = F.lit(SCORE_MULTIPLIER) if multiplier is None else multiplier
+    return ((doc_id * m) % F.lit(SCORE_MODULUS)).cast("double") / F.lit(float(SCORE_MODULUS))
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +96,20 @@ def scores_from_labels(lab: DataFrame) -> DataFrame:
     )
 
 
+def grid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``reg_param, elastic_net, fold, label, score``: every labelled document scored by four
+    parameter pairs (label = quality, the fold of its id)."""
+    lab = with_folds(read_table(spark, sf_dir, "labels"), "doc_id")
+    grid = F.array(
+        *[
+            F.struct(F.lit(r).alias("reg_param"), F.lit(e).alias("elastic_net"), F.lit(m).cast("bigint").alias("m"))
+            for r, e, m in GRID_MULTIPLIERS
+        ]
+    )
+    cells = lab.select("doc_id", "fold", F.col("quality").cast("int").alias("label"), F.inline(grid))
+    return cells.select("reg_param", "elastic_net", "fold", "label", score_of(F.col("doc_id"), F.col("m")).alias("score"))
+
+
 def golden(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Golden set from ``documents``: English is the positive class; short texts are edge cases."""
     d = read_table(spark, sf_dir, "documents")
