@@ -84,3 +84,61 @@ def test_csv_stream_ingest_equals_batch_read(spark, workdir):
     batch = read_reviews_csv(spark, src).drop("_corrupt_record")
     assert streamed.count() == batch.count() == views.reviews(spark, SF_SMALL).count()
     assert streamed.exceptAll(batch).count() == 0
+
+
+def _requests(spark, folder, **kw):
+    from textlab.plans.catalog_streaming import DOCUMENTS_SCHEMA
+
+    docs = file_stream(spark, folder, DOCUMENTS_SCHEMA, **kw)
+    return views.reviews_from_documents(docs).select("review_id", "title", F.col("body").alias("text"))
+
+
+def test_a_stopped_stream_resumes_and_replaces_its_own_batch(spark, workdir):
+    """One file a batch; the third batch fails after its rejected rows are written. The run that
+    follows from the same checkpoint replays it, and both sinks hold every request once."""
+    import os
+
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    from textlab.operators.score import score, shape_predictions, split_requests
+    from textlab.plans.train import fit_pipeline
+    from textlab.plans.transform import clean_documents
+    from textlab.sources.readers import read_table
+    from textlab.streaming.scoring import sink_rows, start_scoring
+
+    model = fit_pipeline(clean_documents(views.language_documents(spark, SF_SMALL)))
+    landing = os.path.join(workdir, "landing")
+    read_table(spark, SF_SMALL, "documents").repartition(5).write.parquet(landing)
+    out, bad, ckpt = (os.path.join(workdir, n) for n in ("scored", "rejected", "ckpt"))
+
+    class Stops:
+        calls = 0
+
+        def transform(self, df):
+            Stops.calls += 1
+            if Stops.calls == 3:
+                raise RuntimeError("executor gone")
+            return model.transform(df)
+
+    with pytest.raises(StreamingQueryException):
+        start_scoring(_requests(spark, landing, max_files_per_trigger=1), Stops(), out, bad, ckpt).awaitTermination()
+    assert sorted(n for n in os.listdir(bad) if n.startswith("batch")) == ["batch=0", "batch=1", "batch=2"]
+    assert sorted(n for n in os.listdir(out) if n.startswith("batch")) == ["batch=0", "batch=1"]
+
+    start_scoring(_requests(spark, landing, max_files_per_trigger=1), model, out, bad, ckpt).awaitTermination()
+    assert len([n for n in os.listdir(out) if n.startswith("batch")]) == 5
+    batch = views.reviews(spark, SF_SMALL).select("review_id", "title", F.col("body").alias("text"))
+    accepted, rejected = split_requests(batch)
+    want = shape_predictions(score(accepted, model, title="title_s", text="text_s"))
+    got = spark.read.parquet(out).drop("batch")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    rows = sink_rows(spark, out, bad)
+    assert rows.count() == batch.count() == rows.select("review_id").distinct().count()
+    assert rows.filter("reject_reason is null").count() == rows.filter("scored").count() == accepted.count()
+    reasons = lambda df: {(r.reject_reason, r["count"]) for r in df.groupBy("reject_reason").count().collect()}
+    assert reasons(rows.filter("not scored")) == reasons(rejected)
+
+    # nothing new has arrived: another run changes nothing
+    start_scoring(_requests(spark, landing, max_files_per_trigger=1), model, out, bad, ckpt).awaitTermination()
+    assert sink_rows(spark, out, bad).exceptAll(rows).count() == 0

@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textlab.operators.split import hash_key
 from textlab.plans.catalog import register
 from textlab.session import scratch_path
 from textlab.sources import views
-from textlab.streaming.scoring import file_stream, running_summary, start_scoring, start_summary
+from textlab.sources.readers import read_table
+from textlab.streaming.scoring import file_stream, running_summary, sink_rows, start_scoring, start_summary
+
+ARRIVAL_SEED = 7  # of the hash that deals documents to the two arrivals
 
 DOCUMENTS_SCHEMA = T.StructType(
     [
@@ -44,6 +48,26 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch")
 
 
+@register("stream_requests")
+def q_stream_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1 + H2 over many batches and a restart: the documents arrive as part files in two
+    halves, one file a batch; the scoring run ends after the first half and goes on from its
+    checkpoint with the second. Every request is in one of the two sinks, with its reason."""
+    from textlab.plans.catalog_model import _language_model
+
+    docs = read_table(spark, sf_dir, "documents")
+    half = F.coalesce(hash_key("doc_id", ARRIVAL_SEED) % F.lit(2), F.lit(0))
+    model = _language_model(spark, sf_dir)
+    landing, ckpt = scratch_path(spark, "stream-landing"), scratch_path(spark, "stream-resumed-ckpt")
+    out, bad = scratch_path(spark, "stream-scored"), scratch_path(spark, "stream-quarantine")
+    for arrival in (0, 1):
+        docs.filter(half == F.lit(arrival)).write.mode("append").parquet(landing)
+        stream = file_stream(spark, landing, docs.schema, max_files_per_trigger=1)
+        requests = views.reviews_from_documents(stream).select("review_id", "title", F.col("body").alias("text"))
+        start_scoring(requests, model, out, bad, checkpoint=ckpt).awaitTermination()
+    return sink_rows(spark, out, bad)
+
+
 @register("stream_summary")
 def q_stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H3: running scored-batch summary of a label stream (complete mode, one state row)."""

@@ -370,6 +370,11 @@ SELECT review_id, reject_reason,
   CASE WHEN reject_reason IS NULL THEN concat_ws(' ', NULLIF(title_s, ''), NULLIF(text_s, '')) END AS review_text
 FROM r"""
 
+ORACLES["stream_requests"] = f"""WITH {REVIEWS_CTE},
+r AS (SELECT review_id, CASE WHEN body IS NULL THEN 'missing_text' WHEN length(body) < 5 THEN 'too_short'
+  WHEN {strip_sql("body")} = '' THEN 'blank' END AS reject_reason FROM reviews)
+SELECT review_id, reject_reason, reject_reason IS NULL AS scored FROM r"""
+
 LINE_BREAK_SQL = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 ORACLES["line_source"] = f"""WITH l AS (SELECT doc_id, string_split_regex(text, '{LINE_BREAK_SQL}') AS parts FROM documents),
 u AS (SELECT doc_id, unnest(range(0, len(parts))) AS line_no, unnest(parts) AS raw FROM l)

@@ -84,6 +84,21 @@ def start_scoring(
     return w.start()
 
 
+def sink_rows(spark: SparkSession, out_path: str, quarantine_path: str, id_col: str = "review_id") -> DataFrame:
+    """Both sinks of :func:`start_scoring` as one table ``(id, reject_reason, scored)``.
+
+    Accepted requests have no reason; ``scored`` says whether a prediction with a confidence
+    in [0, 1] is on record, so a request that was lost or left unscored shows.
+    """
+    good = spark.read.parquet(out_path)
+    whole = good["label"].isNotNull() & good["confidence"].between(0, 1)
+    accepted = good.select(
+        id_col, F.lit(None).cast("string").alias("reject_reason"), F.coalesce(whole, F.lit(False)).alias("scored")
+    )
+    rejected = spark.read.parquet(quarantine_path).select(id_col, "reject_reason", F.lit(False).alias("scored"))
+    return accepted.unionByName(rejected)
+
+
 def running_summary(scored: DataFrame, prediction: str = "prediction") -> DataFrame:
     """Running totals of a scored stream (one state row): total, positives, negatives, ratio."""
     pos = F.count_if(F.col(prediction) == F.lit(1))
