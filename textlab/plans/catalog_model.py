@@ -7,16 +7,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlab.config import TrainConfig
+from textlab.config import LabelConfig, TrainConfig
 from textlab.operators import evaluate as ev
 from textlab.operators import gate, profile
 from textlab.operators.score import score, shape_predictions
 from textlab.operators.split import hash_split, with_folds, with_hash_split, with_stratified_split
-from textlab.plans import certificate, ledger, mirror
+from textlab.plans import certificate, ledger, mirror, term_model
 from textlab.plans.catalog import register
 from textlab.plans.evaluate import predictions
 from textlab.plans.train import cross_validate, cv_table, fit_pipeline
-from textlab.plans.transform import clean_documents
+from textlab.plans.transform import clean_documents, clean_reviews
 from textlab.session import scratch_path
 from textlab.sources import views
 from textlab.sources.readers import read_table
@@ -61,6 +61,7 @@ def q_fold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FIXED = TrainConfig()
+GIVEN_INTERCEPT = 0.125  # of the model with given coefficients
 
 
 def _quality_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,6 +152,18 @@ def q_model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("mirror_scores")
+def q_mirror_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 on given coefficients: the mirror's vocabulary of the clean reviews, a coefficient made
+    from each term, the model saved and read again, every review scored by the term join."""
+    docs = clean_reviews(views.reviews(spark, sf_dir), LabelConfig(zero_is_null=False), trimmed=True)
+    coefficient = ((F.length("term") * F.lit(37) + F.ascii("term") * F.lit(11)) % F.lit(21) - F.lit(10)) / F.lit(4.0)
+    terms = mirror.mirror_vocabulary(docs).select("term", "idf", coefficient.alias("coefficient"))
+    path = scratch_path(spark, "term-model")
+    term_model.TermModel(terms, GIVEN_INTERCEPT).save(path)
+    return term_model.shape_probabilities(term_model.load_term_model(spark, path).score(docs))
+
+
 @register("exact_top_terms")
 def q_exact_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E9 + E11 with the mirror's exact features (sublinear tf, smooth idf, L2 rows):

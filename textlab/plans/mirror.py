@@ -229,19 +229,24 @@ class ExactMirrorModel:
         return self.lr_model.transform(docs.join(self.features(docs), self.id_col))
 
 
+def mirror_vocabulary(docs: DataFrame, id_col: str = "review_id") -> DataFrame:
+    """``(term, index, idf)`` of the documents' vocabulary, written once."""
+    terms = docs.select(id_col, mirror_terms(F.col(TEXT_COL)).alias("terms"))
+    tf, _, n = features._split_marker(features.materialized(features._tf_with_marker(terms, id_col, "terms")))
+    vocab = features.vocabulary(tf, MIRROR_VOCAB, MIRROR_MIN_DF)
+    smooth_idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    return features.materialized(
+        vocab.select("term", (F.col("rank") - F.lit(1)).cast("int").alias("index"), smooth_idf.alias("idf"))
+    )
+
+
 def fit_exact_mirror(train: DataFrame, id_col: str = "review_id", c: float = MIRROR_C) -> ExactMirrorModel:
     """Fit the exact mirror on ``(id, review_combined, label)`` rows."""
     from pyspark import StorageLevel
 
     from textlab.plans.train import right_size
 
-    terms = train.select(id_col, mirror_terms(F.col(TEXT_COL)).alias("terms"))
-    tf, _, n = features._split_marker(features.materialized(features._tf_with_marker(terms, id_col, "terms")))
-    vocab = features.vocabulary(tf, MIRROR_VOCAB, MIRROR_MIN_DF)
-    smooth_idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    vocab = features.materialized(
-        vocab.select("term", (F.col("rank") - F.lit(1)).cast("int").alias("index"), smooth_idf.alias("idf"))
-    )
+    vocab = mirror_vocabulary(train, id_col)
     size = vocab.count()
     model = ExactMirrorModel(vocab, size, None, id_col)
     feats = train.select(id_col, LABEL_COL).join(model.features(train), id_col).persist(StorageLevel.MEMORY_AND_DISK)

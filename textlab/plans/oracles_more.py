@@ -309,6 +309,15 @@ raw AS (SELECT mtf.review_id, mtf.term, (1.0 + ln(mtf.tf)) * (ln((1.0 + mn.n) /
 ORACLES["tfidf_l2"] = f"""WITH {MIRROR_CTE}
 SELECT review_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY review_id)), 6) AS weight FROM raw"""
 
+ORACLES["mirror_scores"] = f"""WITH {MIRROR_CTE},
+weighted AS (SELECT review_id, sum(w * (((length(term) * 37 + ascii(term) * 11) % 21 - 10) / 4.0)) AS dot,
+  sqrt(sum(w * w)) AS norm FROM raw GROUP BY review_id),
+margins AS (SELECT review_id, coalesce(dot / NULLIF(norm, 0), 0.0) + 0.125 AS m FROM mdocs LEFT JOIN weighted USING (review_id)),
+p AS (SELECT review_id, m > 0 AS positive, round(1.0 / (1.0 + exp(-m)), 4) AS prob_positive,
+  round(1.0 - 1.0 / (1.0 + exp(-m)), 4) AS prob_negative FROM margins)
+SELECT review_id, CASE WHEN positive THEN 'positive' ELSE 'negative' END AS sentiment, CAST(positive AS INTEGER) AS label,
+  CASE WHEN positive THEN prob_positive ELSE prob_negative END AS confidence, prob_positive, prob_negative FROM p"""
+
 ORACLES["clean_folded"] = f"""WITH {REVIEWS_CTE}
 SELECT review_id, {clean_sql(f"translate(lower(body), '{ACCENTED_LETTERS}', '{FOLDED_LETTERS}')")} AS text_clean
 FROM reviews"""
