@@ -13,6 +13,7 @@ from textlab.functions.tokens import (
     remove_stop_words,
     unigrams_and_bigrams,
 )
+from textlab.functions.unicode_fold import fold_unicode
 from textlab.operators import features
 from textlab.plans.catalog import register
 from textlab.plans.transform import clean_reviews
@@ -92,6 +93,13 @@ def q_clean_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("review_id", clean_text(fold_accents(F.col("body"))).alias("text_clean"))
 
 
+@register("clean_unicode")
+def q_clean_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lower-case, full compatibility decomposition without marks, then cleaning."""
+    folded = fold_unicode(F.lower(F.col("body")))
+    return views.reviews(spark, sf_dir).select("review_id", clean_text(folded).alias("text_clean"))
+
+
 def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean reviews with HashingTF (2^16 buckets) and IDF (minDocFreq 2) vectors, fitted on them."""
     from pyspark.ml import Pipeline

@@ -318,6 +318,9 @@ p AS (SELECT review_id, m > 0 AS positive, round(1.0 / (1.0 + exp(-m)), 4) AS pr
 SELECT review_id, CASE WHEN positive THEN 'positive' ELSE 'negative' END AS sentiment, CAST(positive AS INTEGER) AS label,
   CASE WHEN positive THEN prob_positive ELSE prob_negative END AS confidence, prob_positive, prob_negative FROM p"""
 
+ORACLES["clean_unicode"] = f"""WITH {REVIEWS_CTE}
+SELECT review_id, {clean_sql("strip_accents(lower(body))")} AS text_clean FROM reviews"""
+
 ORACLES["clean_folded"] = f"""WITH {REVIEWS_CTE}
 SELECT review_id, {clean_sql(f"translate(lower(body), '{ACCENTED_LETTERS}', '{FOLDED_LETTERS}')")} AS text_clean
 FROM reviews"""
