@@ -109,31 +109,65 @@ def golden_failures(
     )
 
 
-def edge_case_gate(scored_edges: DataFrame, inputs: int | Column | None = None, prediction: str = "prediction", score: str = "score", case: str = "case") -> DataFrame:
-    """Edge-case rules: every case scored with a prediction and a probability in [0, 1],
-    at least one row per case, and the whole batch's positive ratio strictly inside (0, 1)."""
+def reconciled_edge_gate(
+    inputs: DataFrame,
+    scored: DataFrame,
+    id_col: str = "id",
+    case: str = "case",
+    prediction: str = "prediction",
+    score: str = "score",
+) -> DataFrame:
+    """The edge-case rules held against what was sent: ``(rule, observed, threshold, passed, failing)``.
+
+    Inputs and scored rows are counted per (case, id) and joined, NULL ids included, so a lost
+    input, a row returned too often, one that nobody sent and one without a prediction or a
+    probability in [0, 1] each fail. ``scores_<case>`` shows the case's inputs and how many
+    of them fail, ``no_extra_rows`` the surplus, ``mixed_batch_ratio`` the share of positives
+    among all scored rows, which has to lie strictly inside (0, 1). A case that has scored
+    rows only shows 0 inputs and fails; without any row only the two last rules are left.
+    """
     pred, sc = F.col(prediction), F.col(score)
-    per_case = scored_edges.groupBy(case).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(pred.isNull() | sc.isNull() | (sc < F.lit(0.0)) | (sc > F.lit(1.0))).alias("bad"),
-        F.count_if(pred == F.lit(1)).alias("pos"),
+    bad = pred.isNull() | ~F.coalesce(sc.between(0.0, 1.0), F.lit(False))
+    key = [F.col(case).alias("_case"), F.col(id_col).alias("_id")]
+    zero = F.lit(0).cast("bigint")
+    sent = inputs.select(*key, F.lit(1).cast("bigint").alias("sent"), *[zero.alias(c) for c in ("back", "bad", "pos")])
+    back = scored.select(
+        *key,
+        zero.alias("sent"),
+        F.lit(1).cast("bigint").alias("back"),
+        F.when(bad, 1).otherwise(0).cast("bigint").alias("bad"),
+        F.when(pred == F.lit(1), 1).otherwise(0).cast("bigint").alias("pos"),
+    )
+    # both sides in one aggregate: partial sums before the only shuffle of the rows
+    per_id = sent.unionByName(back).groupBy("_case", "_id").agg(*[F.sum(c).alias(c) for c in ("sent", "back", "bad", "pos")])
+    lost = F.greatest(F.col("sent") - F.col("back"), zero)
+    surplus = F.greatest(F.col("back") - F.col("sent"), zero)
+    per_case = per_id.groupBy("_case").agg(
+        F.sum("sent").alias("sent"), F.sum("back").alias("back"), F.sum("pos").alias("pos"),
+        F.sum(lost + F.least(F.col("bad"), F.col("sent"))).alias("failing"), F.sum(surplus).alias("surplus"),
     )
     rows = per_case.select(
-        F.concat(F.lit("scores_"), F.col(case)).alias("rule"),
-        F.round(F.col("n").cast("double"), 4).alias("observed"),
+        F.concat(F.lit("scores_"), F.coalesce(F.col("_case").cast("string"), F.lit("no_case"))).alias("rule"),
+        F.col("sent").cast("double").alias("observed"),
         F.lit(1.0).alias("threshold"),
-        ((F.col("bad") == F.lit(0)) & (F.col("n") >= F.lit(1))).alias("passed"),
-        F.col("bad").cast("bigint").alias("failing"),
+        ((F.col("sent") >= F.lit(1)) & (F.col("failing") == F.lit(0))).alias("passed"),
+        F.col("failing").alias("failing"),
+    )
+    whole = per_case.agg(
+        F.coalesce(F.sum("surplus"), zero).alias("surplus"), F.try_divide(F.sum("pos"), F.sum("back")).alias("ratio")
     )
-    ratio = per_case.agg(F.try_divide(F.sum("pos"), F.sum("n")).alias("r"))
-    mixed = ratio.select(
-        F.lit("mixed_batch_ratio").alias("rule"),
-        F.round(F.col("r"), 4).alias("observed"),
-        F.lit(0.5).alias("threshold"),
-        F.coalesce((F.col("r") > F.lit(0.0)) & (F.col("r") < F.lit(1.0)), F.lit(False)).alias("passed"),
-        F.lit(0).cast("bigint").alias("failing"),
+    inside = F.coalesce((F.col("ratio") > F.lit(0.0)) & (F.col("ratio") < F.lit(1.0)), F.lit(False))
+    last = F.array(
+        F.struct(
+            F.lit("no_extra_rows").alias("rule"), F.col("surplus").cast("double").alias("observed"),
+            F.lit(0.0).alias("threshold"), (F.col("surplus") == F.lit(0)).alias("passed"), F.col("surplus").alias("failing"),
+        ),
+        F.struct(
+            F.lit("mixed_batch_ratio").alias("rule"), F.round("ratio", 4).alias("observed"),
+            F.lit(0.5).alias("threshold"), inside.alias("passed"), zero.alias("failing"),
+        ),
     )
-    return rows.unionByName(mixed)
+    return rows.unionByName(whole.select(F.inline(last)))
 
 
 def metrics_long(metrics: DataFrame, run_col: str, names: Sequence[str]) -> DataFrame:

@@ -19,7 +19,6 @@ from textlab.plans.train import cross_validate, cv_table, fit_pipeline
 from textlab.plans.transform import clean_documents, clean_reviews
 from textlab.session import scratch_path
 from textlab.sources import views
-from textlab.sources.readers import read_table
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,35 +178,31 @@ def _language_model(spark: SparkSession, sf_dir: str):
 
 @register("model_golden_gate")
 def q_model_golden_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G10 with a trained model: golden set (English = positive) scored by bulk scoring."""
+    """G10 with a trained model: the golden set's documents (English = positive) that the model
+    did not learn from, each scored once by bulk scoring (F4)."""
     model = _language_model(spark, sf_dir)
-    g = views.golden(spark, sf_dir)
-    s = score(g, model, id_col="id", keep=("expected_label", "category"))
-    shaped = shape_predictions(s, id_col="id").select("id", F.col("label").alias("prediction"), "confidence")
-    return gate.golden_gate(s.select("id", "expected_label", "category").join(shaped, "id"))
+    _, held_out = hash_split(views.golden(spark, sf_dir), "id")
+    keep = ("expected_label", "category")
+    s = score(held_out, model, id_col="id", keep=keep)
+    return gate.golden_gate(shape_predictions(s, id_col="id", keep=keep).withColumnRenamed("label", "prediction"))
 
 
 @register("edge_gate")
 def q_edge_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Missing titles, short texts, very long texts and other languages all score."""
+    """Missing titles, repeated texts, other languages and the mixed batch all score, held
+    against what was sent."""
     model = _language_model(spark, sf_dir)
-    d = views.golden(spark, sf_dir).select("id", "title", "text")
-    docs = read_table_docs(spark, sf_dir)
-    cases = d.join(docs, "id").select(
-        "id",
-        "title",
-        "text",
-        F.when(F.col("n_chars") < F.lit(400), F.lit("short_text"))
-        .when(F.col("n_chars") >= F.lit(10000), F.lit("long_text"))
-        .when(F.col("lang") != F.lit("en"), F.lit("other_language"))
-        .otherwise(F.lit("missing_title"))
-        .alias("case"),
-    )
-    return gate.edge_case_gate(score(cases, model, id_col="id", keep=("case",)))
+    inputs = views.edge_inputs(spark, sf_dir)
+    scored = score(inputs, model, id_col="id", keep=("case",))
+    return gate.reconciled_edge_gate(inputs, scored)
 
 
-def read_table_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "n_chars", "lang")
+@register("edge_gate_scores")
+def q_edge_gate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G11 on given scores: labelled documents have one, so the inputs of the others are lost."""
+    inputs = views.edge_inputs(spark, sf_dir).select("id", "case")
+    given = views.scores(spark, sf_dir).select(F.col("review_id").alias("id"), "prediction", "score")
+    return gate.reconciled_edge_gate(inputs, inputs.join(given, "id"))
 
 
 @register("hashed_top_terms")

@@ -124,21 +124,6 @@ def compare_models(summaries: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-SPARSE_JSON = T.StructType(
-    [
-        T.StructField(
-            "v",
-            T.StructType(
-                [
-                    T.StructField("type", T.IntegerType()),
-                    T.StructField("size", T.IntegerType()),
-                    T.StructField("indices", T.ArrayType(T.IntegerType())),
-                    T.StructField("values", T.ArrayType(T.DoubleType())),
-                ]
-            ),
-        )
-    ]
-)
 BUCKET_SCHEMA = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("coefficient", T.DoubleType())])
 
 
@@ -155,8 +140,7 @@ def hashed_top_terms(spark: SparkSession, model: PipelineModel, terms: DataFrame
     buckets = spark.createDataFrame([(i, float(c)) for i, c in enumerate(coef) if c != 0.0], BUCKET_SCHEMA)
     single = terms.select("term").distinct().select("term", F.array("term").alias("_one"))
     hashed = hashing.copy({hashing.inputCol: "_one", hashing.outputCol: "_h"}).transform(single)
-    sparse = F.from_json(F.to_json(F.struct(F.col("_h").alias("v"))), SPARSE_JSON).getField("v")
-    keyed = hashed.select("term", sparse.getField("indices").getItem(0).alias("bucket"))
+    keyed = hashed.select("term", F.unwrap_udt("_h")["indices"].getItem(0).alias("bucket"))
     per_bucket = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("terms_in_bucket"))
     joined = keyed.join(F.broadcast(buckets), "bucket").join(per_bucket, "bucket")
     pos = joined.orderBy(F.col("coefficient").desc(), "term").limit(k).withColumn("direction", F.lit("positive"))

@@ -412,6 +412,18 @@ UNION ALL SELECT 'clear_confidence_floor', round(min_conf, 4), 0.65, low_conf =
 UNION ALL SELECT 'clear_positive_present', round(CAST(n_pos AS DOUBLE), 4), 1.0, n_pos >= 1, CAST(0 AS BIGINT) FROM a
 UNION ALL SELECT 'clear_negative_present', round(CAST(n_neg AS DOUBLE), 4), 1.0, n_neg >= 1, CAST(0 AS BIGINT) FROM a"""
 
+ORACLES["edge_gate_scores"] = f"""WITH {SCORES_CTE},
+sent AS (SELECT doc_id AS id, c AS edge FROM documents, (SELECT unnest(['missing_title', 'repeated_text', 'mixed_batch']) AS c)
+  UNION ALL SELECT doc_id, 'other_language' FROM documents WHERE lang <> 'en'),
+back AS (SELECT s.id, s.edge, g.prediction FROM sent s JOIN scores g ON g.review_id = s.id),
+n AS (SELECT edge, count(*) AS n FROM sent GROUP BY edge),
+lost AS (SELECT edge, count(*) AS lost FROM sent s WHERE NOT EXISTS (SELECT 1 FROM scores g WHERE g.review_id = s.id) GROUP BY edge),
+ratio AS (SELECT round(count_if(prediction = 1) / CAST(count(*) AS DOUBLE), 4) AS r FROM back)
+SELECT 'scores_' || edge AS rule, CAST(n AS DOUBLE) AS observed, 1.0::DOUBLE AS threshold, coalesce(lost, 0) = 0 AS passed,
+  CAST(coalesce(lost, 0) AS BIGINT) AS failing FROM n LEFT JOIN lost USING (edge)
+UNION ALL SELECT 'no_extra_rows', 0.0, 0.0, true, 0
+UNION ALL SELECT 'mixed_batch_ratio', r, 0.5, coalesce(r > 0 AND r < 1, false), 0 FROM ratio"""
+
 ORACLES["golden_failures"] = f"""WITH {GOLDEN_SCORED_CTE},
 r AS (SELECT *, CASE WHEN prediction IS NULL OR confidence IS NULL THEN 'not_scored'
   WHEN expected_label <> prediction THEN 'wrong_label'

@@ -35,16 +35,15 @@ from textlab.operators.split import hash_split, with_folds
 
 TEXT_COL = "review_combined"
 LABEL_COL = "label"
-# Rows per partition of persisted training features. Every L-BFGS iteration is
-# one Spark job over all partitions, so a small training set spread over many
-# partitions pays per-task overhead a hundred times; a large one still gets
-# ceil(rows / ROWS_PER_PARTITION) partitions of bounded size.
+# Rows per partition of persisted training features: every L-BFGS iteration is one Spark job
+# over all partitions, so text splits by the thousand would pay per-task overhead a hundred times.
 ROWS_PER_PARTITION = 50_000
 
 
 def right_size(df: DataFrame, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Coalesce (no shuffle) to ``ceil(n_rows / rows_per_partition)`` partitions when fewer suffice."""
-    target = max(1, -(-n_rows // rows_per_partition))
+    """Coalesce (no shuffle) to ``ceil(n_rows / rows_per_partition)`` partitions, and no fewer than
+    the session's cores, so that a fit of any size runs in parallel."""
+    target = max(df.sparkSession.sparkContext.defaultParallelism, -(-n_rows // rows_per_partition))
     return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
 
 

@@ -21,6 +21,7 @@ SCORE_MULTIPLIER = 7919
 SCORE_MODULUS = 200
 POSITIVE_PROBABILITY_CUT = 0.5
 GOLDEN_SHORT_CHARS = 400
+EDGE_REPEATS = 200
 # (reg_param, elastic_net, score multiplier) of the given cross-validation scores
 GRID_MULTIPLIERS = ((0.01, 0.0, 7919), (0.01, 0.5, 7907), (0.1, 0.0, 7901), (0.1, 0.5, 7883))
 # ---------------------------------------------------------------------------
@@ -128,6 +129,27 @@ def golden(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def edge_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id, case, title, text``: scoring requests made from every document. Without a title
+    (NULL), its opening words 200 times over, texts that are not English, and the mixed batch
+    of all documents with their opening words as title."""
+    d = read_table(spark, sf_dir, "documents")
+    opening = F.substring("text", 1, TITLE_CHARS)
+    none = F.lit(None).cast("string")
+
+    def request(case: str, title: Column, text: Column) -> Column:
+        return F.struct(F.lit(case).alias("case"), title.alias("title"), text.alias("text"))
+
+    cases = F.array(
+        request("missing_title", none, F.col("text")),
+        request("repeated_text", F.lit(""), F.repeat(F.concat(opening, F.lit(" ")), F.lit(EDGE_REPEATS))),
+        request("mixed_batch", opening, F.col("text")),
+        F.when(F.col("lang") != F.lit("en"), request("other_language", F.lit(""), F.col("text"))),
+    )
+    requests = F.filter(cases, lambda c: c.isNotNull())
+    return d.select(F.col("doc_id").alias("id"), F.inline(requests))
+
+
 def labelled_documents(spark: SparkSession, sf_dir: str, label: str = "quality") -> DataFrame:
     """``documents JOIN labels``: ``review_id, text, lang, label`` (double) for training.
 
