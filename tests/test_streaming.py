@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from textlab.operators import profile
@@ -142,3 +144,25 @@ def test_a_stopped_stream_resumes_and_replaces_its_own_batch(spark, workdir):
     # nothing new has arrived: another run changes nothing
     start_scoring(_requests(spark, landing, max_files_per_trigger=1), model, out, bad, ckpt).awaitTermination()
     assert sink_rows(spark, out, bad).exceptAll(rows).count() == 0
+
+
+def test_streamed_tables_may_be_folders_of_part_files(spark, workdir):
+    from textlab.plans.catalog_streaming import q_stream_score, q_stream_summary
+
+    docs = spark.range(40).selectExpr(
+        "id as doc_id", "concat('some words of text beyond the forty characters of a title, number ', id) as text", "if(id % 2 = 0, 'en', 'de') as lang",
+        "'web' as source", "cast(30 as bigint) as n_chars",
+    )
+    labels = spark.range(40).selectExpr("id as doc_id", "cast(id % 2 as int) as quality", "cast(0 as int) as toxic")
+    got = []
+    for kind in ("folder", "file"):
+        sf_dir = f"{workdir}/{kind}"
+        os.makedirs(sf_dir)
+        for name, table in (("documents", docs), ("labels", labels)):
+            if kind == "folder":
+                table.repartition(3).write.parquet(f"{sf_dir}/{name}.parquet")
+            else:
+                table.toPandas().to_parquet(f"{sf_dir}/{name}.parquet")
+        scored = q_stream_score(spark, sf_dir)
+        got.append((q_stream_summary(spark, sf_dir).first().total, sorted(r.review_id for r in scored.collect())))
+    assert got[0] == got[1] == (40, [i for i in range(40) if i % 11])  # without a body: rejected

@@ -11,7 +11,7 @@ from textlab.plans.catalog import register
 from textlab.session import scratch_path
 from textlab.sources import views
 from textlab.sources.readers import read_table
-from textlab.streaming.scoring import file_stream, running_summary, sink_rows, start_scoring, start_summary
+from textlab.streaming.scoring import file_stream, running_summary, sink_rows, start_scoring, start_summary, table_stream
 
 ARRIVAL_SEED = 7  # of the hash that deals documents to the two arrivals
 
@@ -40,7 +40,7 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textlab.plans.catalog_model import _language_model
 
     model = _language_model(spark, sf_dir)
-    docs = file_stream(spark, sf_dir, DOCUMENTS_SCHEMA, glob="documents.parquet")
+    docs = table_stream(spark, sf_dir, "documents", DOCUMENTS_SCHEMA)
     requests = views.reviews_from_documents(docs).select("review_id", "title", F.col("body").alias("text"))
     out, bad = scratch_path(spark, "stream-scored"), scratch_path(spark, "stream-quarantine")
     q = start_scoring(requests, model, out, bad)
@@ -71,7 +71,7 @@ def q_stream_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_summary")
 def q_stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H3: running scored-batch summary of a label stream (complete mode, one state row)."""
-    lab = file_stream(spark, sf_dir, LABELS_SCHEMA, glob="labels.parquet")
+    lab = table_stream(spark, sf_dir, "labels", LABELS_SCHEMA)
     summary = running_summary(views.scores_from_labels(lab))
     out = scratch_path(spark, "stream-summary")
     q = start_summary(summary, out)

@@ -40,6 +40,15 @@ def file_stream(
     return r.load(path)
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType) -> DataFrame:
+    """One of the provided parquet tables as a file stream, be it one file or a folder of part files.
+
+    A plain path has to be a folder, and a name filter on the parent finds files only; a path
+    with a wildcard is resolved to the table itself, whichever of the two it is.
+    """
+    return file_stream(spark, f"{sf_dir.rstrip('/')}/{name}.parque[t]", schema)
+
+
 def scored_stream(requests: DataFrame, model: PipelineModel, id_col: str = "review_id", preprocess: str = "train") -> DataFrame:
     """Validate each request and score the accepted ones (stateless, per row).
 
