@@ -121,3 +121,45 @@ def test_vocabulary_threshold_prune_matches_full_sort(spark):
     for size in (1, 7, 50, 333, 10**6):
         got = [(r.term, r.cf) for r in features.vocabulary(tf, size=size).orderBy("rank").collect()]
         assert got == [(r.term, r.cf) for r in full[:size]], size
+
+
+def test_mirror_weights_shuffle_no_pairs_and_merge_repeated_ids(spark):
+    import math
+    from collections import Counter
+
+    from textlab.operators import features as fe
+
+    rows = [(1, ["a", "b", "a"]), (2, ["b", "c"]), (3, []), (4, None), (5, ["c", "a", "b"])]
+    again = [(6, ["a", "b"]), (6, ["b", "a", "c"]), (None, ["a"]), (None, ["c", "c"])]
+    for data in (rows, [*rows, (None, ["b"])], rows + again):
+        docs = spark.createDataFrame(data, "id long, terms array<string>").repartition(3)
+        out = fe.tfidf_sublinear_l2(docs, "id", "terms", min_df=2, pairs=True)
+        merged = {}
+        for i, t in data:
+            t = t or []
+            merged.setdefault(i, Counter()).update(t + [f"{x} {y}" for x, y in zip(t, t[1:])])
+        df = Counter(t for c in merged.values() for t in c)
+        want = {}
+        for i, c in merged.items():
+            w = {t: (1 + math.log(k)) * (math.log((1 + len(merged)) / (1 + df[t])) + 1) for t, k in c.items() if df[t] >= 2}
+            norm = math.sqrt(sum(x * x for x in w.values()))
+            want |= {(i, t): x / norm for t, x in w.items() if i is not None}
+        got = {(r.id, r.term): r.weight for r in out.collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-6 for k in want)
+        if data is not rows + again and len({i for i, _ in data}) == len(data):
+            assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_counted_in_slices(spark, monkeypatch):
+    import pyarrow as pa
+
+    from textlab.operators import features as fe
+
+    monkeypatch.setattr(fe, "SLICE_TOKENS", 4)
+    lists = pa.array([["a", "b"], None, [], ["c"] * 9, ["a"], ["b", "a"]], pa.list_(pa.string()))
+    cuts = fe._row_slices(lists)
+    assert cuts[0][0] == 0 and cuts[-1][1] == len(lists) and all(a[1] == b[0] for a, b in zip(cuts, cuts[1:]))
+    assert fe._row_slices(lists.slice(3)) == [(0, 1), (1, 2), (2, 3)]
+    row, code, names = fe._coded(lists.slice(3), True)
+    spelled = sorted((int(r), names[int(c)].as_py()) for r, c in zip(row, code))
+    assert spelled == sorted([(0, "c")] * 9 + [(0, "c c")] * 8 + [(1, "a"), (2, "b"), (2, "a"), (2, "b a")])

@@ -17,21 +17,27 @@ aggregates:
 
 The document count N is the document frequency of a per-document marker row,
 read as a scalar subquery (one value, no driver round trip) over the same
-aggregation. The term-count table is written once with a reliable checkpoint
-(see :func:`materialized`), so the text is cleaned, tokenised and counted once
-however many branches read it.
+aggregation. The term-count table is written once (see :func:`materialized`), so the
+text is cleaned, tokenised and counted once however many branches read it.
+
+The mirror's weights shuffle no (id, term) pairs: rows are counted where they are, and
+only each batch's distinct terms with their counts are shuffled.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from textlab.session import checkpoint_root
+from textlab.functions.tokens import unigrams_and_bigrams
+from textlab.session import scratch_path
 
 # --- fixed values ----------------------------------------------------------------
 DEFAULT_VOCAB_SIZE = 1 << 16
 DEFAULT_MIN_DF = 2
+SLICE_TOKENS = 1 << 21  # of the rows that are counted at once
 # ---------------------------------------------------------------------------------
 
 
@@ -51,18 +57,183 @@ def _tf_with_marker(docs: DataFrame, id_col: str, terms_col: str) -> DataFrame:
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
-
-    The term counts feed several consumers (document frequencies, the document
-    count, the weight join); Catalyst pushes different filters into each branch,
-    so their exchanges are not reused and the regex cleaning, tokenising and
-    counting would run once per consumer. A reliable checkpoint
-    (``spark.checkpoint.dir``, never a local checkpoint) does that work exactly
-    once and cuts the lineage, so a lost executor does not send the job back to
-    the raw text.
+    """Write ``df`` once to the shared checkpoint folder, as compressed Parquet, and read it back.
+
+    A table with several consumers would be computed once for each: Catalyst pushes
+    different filters into the branches, so their exchanges are not reused. Written once
+    (``spark.checkpoint.dir``, never an executor's own disk), the text is cleaned once, and a
+    lost executor does not send the job back to the raw text.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "features")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# --- counting within a row ---------------------------------------------------------
+# Where an id stands for one row, its terms are counted where the row is, by Arrow and
+# numpy on batches of rows: no (id, term) pair is shuffled. Rows whose id repeats are
+# merged by the aggregates below.
+
+
+def _row_slices(tokens) -> list[tuple[int, int]]:
+    """Ranges of rows with at most ``SLICE_TOKENS`` tokens each, or one row."""
+    import numpy as np
+
+    ends = np.cumsum([0] + (np.diff(tokens.offsets.to_numpy()) + 1).tolist())
+    out, at = [], 0
+    while at < len(tokens):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_TOKENS, "right")) - 1)
+        out.append((at, to))
+        at = to
+    return out
+
+
+def _coded(tokens, pairs: bool):
+    """``(row, code, names)`` of the tokens of some rows and, with ``pairs``, of their neighbouring
+    pairs joined by a space: the row and the number of each, and the distinct terms by number."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    flat = tokens.flatten()
+    row = np.repeat(np.arange(len(tokens)), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False))
+    if flat.null_count:
+        row, flat = row[pc.is_valid(flat).to_numpy(zero_copy_only=False)], flat.drop_null()
+    coded = flat.dictionary_encode()
+    code, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    if pairs and len(code):
+        n = len(names)
+        near = row[1:] == row[:-1]
+        coded = pa.array((code[:-1] * n + code[1:])[near]).dictionary_encode()
+        both, at = coded.dictionary.to_numpy(), coded.indices.to_numpy().astype(np.int64)
+        joined = pc.binary_join_element_wise(names.take(pa.array(both // n)), names.take(pa.array(both % n)), " ")
+        names = pa.concat_arrays([names, joined])
+        row, code = np.concatenate([row, row[1:][near]]), np.concatenate([code, at + n])
+    return row, code, names
+
+
+def _count_batches(pairs: bool):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            lists = batch.column("_tokens")
+            for a, b in _row_slices(lists):
+                row, code, names = _coded(lists.slice(a, b - a), pairs)
+                n = len(names)
+                if not n:
+                    continue
+                once = pa.array(row * n + code).unique().to_numpy() % n
+                yield pa.RecordBatch.from_arrays(
+                    [names, pa.array(np.bincount(once, minlength=n)), pa.array(np.bincount(code, minlength=n))],
+                    names=["term", "df", "cf"],
+                )
+
+    return run
+
+
+def row_term_counts(docs: DataFrame, tokens: Column, pairs: bool = False) -> DataFrame:
+    """``(term, df, cf)`` where every row is a document: rows with the term, its total count.
+    With ``pairs`` the terms are the tokens and their bigrams."""
+    parts = docs.select(tokens.alias("_tokens")).mapInArrow(_count_batches(pairs), "term string, df long, cf long")
+    return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+
+
+def repeated_ids(docs: DataFrame, id_col: str) -> DataFrame | None:
+    """The ids that more than one row has (NULL is an id), or None when there are none."""
+    again = materialized(docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > F.lit(1)))
+    return None if again.isEmpty() else again.select(F.col(id_col).alias("_again"))
+
+
+def rows_by_id(docs: DataFrame, id_col: str, again: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose id is theirs alone, and the others (None when there are none)."""
+    if again is None:
+        return docs, None
+    same = F.col(id_col).eqNullSafe(F.col("_again"))
+    return docs.join(again, same, "left_anti"), docs.join(again, same, "left_semi")
+
+
+def fitted_vocabulary(
+    docs: DataFrame, id_col: str, tokens: Column, pairs: bool, size: int, min_df: int, again: DataFrame | None
+) -> tuple[DataFrame, int]:
+    """:func:`vocabulary` of the documents' terms, and the number of documents (distinct ids)."""
+    single, merged = rows_by_id(docs, id_col, again)
+    counts, n = row_term_counts(single, tokens, pairs), single.count()
+    if merged is not None:
+        terms = unigrams_and_bigrams(tokens) if pairs else tokens
+        tf = term_frequencies(merged.select(id_col, terms.alias("_terms")), id_col, "_terms")
+        both = counts.unionByName(document_frequencies(tf))
+        counts, n = both.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")), n + again.count()
+    return top_counts(counts.filter(F.col("df") >= F.lit(min_df)), size), n
+
+
+def _weigh_batches(terms: list[str], idf_of: list[float] | None, keep: list[str], pairs: bool, out: str, coefficients):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        vocab, weight = pa.array(terms, pa.string()), None if idf_of is None else np.array(idf_of, np.float64)
+        factor = None if coefficients is None else np.nan_to_num(np.array(coefficients, np.float64))
+        for batch in batches:
+            lists = batch.column("_tokens")
+            for a, b in _row_slices(lists):
+                row, code, names = _coded(lists.slice(a, b - a), pairs)
+                known = pc.fill_null(pc.index_in(names, value_set=vocab), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+                index = known[code]
+                key, n = np.unique((row * len(vocab) + index)[index >= 0], return_counts=True)
+                row, index = key // max(len(vocab), 1), key % max(len(vocab), 1)
+                values = n.astype(np.float64)
+                if weight is not None:
+                    values = (1.0 + np.log(values)) * weight[index]
+                    norm = np.sqrt(np.bincount(row, values * values, b - a))
+                    values = values / np.where(norm > 0, norm, 1.0)[row]
+                ends = pa.array(np.searchsorted(row, np.arange(b - a + 1)), pa.int32())
+                made = {}
+                if out == "dot":
+                    made["dot"] = pa.array(np.bincount(row, values * factor[index], b - a), pa.float64())
+                elif out == "vector":
+                    parts = {
+                        "type": pa.array(np.zeros(b - a, np.int8)), "size": pa.array(np.full(b - a, len(vocab), np.int32)),
+                        "indices": pa.ListArray.from_arrays(ends, pa.array(index, pa.int32())),
+                        "values": pa.ListArray.from_arrays(ends, pa.array(values, pa.float64())),
+                    }
+                    made["vector"] = pa.StructArray.from_arrays(list(parts.values()), names=list(parts))
+                else:
+                    made["terms"] = pa.ListArray.from_arrays(ends, vocab.take(pa.array(index)))
+                    made["values"] = pa.ListArray.from_arrays(ends, pa.array(values, pa.float64()))
+                kept = [batch.column(c).slice(a, b - a) for c in keep]
+                yield pa.RecordBatch.from_arrays([*kept, *made.values()], names=[*keep, *made])
+
+    return run
+
+
+#: What :func:`row_weights` adds, by its ``out``.
+ADDED = {
+    "terms": [T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("values", T.ArrayType(T.DoubleType()))],
+    "vector": [T.StructField("vector", VectorUDT())],
+    "dot": [T.StructField("dot", T.DoubleType())],
+}
+
+
+def row_weights(
+    docs: DataFrame,
+    tokens: Column,
+    terms: list[str],
+    idf_of: list[float] | None,
+    out: str,
+    pairs: bool = False,
+    coefficients: list[float] | None = None,
+) -> DataFrame:
+    """``docs`` with each row's weights over a capped vocabulary ``terms`` (a model parameter):
+    the L2-normalised ``(1 + ln tf) * idf``, or the plain count where there is no idf.
+
+    ``out``: ``terms`` and ``values`` (arrays), one sparse ``vector``, or the weights' ``dot``
+    product with the coefficients."""
+    schema = T.StructType([*docs.schema.fields, *ADDED[out]])
+    run = _weigh_batches(terms, idf_of, docs.columns, pairs, out, coefficients)
+    return docs.withColumn("_tokens", tokens).mapInArrow(run, schema)
 
 
 def _split_marker(tf_all: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
@@ -134,9 +305,14 @@ def vocabulary(tf: DataFrame, size: int = DEFAULT_VOCAB_SIZE, min_df: int = DEFA
        over at most ``size`` rows.
 
     The document-frequency table is read twice (threshold, top-k), so it is
-    checkpointed once (:func:`materialized`).
+    written once (:func:`materialized`).
     """
-    dfreq = materialized(document_frequencies(tf).filter(F.col("df") >= F.lit(min_df)))
+    return top_counts(document_frequencies(tf).filter(F.col("df") >= F.lit(min_df)), size)
+
+
+def top_counts(counts: DataFrame, size: int) -> DataFrame:
+    """``(rank, term, cf, df)`` of the ``size`` terms of ``counts(term, df, cf)`` with the largest cf."""
+    dfreq = materialized(counts)
     per_count = dfreq.groupBy("cf").agg(F.count(F.lit(1)).alias("_terms"))
     above = F.coalesce(
         F.sum("_terms").over(Window.orderBy(F.col("cf").desc()).rowsBetween(Window.unboundedPreceding, -1)),
@@ -164,20 +340,38 @@ def tfidf_sublinear_l2(
     terms_col: str,
     max_features: int = DEFAULT_VOCAB_SIZE,
     min_df: int = DEFAULT_MIN_DF,
+    pairs: bool = False,
 ) -> DataFrame:
     """The mirror's weights: capped vocabulary, ``1 + ln(tf)``, smooth IDF
     ``ln((1 + N) / (1 + df)) + 1``, then each document scaled to unit L2 norm.
 
     Output ``(id, term, weight)`` rounded to 6 places. The vocabulary is at most
-    ``max_features`` rows and is broadcast. Norms are a ``groupBy(id)`` (partial
-    aggregation) joined back on id, not a window per document, so one id with a
-    huge share of the rows is split by AQE's skew-join handling.
+    ``max_features`` rows and goes to every task. A row whose id is its own is counted and
+    scaled where it is; rows that share an id are one document, counted by hash aggregates.
+    ``docs`` is read several times: write it first (:func:`materialized`) where it is
+    expensive. With ``pairs`` the terms are the tokens of ``terms_col`` and their bigrams.
     """
-    tf, _, n = _split_marker(materialized(_tf_with_marker(docs, id_col, terms_col)))
-    vocab = vocabulary(tf, max_features, min_df).select("term", "df")
-    smooth_idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    again = repeated_ids(docs, id_col)
+    tokens = F.coalesce(F.col(terms_col), F.array().cast("array<string>"))
+    top, n = fitted_vocabulary(docs, id_col, tokens, pairs, max_features, min_df, again)
+    smooth_idf = F.log((F.lit(1.0) + F.lit(float(n))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    vocab = materialized(top.select("term", smooth_idf.alias("idf")))
+    rows = vocab.collect()  # at most max_features
+    single, merged = rows_by_id(docs, id_col, again)
+    # a NULL id has no weights
+    own = single.filter(F.col(id_col).isNotNull()).select(id_col, F.col(terms_col).alias("_own"))
+    found = row_weights(own, F.col("_own"), [r.term for r in rows], [r.idf for r in rows], "terms", pairs)
+    out = found.select(id_col, F.inline(F.arrays_zip("terms", "values"))).select(
+        id_col, F.col("terms").alias("term"), F.round("values", 6).alias("weight")
+    )
+    if merged is None:
+        return out
+    terms = unigrams_and_bigrams(tokens) if pairs else tokens
+    tf = term_frequencies(merged.select(id_col, terms.alias("_terms")), id_col, "_terms")
     raw = tf.join(F.broadcast(vocab), "term").select(
-        id_col, "term", ((F.lit(1.0) + F.log(F.col("tf"))) * smooth_idf).alias("w")
+        id_col, "term", ((F.lit(1.0) + F.log(F.col("tf"))) * F.col("idf")).alias("w")
     )
     norms = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norms, id_col).select(id_col, "term", F.round(F.col("w") / F.col("norm"), 6).alias("weight"))
+    return out.unionByName(
+        raw.join(norms, id_col).select(id_col, "term", F.round(F.col("w") / F.col("norm"), 6).alias("weight"))
+    )

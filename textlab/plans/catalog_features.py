@@ -32,12 +32,12 @@ def _filtered_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _mirror_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mirror's documents: trimmed combine, its own filter, 2+-character tokens,
-    stop words removed, unigrams and bigrams."""
-    docs = clean_reviews(views.reviews(spark, sf_dir), MIRROR, trimmed=True)
+def _mirror_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mirror's documents, cleaned once: trimmed combine, its own filter, 2+-character
+    tokens, stop words removed."""
+    docs = clean_reviews(views.reviews(spark, sf_dir), MIRROR, trimmed=True).select("review_id", "review_combined")
     toks = remove_stop_words(mirror_tokens(F.col("review_combined")))
-    return docs.select("review_id", unigrams_and_bigrams(toks).alias("terms"))
+    return features.materialized(docs).select("review_id", toks.alias("terms"))
 
 
 @register("tokens")
@@ -83,7 +83,7 @@ def q_vocab_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("tfidf_l2")
 def q_tfidf_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mirror features: 1-2 grams, capped vocabulary, sublinear tf, smooth IDF, L2."""
-    return features.tfidf_sublinear_l2(_mirror_terms(spark, sf_dir), "review_id", "terms")
+    return features.tfidf_sublinear_l2(_mirror_tokens(spark, sf_dir), "review_id", "terms", pairs=True)
 
 
 @register("clean_folded")
