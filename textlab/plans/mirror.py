@@ -18,6 +18,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
+    CountVectorizerModel,
     NGram,
     Normalizer,
     RegexTokenizer,
@@ -63,25 +64,25 @@ def mirror_pipeline(n_train: int, c: float = MIRROR_C) -> Pipeline:
 
 
 def fit_mirror(train: DataFrame) -> PipelineModel:
-    """Text stages and the vocabulary / IDF fits run on the input's partitions; only the
-    finished feature vectors are persisted and coalesced for the L-BFGS iterations."""
-    from pyspark import StorageLevel
+    """The pipeline fitted on documents that are cleaned once and written.
 
+    The vocabulary is counted row by row (:func:`features.row_term_counts`; equal counts at the
+    cut go by term), the term counts become vectors once, and IDF, rows of unit length and the
+    L-BFGS iterations work on those."""
     from textlab.plans.train import right_size
 
-    t = train.persist(StorageLevel.MEMORY_AND_DISK)
-    feats = None
-    try:
-        n = t.count()
-        stages = mirror_pipeline(n).getStages()
-        featurizer = Pipeline(stages=stages[:-1]).fit(t)
-        feats = featurizer.transform(t).select(LABEL_COL, "features").persist(StorageLevel.MEMORY_AND_DISK)
-        lr_model = stages[-1].fit(right_size(feats, feats.count()))
-        return PipelineModel(stages=[*featurizer.stages, lr_model])
-    finally:
-        t.unpersist()
-        if feats is not None:
-            feats.unpersist()
+    docs = features.materialized(train.select(TEXT_COL, LABEL_COL))
+    n = docs.count()
+    *text_stages, cv, idf, unit, lr = mirror_pipeline(n).getStages()
+    tokens = mirror_unigrams(F.col(TEXT_COL))
+    counts = features.row_term_counts(docs, tokens, pairs=True).filter(F.col("df") >= F.lit(MIRROR_MIN_DF))
+    terms = [r.term for r in features.top_counts(counts, MIRROR_VOCAB).orderBy("rank").collect()]  # a model parameter
+    cv_model = CountVectorizerModel.from_vocabulary(terms, inputCol=cv.getInputCol(), outputCol=cv.getOutputCol())
+    vectors = features.row_weights(docs.select(LABEL_COL, TEXT_COL), tokens, terms, None, "vector", pairs=True)
+    tf = features.materialized(vectors.select(LABEL_COL, F.col("vector").alias(cv.getOutputCol())))
+    idf_model = idf.fit(tf)
+    feats = unit.transform(idf_model.transform(tf)).select(LABEL_COL, "features")
+    return PipelineModel(stages=[*text_stages, cv_model, idf_model, unit, lr.fit(right_size(feats, n))])
 
 
 TERM_SCHEMA = T.StructType(
@@ -166,14 +167,19 @@ def hashed_top_terms(spark: SparkSession, model: PipelineModel, terms: DataFrame
 VECTOR_JSON = T.StructType([T.StructField("v", VectorUDT())])
 
 
+def mirror_unigrams(text: Column) -> Column:
+    """2+-character tokens, stop words removed."""
+    return remove_stop_words(mirror_tokens(text))
+
+
 def mirror_terms(text: Column) -> Column:
     """2+-character tokens, stop words removed, followed by their bigrams."""
-    return unigrams_and_bigrams(remove_stop_words(mirror_tokens(text)))
+    return unigrams_and_bigrams(mirror_unigrams(text))
 
 
 class ExactMirrorModel:
     """Fitted exact mirror: vocabulary ``(term, index, idf)`` (at most 65,536 rows,
-    checkpointed) and a ``LogisticRegressionModel`` on the L2-normalised weights."""
+    written) and a ``LogisticRegressionModel`` on the L2-normalised weights."""
 
     def __init__(self, vocab: DataFrame, size: int, lr_model, id_col: str = "review_id"):
         self.vocab, self.size, self.lr_model, self.id_col = vocab, size, lr_model, id_col
@@ -181,10 +187,28 @@ class ExactMirrorModel:
     def features(self, docs: DataFrame) -> DataFrame:
         """``(id, features)`` for documents with ``review_combined``.
 
+        A row whose id is its own becomes a sparse vector where it is; rows that share an id
+        are one document, each with its vector (:meth:`_merged`). Documents without
+        vocabulary terms, and a NULL id, get the zero vector.
+        """
+        i = self.id_col
+        single, merged = features.rows_by_id(docs.select(i, TEXT_COL), i, features.repeated_ids(docs.select(i), i))
+        tokens = F.when(F.col(i).isNotNull(), mirror_unigrams(F.col(TEXT_COL)))
+        own = self._weigh(single, tokens).select(i, "features")
+        return own if merged is None else own.unionByName(self._merged(merged))
+
+    def _weigh(self, docs: DataFrame, tokens: Column) -> DataFrame:
+        rows = self.vocab.orderBy("index").collect()  # at most 65,536
+        terms, idf = [r.term for r in rows], [r.idf for r in rows]
+        return features.row_weights(docs, tokens, terms, idf, "vector", pairs=True).withColumnRenamed("vector", "features")
+
+    def _merged(self, docs: DataFrame) -> DataFrame:
+        """``(id, features)`` of rows that share ids.
+
         Weights join the broadcast vocabulary; norms are an aggregate joined back;
         each document's (index, weight) pairs (at most vocabulary-size of them)
         become one sparse vector through ``from_json`` with a vector schema, in the
-        JVM. Documents without vocabulary terms get the zero vector.
+        JVM.
         """
         i = self.id_col
         terms = docs.select(i, mirror_terms(F.col(TEXT_COL)).alias("terms"))
@@ -208,17 +232,27 @@ class ExactMirrorModel:
         )
         return ids.select(i, F.from_json(F.to_json(F.struct(vec.alias("v"))), VECTOR_JSON).getField("v").alias("features"))
 
+    def with_features(self, docs: DataFrame) -> DataFrame:
+        """``docs`` joined to their features by id (no partner for a NULL id); where the id is
+        the row's own, without a shuffle."""
+        i = self.id_col
+        single, merged = features.rows_by_id(docs, i, features.repeated_ids(docs.select(i), i))
+        columns = [i, *[c for c in docs.columns if c != i], "features"]
+        own = self._weigh(single.filter(F.col(i).isNotNull()), mirror_unigrams(F.col(TEXT_COL))).select(columns)
+        return own if merged is None else own.unionByName(merged.join(self._merged(merged), i).select(columns))
+
     def transform(self, docs: DataFrame) -> DataFrame:
         """Adds rawPrediction, probability and prediction, keeping the input columns."""
-        return self.lr_model.transform(docs.join(self.features(docs), self.id_col))
+        return self.lr_model.transform(self.with_features(docs))
 
 
 def mirror_vocabulary(docs: DataFrame, id_col: str = "review_id") -> DataFrame:
-    """``(term, index, idf)`` of the documents' vocabulary, written once."""
-    terms = docs.select(id_col, mirror_terms(F.col(TEXT_COL)).alias("terms"))
-    tf, _, n = features._split_marker(features.materialized(features._tf_with_marker(terms, id_col, "terms")))
-    vocab = features.vocabulary(tf, MIRROR_VOCAB, MIRROR_MIN_DF)
-    smooth_idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    """``(term, index, idf)`` of the documents' vocabulary, written once. ``docs`` is read
+    several times: write it first where it is expensive."""
+    again = features.repeated_ids(docs.select(id_col), id_col)
+    tokens = mirror_unigrams(F.col(TEXT_COL))
+    vocab, n = features.fitted_vocabulary(docs.select(id_col, TEXT_COL), id_col, tokens, True, MIRROR_VOCAB, MIRROR_MIN_DF, again)
+    smooth_idf = F.log((F.lit(1.0) + F.lit(float(n))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     return features.materialized(
         vocab.select("term", (F.col("rank") - F.lit(1)).cast("int").alias("index"), smooth_idf.alias("idf"))
     )
@@ -226,23 +260,18 @@ def mirror_vocabulary(docs: DataFrame, id_col: str = "review_id") -> DataFrame:
 
 def fit_exact_mirror(train: DataFrame, id_col: str = "review_id", c: float = MIRROR_C) -> ExactMirrorModel:
     """Fit the exact mirror on ``(id, review_combined, label)`` rows."""
-    from pyspark import StorageLevel
-
     from textlab.plans.train import right_size
 
-    vocab = mirror_vocabulary(train, id_col)
-    size = vocab.count()
-    model = ExactMirrorModel(vocab, size, None, id_col)
-    feats = train.select(id_col, LABEL_COL).join(model.features(train), id_col).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n_rows = feats.count()
-        lr = LogisticRegression(
-            featuresCol="features", labelCol=LABEL_COL, maxIter=MIRROR_MAX_ITER, regParam=1.0 / (c * max(n_rows, 1)),
-            elasticNetParam=0.0, standardization=False, family="binomial", tol=MIRROR_TOL,
-        )
-        model.lr_model = lr.fit(right_size(feats, n_rows))
-    finally:
-        feats.unpersist()
+    docs = features.materialized(train.select(id_col, TEXT_COL, LABEL_COL))
+    vocab = mirror_vocabulary(docs, id_col)
+    model = ExactMirrorModel(vocab, vocab.count(), None, id_col)
+    feats = features.materialized(model.with_features(docs).select(LABEL_COL, "features"))
+    n_rows = feats.count()
+    lr = LogisticRegression(
+        featuresCol="features", labelCol=LABEL_COL, maxIter=MIRROR_MAX_ITER, regParam=1.0 / (c * max(n_rows, 1)),
+        elasticNetParam=0.0, standardization=False, family="binomial", tol=MIRROR_TOL,
+    )
+    model.lr_model = lr.fit(right_size(feats, n_rows))
     return model
 
 
