@@ -78,3 +78,28 @@ def test_a_missing_or_half_saved_model_is_named(spark, workdir):
     _model(spark).terms.limit(2).write.mode("overwrite").parquet(f"{path}/terms")  # a save that stopped in between
     with pytest.raises(FileNotFoundError, match="not whole"):
         load_term_model(spark, path)
+
+
+def test_scoring_shuffles_nothing(spark):
+    df = spark.range(5).selectExpr("id as review_id", "'good film' as review_combined")
+    assert "Exchange" not in _model(spark).score(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_exact_mirror_weighs_rows_with_their_own_id_in_place(spark):
+    texts = [(1, "good film", 1.0), (2, "bad film", 0.0), (3, "good good bad film", 1.0), (None, "good film", 1.0)]
+    docs = spark.createDataFrame(texts, "review_id long, review_combined string, label double")
+    model = mirror.fit_exact_mirror(docs)
+    plan = model.with_features(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert sorted(r.review_id for r in model.transform(docs).collect()) == [1, 2, 3]
+    again = docs.unionByName(docs.filter("review_id = 2"))
+    assert sorted(r.review_id for r in model.transform(again).collect()) == [1, 2, 2, 2, 2, 3]
+    assert model.features(again).count() == 5
+
+
+def test_the_pipeline_mirror_has_a_stable_vocabulary(spark):
+    texts = [(0.0, "aa bb"), (1.0, "bb aa"), (1.0, "cc aa"), (0.0, "cc dd")]
+    docs = spark.createDataFrame(texts, "label double, review_combined string")
+    model = mirror.fit_mirror(docs.repartition(3))
+    assert next(s for s in model.stages if hasattr(s, "vocabulary")).vocabulary == ["aa", "bb", "cc"]
+    assert model.transform(docs).count() == 4

@@ -1,15 +1,12 @@
-"""The exact mirror as a table of terms: scoring by a join, and a form to keep it in.
+"""The exact mirror as a table of terms: scoring with it, and a form to keep it in.
 
 A document's margin is ``sum(w * coefficient) / sqrt(sum(w * w)) + intercept`` over its
-vocabulary terms, ``w = (1 + ln tf) * idf``: one join with the vocabulary (at most 65,536
-rows, so its broadcast is bounded) and one aggregate, without vectors. Occurrences are
-counted per document and term with map-side partial aggregation, and terms outside the
-vocabulary go before anything is grouped by document.
-
-A document is its id and its text's digest, so rows that share an id and differ in text are
-scored each on their own, and equal rows are scored once and returned as often as they
-stand in the input. A NULL id is an id. Texts that are NULL, empty or without vocabulary
-terms get the intercept. Other columns of the input are not read.
+vocabulary terms, ``w = (1 + ln tf) * idf``. The vocabulary has at most 65,536 rows and goes
+to every task; a row's terms are counted, looked up and summed where the row is, in batches,
+so nothing is shuffled however long or often repeated the texts are.
+
+Every row is scored on its own, copies and NULL ids included. Texts that are NULL, empty or
+without vocabulary terms get the intercept. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -17,11 +14,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textlab.operators.features import row_weights
 from textlab.operators.score import SENTIMENT_NEGATIVE, SENTIMENT_POSITIVE
-from textlab.plans.mirror import ExactMirrorModel, mirror_terms
+from textlab.plans.mirror import ExactMirrorModel, mirror_unigrams
 from textlab.plans.train import TEXT_COL
 
 TERMS_SCHEMA = "term string, idf double, coefficient double"
@@ -37,35 +35,18 @@ class TermModel:
 
     def score(self, docs: DataFrame, id_col: str = "review_id", text: str = TEXT_COL) -> DataFrame:
         """``(id, prediction, score)``, one row for every input row; ``score`` = P(positive)."""
-        marked = F.concat(
-            F.coalesce(mirror_terms(F.col(text)), F.array().cast("array<string>")), F.array(F.lit(None).cast("string"))
-        )
-        words = docs.select(F.col(id_col).alias("_id"), F.sha2(F.col(text), 256).alias("_text"), F.explode(marked).alias("term"))
-        counts = words.groupBy("_id", "_text", "term").agg(F.count(F.lit(1)).alias("n"))
-        vocab = self.terms.select("term", "idf", "coefficient")
-        known = counts.join(F.broadcast(vocab), "term", "left").filter(F.col("term").isNull() | F.col("idf").isNotNull())
-        # the marker row, one an input row, says how many copies the counts hold
-        document = Window.partitionBy("_id", "_text")
-        marker = F.col("term").isNull()
-        copies = F.max(F.when(marker, F.col("n"))).over(document)
-        tf = (F.col("n") / copies).alias("tf")
-        w = known.select("_id", "_text", "idf", "coefficient", copies.alias("copies"), tf).withColumn(
-            "w", (F.lit(1.0) + F.log("tf")) * F.col("idf")
-        )
-        sums = w.groupBy("_id", "_text").agg(
-            F.max("copies").alias("copies"),
-            F.sum(F.col("w") * F.col("coefficient")).alias("dot"),
-            F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
+        rows = self.terms.filter(F.col("idf").isNotNull()).select("term", "idf", "coefficient").collect()  # at most 65,536
+        tokens = mirror_unigrams(F.col(text))
+        weighed = row_weights(
+            docs.select(F.col(id_col), tokens.alias("_own")), F.col("_own"), [r.term for r in rows], [r.idf for r in rows],
+            "dot", pairs=True, coefficients=[0.0 if r.coefficient is None else r.coefficient for r in rows],
         )
-        margin = F.coalesce(F.try_divide(F.col("dot"), F.col("norm")), F.lit(0.0)) + F.lit(float(self.intercept))
-        scored = sums.select(
-            F.col("_id").alias(id_col),
-            "copies",
+        margin = F.col("dot") + F.lit(float(self.intercept))
+        return weighed.select(
+            id_col,
             F.when(margin > F.lit(0.0), F.lit(1)).otherwise(F.lit(0)).alias("prediction"),
             (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias("score"),
         )
-        each = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
-        return scored.select("*", each.alias("_copy")).select(id_col, "prediction", "score")
 
     def save(self, path: str) -> None:
         """Terms, then parameters, each with overwrite: a model counts as saved once both are there,
