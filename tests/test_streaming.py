@@ -166,3 +166,11 @@ def test_streamed_tables_may_be_folders_of_part_files(spark, workdir):
         scored = q_stream_score(spark, sf_dir)
         got.append((q_stream_summary(spark, sf_dir).first().total, sorted(r.review_id for r in scored.collect())))
     assert got[0] == got[1] == (40, [i for i in range(40) if i % 11])  # without a body: rejected
+
+
+def test_a_batch_of_one_task_is_dealt_over_the_cores(spark):
+    from textlab.streaming.scoring import spread_batch
+
+    one = spark.range(0, 400, 1, 1).selectExpr("7 as review_id", "'same text' as text")
+    sizes = [len(p) for p in spread_batch(one).rdd.glom().collect()]
+    assert sum(sizes) == 400 and sum(n > 0 for n in sizes) >= spark.sparkContext.defaultParallelism > 1

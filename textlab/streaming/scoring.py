@@ -61,6 +61,12 @@ def scored_stream(requests: DataFrame, model: PipelineModel, id_col: str = "revi
     return shape_predictions(s, id_col=id_col, keep=("score",))
 
 
+def spread_batch(batch: DataFrame) -> DataFrame:
+    """A micro-batch dealt by row position, so that no key or copy gathers, over at least the cores."""
+    n = max(batch.sparkSession.sparkContext.defaultParallelism, batch.rdd.getNumPartitions())
+    return batch.repartition(n, F.monotonically_increasing_id())
+
+
 def start_scoring(
     requests: DataFrame,
     model: PipelineModel,
@@ -70,14 +76,16 @@ def start_scoring(
     id_col: str = "review_id",
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Run validate -> score into two parquet sinks with ``foreachBatch``."""
+    """Run validate -> score into two parquet sinks with ``foreachBatch``.
+
+    A batch may be one file with one row group, which is one task however many cores there
+    are: its requests are dealt over the cores before any text work."""
     spark = requests.sparkSession
     checkpoint = checkpoint or scratch_path(spark, "stream-score-ckpt")
-    v = validate_requests(requests)
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
+    def write_batch(arrived: DataFrame, batch_id: int) -> None:
         # two sinks read the micro-batch: keep it for the duration of this batch only
-        batch.persist()
+        batch = validate_requests(spread_batch(arrived)).persist()
         try:
             bad = batch.filter(F.col("reject_reason").isNotNull()).select(id_col, "reject_reason")
             bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
@@ -88,7 +96,7 @@ def start_scoring(
         finally:
             batch.unpersist()
 
-    w = v.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    w = requests.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
