@@ -41,7 +41,7 @@ from textlab.llm.common import materialise
 from textlab.llm.lattice import edges, merges, viterbi
 
 SPACE = "▁"
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 OUT_ROWS = 1 << 16
 LATTICE_CHARS = 32
 PLAIN_UNITS = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
