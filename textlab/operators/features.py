@@ -26,6 +26,9 @@ only each batch's distinct terms with their counts are shuffled.
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +37,9 @@ from pyspark.sql import types as T
 from textlab.functions.tokens import unigrams_and_bigrams
 from textlab.session import scratch_path
 
+# executors need not have this package: its functions travel by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # --- fixed values ----------------------------------------------------------------
 DEFAULT_VOCAB_SIZE = 1 << 16
 DEFAULT_MIN_DF = 2
