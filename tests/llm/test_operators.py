@@ -162,6 +162,23 @@ def test_pieces_equal_the_library(spark):
     assert pieces.encode(docs.limit(0), model).count() == 0
 
 
+def test_decoding_is_one_expression_and_spells_bytes_as_the_library(spark):
+    model = pieces.load(tokenizer_path())
+    at = {b: i for i, b in reversed(list(enumerate(model.spelled)))}
+    piece = {b: model.byte_base + b for b in range(256)}
+    lists = [
+        [], None, [model.unknown], [piece[b] for b in "é日".encode()], [piece[0xE6], piece[0x97], at[b" the"], piece[0xFF]],
+        [at[b" the"], at[b" the"]], [piece[0x20], piece[0x20]], [0, 1, 2],
+    ]
+    rows = spark.createDataFrame(list(enumerate(lists)), "doc_id long, ids array<int>")
+    decoded = pieces.decode(rows, model)
+    for r in decoded.collect():
+        body = b"".join(model.spelled[i] for i in lists[r.doc_id] or ())
+        assert r.decoded == body.removeprefix(b" ").decode("utf-8", "replace")
+    # a Python worker of its own beside the encoding one took it over the executor's memory
+    assert "Arrow" not in decoded._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_pieces_of_mixed_lengths_and_null_ids(spark):
     import sentencepiece
 

@@ -56,6 +56,15 @@ def blocked(batches: Iterator, sizes: Any, limit: int) -> Iterator[Any]:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def release() -> None:
+    """Give the system what the allocators hold free: Spark keeps Python workers, and a worker that
+    waits would keep the memory of its largest block."""
+    import pyarrow as pa
+
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 def numbers() -> Iterator[int]:
     """Block numbers of the running task, unique over the job."""
     from itertools import count

@@ -29,15 +29,16 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from textlab.llm.blocks import ROW_BYTES, blocked, numbers, pack, unpack
-from textlab.llm.common import materialise
+from textlab.llm.blocks import ROW_BYTES, blocked, numbers, pack, release, unpack
+from textlab.llm.common import let, materialise
 from textlab.llm.lattice import edges, merges, viterbi
 
 SPACE = "▁"
@@ -166,10 +167,10 @@ def _text_blocks(batches: Iterator) -> Iterator:
     return blocked(batches, sizes, BLOCK_BYTES)
 
 
-def _shares(words: Iterator, units, shares: int) -> dict[int, list[str]]:
-    """The distinct units of some words that the lattice takes, in order, by their share."""
+def _shares(units: Iterable[str], shares: int) -> dict[int, list[str]]:
+    """Those distinct units that the lattice takes, in order, by their share."""
     out: dict[int, list[str]] = {}
-    for u in sorted({u for w in words for u in units(w) if len(u) <= LATTICE_CHARS}):
+    for u in sorted(u for u in units if len(u) <= LATTICE_CHARS):
         out.setdefault(zlib.crc32(u.encode()) % shares, []).append(u)
     return out
 
@@ -195,14 +196,17 @@ def _units(pattern: str, shares: int):
             seen = set()
             for t in rows.column("_text"):
                 seen.update(words(t.as_py()))
-            found = _shares(seen, units, shares)
-            yield pa.RecordBatch.from_arrays(
+            found = _shares({u for w in seen for u in units(w)}, shares)
+            out = pa.RecordBatch.from_arrays(
                 [
                     pa.array([block] * len(found), pa.int64()), pa.array(list(found), pa.int32()),
                     pa.array([_listed(part) for part in found.values()], pa.binary()),
                 ],
                 names=["block", "share", "units"],
             )
+            del rows, seen, found
+            release()
+            yield out
 
     return run
 
@@ -218,6 +222,8 @@ def _distinct(batches: Iterator) -> Iterator:
     found = list(seen)
     for at in range(0, len(found), OUT_ROWS):
         yield pa.RecordBatch.from_arrays([pa.array(found[at : at + OUT_ROWS], pa.string())], names=["unit"])
+    del seen, found
+    release()
 
 
 def _answered(found, known):
@@ -232,6 +238,8 @@ def _answered(found, known):
         ids = lists.take(pa.array([number[u] for u in units], pa.int32()))
         digests.append(_digest(units))
         answers.append(pack(pa.RecordBatch.from_arrays([ids], names=["ids"])))
+    del number, lists
+    release()
     return pa.table(
         {
             "block": found.column("block"), "share": found.column("share"), "digest": pa.array(digests, pa.int64()),
@@ -244,9 +252,12 @@ def _packed(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
     for block, rows in zip(numbers(), _text_blocks(batches)):
-        yield pa.RecordBatch.from_arrays(
+        out = pa.RecordBatch.from_arrays(
             [pa.array([block], pa.int64()), pa.array([pack(rows)], pa.binary())], names=["block", "packed"]
         )
+        del rows
+        release()
+        yield out
 
 
 def encode_units(units: DataFrame, model: PieceModel) -> DataFrame:
@@ -324,67 +335,78 @@ def encode_long(unit: str, scores: dict, model: PieceModel) -> list[int]:
     return out
 
 
-def _joined(flat, sizes, index):
-    """The pieces of ``flat`` (cut by ``sizes``) that ``index`` names, one after the other."""
+def _joined(flat, starts, sizes, index):
+    """The pieces of ``flat`` (at ``starts``, of ``sizes``) that ``index`` names, one after the other."""
     import numpy as np
 
-    starts = np.cumsum(sizes) - sizes
     n = sizes[index]
     return flat[np.repeat(starts[index] - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
 
-def _spell(model: PieceModel, carry: list[str], arrow_schema, shares: int):
-    scores = {p: (i, s) for p, i, s in model.pieces}
+def _spelled(texts, answers, model: PieceModel, shares: int):
+    """The ids of some texts, by the answers to their distinct units."""
+    from collections import defaultdict
+    from itertools import count
 
-    def run(blocks, answers):
-        from collections import defaultdict
-        from itertools import count
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-        import numpy as np
+    words, units = _splitter(model.units)
+    # texts as numbers of words, words as numbers of units, units as ids
+    word_number = defaultdict(count().__next__)
+    rows = []
+    for t in texts:
+        found = words(t.as_py())
+        rows.append(np.fromiter(map(word_number.__getitem__, found), np.int32, len(found)))
+    unit_number = defaultdict(count().__next__)
+    made, lengths = array("i"), array("i")
+    for w in word_number:
+        found = units(w)
+        made.extend(map(unit_number.__getitem__, found))
+        lengths.append(len(found))
+    del word_number
+    own = _shares(unit_number, shares)
+    at, lists = np.full(len(unit_number), -1, np.int64), [pa.array([], pa.list_(pa.int32()))]
+    known = 0
+    for share, digest, packed in zip(*(answers.column(c) for c in ("share", "digest", "ids")), strict=True):
+        part = own.get(share.as_py(), [])
+        if part and _digest(part) == digest.as_py():
+            at[np.fromiter(map(unit_number.__getitem__, part), np.int64, len(part))] = np.arange(known, known + len(part))
+            lists += unpack(packed.as_py()).column("ids").chunks
+            known += len(part)
+    del own
+    lists = pa.concat_arrays(lists)
+    other = []
+    if (at < 0).any():
+        scores = {p: (i, s) for p, i, s in model.pieces}
+        for u, i in unit_number.items():
+            if at[i] < 0:
+                at[i] = known + len(other)
+                other.append(np.array(encode_long(u, scores, model), np.int32))
+    del unit_number
+    flat = np.concatenate([lists.flatten().to_numpy(), *other])
+    sizes = np.concatenate([pc.list_value_length(lists).to_numpy(zero_copy_only=False), [len(x) for x in other]]).astype(np.int64)
+    made = at[np.frombuffer(made, np.int32)]
+    word_ids = _joined(flat, np.cumsum(sizes) - sizes, sizes, made)
+    ends = np.concatenate([[0], np.cumsum(sizes[made])])[np.concatenate([[0], np.cumsum(np.frombuffer(lengths, np.int32))])]
+    starts, sizes = ends[:-1], np.diff(ends)
+    out = [_joined(word_ids, starts, sizes, row) for row in rows]
+    ends = np.cumsum([0] + [len(x) for x in out])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *out])))
+
+
+def _spell(model: PieceModel, carry: list[str], arrow_schema, shares: int):
+    def run(blocks, answers):
         import pyarrow as pa
-        import pyarrow.compute as pc
 
-        words, units = _splitter(model.units)
         # without a packed row: a block that only the first reading made
         texts = pa.concat_tables([arrow_schema.empty_table(), *(unpack(p.as_py()) for p in blocks.column("packed"))])
-        # texts as numbers of words, words as numbers of units, units as ids
-        word_number = defaultdict(count().__next__)
-        rows = []
-        for t in texts.column("_text"):
-            found = words(t.as_py())
-            rows.append(np.fromiter(map(word_number.__getitem__, found), np.int32, len(found)))
-        own = _shares(word_number, units, shares)
-        number, lists = {}, [pa.array([], pa.list_(pa.int32()))]
-        for share, digest, packed in zip(*(answers.column(c) for c in ("share", "digest", "ids")), strict=True):
-            part = own.get(share.as_py(), [])
-            if _digest(part) == digest.as_py():
-                number.update(zip(part, count(len(number))))
-                lists += unpack(packed.as_py()).column("ids").chunks
-        lists = pa.concat_arrays(lists)
-        other, made, lengths = [], [], []
-        for w in word_number:
-            before = len(made)
-            for u in units(w):
-                i = number.get(u)
-                if i is None:
-                    number[u] = i = len(number)
-                    other.append(np.array(encode_long(u, scores, model), np.int32))
-                made.append(i)
-            lengths.append(len(made) - before)
-        flat = np.concatenate([lists.flatten().to_numpy(), *other])
-        sizes = np.concatenate(
-            [pc.list_value_length(lists).to_numpy(zero_copy_only=False), [len(x) for x in other]]
-        ).astype(np.int64)
-        made, lengths = np.array(made, np.int64), np.array(lengths, np.int64)
-        word_ids = _joined(flat, sizes, made)
-        ends = np.concatenate([[0], np.cumsum(sizes[made])])
-        word_sizes = np.diff(ends[np.concatenate([[0], np.cumsum(lengths)])])
-        out = [_joined(word_ids, word_sizes, row) for row in rows]
-        ends = np.cumsum([0] + [len(x) for x in out])
-        ids = pa.ListArray.from_arrays(
-            pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *out]))
-        )
-        return pa.Table.from_arrays([*[texts.column(c) for c in carry], ids], names=[*carry, "ids"])
+        ids = _spelled(texts.column("_text"), answers, model, shares)
+        out = pa.Table.from_arrays([*[texts.column(c) for c in carry], ids], names=[*carry, "ids"])
+        del texts, ids
+        release()
+        return out
 
     return run
 
@@ -416,22 +438,11 @@ def encode(docs: DataFrame, model: PieceModel, carry: tuple[str, ...] = ("doc_id
     )
 
 
-def _decode(spelled: tuple):
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            texts = []
-            for ids in batch.column("ids"):
-                body = b"".join(map(spelled.__getitem__, ids.as_py() or ()))
-                texts.append((body[1:] if body[:1] == b" " else body).decode("utf-8", "replace"))
-            columns = [batch.column(c) for c in batch.schema.names] + [pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "decoded"])
-
-    return run
-
-
 def decode(encoded: DataFrame, model: PieceModel) -> DataFrame:
     """``encoded(..., ids)`` with the text that the ids spell as ``decoded``."""
-    fields = ", ".join(f"`{c}` {t}" for c, t in encoded.dtypes)
-    return encoded.mapInArrow(_decode(model.spelled), f"{fields}, decoded string")
+    # one literal, folded when planned; in hex, as byte pieces need not be characters by themselves
+    spelled = F.split(F.lit(",".join(b.hex() for b in model.spelled)), ",")
+    body = F.unhex(F.array_join(F.transform(F.col("ids"), lambda i: F.element_at(spelled, i + 1)), ""))
+    text = F.coalesce(F.make_valid_utf8(body.cast("string")), F.lit(""))
+    without_first = let(text, lambda t: F.when(F.startswith(t, F.lit(" ")), F.substr(t, F.lit(2))).otherwise(t))
+    return encoded.withColumn("decoded", without_first)
