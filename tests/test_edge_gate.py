@@ -56,3 +56,50 @@ def test_generated_cases(spark):
     assert cases.filter("case = 'missing_title' and title is not null").count() == 0
     long = cases.filter("case = 'repeated_text'").join(docs.withColumnRenamed("doc_id", "id").drop("text"), "id")
     assert long.filter(F.length("text") != F.lit(200) * (F.least("n_chars", F.lit(40)) + F.lit(1))).count() == 0
+
+
+def test_scored_rows_are_computed_once(spark):
+    def through(batches):
+        yield from batches
+
+    sent = spark.createDataFrame([(1, "a"), (2, None)], SENT)
+    back = spark.createDataFrame([(1, "a", 1, 0.5)], BACK).mapInArrow(through, BACK)
+    plan = reconciled_edge_gate(sent, back)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert _gate(spark, sent.collect(), back.collect()) == {
+        "scores_a": (1.0, True, 0), "scores_no_case": (1.0, False, 1), "no_extra_rows": (0.0, True, 0),
+        "mixed_batch_ratio": (1.0, False, 0),
+    }
+
+
+def test_bulk_scores_equal_the_models_own_without_its_stages(spark):
+    from textlab.config import TrainConfig
+    from textlab.operators.score import model_input, positive_probability, score
+    from textlab.plans.train import fit_pipeline
+
+    titles, texts = [None, "", "A  title", "<b>", "é"], [None, "", "  ", "the the", "Good <i>bad</i> ugly!! x1", "ß" * 9, "bad " * 300 + "y" * 70]
+    rows = [(i, t, x) for i, (t, x) in enumerate((t, x) for t in titles for x in texts)]
+    docs = spark.createDataFrame(rows, "id long, title string, text string").repartition(3)
+    train = model_input(docs, "title", "text").withColumn("label", (F.col("id") % 3 == 0).cast("double"))
+    model = fit_pipeline(train, TrainConfig(num_features=1 << 10, min_doc_freq=1, max_iter=9), 0.01, 0.0)
+    want = {r.id: r for r in model.transform(train).select("id", "prediction", positive_probability().alias("score")).collect()}
+    scored = score(docs, model, id_col="id")
+    got = scored.collect()
+    assert len(got) == len(want) == len(rows)
+    for r in got:
+        assert r.prediction == want[r.id].prediction and abs(r.score - want[r.id].score) < 1e-12
+    assert score(docs.limit(0), model, id_col="id").count() == 0
+    assert "UDF" not in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hashed_buckets_equal_hashing_tf(spark):
+    import pyarrow as pa
+    from pyspark.ml.feature import HashingTF
+
+    from textlab.operators.features import murmur3
+
+    terms = ["", "a", "ab", "abc", "abcd", "abcde", "good", "x" * 1001, "é日本", "same", "same", "0123456789"]
+    tf = HashingTF(numFeatures=1 << 16)
+    assert (murmur3(pa.array(terms)) % (1 << 16)).tolist() == [tf.indexOf(t) for t in terms]
+    assert (murmur3(pa.array(terms).slice(3, 4)) % (1 << 16)).tolist() == [tf.indexOf(t) for t in terms[3:7]]
+    assert murmur3(pa.array([], pa.string())).tolist() == []

@@ -44,6 +44,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DEFAULT_VOCAB_SIZE = 1 << 16
 DEFAULT_MIN_DF = 2
 SLICE_TOKENS = 1 << 21  # of the rows that are counted at once
+SLICE_CHARS = 1 << 23  # of the rows that are weighed at once
 # ---------------------------------------------------------------------------------
 
 
@@ -215,6 +216,88 @@ def _weigh_batches(terms: list[str], idf_of: list[float] | None, keep: list[str]
     return run
 
 
+def murmur3(terms, seed: int = 42):
+    """MurmurHash3 (x86, 32 bits, signed) of each string of an Arrow array, as ``HashingTF`` takes it."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    terms = terms.cast(pa.large_string())
+    n = pc.binary_length(terms).to_numpy(zero_copy_only=False).astype(np.int64)
+    order = np.argsort(-n, kind="stable")  # the longest first: those with another four bytes are in front
+    n = n[order]
+    start = np.frombuffer(terms.buffers()[1], np.int64)[terms.offset :][: len(n)][order]
+    data = np.frombuffer(terms.buffers()[2] or b"", np.uint8)
+
+    def rotated(x, by):
+        return (x << np.uint32(by)) | (x >> np.uint32(32 - by))
+
+    def mixed(k):
+        return rotated(k * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+
+    def byte(at, shift):
+        return data[at].astype(np.uint32) << np.uint32(shift)
+
+    h = np.full(len(n), seed, np.uint32)
+    fours = n // 4
+    for i in range(int(fours[0]) if len(n) else 0):
+        m = int(np.searchsorted(-fours, -i))
+        at = start[:m] + 4 * i
+        k = byte(at, 0) | byte(at + 1, 8) | byte(at + 2, 16) | byte(at + 3, 24)
+        h[:m] = rotated(h[:m] ^ mixed(k), 13) * np.uint32(5) + np.uint32(0xE6546B64)
+    k = np.zeros(len(n), np.uint32)
+    for i in range(3):
+        more = n % 4 > i
+        k[more] ^= byte((start + fours * 4 + i)[more], 8 * i)
+    h ^= mixed(k) ^ n.astype(np.uint32)
+    for shift, by in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        h = (h ^ (h >> np.uint32(shift))) * np.uint32(by)
+    out = np.empty(len(n), np.int32)
+    out[order] = h.view(np.int32)
+    return out
+
+
+def _hashed_sums(weights, stop_words: list[str]):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        stop = pa.array(stop_words, pa.string())
+        for batch in batches:
+            texts = batch.column("_text").cast(pa.large_string())
+            ends = np.cumsum(np.append(0, pc.binary_length(texts).to_numpy(zero_copy_only=False) + 1))
+            at = 0
+            while at < len(texts):
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_CHARS, "right")) - 1)
+                part = texts.slice(at, to - at)
+                # no token follows the last one that holds a character; '' is one empty token
+                cut = pc.ascii_rtrim(part, " ")
+                blank = pc.and_(pc.equal(cut, ""), pc.not_equal(part, "")).to_numpy(zero_copy_only=False)
+                tokens = pc.split_pattern(cut, " ")
+                n = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
+                coded = tokens.flatten().dictionary_encode()
+                names = coded.dictionary.cast(pa.string())
+                weight = weights[murmur3(names).astype(np.int64) % len(weights)]
+                weight[pc.is_in(names, value_set=stop).to_numpy(zero_copy_only=False)] = 0.0
+                sums = np.bincount(np.repeat(np.arange(to - at), n), weight[coded.indices.to_numpy()], to - at)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_row").slice(at, to - at), pa.array(np.where(blank, 0.0, sums))], names=["_row", "_sum"]
+                )
+                at = to
+
+    return run
+
+
+def hashed_sums(docs: DataFrame, text: Column, weights, stop_words: list[str], keep: list[Column]) -> DataFrame:
+    """The ``keep`` columns and ``_sum``: of every row the weights of its tokens' hashed buckets, stop
+    words left out. ``text`` holds a-z, 0-9 and spaces only, as cleaned texts do; its tokens are
+    ``Tokenizer``'s, its buckets ``HashingTF``'s."""
+    rows = docs.select(F.struct(*keep).alias("_row"), text.alias("_text"))
+    schema = T.StructType([rows.schema["_row"], T.StructField("_sum", T.DoubleType())])
+    return rows.mapInArrow(_hashed_sums(weights, stop_words), schema).select("_row.*", "_sum")
+
+
 #: What :func:`row_weights` adds, by its ``out``.
 ADDED = {
     "terms": [T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("values", T.ArrayType(T.DoubleType()))],

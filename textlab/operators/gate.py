@@ -146,16 +146,21 @@ def reconciled_edge_gate(
         F.sum("sent").alias("sent"), F.sum("back").alias("back"), F.sum("pos").alias("pos"),
         F.sum(lost + F.least(F.col("bad"), F.col("sent"))).alias("failing"), F.sum(surplus).alias("surplus"),
     )
-    rows = per_case.select(
+    # the cases and their total from one plan: two branches over the cases would score every row twice
+    sums, no_case = ("sent", "back", "pos", "failing", "surplus"), F.lit(None).cast(per_case.schema["_case"].dataType).alias("_case")
+    cells = per_case.select(
+        F.inline(F.array(*[F.struct(F.lit(whole).alias("_whole"), of, *sums) for whole, of in ((False, F.col("_case")), (True, no_case))]))
+    )
+    none = inputs.sparkSession.range(1).select(F.lit(True).alias("_whole"), no_case, *[zero.alias(c) for c in sums])
+    counted = cells.unionByName(none).groupBy("_whole", "_case").agg(*[F.sum(c).alias(c) for c in sums])
+    counted = counted.withColumn("ratio", F.try_divide(F.col("pos"), F.col("back")))
+    one = F.struct(
         F.concat(F.lit("scores_"), F.coalesce(F.col("_case").cast("string"), F.lit("no_case"))).alias("rule"),
         F.col("sent").cast("double").alias("observed"),
         F.lit(1.0).alias("threshold"),
         ((F.col("sent") >= F.lit(1)) & (F.col("failing") == F.lit(0))).alias("passed"),
         F.col("failing").alias("failing"),
     )
-    whole = per_case.agg(
-        F.coalesce(F.sum("surplus"), zero).alias("surplus"), F.try_divide(F.sum("pos"), F.sum("back")).alias("ratio")
-    )
     inside = F.coalesce((F.col("ratio") > F.lit(0.0)) & (F.col("ratio") < F.lit(1.0)), F.lit(False))
     last = F.array(
         F.struct(
@@ -167,7 +172,7 @@ def reconciled_edge_gate(
             F.lit(0.5).alias("threshold"), inside.alias("passed"), zero.alias("failing"),
         ),
     )
-    return rows.unionByName(whole.select(F.inline(last)))
+    return counted.select(F.inline(F.when(F.col("_whole"), last).otherwise(F.array(one))))
 
 
 def metrics_long(metrics: DataFrame, run_col: str, names: Sequence[str]) -> DataFrame:

@@ -6,7 +6,11 @@ Python UDF. Rows carry their id through scoring instead of relying on order.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.feature import HashingTF, IDFModel, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +24,7 @@ from textlab.functions.text import (
     request_reject_reason,
     scoring_text,
 )
+from textlab.operators.features import hashed_sums
 
 # --- fixed values -------------------------------------------------------------
 SENTIMENT_POSITIVE = "positive"
@@ -71,6 +76,23 @@ def model_input(df: DataFrame, title: str = "title", text: str = "text", preproc
     return df.withColumn("review_combined", combined)
 
 
+def _linear(model: PipelineModel) -> tuple | None:
+    """(weight of each hashed bucket, intercept, margin above which a row is positive, stop words) of
+    the 5-stage pipeline as ``fit_pipeline`` makes it, or None."""
+    if [type(s) for s in model.stages] != [Tokenizer, StopWordsRemover, HashingTF, IDFModel, LogisticRegressionModel]:
+        return None
+    token, stop, tf, idf, lr = model.stages
+    chain = [token.getInputCol(), token.getOutputCol(), stop.getOutputCol(), tf.getOutputCol(), idf.getOutputCol()]
+    if chain != ["review_combined", stop.getInputCol(), tf.getInputCol(), idf.getInputCol(), lr.getFeaturesCol()]:
+        return None
+    if stop.getCaseSensitive() or tf.getBinary() or lr.numClasses != 2 or lr.isSet("thresholds"):
+        return None
+    t = lr.getThreshold()
+    cut = -math.inf if t == 0.0 else math.inf if t == 1.0 else math.log(t / (1.0 - t))
+    words = [w.lower() for w in stop.getStopWords()]
+    return idf.idf.toArray() * lr.coefficients.toArray(), float(lr.intercept), cut, words
+
+
 def score(
     df: DataFrame,
     model: PipelineModel,
@@ -80,7 +102,23 @@ def score(
     preprocess: str = "train",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Bulk scoring: ``(id, *keep, prediction, score)`` with ``score`` = P(positive)."""
+    """Bulk scoring: ``(id, *keep, prediction, score)`` with ``score`` = P(positive).
+
+    For the 5-stage pipeline on cleaned texts, each batch's distinct tokens are hashed and weighed
+    once and a row's margin is the sum over its tokens, without token lists and vectors of
+    every row; other models and texts go through ``model.transform``.
+    """
+    if preprocess == "train" and (linear := _linear(model)):
+        weights, intercept, cut, stop_words = linear
+        combined = combine_exact(clean_text(F.col(title)), clean_text(F.col(text)))
+        sums = hashed_sums(df, combined, weights, stop_words, [F.col(c) for c in (id_col, *keep)])
+        margin = F.col("_sum") + F.lit(intercept)
+        return sums.select(
+            id_col,
+            *keep,
+            F.when(margin > F.lit(cut), F.lit(1)).otherwise(F.lit(0)).alias("prediction"),
+            (F.lit(1.0) - F.lit(1.0) / (F.lit(1.0) + F.exp(margin))).alias("score"),
+        )
     pred = model.transform(model_input(df, title, text, preprocess))
     return pred.select(
         id_col,

@@ -210,9 +210,9 @@ def fit_pipeline(train: DataFrame, cfg: TrainConfig = TrainConfig(), reg_param:
     """Fit the 5-stage pipeline with each part at the parallelism it needs.
 
     Tokenising, hashing and the IDF fit are text work and run on the input's
-    partitions; only the finished feature vectors are persisted and coalesced
-    (``right_size``) for the L-BFGS iterations, which are one small job each. The
-    result is the same ``PipelineModel`` (Tokenizer, StopWordsRemover, HashingTF,
+    partitions; only the hashed counts are persisted here, as the IDF factors cost less than a
+    second copy, and coalesced (``right_size``) for the L-BFGS iterations, which are one small
+    job each over the blocks that the fit itself keeps. The result is the same ``PipelineModel`` (Tokenizer, StopWordsRemover, HashingTF,
     IDFModel, LogisticRegressionModel) that ``sentiment_pipeline().fit`` returns.
     """
     stages = featurizer_stages(cfg)
@@ -220,16 +220,12 @@ def fit_pipeline(train: DataFrame, cfg: TrainConfig = TrainConfig(), reg_param:
     for st in stages:
         tf = st.transform(tf)
     tf = tf.select(LABEL_COL, "raw_features").persist(StorageLevel.MEMORY_AND_DISK)
-    feats = None
     try:
         idf_model = idf_stage(cfg).fit(tf)
-        feats = idf_model.transform(tf).select(LABEL_COL, "features").persist(StorageLevel.MEMORY_AND_DISK)
-        n = feats.count()
-        lr_model = classifier(cfg, reg_param, elastic_net).fit(right_size(feats, n))
+        feats = idf_model.transform(tf).select(LABEL_COL, "features")
+        lr_model = classifier(cfg, reg_param, elastic_net).fit(right_size(feats, idf_model.numDocs))
     finally:
         tf.unpersist()
-        if feats is not None:
-            feats.unpersist()
     return PipelineModel(stages=[*stages, idf_model, lr_model])
 
 
