@@ -42,7 +42,7 @@ from textlab.llm.common import let, materialise
 from textlab.llm.lattice import edges, merges, viterbi
 
 SPACE = "▁"
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 4 << 20
 OUT_ROWS = 1 << 16
 LATTICE_CHARS = 32
 PLAIN_UNITS = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
@@ -421,8 +421,10 @@ def encode(docs: DataFrame, model: PieceModel, carry: tuple[str, ...] = ("doc_id
     found = materialise(
         rows.mapInArrow(_units(model.units, shares), "block long, share int, units binary"), "units", "zstd"
     )
-    # a fixed number of partitions: few bytes of units make much work below
-    distinct = found.select("share", "units").repartition(shares, "share").mapInArrow(_distinct, "unit string")
+    # dealt once for both readers (all columns, so that the exchange is one), in a fixed number
+    # of partitions: few bytes of units make much work below
+    found = found.repartition(shares, "share")
+    distinct = found.mapInArrow(_distinct, "unit string")
     known = encode_units(distinct.repartition(shares, "unit"), model).withColumn(
         "share", (F.crc32(F.col("unit").cast("binary")) % shares).cast("int")
     )
