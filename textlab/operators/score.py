@@ -79,7 +79,8 @@ def model_input(df: DataFrame, title: str = "title", text: str = "text", preproc
 def _linear(model: PipelineModel) -> tuple | None:
     """(weight of each hashed bucket, intercept, margin above which a row is positive, stop words) of
     the 5-stage pipeline as ``fit_pipeline`` makes it, or None."""
-    if [type(s) for s in model.stages] != [Tokenizer, StopWordsRemover, HashingTF, IDFModel, LogisticRegressionModel]:
+    five = [Tokenizer, StopWordsRemover, HashingTF, IDFModel, LogisticRegressionModel]
+    if not isinstance(model, PipelineModel) or [type(s) for s in model.stages] != five:
         return None
     token, stop, tf, idf, lr = model.stages
     chain = [token.getInputCol(), token.getOutputCol(), stop.getOutputCol(), tf.getOutputCol(), idf.getOutputCol()]
