@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import pathlib
 import re
 import zipfile
 from collections import Counter
@@ -13,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textlab.llm import (
+    common,
     line_dedup,
     mixing,
     near_dup,
@@ -192,6 +194,54 @@ def test_pieces_of_mixed_lengths_and_null_ids(spark):
     assert got == {(d, tuple(lib.encode(t or ""))) for d, t in rows}
 
 
+def starts_of(unit, ids, model):
+    """Bits of where the pieces of a unit start."""
+    out = at = k = 0
+    while k < len(ids):
+        out |= 1 << at
+        if 0 <= ids[k] - model.byte_base < 256:
+            k, at = k + len(unit[at].encode()), at + 1
+        else:
+            k, at = k + 1, at + len(model.spelled[ids[k]].decode())
+    return out
+
+
+def test_units_are_cut_in_one_walk_but_for_late_pieces(spark):
+    model = pieces.load(tokenizer_path())
+    scores = {p: (i, s) for p, i, s in model.pieces}
+    # runs of spaces are joined out of the order of their scores: "▁▁" scores below "▁▁▁▁"
+    assert {"▁▁▁", "▁▁▁▁"} <= model.late < set(scores) and all(set(p) == {"▁"} for p in model.late)
+    units = {"▁", "▁▁▁▁▁▁▁the", "▁" * 22 + "word", "▁" * 32, "a" * 32, "日本語", "▁\n\n\n\t", "========", "ñé", "▁the"}
+    units |= set(list(scores)[::40])
+    rows = spark.createDataFrame([(u,) for u in units], "unit string")
+    expected = {u: pieces.encode_long(u, scores, model) for u in units}
+    assert {r.unit: list(r.ids) for r in pieces.encode_units(rows, model).collect()} == expected
+    assert {r.unit: r.cuts for r in pieces.cut_units(rows, model).collect()} == {
+        u: starts_of(u, ids, model) for u, ids in expected.items()
+    }
+
+
+def test_units_and_their_answers_take_few_bytes(spark, workdir):
+    import random
+
+    import pyarrow as pa
+
+    dealt = random.Random(5)
+    units = ["▁" + "".join(dealt.choices(["th", "er", "on", "an", "re", "ed"], k=dealt.randint(2, 5))) for _ in range(40000)]
+    docs = documents(spark, [(0, " ".join(u[1:] for u in units), "a")]).coalesce(1)
+    with common.recorded() as made:
+        pieces.encode(docs, pieces.load(tokenizer_path()))
+    size = sum(f.stat().st_size for path in made for f in pathlib.Path(path.removeprefix("file:")).rglob("*.parquet"))
+    # Arrow lists of them took 4.9 bytes each
+    assert size < 3.5 * len(set(units))
+    order, own = pieces._shares(pa.array(sorted(set(units))), 4)
+    found = pa.table({"block": [0] * 4, "share": list(own), "units": [pieces._squeezed(t) for *_, t in own.values()]})
+    known = pa.table({"unit": sorted(set(units)), "cuts": [0b100101] * len(set(units))})
+    answers = pieces._answered(found, known)
+    assert sorted(order) == list(range(len(set(units)))) and answers.num_rows == 4
+    assert sum(len(a.as_py()) for a in answers.column("cuts")) < len(set(units))
+
+
 def best_cost(unit, scores, unknown):
     """The largest sum of scores over all ways to cut the unit."""
     costs = [scores[unit][1]] if unit in scores else [unknown] if len(unit) == 1 else []
