@@ -11,8 +11,9 @@ is not what the library returns). Characters without a piece become byte pieces.
 Encoded units go back to their blocks, where texts are spelled with them.
 
 Only distinct units of a block are shuffled, never their occurrences, packed by share of
-all units; a share's task finds its distinct units, and later hands each block where the pieces of
-its units start, as bits in their order; the pieces found there are looked up for their ids. A block is ``BLOCK_BYTES`` of text from one input
+all units; a share's task finds its distinct units, and later hands each block where the
+pieces of its units start, as bits in their order; the block looks up the ids of the pieces
+found there. A block is ``BLOCK_BYTES`` of text from one input
 partition, or one longer text, and moves once, as one compressed row. Units of more than
 ``LATTICE_CHARS`` characters, whose fold would take quadratic time, are encoded by the same
 rule with a heap in the block's task; so are units whose answer doesn't fit because an
