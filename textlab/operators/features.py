@@ -45,6 +45,8 @@ DEFAULT_VOCAB_SIZE = 1 << 16
 DEFAULT_MIN_DF = 2
 SLICE_TOKENS = 1 << 21  # of the rows that are counted at once
 SLICE_CHARS = 1 << 23  # of the rows that are weighed at once
+SLICE_TEXT = 1 << 20  # characters of cleaned texts that are cut and counted at once
+SHORTEST_WORD = 2  # characters of a word of a cleaned text (the mirror's token rule)
 # ---------------------------------------------------------------------------------
 
 
@@ -82,32 +84,79 @@ def materialized(df: DataFrame) -> DataFrame:
 # merged by the aggregates below.
 
 
+def _giving_back(run):
+    """``run`` on batches of rows, after each of which freed memory goes back to the system:
+    a worker that waits for its next task holds little."""
+
+    def giving(batches):
+        import pyarrow as pa
+
+        def taken():
+            for batch in batches:
+                yield batch
+                pa.default_memory_pool().release_unused()
+
+        yield from run(taken())
+        pa.default_memory_pool().release_unused()
+
+    return giving
+
+
 def _row_slices(tokens) -> list[tuple[int, int]]:
-    """Ranges of rows with at most ``SLICE_TOKENS`` tokens each, or one row."""
+    """Ranges of rows with at most ``SLICE_TOKENS`` tokens or ``SLICE_TEXT`` characters each, or one row."""
     import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-    ends = np.cumsum([0] + (np.diff(tokens.offsets.to_numpy()) + 1).tolist())
+    if pa.types.is_list(tokens.type):
+        sizes, most = np.diff(tokens.offsets.to_numpy()), SLICE_TOKENS
+    else:
+        sizes, most = pc.fill_null(pc.binary_length(tokens), 0).to_numpy(zero_copy_only=False), SLICE_TEXT
+    ends = np.cumsum([0] + (sizes + 1).tolist())
     out, at = [], 0
     while at < len(tokens):
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_TOKENS, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
         out.append((at, to))
         at = to
     return out
 
 
-def _coded(tokens, pairs: bool):
+def _words(texts, stop_words: list[str]):
+    """``(row, code, names)`` of the words of cleaned texts (a-z, 0-9 and spaces): the row and the
+    number of each, and the distinct words by number. Stop words and single characters are left out."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    tokens = pc.split_pattern(texts, " ")
+    row = np.repeat(np.arange(len(texts)), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False))
+    coded = tokens.flatten().dictionary_encode()
+    code, names = coded.indices.to_numpy(), coded.dictionary.cast(pa.string())
+    long = pc.greater_equal(pc.binary_length(names), SHORTEST_WORD)
+    kept = pc.and_(long, pc.invert(pc.is_in(names, value_set=pa.array(stop_words, pa.string()))))
+    is_kept = kept.to_numpy(zero_copy_only=False)
+    here = is_kept[code]
+    number = np.cumsum(is_kept) - 1
+    return row[here], number[code[here]].astype(np.int64), names.filter(kept)
+
+
+def _coded(tokens, pairs: bool, stop_words: list[str] | None = None):
     """``(row, code, names)`` of the tokens of some rows and, with ``pairs``, of their neighbouring
-    pairs joined by a space: the row and the number of each, and the distinct terms by number."""
+    pairs joined by a space: the row and the number of each, and the distinct terms by number.
+    ``tokens`` are lists, or cleaned texts whose words without ``stop_words`` are the tokens."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    flat = tokens.flatten()
-    row = np.repeat(np.arange(len(tokens)), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False))
-    if flat.null_count:
-        row, flat = row[pc.is_valid(flat).to_numpy(zero_copy_only=False)], flat.drop_null()
-    coded = flat.dictionary_encode()
-    code, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    if pa.types.is_list(tokens.type):
+        flat = tokens.flatten()
+        row = np.repeat(np.arange(len(tokens)), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False))
+        if flat.null_count:
+            row, flat = row[pc.is_valid(flat).to_numpy(zero_copy_only=False)], flat.drop_null()
+        coded = flat.dictionary_encode()
+        code, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    else:
+        row, code, names = _words(tokens, stop_words or [])
     if pairs and len(code):
         n = len(names)
         near = row[1:] == row[:-1]
@@ -119,7 +168,7 @@ def _coded(tokens, pairs: bool):
     return row, code, names
 
 
-def _count_batches(pairs: bool):
+def _count_batches(pairs: bool, stop_words: list[str] | None):
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -127,7 +176,7 @@ def _count_batches(pairs: bool):
         for batch in batches:
             lists = batch.column("_tokens")
             for a, b in _row_slices(lists):
-                row, code, names = _coded(lists.slice(a, b - a), pairs)
+                row, code, names = _coded(lists.slice(a, b - a), pairs, stop_words)
                 n = len(names)
                 if not n:
                     continue
@@ -140,10 +189,13 @@ def _count_batches(pairs: bool):
     return run
 
 
-def row_term_counts(docs: DataFrame, tokens: Column, pairs: bool = False) -> DataFrame:
+def row_term_counts(docs: DataFrame, tokens: Column, pairs: bool = False, stop_words: list[str] | None = None) -> DataFrame:
     """``(term, df, cf)`` where every row is a document: rows with the term, its total count.
-    With ``pairs`` the terms are the tokens and their bigrams."""
-    parts = docs.select(tokens.alias("_tokens")).mapInArrow(_count_batches(pairs), "term string, df long, cf long")
+    With ``pairs`` the terms are the tokens and their bigrams. ``tokens`` are lists of tokens, or
+    cleaned texts (a-z, 0-9 and spaces only): their words of two characters or more, without
+    ``stop_words``, are the tokens, cut by Arrow."""
+    run = _giving_back(_count_batches(pairs, stop_words))
+    parts = docs.select(tokens.alias("_tokens")).mapInArrow(run, "term string, df long, cf long")
     return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
 
 
@@ -175,7 +227,23 @@ def fitted_vocabulary(
     return top_counts(counts.filter(F.col("df") >= F.lit(min_df)), size), n
 
 
-def _weigh_batches(terms: list[str], idf_of: list[float] | None, keep: list[str], pairs: bool, out: str, coefficients):
+def _vectors(size: int, ends, index, values):
+    """One sparse vector a row as Arrow structs: row i has the entries ``ends[i]`` to ``ends[i + 1]``."""
+    import numpy as np
+    import pyarrow as pa
+
+    n, ends = len(ends) - 1, pa.array(ends, pa.int32())
+    parts = {
+        "type": pa.array(np.zeros(n, np.int8)), "size": pa.array(np.full(n, size, np.int32)),
+        "indices": pa.ListArray.from_arrays(ends, pa.array(index, pa.int32())),
+        "values": pa.ListArray.from_arrays(ends, pa.array(values, pa.float64())),
+    }
+    return pa.StructArray.from_arrays(list(parts.values()), names=list(parts))
+
+
+def _weigh_batches(
+    terms: list[str], idf_of: list[float] | None, keep: list[str], pairs: bool, out: str, coefficients, stop_words: list[str] | None
+):
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -186,7 +254,7 @@ def _weigh_batches(terms: list[str], idf_of: list[float] | None, keep: list[str]
         for batch in batches:
             lists = batch.column("_tokens")
             for a, b in _row_slices(lists):
-                row, code, names = _coded(lists.slice(a, b - a), pairs)
+                row, code, names = _coded(lists.slice(a, b - a), pairs, stop_words)
                 known = pc.fill_null(pc.index_in(names, value_set=vocab), -1).to_numpy(zero_copy_only=False).astype(np.int64)
                 index = known[code]
                 key, n = np.unique((row * len(vocab) + index)[index >= 0], return_counts=True)
@@ -201,12 +269,10 @@ def _weigh_batches(terms: list[str], idf_of: list[float] | None, keep: list[str]
                 if out == "dot":
                     made["dot"] = pa.array(np.bincount(row, values * factor[index], b - a), pa.float64())
                 elif out == "vector":
-                    parts = {
-                        "type": pa.array(np.zeros(b - a, np.int8)), "size": pa.array(np.full(b - a, len(vocab), np.int32)),
-                        "indices": pa.ListArray.from_arrays(ends, pa.array(index, pa.int32())),
-                        "values": pa.ListArray.from_arrays(ends, pa.array(values, pa.float64())),
-                    }
-                    made["vector"] = pa.StructArray.from_arrays(list(parts.values()), names=list(parts))
+                    made["vector"] = _vectors(len(vocab), ends, index, values)
+                elif out == "counts":
+                    made["tf"] = _vectors(len(vocab), ends, index, values)
+                    made["log_tf"] = _vectors(len(vocab), ends, index, 1.0 + np.log(values))
                 else:
                     made["terms"] = pa.ListArray.from_arrays(ends, vocab.take(pa.array(index)))
                     made["values"] = pa.ListArray.from_arrays(ends, pa.array(values, pa.float64()))
@@ -298,10 +364,47 @@ def hashed_sums(docs: DataFrame, text: Column, weights, stop_words: list[str], k
     return rows.mapInArrow(_hashed_sums(weights, stop_words), schema).select("_row.*", "_sum")
 
 
+def _hashed_vectors(size: int, stop_words: list[str], keep: list[str]):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        stop = pa.array(stop_words, pa.string())
+        for batch in batches:
+            for a, b in _row_slices(batch.column("_text")):
+                part = batch.column("_text").slice(a, b - a)
+                # no token follows the last one that holds a character; '' is one empty token
+                cut = pc.ascii_rtrim(part, " ")
+                some = pc.fill_null(pc.or_(pc.not_equal(cut, ""), pc.equal(part, "")), False).to_numpy(zero_copy_only=False)
+                tokens = pc.split_pattern(cut, " ")
+                n = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+                coded = tokens.flatten().dictionary_encode()
+                names, code = coded.dictionary.cast(pa.string()), coded.indices.to_numpy()
+                bucket = murmur3(names).astype(np.int64) % size
+                kept = ~pc.is_in(names, value_set=stop).to_numpy(zero_copy_only=False)
+                here = kept[code] & np.repeat(some, n)
+                key, times = np.unique(np.repeat(np.arange(b - a), n)[here] * size + bucket[code[here]], return_counts=True)
+                ends = np.searchsorted(key, np.arange(b - a + 1) * size)
+                made = _vectors(size, ends, key % size, times.astype(np.float64))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, b - a) for c in keep], made], names=[*keep, "vector"])
+
+    return run
+
+
+def hashed_vectors(docs: DataFrame, text: Column, size: int, stop_words: list[str]) -> DataFrame:
+    """``docs`` with the sparse ``vector`` of each row's token counts by hashed bucket, stop words left
+    out. ``text`` holds a-z, 0-9 and spaces only, as in :func:`hashed_sums`."""
+    schema = T.StructType([*docs.schema.fields, *ADDED["vector"]])
+    run = _giving_back(_hashed_vectors(size, stop_words, docs.columns))
+    return docs.withColumn("_text", text).mapInArrow(run, schema)
+
+
 #: What :func:`row_weights` adds, by its ``out``.
 ADDED = {
     "terms": [T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("values", T.ArrayType(T.DoubleType()))],
     "vector": [T.StructField("vector", VectorUDT())],
+    "counts": [T.StructField("tf", VectorUDT()), T.StructField("log_tf", VectorUDT())],
     "dot": [T.StructField("dot", T.DoubleType())],
 }
 
@@ -314,14 +417,16 @@ def row_weights(
     out: str,
     pairs: bool = False,
     coefficients: list[float] | None = None,
+    stop_words: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` with each row's weights over a capped vocabulary ``terms`` (a model parameter):
     the L2-normalised ``(1 + ln tf) * idf``, or the plain count where there is no idf.
 
-    ``out``: ``terms`` and ``values`` (arrays), one sparse ``vector``, or the weights' ``dot``
-    product with the coefficients."""
+    ``out``: ``terms`` and ``values`` (arrays), one sparse ``vector``, the weights' ``dot``
+    product with the coefficients, or the ``counts`` as sparse vectors ``tf`` and ``log_tf``
+    (``1 + ln tf``). ``tokens`` and ``stop_words`` as in :func:`row_term_counts`."""
     schema = T.StructType([*docs.schema.fields, *ADDED[out]])
-    run = _weigh_batches(terms, idf_of, docs.columns, pairs, out, coefficients)
+    run = _giving_back(_weigh_batches(terms, idf_of, docs.columns, pairs, out, coefficients, stop_words))
     return docs.withColumn("_tokens", tokens).mapInArrow(run, schema)
 
 

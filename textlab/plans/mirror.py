@@ -13,19 +13,22 @@ feature standardisation.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
     CountVectorizerModel,
+    ElementwiseProduct,
     NGram,
     Normalizer,
     RegexTokenizer,
     SQLTransformer,
     StopWordsRemover,
 )
-from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,23 +66,59 @@ def mirror_pipeline(n_train: int, c: float = MIRROR_C) -> Pipeline:
     )
 
 
-def fit_mirror(train: DataFrame) -> PipelineModel:
+@dataclass
+class Counted:
+    """The n-grams of cleaned documents, counted once for both mirrors (:func:`count_terms`).
+
+    ``vocab``: ``(term, index, df)`` of the vocabulary, written, and ``terms`` by index; ``rows``: the
+    documents with the counts ``tf`` of those terms and ``log_tf`` for their text, written; ``n``: the
+    training rows."""
+
+    vocab: DataFrame
+    terms: list[str]
+    rows: DataFrame
+    n: int
+
+
+def count_terms(docs: DataFrame, train: DataFrame) -> Counted:
+    """The vocabulary of ``train`` and the counts of all ``docs``, whose texts are cleaned (a-z, 0-9 and
+    spaces only). Every row is a document."""
+    text, words = F.col(TEXT_COL), [w.lower() for w in english_stop_words()]
+    counts = features.row_term_counts(train, text, True, words).filter(F.col("df") >= F.lit(MIRROR_MIN_DF))
+    top = features.top_counts(counts, MIRROR_VOCAB)
+    vocab = features.materialized(top.select("term", (F.col("rank") - F.lit(1)).cast("int").alias("index"), "df"))
+    terms = vocab.select("index", "term").toArrow().sort_by("index")["term"].to_pylist()  # a model parameter
+    rows = features.row_weights(docs, text, terms, None, "counts", pairs=True, stop_words=words)
+    return Counted(vocab, terms, features.materialized(rows.drop(TEXT_COL)), train.count())
+
+
+def after_counts(model: PipelineModel) -> PipelineModel:
+    """The stages of :func:`fit_mirror`'s model that follow the counting of terms, for rows with ``tf``."""
+    at = next(i for i, s in enumerate(model.stages) if isinstance(s, CountVectorizerModel))
+    return PipelineModel(stages=model.stages[at + 1 :])
+
+
+def fit_mirror(train: DataFrame, counted: Counted | None = None) -> PipelineModel:
     """The pipeline fitted on documents that are cleaned once and written.
 
     The vocabulary is counted row by row (:func:`features.row_term_counts`; equal counts at the
     cut go by term), the term counts become vectors once, and IDF, rows of unit length and the
-    L-BFGS iterations work on those."""
+    L-BFGS iterations work on those. With ``counted``, ``train`` is the training part of its rows."""
     from textlab.plans.train import right_size
 
-    docs = features.materialized(train.select(TEXT_COL, LABEL_COL))
-    n = docs.count()
+    docs = None if counted else features.materialized(train.select(TEXT_COL, LABEL_COL))
+    n = counted.n if counted else docs.count()
     *text_stages, cv, idf, unit, lr = mirror_pipeline(n).getStages()
-    tokens = mirror_unigrams(F.col(TEXT_COL))
-    counts = features.row_term_counts(docs, tokens, pairs=True).filter(F.col("df") >= F.lit(MIRROR_MIN_DF))
-    terms = [r.term for r in features.top_counts(counts, MIRROR_VOCAB).orderBy("rank").collect()]  # a model parameter
+    if counted:
+        # the iterations' sums go in the order of the same files as without ``counted``
+        terms, tf = counted.terms, features.materialized(train.select(LABEL_COL, cv.getOutputCol()))
+    else:
+        tokens = mirror_unigrams(F.col(TEXT_COL))
+        counts = features.row_term_counts(docs, tokens, pairs=True).filter(F.col("df") >= F.lit(MIRROR_MIN_DF))
+        terms = [r.term for r in features.top_counts(counts, MIRROR_VOCAB).orderBy("rank").collect()]  # a model parameter
+        vectors = features.row_weights(docs.select(LABEL_COL, TEXT_COL), tokens, terms, None, "vector", pairs=True)
+        tf = features.materialized(vectors.select(LABEL_COL, F.col("vector").alias(cv.getOutputCol())))
     cv_model = CountVectorizerModel.from_vocabulary(terms, inputCol=cv.getInputCol(), outputCol=cv.getOutputCol())
-    vectors = features.row_weights(docs.select(LABEL_COL, TEXT_COL), tokens, terms, None, "vector", pairs=True)
-    tf = features.materialized(vectors.select(LABEL_COL, F.col("vector").alias(cv.getOutputCol())))
     idf_model = idf.fit(tf)
     feats = unit.transform(idf_model.transform(tf)).select(LABEL_COL, "features")
     return PipelineModel(stages=[*text_stages, cv_model, idf_model, unit, lr.fit(right_size(feats, n))])
@@ -234,8 +273,15 @@ class ExactMirrorModel:
 
     def with_features(self, docs: DataFrame) -> DataFrame:
         """``docs`` joined to their features by id (no partner for a NULL id); where the id is
-        the row's own, without a shuffle."""
+        the row's own, without a shuffle. Rows of a :class:`Counted` with this model's vocabulary,
+        each with an id of its own, are weighed by their counts."""
         i = self.id_col
+        if "log_tf" in docs.columns:
+            idf = self.vocab.select("index", "idf").toArrow().sort_by("index")["idf"].to_numpy()  # at most 65,536
+            scaled = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="log_tf", outputCol="_scaled")
+            unit = Normalizer(inputCol="_scaled", outputCol="features", p=2.0)
+            own = unit.transform(scaled.transform(docs.filter(F.col(i).isNotNull())))
+            return own.select(i, *[c for c in docs.columns if c not in (i, "tf", "log_tf")], "features")
         single, merged = features.rows_by_id(docs, i, features.repeated_ids(docs.select(i), i))
         columns = [i, *[c for c in docs.columns if c != i], "features"]
         own = self._weigh(single.filter(F.col(i).isNotNull()), mirror_unigrams(F.col(TEXT_COL))).select(columns)
@@ -252,21 +298,32 @@ def mirror_vocabulary(docs: DataFrame, id_col: str = "review_id") -> DataFrame:
     again = features.repeated_ids(docs.select(id_col), id_col)
     tokens = mirror_unigrams(F.col(TEXT_COL))
     vocab, n = features.fitted_vocabulary(docs.select(id_col, TEXT_COL), id_col, tokens, True, MIRROR_VOCAB, MIRROR_MIN_DF, again)
-    smooth_idf = F.log((F.lit(1.0) + F.lit(float(n))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    return features.materialized(
-        vocab.select("term", (F.col("rank") - F.lit(1)).cast("int").alias("index"), smooth_idf.alias("idf"))
-    )
+    index = (F.col("rank") - F.lit(1)).cast("int").alias("index")
+    return features.materialized(vocab.select("term", index, smooth_idf(n).alias("idf")))
+
+
+def smooth_idf(n: int) -> Column:
+    """The mirror's idf of a term in ``df`` of ``n`` documents."""
+    return F.log((F.lit(1.0) + F.lit(float(n))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
 
 
-def fit_exact_mirror(train: DataFrame, id_col: str = "review_id", c: float = MIRROR_C) -> ExactMirrorModel:
-    """Fit the exact mirror on ``(id, review_combined, label)`` rows."""
+def fit_exact_mirror(
+    train: DataFrame, id_col: str = "review_id", c: float = MIRROR_C, counted: Counted | None = None
+) -> ExactMirrorModel:
+    """Fit the exact mirror on ``(id, review_combined, label)`` rows. With ``counted``, ``train`` is the
+    training part of its rows, each with an id of its own."""
     from textlab.plans.train import right_size
 
-    docs = features.materialized(train.select(id_col, TEXT_COL, LABEL_COL))
-    vocab = mirror_vocabulary(docs, id_col)
-    model = ExactMirrorModel(vocab, vocab.count(), None, id_col)
-    feats = features.materialized(model.with_features(docs).select(LABEL_COL, "features"))
-    n_rows = feats.count()
+    if counted:
+        vocab = features.materialized(counted.vocab.select("term", "index", smooth_idf(counted.n).alias("idf")))
+        model = ExactMirrorModel(vocab, len(counted.terms), None, id_col)
+        feats, n_rows = model.with_features(train).select(LABEL_COL, "features"), train.filter(F.col(id_col).isNotNull()).count()
+    else:
+        docs = features.materialized(train.select(id_col, TEXT_COL, LABEL_COL))
+        vocab = mirror_vocabulary(docs, id_col)
+        model = ExactMirrorModel(vocab, vocab.count(), None, id_col)
+        feats = features.materialized(model.with_features(docs).select(LABEL_COL, "features"))
+        n_rows = feats.count()
     lr = LogisticRegression(
         featuresCol="features", labelCol=LABEL_COL, maxIter=MIRROR_MAX_ITER, regParam=1.0 / (c * max(n_rows, 1)),
         elasticNetParam=0.0, standardization=False, family="binomial", tol=MIRROR_TOL,

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from textlab.config import TrainConfig
 from textlab.functions.stopwords import english_stop_words
 from textlab.operators import evaluate as ev
+from textlab.operators.features import hashed_vectors, materialized
 from textlab.operators.split import hash_split, with_folds
 
 TEXT_COL = "review_combined"
@@ -206,6 +207,15 @@ def train_model(
     return TrainResult(model, train, test, cv, reg, en)
 
 
+def with_hashed_counts(clean: DataFrame, cfg: TrainConfig = TrainConfig()) -> DataFrame:
+    """``clean`` (cleaned texts: a-z, 0-9 and spaces only) with ``raw_features`` for its text, written:
+    what :func:`featurizer_stages` make of it, by Arrow in the row's own task."""
+    hashing = featurizer_stages(cfg)
+    size, words = hashing[2].getNumFeatures(), [w.lower() for w in hashing[1].getStopWords()]
+    found = hashed_vectors(clean, F.col(TEXT_COL), size, words)
+    return materialized(found.drop(TEXT_COL).withColumnRenamed("vector", hashing[2].getOutputCol()))
+
+
 def fit_pipeline(train: DataFrame, cfg: TrainConfig = TrainConfig(), reg_param: float | None = None, elastic_net: float | None = None) -> PipelineModel:
     """Fit the 5-stage pipeline with each part at the parallelism it needs.
 
@@ -213,19 +223,22 @@ def fit_pipeline(train: DataFrame, cfg: TrainConfig = TrainConfig(), reg_param:
     partitions; only the hashed counts are persisted here, as the IDF factors cost less than a
     second copy, and coalesced (``right_size``) for the L-BFGS iterations, which are one small
     job each over the blocks that the fit itself keeps. The result is the same ``PipelineModel`` (Tokenizer, StopWordsRemover, HashingTF,
-    IDFModel, LogisticRegressionModel) that ``sentiment_pipeline().fit`` returns.
+    IDFModel, LogisticRegressionModel) that ``sentiment_pipeline().fit`` returns. Where ``train`` holds
+    :func:`with_hashed_counts`'s written counts, they are read as they are and nothing is persisted.
     """
     stages = featurizer_stages(cfg)
-    tf = train
-    for st in stages:
-        tf = st.transform(tf)
-    tf = tf.select(LABEL_COL, "raw_features").persist(StorageLevel.MEMORY_AND_DISK)
+    tf, counted = train, "raw_features" in train.columns
+    if not counted:
+        for st in stages:
+            tf = st.transform(tf)
+        tf = tf.select(LABEL_COL, "raw_features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         idf_model = idf_stage(cfg).fit(tf)
         feats = idf_model.transform(tf).select(LABEL_COL, "features")
         lr_model = classifier(cfg, reg_param, elastic_net).fit(right_size(feats, idf_model.numDocs))
     finally:
-        tf.unpersist()
+        if not counted:
+            tf.unpersist()
     return PipelineModel(stages=[*stages, idf_model, lr_model])
 
 
